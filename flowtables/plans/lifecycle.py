@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowtables.functions.values import reserved_kind
 from flowtables.operators.spread import HOT_ROWS, numbered
+from flowtables.schemas import RESERVED_KINDS
 
 # Rank of each kind inside its group. Child groups come at their own rank, whole.
 STATE_RANK = {
@@ -33,10 +35,16 @@ TEARDOWN_RANK = {
 _WIDTH = 19
 
 
+def _kind() -> Column:
+    """Known kind of a component; anything else, or none, is a processor."""
+    known = reserved_kind(F.col("kind"), (*RESERVED_KINDS, "CONTROLLER", "CONNECTION"))
+    return F.coalesce(known, F.lit("PROCESSOR"))
+
+
 def _rank(kind: Column, ranks: dict[str, int]) -> Column:
-    rank = F.lit(None).cast("string")
+    rank = F.lit(str(ranks["PROCESSOR"]))
     for name, value in ranks.items():
-        rank = F.when(F.upper(kind) == name, F.lit(str(value))).otherwise(rank)
+        rank = F.when(kind == name, F.lit(str(value))).otherwise(rank)
     return rank
 
 
@@ -64,7 +72,7 @@ def state_plan(
     everything else takes one step. Groups, funnels and labels have no state.
     """
     enable = target == "enabled"
-    kind = F.upper(F.col("kind"))
+    kind = _kind()
     restart = (kind == "PROCESSOR") & F.coalesce(
         F.upper(F.col("status")) == "DISABLED", F.lit(False)
     )
@@ -96,11 +104,9 @@ def teardown_plan(
     ``components``: scope..., id, kind, group_ords, ord, with connections among them. Nothing is
     removed here.
     """
-    kind = F.upper(F.col("kind"))
+    kind = _kind()
     key = _order_key(F.col("group_ords"), _rank(kind, TEARDOWN_RANK), F.col("ord"), TEARDOWN_RANK)
     # "~" sorts after every segment, so a group follows what is inside it
     key = F.when(kind == "PROCESS_GROUP", F.concat(key, F.lit("/~"))).otherwise(key)
-    placed = components.select(*scope, "id", "kind", key.alias("_order")).where(
-        F.col("_order").isNotNull()
-    )
+    placed = components.select(*scope, "id", "kind", key.alias("_order"))
     return numbered(placed, scope, ["_order", "id"], "position", hot_rows).drop("_order")
