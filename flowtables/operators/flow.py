@@ -5,15 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from math import ceil
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtables.operators.rules import condition_column
 from flowtables.functions.values import stable_uuid
+from flowtables.operators.rules import condition_column
 from flowtables.operators.spread import HOT_ROWS, hot_keys, numbered, running, small
 
 # Routing --------------------------------------------------------------------------------------
@@ -192,24 +191,26 @@ def combined_batches(
     ids = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in unit])
     prepared = prepared.withColumns({"_unit": ids, "batch": F.lit(0).cast("bigint")})
 
-    def close(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    at = prepared.columns.index("batch")
+
+    def close(pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, number, rows, held = None, 0, 0, 0
-        for frame in frames:
+        for piece in pieces:
             numbers = []
-            for unit_id, amount_ in zip(frame["_unit"].tolist(), frame["_bytes"].tolist()):
+            units, amounts = piece.column("_unit").to_pylist(), piece.column("_bytes").to_pylist()
+            for unit_id, amount_ in zip(units, amounts):
                 if unit_id != current:
                     current, number, rows, held = unit_id, 0, 0, 0
                 numbers.append(number)
                 rows, held = rows + 1, held + amount_
                 if (count and rows >= count) or (limit and held >= limit):
                     number, rows, held = number + 1, 0, 0
-            frame["batch"] = numbers
-            yield frame
+            yield piece.set_column(at, "batch", pa.array(numbers, pa.int64()))
 
     return (
         prepared.repartition(*unit)
         .sortWithinPartitions("_unit", *order)
-        .mapInPandas(close, prepared.schema)
+        .mapInArrow(close, prepared.schema)
         .drop("_unit", "_bytes")
     )
 
