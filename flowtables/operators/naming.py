@@ -73,7 +73,11 @@ def nest(
         "page", F.floor((F.col("_rn") - 1) / page_rows).cast("bigint")
     )
     for depth in range(len(levels) - 1, -1, -1):
-        entries = F.sort_array(F.collect_list(F.struct(levels[depth], "_value")))
+        # ordered by key alone: the values of outer levels are maps, which have no order
+        entries = F.array_sort(
+            F.collect_list(F.struct(F.col(levels[depth]).alias("k"), "_value")),
+            lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0),
+        )
         current = current.groupBy(*scope, "page", *levels[:depth]).agg(
             F.map_from_entries(entries).alias("_value")
         )

@@ -101,10 +101,14 @@ def read_exports(spark: SparkSession, path: str) -> DataFrame:
             F.col("value").alias("text"),
         )
     )
+    return read_exports_yaml(files)
+
+
+def read_exports_yaml(documents: DataFrame) -> DataFrame:
+    """The same from rows (workspace, file, YAML text as ``text``)."""
+    texts = documents.select("workspace", "file", "text")
     return _parsed(
-        files.mapInPandas(
-            _yaml_to_json, "workspace string, file string, json string, error string"
-        )
+        texts.mapInPandas(_yaml_to_json, "workspace string, file string, json string, error string")
     )
 
 
@@ -260,16 +264,12 @@ def _parts(
     placed = numbered(tagged, key, order, "_rn", hot_rows).withColumn(
         "page", F.floor((F.col("_rn") - 1) / page_rows).cast("bigint")
     )
-    lists = [
-        F.transform(
-            F.array_sort(
-                F.collect_list(F.when(F.col(n).isNotNull(), F.struct("_rn", n))),
-                lambda a, b: F.when(a["_rn"] < b["_rn"], -1).otherwise(1),
-            ),
-            lambda x, n=n: x[n],
-        ).alias(n)
-        for n in rows
-    ]
+    def in_order(name: str) -> Column:
+        held = F.collect_list(F.when(F.col(name).isNotNull(), F.struct("_rn", name)))
+        by_number = F.array_sort(held, lambda a, b: F.when(a["_rn"] < b["_rn"], -1).otherwise(1))
+        return F.transform(by_number, lambda x: x[name]).alias(name)
+
+    lists = [in_order(name) for name in rows]
     return placed.groupBy(*key, "page").agg(*lists)
 
 
