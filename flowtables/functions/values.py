@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +36,20 @@ def has_text(column: Column) -> Column:
     return column.isNotNull() & (column != "")
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value worked out once per row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def computed(array: Column) -> Column:
+    """A computed array for a generator, as an expression rather than a plain column.
+
+    For a plain column Catalyst adds a size filter and pushes it below the projection that computes
+    the array, which would then parse every document twice.
+    """
+    return F.filter(array, lambda x: F.lit(True))
+
+
 # Redundant columns ----------------------------------------------------------------------------
 
 
@@ -195,9 +209,11 @@ def prune_empty(df: DataFrame, *columns: str) -> DataFrame:
 
 def stable_uuid(*key: Column) -> Column:
     """UUID-shaped text that is a function of the key, so that reruns agree."""
-    digest = F.sha2(F.concat_ws("\x1f", *[F.coalesce(k.cast("string"), F.lit("\x00")) for k in key]), 256)
-    part = lambda start, length: F.substring(digest, start, length)
-    return F.concat_ws("-", part(1, 8), part(9, 4), part(13, 4), part(17, 4), part(21, 12))
+    text = [F.coalesce(k.cast("string"), F.lit("\x00")) for k in key]
+    digits = F.substring(F.sha2(F.concat_ws("\x1f", *text), 256), 1, 32)
+    return F.regexp_replace(
+        digits, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"
+    )
 
 
 def equals_pattern() -> str:

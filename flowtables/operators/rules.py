@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.functions.values import equals_pattern, has_text, stable_uuid
+from flowtables.functions.values import bound, computed, equals_pattern, has_text, stable_uuid
 from flowtables.schemas import RULE, RULE_XML
 
 # Parsing and rendering ------------------------------------------------------------------------
@@ -22,11 +22,14 @@ def _action_map(actions: Column) -> Column:
         ),
     )
     ordered = F.sort_array(F.filter(placed, lambda a: a["attribute"].isNotNull()))
-    last = F.filter(
-        ordered,
-        lambda a, i: (F.get(ordered, i + 1).isNull())
-        | (F.get(ordered, i + 1)["attribute"] != a["attribute"]),
-    )
+
+    def last_of_each(sorted_actions: Column) -> Column:
+        following = lambda i: F.get(sorted_actions, i + 1)["attribute"]
+        return F.filter(
+            sorted_actions, lambda a, i: ~following(i).eqNullSafe(a["attribute"])
+        )
+
+    last = bound(ordered, last_of_each)
     return F.map_from_entries(F.transform(last, lambda a: F.struct(a["attribute"], a["value"])))
 
 
@@ -104,7 +107,7 @@ def flatten_rules(df: DataFrame, key: Sequence[str], rules: str = "rules") -> Da
     A condition has its expression as ``item_value``; an action its attribute and value. Numbers
     start at 1.
     """
-    each = df.select(*key, F.posexplode(rules).alias("_i", "_rule"))
+    each = df.select(*key, F.posexplode(computed(F.col(rules))).alias("_i", "_rule"))
     conditions = F.transform(
         F.col("_rule.conditions"),
         lambda c, j: F.struct(

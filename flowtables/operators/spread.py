@@ -61,14 +61,19 @@ def running(
     order: Sequence[str | Column],
     values: dict[str, Column],
     hot_rows: int | None = HOT_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """Add running sums per key (nulls form one key); ``order`` should end in a unique column."""
+    """Add running sums per key (nulls form one key); ``order`` should end in a unique column.
+
+    ``sizes`` is an optional cheaper table to count instead of ``df``: it has the key columns and at
+    least as many rows per key.
+    """
     key, order = list(key), list(order)
     window = (
         Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )
     plain = {name: _total(value, window) for name, value in values.items()}
-    hot = hot_keys(df, key, hot_rows)
+    hot = hot_keys(df if sizes is None else sizes, key, hot_rows)
     if hot is None:
         return df.withColumns(plain)
 
@@ -113,9 +118,10 @@ def numbered(
     order: Sequence[str | Column],
     name: str,
     hot_rows: int | None = HOT_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Row number per key from 1 as bigint; like ``row_number`` but split for hot keys."""
-    return running(df, key, order, {name: F.lit(1).cast("bigint")}, hot_rows)
+    return running(df, key, order, {name: F.lit(1).cast("bigint")}, hot_rows, sizes)
 
 
 def paged_lists(

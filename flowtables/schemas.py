@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 TEXT = T.StringType()
@@ -153,6 +154,14 @@ TABLES = {
     ),
 }
 
+
+
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A table without rows that Catalyst knows to be empty and removes from unions and joins."""
+    cells = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields]
+    return spark.sql(f"SELECT {', '.join(cells)} WHERE false")
+
+
 # Reserved component kinds, and the defaults a stored setting is compared with.
 RESERVED_KINDS = (
     "INPUT_PORT",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Mapping
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtables.functions.values import (
+    computed,
     format_position,
     has_text,
     parse_position,
@@ -136,7 +138,7 @@ def to_tables(documents: DataFrame) -> dict[str, DataFrame]:
     at = ["workspace", "template"]
 
     def each(column: str, name: str) -> DataFrame:
-        return docs.select(*at, F.posexplode(column).alias("_ord", name))
+        return docs.select(*at, F.posexplode(computed(F.col(column))).alias("_ord", name))
 
     ord_column = F.col("_ord").cast("bigint").alias("ord")
     component, controller = each("components", "c"), each("controllers", "c")
@@ -246,31 +248,43 @@ def to_tables(documents: DataFrame) -> dict[str, DataFrame]:
 # Writing --------------------------------------------------------------------------------------
 
 
-def _parts(
-    rows: Mapping[str, DataFrame],
+def _union(rows: Mapping[str, DataFrame], columns: list[str]) -> DataFrame:
+    """Several kinds of parts under each other: the columns, and one named column per kind."""
+    frames = [df.select(*columns, F.col("item").alias(n)) for n, df in rows.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, T.MapType)
+
+
+def _packed(
+    parts: DataFrame,
+    kinds: list[str],
     key: list[str],
     order: list[str],
     page_rows: int,
     hot_rows: int | None,
+    sizes: DataFrame,
 ) -> DataFrame:
-    """Union of several kinds of parts, numbered per key and packed into ordered lists per page.
-
-    Each frame has the key, the order columns and ``item``; the lists are named after the frames.
-    """
-    tagged = None
-    for name, df in rows.items():
-        part = df.select(*key, *order, F.col("item").alias(name))
-        tagged = part if tagged is None else tagged.unionByName(part, allowMissingColumns=True)
-    placed = numbered(tagged, key, order, "_rn", hot_rows).withColumn(
+    """Parts numbered per key and packed into one ordered list per kind and page."""
+    placed = numbered(parts, key, order, "_rn", hot_rows, sizes).withColumn(
         "page", F.floor((F.col("_rn") - 1) / page_rows).cast("bigint")
     )
+
     def in_order(name: str) -> Column:
         held = F.collect_list(F.when(F.col(name).isNotNull(), F.struct("_rn", name)))
-        by_number = F.array_sort(held, lambda a, b: F.when(a["_rn"] < b["_rn"], -1).otherwise(1))
-        return F.transform(by_number, lambda x: x[name]).alias(name)
+        if _orderable(placed.schema[name].dataType):
+            held = F.sort_array(held)
+        else:
+            held = F.array_sort(held, lambda a, b: F.when(a["_rn"] < b["_rn"], -1).otherwise(1))
+        return F.transform(held, lambda x: x[name]).alias(name)
 
-    lists = [in_order(name) for name in rows]
-    return placed.groupBy(*key, "page").agg(*lists)
+    return placed.groupBy(*key, "page").agg(*[in_order(name) for name in kinds])
 
 
 def _section_map(entries: Column, section: str) -> Column:
@@ -375,20 +389,17 @@ def to_documents(
         none,
         F.struct("name", "type", "comment", F.col("ord")),
     )
-    packed = _parts(
-        {
-            "head": head,
-            "entries": entry,
-            "inputs": edge,
-            "remotePorts": port,
-            "rules": rule,
-            "controller": controller,
-        },
-        owner,
-        ["rank", "ord", "tie"],
-        page_rows,
-        hot_rows,
-    )
+    kinds = {
+        "head": head,
+        "entries": entry,
+        "inputs": edge,
+        "remotePorts": port,
+        "rules": rule,
+        "controller": controller,
+    }
+    order = ["rank", "ord", "tie"]
+    parts = _union(kinds, [*owner, *order])
+    packed = _packed(parts, list(kinds), owner, order, page_rows, hot_rows, parts)
     first = F.get("head", F.lit(0))
     service = F.get("controller", F.lit(0))
     # only a controller's rows lack all component parts; its properties share its id
@@ -419,15 +430,14 @@ def to_documents(
     ).cast(CONTROLLER)
     order = ["_service", "_place", "owner_id", "_page"]
     placed = packed.withColumn("_place", place).withColumnRenamed("page", "_page")
-    lists = _parts(
-        {
-            "controllers": placed.where("_service").withColumn("item", controller_item),
-            "components": placed.where("NOT _service").withColumn("item", component),
-        },
-        at,
-        order,
-        page_rows,
-        hot_rows,
+    elements = placed.select(
+        *at,
+        *order,
+        F.when(F.col("_service"), controller_item).alias("controllers"),
+        F.when(~F.col("_service"), component).alias("components"),
+    )
+    lists = _packed(
+        elements, ["controllers", "components"], at, order, page_rows, hot_rows, parts
     )
     tree = nest(
         tables["dependencies"],

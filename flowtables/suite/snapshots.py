@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowtables.operators import compare
-from flowtables.schemas import TABLES
+from flowtables.schemas import TABLES, empty_table
 from flowtables.sources import exports
 from flowtables.sources.tables import table
 from flowtables.suite.registry import query
@@ -212,7 +212,7 @@ def order_tables(spark, folder):
     ]
     own_id = F.concat(F.lit("o"), F.col("o_orderkey").cast("string"))
     blank = {
-        name: spark.createDataFrame([], schema)
+        name: empty_table(spark, schema)
         for name, schema in TABLES.items()
         if name not in ("templates", "components", "properties")
     }
