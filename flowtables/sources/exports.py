@@ -80,9 +80,11 @@ def _parsed(rows: DataFrame) -> DataFrame:
         "workspace",
         "file",
         F.col("doc"),
-        F.coalesce("error", F.when(F.col(f"doc.{bad}").isNotNull(), F.lit("not a template"))).alias(
-            "error"
-        ),
+        F.coalesce(
+            "error",
+            F.when(F.col(f"doc.{bad}").isNotNull(), F.lit("not a template")),
+            F.when(~F.coalesce(has_text(F.col("doc.name")), F.lit(False)), F.lit("no name")),
+        ).alias("error"),
     )
 
 
@@ -94,9 +96,8 @@ def read_exports(spark: SparkSession, path: str) -> DataFrame:
     """
     source = F.col("_metadata.file_path")
     files = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", "*.yaml")
-        .text(path)
+        spark.read.option("pathGlobFilter", "*.yaml")
+        .text(path, wholetext=True)
         .select(
             F.regexp_extract(source, r"([^/]+)/[^/]+$", 1).alias("workspace"),
             F.regexp_extract(source, r"([^/]+)$", 1).alias("file"),
@@ -379,7 +380,11 @@ def to_documents(
         4,
         F.col("rule_no"),
         none,
-        F.struct(F.col("rule_name").alias("name"), "conditions", "actions").cast(RULE),
+        F.struct(
+            F.col("rule_name").alias("name"),
+            "conditions",
+            F.map_from_entries(F.array_sort(F.map_entries("actions"))).alias("actions"),
+        ).cast(RULE),
     )
     controller = item(
         tables["controllers"],
