@@ -143,10 +143,17 @@ def assign_batches(
 
     One limit: by ``count`` rows; by ``size`` (bytes column, bytes per batch; the batch is that in
     which the row's first byte falls); or by ``duration`` (timestamp column, seconds; the number of
-    the fixed window). Several limits: see :func:`combined_batches`.
+    the fixed window). Several limits, the first one reached closing the batch: see
+    :func:`combined_batches`; a duration then adds the column ``window`` and ``batch`` counts in it.
     """
     if sum(limit is not None for limit in (count, size, duration)) != 1:
-        return combined_batches(df, key, order, count, size, duration)
+        if size is not None:
+            return combined_batches(df, key, order, count, size, duration)
+        if count is None:
+            raise ValueError("give at least one limit")
+        # windows have fixed edges, so counting within them is the same as closing in turn
+        windowed = df.withColumn("window", duration_bucket(*duration))
+        return assign_batches(windowed, [*key, "window"], order, count=count, hot_rows=hot_rows)
     if duration is not None:
         return df.withColumn("batch", duration_bucket(*duration))
     if count is not None:

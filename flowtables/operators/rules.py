@@ -212,22 +212,28 @@ def rule_conditions(flat: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def match_rules(
-    attributes: DataFrame, conditions: DataFrame, row: Sequence[str], rule: Sequence[str]
+    attributes: DataFrame,
+    conditions: DataFrame,
+    row: Sequence[str],
+    rule: Sequence[str],
+    unique: bool = False,
 ) -> DataFrame:
     """(row..., rule...) pairs in which every condition of the rule holds.
 
     ``attributes``: row..., attr, value. ``conditions``: rule..., attr, value. Relational division:
     equi join, then all distinct conditions of the rule must have been met. Hits are merged per
-    (row, rule) before the exchange; the set held for one pair is no longer than the rule.
+    (row, rule) before the exchange. With ``unique`` (a row has an attribute once) they are only
+    counted; otherwise the distinct conditions met are kept, no more than the rule has.
     """
     row, rule = list(row), list(rule)
     wanted = conditions.select(*rule, "attr", "value").distinct()
     needed = wanted.groupBy(*rule).agg(F.count(F.lit(1)).alias("_needed"))
-    numbered = wanted.join(needed, rule).withColumn("_condition", F.struct("attr", "value"))
+    numbered = wanted.join(needed, rule)
     hits = attributes.select(*row, "attr", "value").join(numbered, ["attr", "value"])
+    met = F.count(F.lit(1)) if unique else F.size(F.collect_set(F.struct("attr", "value")))
     return (
         hits.groupBy(*row, *rule, "_needed")
-        .agg(F.size(F.collect_set("_condition")).alias("_met"))
+        .agg(met.alias("_met"))
         .where(F.col("_met") == F.col("_needed"))
         .select(*row, *rule)
     )

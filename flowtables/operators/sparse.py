@@ -2,8 +2,8 @@
 
 Configured values are a long table (owner, key, value); descriptors name the known keys of an
 owner type with their default(s). Everything is an equi join on (type, key) or (owner, key), so a
-hot owner spreads over its keys and small descriptor tables are broadcast by Catalyst's own
-size check.
+hot owner spreads over its keys, and descriptor tables are broadcast only where Catalyst's own size
+check allows it.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtables.functions.values import has_text
@@ -23,14 +23,6 @@ def unpivot_text(df: DataFrame, owner: Sequence[str], columns: Mapping[str, Colu
     return wide.unpivot(list(owner), list(columns), "key", "value")
 
 
-def descriptors(spark: SparkSession, defaults: Mapping[str, Sequence[str | None]]) -> DataFrame:
-    """Descriptor table (key, defaults) of one owner type."""
-    return spark.createDataFrame(
-        [(key, list(values)) for key, values in defaults.items()],
-        "key string, defaults array<string>",
-    )
-
-
 def _prepared(described: DataFrame, on: Sequence[str]) -> DataFrame:
     """Descriptors with the test for a null default worked out once, on the small side."""
     no_default = F.coalesce(F.size("defaults"), F.lit(0)) <= 0
@@ -42,35 +34,29 @@ def _prepared(described: DataFrame, on: Sequence[str]) -> DataFrame:
     )
 
 
-def _candidates(
-    owners: DataFrame,
-    described: DataFrame | Mapping[str, Sequence[str | None]],
-    owner: Sequence[str],
-    type_columns: Sequence[str],
-) -> DataFrame:
-    """One row per owner and described key: an equi join on the type, or literals per row."""
-    if isinstance(described, Mapping):
-        rows = [
-            F.struct(
-                F.lit(key).alias("key"),
-                F.array(*[F.lit(v) for v in values]).cast("array<string>").alias("_defaults"),
-                F.lit(not values or None in values).alias("_null_default"),
-            )
-            for key, values in described.items()
-        ]
-        return owners.select(*owner, F.inline(F.array(*rows)))
-    if not type_columns:
-        raise ValueError("a descriptor table needs type columns; pass a mapping for one type")
-    defaults = _prepared(described, [*type_columns, "key"])
-    return owners.select(*owner, *type_columns).join(defaults, list(type_columns))
-
-
-def _at_default() -> Column:
+def _stored_default() -> Column:
+    """Whether ``value`` is at a default of the joined descriptor."""
     return F.when(F.col("value").isNull(), F.col("_null_default")).otherwise(
         F.coalesce(F.array_contains(F.col("_defaults"), F.col("value")), F.lit(False))
     )
 
 
+def _literal_default(value: Column, allowed: Sequence[str | None]) -> Column:
+    """Whether ``value`` is one of the literal defaults; no default at all means null."""
+    texts = [d for d in allowed if d is not None]
+    null_default = F.lit(not texts or len(texts) < len(allowed))
+    hit = value.isin(*texts) if texts else F.lit(False)
+    return F.when(value.isNull(), null_default).otherwise(hit)
+
+
+def _is_changed(value: Column, at_default: Column, nulls: str) -> Column:
+    if nulls == "skip":
+        return value.isNotNull() & ~at_default
+    if nulls == "emit":
+        return value.isNull() | ~at_default
+    return ~at_default
+
+
 def sparse_diff(
     values: DataFrame,
     described: DataFrame | Mapping[str, Sequence[str | None]],
@@ -83,7 +69,7 @@ def sparse_diff(
     """Rows (owner..., key, value, cleared) whose value differs from the default.
 
     ``described`` is a table (type_columns..., key, defaults), or for owners of one type a mapping
-    from key to its defaults; no default at all means null.
+    from key to its defaults; no default at all means null. A mapping needs no descriptor join.
 
     ``driver="descriptors"``: one candidate per owner and described key; keys nobody described are
     dropped. ``driver="values"``: one candidate per configured key; undescribed keys stay.
@@ -94,30 +80,45 @@ def sparse_diff(
     ``owners`` lists the owners (with ``type_columns``) when some have no value row at all.
     ``values`` is unique by owner and key.
     """
-    owner, on = list(owner), [*type_columns, "key"]
-    if driver == "values" or nulls == "skip":
-        table = described
-        if isinstance(described, Mapping):
-            table, on = descriptors(values.sparkSession, described), ["key"]
-        # a value that is absent is never emitted here, so no candidate is made for it
-        how = "left" if driver == "values" else "inner"
-        rows = values.join(_prepared(table, on), on, how)
-        changed = ~_at_default()
-        if driver == "values":
-            changed = F.col("_described").isNull() | changed
-        if nulls == "skip":
-            changed = F.col("value").isNotNull() & changed
-    else:
+    owner, literal = list(owner), isinstance(described, Mapping)
+    if not literal and not type_columns:
+        raise ValueError("a descriptor table needs type columns; pass a mapping for one type")
+    on = [*type_columns, "key"]
+    # an absent value is emitted only when described keys drive and nulls count
+    completed = driver == "descriptors" and nulls != "skip"
+    rows = values
+    if completed:
         if owners is None:
             owners = values.select(*owner, *type_columns).distinct()
-        wanted = _candidates(owners, described, owner, type_columns)
-        rows = wanted.join(values.select(*owner, "key", "value"), [*owner, "key"], "left")
-        changed = ~_at_default()
-        if nulls == "emit":
-            changed = F.col("value").isNull() | changed
-    return rows.where(changed).select(
-        *owner, "key", "value", F.col("value").isNull().alias("cleared")
-    )
+        if literal:
+            keys = F.explode(F.array(*[F.lit(k) for k in described])).alias("key")
+            rows = owners.select(*owner, keys)
+        else:
+            rows = owners.select(*owner, *type_columns).join(
+                _prepared(described, on), list(type_columns)
+            )
+        rows = rows.join(values.select(*owner, "key", "value"), [*owner, "key"], "left")
+    elif not literal:
+        rows = values.join(_prepared(described, on), on, "left" if driver == "values" else "inner")
+
+    value = F.col("value")
+    if literal:
+        at_default, known = F.lit(False), F.lit(False)
+        for key, allowed in described.items():
+            at_default = F.when(F.col("key") == key, _literal_default(value, allowed)).otherwise(
+                at_default
+            )
+        known = F.col("key").isin(*described)
+    else:
+        at_default, known = _stored_default(), F.col("_described").isNotNull()
+    changed = _is_changed(value, at_default, nulls)
+    if driver == "values":
+        changed = F.when(known, changed).otherwise(
+            value.isNotNull() if nulls == "skip" else F.lit(True)
+        )
+    elif literal and not completed:
+        changed = known & changed
+    return rows.where(changed).select(*owner, "key", "value", value.isNull().alias("cleared"))
 
 
 def wide_diff(
@@ -132,20 +133,10 @@ def wide_diff(
     Every key of ``defaults`` is compared, columns without a default entry are dropped.
     """
 
-    def at_default(value: Column, allowed: Sequence[str | None]) -> Column:
-        texts = [d for d in allowed if d is not None]
-        null_default = F.lit(not texts or len(texts) < len(allowed))
-        hit = value.isin(*texts) if texts else F.lit(False)
-        return F.when(value.isNull(), null_default).otherwise(hit)
-
     cells = []
     for key, allowed in defaults.items():
         value = columns[key].cast("string") if key in columns else F.lit(None).cast("string")
-        changed = ~at_default(value, allowed)
-        if nulls == "skip":
-            changed = value.isNotNull() & changed
-        elif nulls == "emit":
-            changed = value.isNull() | changed
+        changed = _is_changed(value, _literal_default(value, allowed), nulls)
         cells.append(
             F.struct(F.lit(key).alias("key"), value.alias("value"), changed.alias("_changed"))
         )

@@ -14,6 +14,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.checkpoint.compress": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # needed by the stateful streaming operator only
     "spark.sql.streaming.stateStore.providerClass": (

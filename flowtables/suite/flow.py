@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from flowtables.functions.values import parse_duration, parse_size
 from flowtables.operators import flow
-from flowtables.sources.tables import table
+from flowtables.sources.tables import literal_table, table
 from flowtables.suite.registry import query
 
 IN_ORDER = ["ts", "event_id"]
@@ -26,7 +26,8 @@ def events_of(spark, folder, *columns):
     """,
 )
 def route_fanout(spark, folder):
-    edges = spark.createDataFrame(
+    edges = literal_table(
+        spark,
         [
             ("clicks", ["click"]),
             ("sales", ["purchase", "signup"]),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from flowtables.operators import rules
 from flowtables.operators.sparse import unpivot_text
-from flowtables.sources.tables import table
+from flowtables.sources.tables import literal_table, table
 from flowtables.suite.registry import query
 
 
@@ -171,7 +171,8 @@ def match_rules_table(spark, folder):
         ["o_orderkey"],
         {"status": F.col("o_orderstatus"), "priority": F.col("o_orderpriority")},
     ).withColumnRenamed("key", "attr")
-    conditions = spark.createDataFrame(
+    conditions = literal_table(
+        spark,
         [
             ("late", "status", "F"),
             ("late", "priority", "1-URGENT"),
@@ -183,4 +184,4 @@ def match_rules_table(spark, folder):
         ],
         "rule string, attr string, value string",
     )
-    return rules.match_rules(attributes, conditions, ["o_orderkey"], ["rule"])
+    return rules.match_rules(attributes, conditions, ["o_orderkey"], ["rule"], unique=True)
