@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtables.functions.values import stable_uuid
+from flowtables.operators.batches import close_batches
 from flowtables.operators.rules import condition_column
 from flowtables.operators.spread import HOT_ROWS, hot_keys, numbered, running, small
 
@@ -148,7 +148,7 @@ def assign_batches(
     """
     if sum(limit is not None for limit in (count, size, duration)) != 1:
         if size is not None:
-            return combined_batches(df, key, order, count, size, duration)
+            return combined_batches(df, key, order, count, size, duration, hot_rows)
         if count is None:
             raise ValueError("give at least one limit")
         # windows have fixed edges, so counting within them is the same as closing in turn
@@ -176,50 +176,27 @@ def combined_batches(
     key: Sequence[str],
     order: Sequence[str],
     count: int | None,
-    size: tuple[str | Column, int] | None,
+    size: tuple[str | Column, int],
     duration: tuple[str, int] | None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """First limit reached closes the batch: (..., ``window``, ``batch``), numbered per window.
 
     A duration closes batches at fixed window edges, so (key, window) is the unit of work: a hot
-    key is split by its windows. Rows of a unit are sorted by Spark and read once, in Arrow
-    batches; only the open batch's number, rows and bytes are carried from one to the next, so
-    memory does not grow with the unit.
+    key is split by its windows first, and a hot unit by blocks (see :mod:`.batches`). A row that is
+    over the size alone is a batch of its own or ends the open one.
     """
-    unit = [*key, "window"]
-    column, limit = size or (F.lit(0), 0)
-    amount = F.col(column) if isinstance(column, str) else column
+    column, limit = size
+    amount = (F.col(column) if isinstance(column, str) else column).cast("bigint")
     prepared = df.withColumns(
         {
             "window": duration_bucket(*duration) if duration else F.lit(0).cast("bigint"),
-            "_bytes": F.coalesce(amount.cast("bigint"), F.lit(0).cast("bigint")),
+            "_bytes": F.greatest(F.coalesce(amount, F.lit(0)), F.lit(0)).cast("bigint"),
         }
     )
-    ids = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in unit])
-    prepared = prepared.withColumns({"_unit": ids, "batch": F.lit(0).cast("bigint")})
-
-    at = prepared.columns.index("batch")
-
-    def close(pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, number, rows, held = None, 0, 0, 0
-        for piece in pieces:
-            numbers = []
-            units, amounts = piece.column("_unit").to_pylist(), piece.column("_bytes").to_pylist()
-            for unit_id, amount_ in zip(units, amounts):
-                if unit_id != current:
-                    current, number, rows, held = unit_id, 0, 0, 0
-                numbers.append(number)
-                rows, held = rows + 1, held + amount_
-                if (count and rows >= count) or (limit and held >= limit):
-                    number, rows, held = number + 1, 0, 0
-            yield piece.set_column(at, "batch", pa.array(numbers, pa.int64()))
-
-    return (
-        prepared.repartition(*unit)
-        .sortWithinPartitions("_unit", *order)
-        .mapInArrow(close, prepared.schema)
-        .drop("_unit", "_bytes")
-    )
+    return close_batches(
+        prepared, [*key, "window"], order, "_bytes", count, limit, hot_rows
+    ).drop("_bytes")
 
 
 # State ----------------------------------------------------------------------------------------

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from flowtables.operators import flow, rules
+from flowtables.operators import batches, flow, rules
 
 XML = """<criteria><flowFilePolicy>USE_CLONE</flowFilePolicy>
 <rules><id>1</id><name>two &amp; more</name>
@@ -121,6 +121,20 @@ def test_combined_batches_match_a_loop(spark):
     assert got.columns == ["k", "t", "id", "size", "ts", "window", "batch"]
 
 
+@pytest.mark.parametrize("count,limit,block", [(5, 100, 23), (3, 10_000, 12), (7, 3, 40), (4, 60, 1000)])
+def test_blocks_of_a_large_unit_match_reading_in_turn(spark, count, limit, block):
+    import random
+
+    pick = random.Random(count)
+    rows = [("hot" if i % 5 else f"k{i % 4}", i, pick.choice([0, 1, 5, 40, 500])) for i in range(900)]
+    rows += [(None, i, 7) for i in range(900, 1100)]
+    df = spark.createDataFrame(rows, "k string, id int, size bigint").repartition(4)
+    one = batches.close_batches(df, ["k"], ["id"], "size", count, limit, None)
+    two = batches.close_batches(df, ["k"], ["id"], "size", count, limit, 90, block)
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    assert two.columns == one.columns
+
+
 def test_group_ports(spark):
     group = flow.FlowGroup(["in"], ["out"], lambda f: {"out": f["in"]})
     with pytest.raises(ValueError):
