@@ -68,11 +68,14 @@ def prioritized(
 ) -> DataFrame:
     """Place of each row in its queue (``place`` from 1); with ``k`` only the first ones.
 
-    ``order`` is the chain of prioritisers and ends in a unique column. The top-k form is limited
-    per task before the exchange (window group limit), the full form splits hot queues.
+    ``order`` is the chain of prioritisers and ends in a unique column. For a small ``k`` every task
+    keeps its own first ``k`` before the exchange (window group limit, which Spark applies up to its
+    threshold); a larger ``k``, and the full order, split hot queues instead.
     """
-    if k is None:
-        return numbered(df, queue, order, "place")
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if k is None or k > threshold:
+        placed = numbered(df, queue, order, "place")
+        return placed if k is None else placed.where(F.col("place") <= k)
     window = Window.partitionBy(*queue).orderBy(*order)
     return (
         df.withColumn("place", F.row_number().over(window))
@@ -124,10 +127,18 @@ def balance(
 # Batches --------------------------------------------------------------------------------------
 
 
-def duration_bucket(ts: str, seconds: int) -> Column:
-    """Number of the fixed window a timestamp falls in."""
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    return F.floor(micros / F.lit(seconds * 1_000_000)).cast("bigint")
+def duration_bucket(df: DataFrame, ts: str, seconds: int) -> Column:
+    """Number of the fixed window a timestamp falls in, counted from 1970-01-01.
+
+    A timestamp without time zone is taken as it stands, whatever the session's zone.
+    """
+    time = F.col(ts)
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        in_day = F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+        epoch = F.unix_date(F.to_date(time)).cast("bigint") * 86400 + in_day
+    else:
+        epoch = F.unix_seconds(time)
+    return F.floor(epoch / F.lit(seconds)).cast("bigint")
 
 
 def assign_batches(
@@ -152,10 +163,10 @@ def assign_batches(
         if count is None:
             raise ValueError("give at least one limit")
         # windows have fixed edges, so counting within them is the same as closing in turn
-        windowed = df.withColumn("window", duration_bucket(*duration))
+        windowed = df.withColumn("window", duration_bucket(df, *duration))
         return assign_batches(windowed, [*key, "window"], order, count=count, hot_rows=hot_rows)
     if duration is not None:
-        return df.withColumn("batch", duration_bucket(*duration))
+        return df.withColumn("batch", duration_bucket(df, *duration))
     if count is not None:
         return (
             numbered(df, key, order, "_rn", hot_rows)
@@ -190,7 +201,7 @@ def combined_batches(
     amount = (F.col(column) if isinstance(column, str) else column).cast("bigint")
     prepared = df.withColumns(
         {
-            "window": duration_bucket(*duration) if duration else F.lit(0).cast("bigint"),
+            "window": duration_bucket(df, *duration) if duration else F.lit(0).cast("bigint"),
             "_bytes": F.greatest(F.coalesce(amount, F.lit(0)), F.lit(0)).cast("bigint"),
         }
     )

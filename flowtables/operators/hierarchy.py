@@ -8,9 +8,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.operators.spread import BROADCAST_ROWS, lookup
+from flowtables.operators.spread import lookup
 from flowtables.session import cut
 
+# Places of one level that may be broadcast; each carries its path, a few KB at most.
+BROADCAST_PLACES = 20_000
+
 
 def expand_hierarchy(
     refs: DataFrame,
@@ -56,7 +59,7 @@ def expand_hierarchy(
         rows = open_places.count()
         if rows == 0:
             break
-        if rows <= BROADCAST_ROWS:
+        if rows <= BROADCAST_PLACES:
             open_places = F.broadcast(open_places)
         status = F.when(F.array_contains("path", F.col("_child")), "cycle")
         if depth > max_depth:

@@ -169,7 +169,7 @@ def non_default_rows(
     """Rows with at least one setting; with ``known``, only those it lists by ``on``."""
     some = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in columns])
     rows = df.where(some)
-    return rows if known is None else rows.join(known.select(*on), list(on), "left_semi")
+    return rows if known is None else rows.join(known.select(*on).distinct(), list(on), "left_semi")
 
 
 def extent(df: DataFrame, by: Sequence[str], x: str, y: str, margin: float = 500.0) -> DataFrame:
