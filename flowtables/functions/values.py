@@ -153,12 +153,11 @@ def parse_position(text: Column) -> Column:
 
 
 def _parse_literal(text: Column, units: Mapping[float, Sequence[str]]) -> Column:
+    # a literal map, so that number and unit are each extracted once per row
+    scales = [F.lit(cell) for scale, names in units.items() for n in names for cell in (n, scale)]
     number = F.regexp_extract(text, _LITERAL, 1).try_cast("double")
     unit = F.lower(F.regexp_extract(text, _LITERAL, 2))
-    factor = F.lit(None).cast("double")
-    for scale, names in units.items():
-        factor = F.when(unit.isin(*names), F.lit(scale)).otherwise(factor)
-    return number * factor
+    return number * F.try_element_at(F.create_map(*scales), unit)
 
 
 def parse_duration(text: Column) -> Column:

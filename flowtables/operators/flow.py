@@ -85,15 +85,18 @@ def prioritized(
 
 
 def expire(df: DataFrame, ts: str, ttl_seconds: Column | float, as_of: Column) -> DataFrame:
-    """Rows not older than the time to live at ``as_of``; 0 or null means for ever."""
-    ttl = ttl_seconds if isinstance(ttl_seconds, Column) else F.lit(float(ttl_seconds))
+    """Rows not older than the time to live at ``as_of``; 0 or null means for ever.
+
+    A row without a timestamp has no age and is kept. A literal limit becomes a comparison with a
+    constant that reaches the scan.
+    """
     if not isinstance(ttl_seconds, Column):
-        # a literal limit becomes a plain comparison that reaches the scan
         if not ttl_seconds:
             return df
-        return df.where(F.col(ts) >= as_of - F.make_dt_interval(secs=ttl))
-    age_limit = as_of - F.make_dt_interval(secs=F.coalesce(ttl, F.lit(0.0)))
-    return df.where(ttl.isNull() | (ttl == 0) | (F.col(ts) >= age_limit))
+        limit = as_of - F.make_dt_interval(secs=F.lit(float(ttl_seconds)))
+        return df.where(F.col(ts).isNull() | (F.col(ts) >= limit))
+    limit = as_of - F.make_dt_interval(secs=F.nullif(ttl_seconds, F.lit(0.0)))
+    return df.where(F.coalesce(F.col(ts) >= limit, F.lit(True)))
 
 
 # Balance --------------------------------------------------------------------------------------

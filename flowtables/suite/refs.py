@@ -27,37 +27,59 @@ def effective_endpoint(spark, folder):
     )
 
 
+def line_targets(spark, folder):
+    """Suppliers, and regions, into which no line item leads."""
+    suppliers = table(spark, folder, "supplier").select(
+        F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("id")
+    )
+    regions = table(spark, folder, "region").select(
+        F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("id")
+    )
+    return suppliers.unionByName(regions)
+
+
 def supplier_edges(spark, folder):
-    """Connections into suppliers; those of few parts, so that some suppliers have none."""
-    return (
-        table(spark, folder, "lineitem")
-        .where("l_partkey <= 5")
-        .select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey")
+    return table(spark, folder, "lineitem").select(
+        F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("dest_id"),
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
     )
 
 
+TARGETS = """
+    SELECT 's' || CAST(s_suppkey AS VARCHAR) AS id, s_suppkey FROM supplier
+    UNION ALL SELECT 'r' || CAST(r_regionkey AS VARCHAR), NULL FROM region
+"""
+
+
 @query(
     "attach_inputs",
-    """
-    SELECT s_suppkey, CAST(0 AS BIGINT) AS page, CAST(count(l_orderkey) AS INTEGER) AS n,
+    f"""
+    WITH n AS (
+        SELECT *, row_number() OVER (PARTITION BY l_suppkey
+                  ORDER BY l_orderkey, l_linenumber, l_partkey) - 1 AS place FROM lineitem
+    )
+    SELECT id, CAST(coalesce(place // 10000, 0) AS BIGINT) AS page,
+           CAST(count(l_orderkey) AS INTEGER) AS n,
            min(l_orderkey) AS first_key, max(l_orderkey) AS last_key,
            coalesce(string_agg(CAST(l_orderkey AS VARCHAR), ','
                     ORDER BY l_orderkey, l_linenumber, l_partkey), '') AS keys
-    FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey AND l_partkey <= 5
-    GROUP BY s_suppkey
+    FROM ({TARGETS}) LEFT JOIN n ON l_suppkey = s_suppkey
+    GROUP BY ALL
     """,
 )
 def attach_inputs(spark, folder):
     attached = refs.attach_inputs(
-        table(spark, folder, "supplier").select("s_suppkey"),
+        line_targets(spark, folder),
         supplier_edges(spark, folder),
-        ["s_suppkey"],
-        ["l_suppkey"],
+        ["id"],
+        ["dest_id"],
         ["l_orderkey", "l_linenumber", "l_partkey"],
         F.col("l_orderkey"),
     )
     return attached.select(
-        "s_suppkey",
+        "id",
         "page",
         F.size("inputs").alias("n"),
         F.array_min("inputs").alias("first_key"),
@@ -68,17 +90,14 @@ def attach_inputs(spark, folder):
 
 @query(
     "flat_inputs",
-    """
-    SELECT s_suppkey, l_orderkey, l_linenumber, l_partkey
-    FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey AND l_partkey <= 5
+    f"""
+    SELECT id, l_orderkey, l_linenumber, l_partkey
+    FROM ({TARGETS}) LEFT JOIN lineitem ON l_suppkey = s_suppkey
     """,
 )
 def flat_inputs(spark, folder):
     return refs.flat_inputs(
-        table(spark, folder, "supplier").select("s_suppkey"),
-        supplier_edges(spark, folder),
-        ["s_suppkey"],
-        ["l_suppkey"],
+        line_targets(spark, folder), supplier_edges(spark, folder), ["id"], ["dest_id"]
     )
 
 
@@ -223,13 +242,6 @@ def endpoint_kinds(spark, folder):
     return orders.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
-LINE_EDGES = """
-    SELECT l_orderkey, l_linenumber, l_partkey,
-           'o' || CAST(l_orderkey AS VARCHAR) AS source_id, 'p' || CAST(l_partkey AS VARCHAR) AS dest_id
-    FROM lineitem
-"""
-
-
 def flow_components(spark, folder):
     """Orders and the larger parts as components; smaller parts are unknown ends."""
     orders = table(spark, folder, "orders").select(

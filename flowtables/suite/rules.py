@@ -13,9 +13,8 @@ from flowtables.suite.registry import query
 def part_criteria(spark, folder):
     """Parts with a rule document: two rules, a repeated attribute, a rule without conditions.
 
-    Every tenth part has no document, and every part with 7 as its last digit a broken one.
+    The largest parts have no document, and those of one brand a broken one.
     """
-    key = F.col("p_partkey")
     action = lambda attribute, value: F.concat(
         F.lit(f"<actions><attribute>{attribute}</attribute><id>i</id><value>"),
         value.cast("string"),
@@ -37,10 +36,10 @@ def part_criteria(spark, folder):
         F.lit("</name></rules><rules>"),
         action("type", F.col("p_type")),
         F.lit("<id>r2</id><name>always</name></rules>"),
-        F.when(key % 10 == 7, F.lit("<rules>")).otherwise(F.lit("</criteria>")),
+        F.when(F.col("p_brand") == "Brand#7", F.lit("<rules>")).otherwise(F.lit("</criteria>")),
     )
     return table(spark, folder, "part").select(
-        "p_partkey", F.when(key % 10 != 0, document).alias("xml")
+        "p_partkey", F.when(F.col("p_size") <= 40, document).alias("xml")
     )
 
 
@@ -55,17 +54,17 @@ FLAT = """
         (1, 'condition', 2, NULL, 'color?'), (1, 'action', 1, 'brand', 'brand'),
         (1, 'action', 2, 'size', 'size'), (2, 'action', 1, 'type', 'type')
     ) AS r(rule_no, kind, item_no, item_key, v)
-    WHERE p_partkey % 10 NOT IN (0, 7)
+    WHERE p_size <= 40 AND p_brand <> 'Brand#7'
 """
 
 
 @query(
     "parse_rules",
     """
-    SELECT p_partkey, CASE WHEN p_partkey % 10 NOT IN (0, 7) THEN p_type END AS policy,
-           CASE WHEN p_partkey % 10 IN (0, 7) THEN '' ELSE p_name || ',always' END AS names,
-           CASE WHEN p_partkey % 10 IN (0, 7) THEN '' ELSE '2,0' END AS conditions,
-           p_partkey % 10 = 7 AS corrupt
+    SELECT p_partkey, CASE WHEN p_size <= 40 AND p_brand <> 'Brand#7' THEN p_type END AS policy,
+           CASE WHEN p_size > 40 OR p_brand = 'Brand#7' THEN '' ELSE p_name || ',always' END AS names,
+           CASE WHEN p_size > 40 OR p_brand = 'Brand#7' THEN '' ELSE '2,0' END AS conditions,
+           p_size <= 40 AND p_brand = 'Brand#7' AS corrupt
     FROM part
     """,
 )

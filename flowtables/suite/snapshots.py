@@ -16,13 +16,13 @@ from flowtables.suite.registry import query
     """
     WITH b AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders),
     a AS (
-        SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
-               CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice,
+        SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+               CASE WHEN o_totalprice > 400000 THEN NULL ELSE o_totalprice END AS o_totalprice,
                o_orderpriority
-        FROM orders WHERE o_orderkey % 11 <> 0
+        FROM orders WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'P')
         UNION ALL
         SELECT o_orderkey + 1000000000, o_orderstatus, o_totalprice, o_orderpriority
-        FROM orders WHERE o_orderkey % 13 = 0
+        FROM orders WHERE o_orderstatus = 'P'
     )
     SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey,
            CASE WHEN b.o_orderkey IS NULL THEN 'added' WHEN a.o_orderkey IS NULL THEN 'removed'
@@ -42,14 +42,17 @@ def diff_snapshots(spark, folder):
     before = table(spark, folder, "orders").select(
         "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
     )
-    key = F.col("o_orderkey")
-    edited = before.where(key % 11 != 0).withColumns(
+    dropped = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    edited = before.where(~dropped).withColumns(
         {
-            "o_orderstatus": F.when(key % 7 == 0, "X").otherwise(F.col("o_orderstatus")),
-            "o_totalprice": F.when(key % 5 != 0, F.col("o_totalprice")),
+            "o_orderstatus": F.when(urgent, "X").otherwise(F.col("o_orderstatus")),
+            "o_totalprice": F.when(F.col("o_totalprice") <= 400000, F.col("o_totalprice")),
         }
     )
-    new = before.where(key % 13 == 0).withColumn("o_orderkey", key + 1000000000)
+    new = before.where("o_orderstatus = 'P'").withColumn(
+        "o_orderkey", F.col("o_orderkey") + 1000000000
+    )
     return compare.diff_snapshots(before, edited.unionByName(new), ["o_orderkey"]).select(
         "o_orderkey",
         "change",
@@ -62,13 +65,13 @@ def diff_snapshots(spark, folder):
 @query(
     "merge_snapshots",
     """
-    WITH c AS (SELECT c_custkey AS k, c_mktsegment AS seg, c_nationkey AS nat FROM customer),
+    WITH c AS (SELECT c_custkey AS k, c_mktsegment AS seg, c_nationkey AS nat, c_acctbal AS bal FROM customer),
     m AS (
         SELECT k, seg AS b_seg, nat AS b_nat,
-               CASE WHEN k % 2 = 0 THEN 'OURS' WHEN k % 9 = 1 THEN 'SAME' ELSE seg END AS o_seg, nat AS o_nat,
-               k % 17 <> 3 AS o_here,
-               CASE WHEN k % 10 = 4 THEN 'THEIRS' WHEN k % 9 = 1 AND k % 2 = 1 THEN 'SAME' ELSE seg END AS t_seg,
-               CASE WHEN k % 5 = 0 THEN -1 ELSE nat END AS t_nat, k % 19 <> 2 AS t_here
+               CASE WHEN bal > 5000 THEN 'OURS' WHEN nat = 1 THEN 'SAME' ELSE seg END AS o_seg, nat AS o_nat,
+               nat <> 3 AS o_here,
+               CASE WHEN seg = 'BUILDING' THEN 'THEIRS' WHEN nat = 1 AND bal <= 5000 THEN 'SAME' ELSE seg END AS t_seg,
+               CASE WHEN seg = 'MACHINERY' THEN -1 ELSE nat END AS t_nat, nat <> 2 AS t_here
         FROM c
     ), s AS (
         SELECT *, o_here AND o_seg = b_seg AND o_nat = b_nat AS o_is_b,
@@ -97,21 +100,21 @@ def diff_snapshots(spark, folder):
     """,
 )
 def merge_snapshots(spark, folder):
-    base = table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("seg"), F.col("c_nationkey").alias("nat")
+    customers = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("k"),
+        F.col("c_mktsegment").alias("seg"),
+        F.col("c_nationkey").alias("nat"),
+        F.col("c_acctbal").alias("bal"),
     )
-    k = F.col("k")
-    ours = base.where(k % 17 != 3).withColumn(
-        "seg",
-        F.when(k % 2 == 0, "OURS").when(k % 9 == 1, "SAME").otherwise(F.col("seg")),
+    seg, rich, first = F.col("seg"), F.col("bal") > 5000, F.col("nat") == 1
+    base = customers.drop("bal")
+    ours = customers.where("nat <> 3").select(
+        "k", F.when(rich, "OURS").when(first, "SAME").otherwise(seg).alias("seg"), "nat"
     )
-    theirs = base.where(k % 19 != 2).withColumns(
-        {
-            "seg": F.when(k % 10 == 4, "THEIRS")
-            .when((k % 9 == 1) & (k % 2 == 1), "SAME")
-            .otherwise(F.col("seg")),
-            "nat": F.when(k % 5 == 0, -1).otherwise(F.col("nat")),
-        }
+    theirs = customers.where("nat <> 2").select(
+        "k",
+        F.when(seg == "BUILDING", "THEIRS").when(first & ~rich, "SAME").otherwise(seg).alias("seg"),
+        F.when(seg == "MACHINERY", -1).otherwise(F.col("nat")).alias("nat"),
     )
     return compare.merge_snapshots(base, ours, theirs, ["k"]).select(
         "k", "status", "present", "seg", "nat", F.array_join("conflicts", ",").alias("conflicts")

@@ -263,7 +263,7 @@ def elide_restore(spark, folder):
     """,
 )
 def classify(spark, folder):
-    mixed = F.when(F.col("event_id") % 2 == 0, F.upper("event_type")).otherwise(F.col("event_type"))
+    mixed = F.when(F.col("value") > 20, F.upper("event_type")).otherwise(F.col("event_type"))
     kind = classify_kind(mixed, ("CLICK", "VIEW"))
     events = table(spark, folder, "events")
     return events.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
