@@ -28,9 +28,9 @@ def canonical_names(
     The first one met in ``ord_columns`` order keeps the short name, the k-th further one gets
     ``name#k``. Repeats are merged before any row is numbered.
     """
-    distinct = df.groupBy(*scope, type_column, *identity).agg(
-        F.min(F.struct(*ord_columns)).alias("_first")
-    )
+    # one plain column keeps the aggregation hash-based; a struct would have to be sorted
+    first = F.col(ord_columns[0]) if len(ord_columns) == 1 else F.struct(*ord_columns)
+    distinct = df.groupBy(*scope, type_column, *identity).agg(F.min(first).alias("_first"))
     shorted = distinct.withColumn("short", short_name(F.col(type_column)))
     placed = numbered(
         shorted, [*scope, "short"], ["_first", type_column, *identity], "_rn", hot_rows

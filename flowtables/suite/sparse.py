@@ -12,8 +12,8 @@ from flowtables.functions.values import (
     prune_empty,
     restore,
 )
-from flowtables.operators import sparse
-from flowtables.sources.tables import table
+from flowtables.operators import settings, sparse
+from flowtables.sources.tables import literal_table, table
 from flowtables.suite.registry import query
 
 ORDER_DEFAULTS = {"status": ["O"], "priority": ["1-URGENT"], "clerk": [None]}
@@ -302,3 +302,92 @@ def extent_margin(spark, folder):
     return sparse.extent(
         table(spark, folder, "lineitem"), ["l_returnflag"], "l_quantity", "l_extendedprice"
     )
+
+
+def order_sections(spark, folder):
+    """Orders with settings of several sections; low-priority ones are remote groups."""
+    orders = table(spark, folder, "orders")
+    priority, remote = F.col("o_orderpriority"), F.col("o_orderpriority") == "5-LOW"
+    cell = lambda section, key, value, when=F.lit(True): F.when(
+        when,
+        F.struct(
+            F.lit(section).alias("section"), F.lit(key).alias("key"), value.cast("string").alias("value")
+        ),
+    )
+    level = F.when(priority == "1-URGENT", "WARN").when(priority != "2-HIGH", "ERROR")
+    cells = F.array(
+        cell("property", "priority", priority),
+        cell("scheduling", "bulletinLevel", level),
+        cell("style", "border", F.col("o_orderstatus")),
+        cell("remote", "protocol", F.when(F.col("o_totalprice") < 200000, "RAW").otherwise("HTTP"), remote),
+        cell("remote", "proxyHost", F.when(F.col("o_orderstatus") == "F", "").otherwise("h"), remote),
+    )
+    values = orders.select(
+        F.col("o_orderkey").alias("owner_id"), F.inline(F.array_compact(cells))
+    )
+    owners = orders.select(
+        F.col("o_orderkey").alias("owner_id"),
+        F.concat(F.lit("T"), "o_orderstatus").alias("type"),
+        F.when(remote, "REMOTE_PROCESS_GROUP").otherwise("PROCESSOR").alias("kind"),
+    )
+    return values, owners
+
+
+REMOTE_PROTOCOL = "CASE WHEN o_totalprice < 200000 THEN 'RAW' ELSE 'HTTP' END"
+
+
+@query(
+    "sparse_settings",
+    f"""
+    SELECT o_orderkey AS owner_id, 'property' AS section, 'priority' AS key, o_orderpriority AS value,
+           false AS cleared
+    FROM orders
+    WHERE (o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT') OR o_orderstatus = 'O'
+    UNION ALL
+    SELECT o_orderkey, 'property', 'note', NULL, true FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL
+    SELECT o_orderkey, 'scheduling', 'bulletinLevel', 'ERROR', false FROM orders
+    WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')
+    UNION ALL
+    SELECT o_orderkey, 'style', 'border', o_orderstatus, false FROM orders
+    UNION ALL
+    SELECT o_orderkey, 'remote', 'protocol', 'HTTP', false FROM orders
+    WHERE o_orderpriority = '5-LOW' AND {REMOTE_PROTOCOL} = 'HTTP'
+    UNION ALL
+    SELECT o_orderkey, 'remote', k, NULL, true
+    FROM orders CROSS JOIN (VALUES ('timeout'), ('yieldDuration')) AS d(k)
+    WHERE o_orderpriority = '5-LOW'
+    UNION ALL
+    SELECT o_orderkey, 'remote', 'proxyHost', 'h', false FROM orders
+    WHERE o_orderpriority = '5-LOW' AND o_orderstatus <> 'F'
+    """,
+)
+def sparse_settings_of_orders(spark, folder):
+    values, owners = order_sections(spark, folder)
+    described = literal_table(
+        spark,
+        [("TF", "priority", ["1-URGENT"]), ("TF", "note", ["none"]), ("TO", "priority", None)],
+        "type string, key string, defaults array<string>",
+    )
+    return settings.sparse_settings(values, owners, described)
+
+
+@query(
+    "full_settings",
+    f"""
+    SELECT o_orderkey AS owner_id, 'protocol' AS key, {REMOTE_PROTOCOL} AS value FROM orders
+    WHERE o_orderpriority = '5-LOW'
+    UNION ALL
+    SELECT o_orderkey, k, v
+    FROM orders CROSS JOIN (VALUES ('timeout', '30 sec'), ('yieldDuration', '10 sec')) AS d(k, v)
+    WHERE o_orderpriority = '5-LOW'
+    UNION ALL
+    SELECT o_orderkey, 'proxyHost', 'h' FROM orders
+    WHERE o_orderpriority = '5-LOW' AND o_orderstatus <> 'F'
+    """,
+)
+def full_settings_of_orders(spark, folder):
+    values, owners = order_sections(spark, folder)
+    stored = settings.sparse_settings(values, owners)
+    remote_groups = owners.where("kind = 'REMOTE_PROCESS_GROUP'")
+    return settings.full_settings(stored, remote_groups, "remote")
