@@ -490,10 +490,13 @@ def to_yaml(documents: DataFrame) -> DataFrame:
 
 
 def write_exports(documents: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write documents under ``path/workspace=.../template=...``, one text per document."""
+    """Write documents under ``path/workspace=.../template=...``, one text file per document.
+
+    Fragments of one large template are spread by page rather than gathered in one task.
+    """
     column = "yaml" if "yaml" in documents.columns else "json"
     (
-        documents.repartition("workspace", "template")
+        documents.repartition("workspace", "template", "page")
         .select("workspace", "template", column)
         .write.mode(mode)
         .partitionBy("workspace", "template")

@@ -126,3 +126,13 @@ def test_balance(spark):
     assert parts["hot"] > 1
     assert parts["k7"] == 1
     assert spread.count() == df.count()
+
+
+def test_top_k_small_large_and_full(spark):
+    df = skewed(spark)
+    order = [F.col("v").desc_nulls_last(), F.col("id")]
+    full = flow.prioritized(df, ["k"], order)
+    assert full.count() == df.count()
+    limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    for k in (1, 30, limit + 1):
+        assert bag(flow.prioritized(df, ["k"], order, k)) == bag(full.where(F.col("place") <= k))
