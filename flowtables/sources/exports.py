@@ -25,7 +25,7 @@ from flowtables.functions.values import (
 )
 from flowtables.operators.naming import nest
 from flowtables.operators.spread import HOT_ROWS, PAGE_ROWS, numbered
-from flowtables.schemas import COMPONENT, CONTROLLER, INPUT, REMOTE_PORT, RULE, TABLES, TEMPLATE
+from flowtables.schemas import COMPONENT, CONTROLLER, INPUT, REMOTE_PORT, TABLES, TEMPLATE
 
 # Document sections of a component and what the flat table calls them.
 SECTIONS = {"properties": "property", "styles": "style", "scheduling": "scheduling"}
@@ -277,15 +277,22 @@ def _packed(
         "page", F.floor((F.col("_rn") - 1) / page_rows).cast("bigint")
     )
 
-    def in_order(name: str) -> Column:
-        held = F.collect_list(F.when(F.col(name).isNotNull(), F.struct("_rn", name)))
-        if _orderable(placed.schema[name].dataType):
-            held = F.sort_array(held)
-        else:
-            held = F.array_sort(held, lambda a, b: F.when(a["_rn"] < b["_rn"], -1).otherwise(1))
-        return F.transform(held, lambda x: x[name]).alias(name)
-
-    return placed.groupBy(*key, "page").agg(*[in_order(name) for name in kinds])
+    held = F.collect_list(F.struct("_rn", *kinds))
+    if all(_orderable(placed.schema[name].dataType) for name in kinds):
+        held = F.sort_array(held)
+    else:
+        held = F.array_sort(held, lambda a, b: F.when(a["_rn"] < b["_rn"], -1).otherwise(1))
+
+    def of_kind(name: str) -> Column:
+        mine = F.filter("_parts", lambda part: part[name].isNotNull())
+        return F.transform(mine, lambda part: part[name])
+
+    return (
+        placed.groupBy(*key, "page")
+        .agg(held.alias("_parts"))
+        .withColumns({name: of_kind(name) for name in kinds})
+        .drop("_parts")
+    )
 
 
 def _section_map(entries: Column, section: str) -> Column:
@@ -383,8 +390,9 @@ def to_documents(
         F.struct(
             F.col("rule_name").alias("name"),
             "conditions",
-            F.map_from_entries(F.array_sort(F.map_entries("actions"))).alias("actions"),
-        ).cast(RULE),
+            # entries until the end: a list of them has an order, a map has none
+            F.array_sort(F.map_entries("actions")).alias("actions"),
+        ),
     )
     controller = item(
         tables["controllers"],
@@ -411,6 +419,14 @@ def to_documents(
     is_controller = F.max(F.size("controller")).over(_by(owner)) > 0
     packed = packed.withColumn("_service", is_controller)
     place = F.coalesce(first["ord"], service["ord"], F.lit(2**62))
+    rule_list = F.transform(
+        F.col("rules"),
+        lambda r: F.struct(
+            r["name"].alias("name"),
+            r["conditions"].alias("conditions"),
+            F.map_from_entries(r["actions"]).alias("actions"),
+        ),
+    )
     component = F.struct(
         first["name"].alias("name"),
         first["type"].alias("type"),
@@ -423,7 +439,7 @@ def to_documents(
         F.col("remotePorts"),
         F.when(
             has_text(first["policy"]) | (F.size("rules") > 0),
-            F.struct(first["policy"].alias("policy"), F.col("rules").alias("rules")),
+            F.struct(first["policy"].alias("policy"), rule_list.alias("rules")),
         ).alias("advanced"),
     ).cast(COMPONENT)
     controller_item = F.struct(
