@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -139,8 +140,6 @@ def flatten_rules(df: DataFrame, key: Sequence[str], rules: str = "rules") -> Da
 
 def condition_column(text: str) -> Column:
     """Boolean SQL text, or the form ``${attribute:equals("value")}``; null counts as false."""
-    import re
-
     form = re.match(equals_pattern(), text)
     test = F.col(form.group(1)).cast("string") == F.lit(form.group(2)) if form else F.expr(text)
     return F.coalesce(test, F.lit(False))

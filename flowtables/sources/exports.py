@@ -11,7 +11,7 @@ from collections.abc import Iterator, Mapping
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -416,7 +416,7 @@ def to_documents(
     first = F.get("head", F.lit(0))
     service = F.get("controller", F.lit(0))
     # only a controller's rows lack all component parts; its properties share its id
-    is_controller = F.max(F.size("controller")).over(_by(owner)) > 0
+    is_controller = F.max(F.size("controller")).over(Window.partitionBy(*owner)) > 0
     packed = packed.withColumn("_service", is_controller)
     place = F.coalesce(first["ord"], service["ord"], F.lit(2**62))
     rule_list = F.transform(
@@ -473,17 +473,10 @@ def to_documents(
     whole = (
         lists.join(tree, [*at, "page"], "full_outer").join(empty, [*at, "page"], "full_outer")
     )
-    kind = T.StructType([f for f in TEMPLATE.fields])
     doc = F.struct(
         F.col("template").alias("name"), "dependencies", "controllers", "components"
-    ).cast(kind)
-    return whole.select(*at, "page", F.to_json(pruned(doc, kind)).alias("json"))
-
-
-def _by(key: list[str]):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*key)
+    ).cast(TEMPLATE)
+    return whole.select(*at, "page", F.to_json(pruned(doc, TEMPLATE)).alias("json"))
 
 
 def to_yaml(documents: DataFrame) -> DataFrame:
