@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowtables.llm import near_dup
+from flowtables.llm import decontaminate, line_dedup, mixing, near_dup
 from flowtables.sources.tables import table
 
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,132 @@ def query(name: str, sql: str | None = None):
 @query("op4_near_dedup")
 def op4_near_dedup(spark, folder):
     return near_dup.near_dup_groups(table(spark, folder, "documents"))
+
+
+@query(
+    "op5_source_mix",
+    """
+    WITH sized AS (
+      SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
+        CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+      FROM documents),
+    sources AS (
+      SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+        CAST(1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS BIGINT) AS weight
+      FROM sized GROUP BY source),
+    ranked AS (
+      SELECT *, 3 * source_size AS cap,
+        row_number() OVER (ORDER BY 3.0::DOUBLE * source_size / weight, source NULLS LAST) AS turn
+      FROM sources),
+    levels AS (
+      SELECT *,
+        CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER (
+          ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS rest,
+        CAST(sum(weight) OVER (
+          ORDER BY turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS open_weight
+      FROM ranked),
+    level AS (
+      SELECT turn, rest, open_weight FROM levels
+      WHERE CAST(cap AS DOUBLE) / weight > rest / open_weight ORDER BY turn LIMIT 1),
+    targets AS (
+      SELECT s.source, s.source_size,
+        CASE WHEN v.turn IS NULL OR s.turn < v.turn THEN CAST(s.cap AS DOUBLE)
+          ELSE CAST(s.weight AS DOUBLE) * v.rest / v.open_weight END AS target
+      FROM levels s LEFT JOIN level v ON true),
+    placed AS (
+      SELECT d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target) AS BIGINT) AS budget,
+        coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+      FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+    SELECT doc_id, size, source_size, target,
+      CAST(CASE WHEN source_size = 0 THEN 0 ELSE size * (budget // source_size)
+        + greatest(0, least(size, budget % source_size - start)) END AS BIGINT) AS taken
+    FROM placed
+    """,
+)
+def op5_source_mix(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix_sources(docs)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query(
+    "op6_decontaminate",
+    """
+    WITH texts AS (
+      SELECT 0 AS kind, doc_id AS id, text FROM documents
+      UNION ALL SELECT 1, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+    words AS (
+      SELECT kind, id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+      FROM texts WHERE text IS NOT NULL),
+    grams AS (
+      SELECT DISTINCT kind, id, array_to_string(w[i : i + 4], ' ') AS gram
+      FROM words, unnest(range(1, greatest(len(w) - 3, 2))) AS t(i) WHERE len(w) > 0),
+    sizes AS (SELECT id, count(*) AS item_shingles FROM grams WHERE kind = 1 GROUP BY id),
+    pairs AS (
+      SELECT d.id AS doc_id, b.id AS item_id, count(*) AS shared
+      FROM grams d JOIN grams b ON d.gram = b.gram AND d.kind = 0 AND b.kind = 1 GROUP BY ALL)
+    SELECT doc_id, item_id, shared, item_shingles, shared / item_shingles AS containment
+    FROM pairs JOIN sizes ON id = item_id WHERE 100 * shared >= 80 * item_shingles
+    """,
+)
+def op6_decontaminate(spark, folder):
+    return decontaminate.contaminations(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
+@query(
+    "op10_line_dedup",
+    """
+    WITH lines AS (
+      SELECT doc_id, line_no, line, list_filter(
+        regexp_split_to_array(regexp_replace(line, '[0-9]+', '<*>', 'g'), '[\x20\x09-\x0D]+'),
+        lambda w: w <> '') AS tokens
+      FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+        generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents)),
+    used AS (
+      SELECT doc_id, line_no, tokens, array_to_string(tokens, ' ') AS variant,
+        len(tokens) || ' ' || array_to_string(tokens[1 : 3], ' ') AS leaf
+      FROM lines WHERE len(tokens) >= 5),
+    variants AS (
+      SELECT leaf, variant, any_value(tokens) AS tokens, count(DISTINCT doc_id) AS docs
+      FROM used GROUP BY leaf, variant),
+    mixed AS (
+      SELECT *, generate_subscripts(tokens, 1) AS pos, unnest(tokens) AS token
+      FROM (SELECT *, count(*) OVER (PARTITION BY leaf) AS k FROM variants) WHERE k > 1),
+    marked AS (
+      SELECT *, sum(docs) OVER (PARTITION BY leaf, pos, token) >= 3 AS usual FROM mixed),
+    shapes AS (
+      SELECT variant, string_agg(CASE WHEN usual THEN token ELSE '<*>' END, ' ' ORDER BY pos) AS template
+      FROM marked GROUP BY leaf, variant HAVING 100 * count(*) FILTER (usual) >= 50 * count(*)),
+    placed AS (
+      SELECT doc_id, line_no, coalesce(template, variant) AS template
+      FROM used LEFT JOIN shapes USING (variant)),
+    recurring AS (
+      SELECT template, min(doc_id) AS first FROM placed GROUP BY template
+      HAVING count(DISTINCT doc_id) >= 3),
+    gone AS (
+      SELECT doc_id, line_no FROM placed JOIN recurring USING (template) WHERE doc_id <> first),
+    merged AS (
+      SELECT doc_id, count(*) AS n_lines, count(g.line_no) AS n_dropped,
+        coalesce(string_agg(CASE WHEN g.line_no IS NULL THEN line END, chr(10) ORDER BY l.line_no), '')
+          AS kept
+      FROM lines l LEFT JOIN gone g USING (doc_id, line_no) GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
+      CAST(length(coalesce(kept, '')) AS BIGINT) AS kept_chars, md5(coalesce(kept, '')) AS kept_md5
+    FROM documents d LEFT JOIN merged m USING (doc_id)
+    """,
+)
+def op10_line_dedup(spark, folder):
+    lines = line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    kept = F.coalesce("kept_text", F.lit(""))
+    return lines.select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.length(kept).cast("bigint").alias("kept_chars"),
+        F.md5(kept).alias("kept_md5"),
+    )
