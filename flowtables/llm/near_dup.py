@@ -26,6 +26,8 @@ from flowtables.session import cut
 BANDS, ROWS = 32, 8
 SIZE = BANDS * ROWS
 THRESHOLD = 85
+# Bytes of shingle sets in one block of a bucket.
+BLOCK_BYTES = 256 << 10
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -91,7 +93,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(values)]
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), packed.cast(pa.binary())], ["doc_id", "items"]
+                [
+                    batch.column("doc_id"),
+                    pa.array(segment_sum(mix(values ^ keys(2, 41)[0]), sizes).view(np.int64)),
+                    packed.cast(pa.binary()),
+                ],
+                ["doc_id", "mark_a", "items"],
             )
 
 
@@ -127,74 +134,123 @@ def _fits(n: Column, other: Column, threshold: int) -> Column:
     return F.least(n, other) * 100 >= F.greatest(n, other) * threshold
 
 
-def _candidates(buckets: DataFrame, stage: str, threshold: int) -> DataFrame:
-    """Pairs (a < b) to confirm among ``buckets`` (key, doc, n, root).
+def _merging(threshold: int):
+    """For a group of rows (doc, root, side, items): links that join different roots, as a forest."""
+
+    def check(table: pa.Table) -> pa.Table:
+        docs, roots = table["doc"].to_numpy(), table["root"].to_numpy()
+        side, heads = table["side"].to_numpy(), table["heads"][0].as_py()
+        sets = [np.frombuffer(x, np.uint64) for x in table["items"].to_pylist()]
+        sizes = np.fromiter((len(x) for x in sets), np.int64, len(sets))
+        _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        common = np.cumsum(times > 1) - 1
+        held = times[code] > 1
+        row, column = np.repeat(np.arange(len(sets)), sizes)[held], common[code[held]]
+        left = np.flatnonzero(side == heads[0])
+        right = np.flatnonzero(side == heads[1])
+        shared = np.zeros((len(left), len(right)), np.float32)
+        for start in range(0, int(common[-1]) + 1 if len(common) else 0, 4096):
+            part = (column >= start) & (column < start + 4096)
+            dense = np.zeros((len(sets), 4096), np.float32)
+            dense[row[part], column[part] - start] = 1
+            shared += dense[left] @ dense[right].T
+        union = sizes[left][:, None] + sizes[right][None, :] - shared
+        linked = (100 * shared >= threshold * union) & (roots[left][:, None] != roots[right][None, :])
+        parent: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        forest = []
+        for i, j in np.argwhere(linked):
+            x, y = left[i], right[j]
+            a, b = top(int(roots[x])), top(int(roots[y]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                forest.append((docs[x], docs[y]))
+        return pa.table(
+            {
+                "a": pa.array([f[0] for f in forest], pa.int64()),
+                "b": pa.array([f[1] for f in forest], pa.int64()),
+            }
+        )
 
-    ``first`` pairs every member with the smallest of its bucket; ``groups`` with the smallest of every
-    other group of the bucket; ``rest`` gives all pairs of a bucket that lie in different groups.
-    """
-    if stage == "first":
-        heads = buckets.groupBy("key").agg(F.min_by(F.struct("doc", "n", "root"), "doc").alias("h"))
-    elif stage == "groups":
-        heads = buckets.groupBy("key", "root").agg(F.min_by(F.struct("doc", "n", "root"), "doc").alias("h"))
-    else:
-        heads = buckets.select("key", F.struct("doc", "n", "root").alias("h"))
-    return (
-        buckets.join(heads.select("key", "h.*").toDF("key", "doc_h", "n_h", "root_h"), "key")
-        .where((F.col("root") != F.col("root_h")) & _fits(F.col("n"), F.col("n_h"), threshold))
-        .select(F.least("doc", "doc_h").alias("a"), F.greatest("doc", "doc_h").alias("b"))
-        .distinct()
-    )
+    return check
 
 
 def links(docs: DataFrame, reps: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Confirmed pairs between representatives (``doc``, ``n``, ``bands``): enough for components.
+    """Confirmed pairs between representatives (``doc``, ``mark_a``, ``n``, ``bands``): enough for components.
 
-    Members of a bucket are first held against its smallest document, then against the smallest of
-    every other group found so far, at last every pair that still lies in different groups is
-    confirmed. No candidate is left out; pairs within a group need no confirmation.
+    Every member of a bucket is first held against its smallest document. Buckets whose members then
+    are in one group need no more. The others are cut into blocks of bounded size, and every pair of
+    blocks of a bucket is one group of rows in which all pairs of different groups are counted at once;
+    it returns the links that join groups. No candidate is left out and no list of pairs is made.
     """
     spread = reps.select("doc", "n", F.explode("bands").alias("key"))
-    shared = spread.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    buckets = cut(spread.join(shared.drop("members"), "key").withColumn("root", F.col("doc")))
+    heads = (
+        spread.groupBy("key")
+        .agg(F.count(F.lit(1)).alias("members"), F.min("doc").alias("head"))
+        .where("members > 1")
+        .select("key", "head")
+    )
+    buckets = cut(spread.join(heads, "key"))
     used = buckets.select(F.col("doc").alias("doc_id")).distinct()
     sets = cut(
         docs.select(F.col("doc_id").cast("bigint"), "text")
         .join(used, "doc_id", "left_semi")
-        .mapInArrow(_sets, "doc_id bigint, items binary")
+        .mapInArrow(_sets, "doc_id bigint, mark_a bigint, items binary")
+        .join(reps.select(F.col("doc").alias("doc_id"), "mark_a"), ["doc_id", "mark_a"], "left_semi")
         .dropDuplicates(["doc_id"])
+        .drop("mark_a")
     )
-    found = tried = None
-    for stage in ("first", "groups", "rest"):
-        pairs = _candidates(buckets, stage, threshold)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        if pairs.isEmpty():
-            if stage == "first":
-                continue
-            break
-        held = pairs.join(sets.toDF("a", "items_a"), "a").join(sets.toDF("b", "items_b"), "b")
-        good = cut(
-            held.mapInArrow(_confirmed(threshold), "a bigint, b bigint, linked boolean")
-            .where("linked")
-            .drop("linked")
-        )
-        found = good if found is None else found.unionAll(good)
-        tried = pairs if tried is None else tried.unionAll(pairs)
-        if stage == "rest":
-            break
-        groups = components(found, "a", "b")
-        buckets = (
-            buckets.drop("root")
-            .join(groups.toDF("doc", "root"), "doc", "left")
-            .withColumn("root", F.coalesce("root", "doc"))
+    sizes = buckets.select(F.col("doc").alias("head"), F.col("n").alias("head_n")).distinct()
+    pairs = (
+        buckets.where("doc > head")
+        .select("head", "doc", "n")
+        .distinct()
+        .join(sizes, "head")
+        .where(_fits(F.col("n"), F.col("head_n"), threshold))
+        .select(F.col("head").alias("a"), F.col("doc").alias("b"))
+    )
+    held = pairs.join(sets.toDF("a", "items_a"), "a").join(sets.toDF("b", "items_b"), "b")
+    near = cut(
+        held.mapInArrow(_confirmed(threshold), "a bigint, b bigint, linked boolean")
+        .where("linked")
+        .drop("linked")
+    )
+    groups = components(near, "a", "b")
+    rooted = (
+        buckets.drop("head")
+        .join(groups.toDF("doc", "root"), "doc", "left")
+        .withColumn("root", F.coalesce("root", "doc"))
+    )
+    mixed = (
+        rooted.groupBy("key")
+        .agg(
+            F.min("root").alias("lo"),
+            F.max("root").alias("hi"),
+            F.ceil(8 * F.sum("n") / BLOCK_BYTES).alias("parts"),
         )
-        mixed = buckets.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-        buckets = cut(buckets.join(mixed.where("lo < hi").select("key"), "key"))
-        if buckets.isEmpty():
-            break
-    return found if found is not None else pairs
+        .where("lo < hi")
+        .select("key", "parts")
+    )
+    placed = (
+        rooted.join(mixed, "key")
+        .withColumn("side", F.pmod(F.xxhash64("doc", F.lit("side")), F.col("parts")))
+        .join(sets.toDF("doc", "items"), "doc")
+    )
+    pair = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1),
+        lambda j: F.array(F.least(F.col("side"), j), F.greatest(F.col("side"), j)),
+    )
+    more = (
+        placed.select("key", "doc", "root", "side", "items", F.explode(pair).alias("heads"))
+        .groupBy("key", "heads")
+        .applyInArrow(_merging(threshold), "a bigint, b bigint")
+    )
+    return near.unionAll(cut(more))
 
 
 def near_dup_groups(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -208,7 +264,8 @@ def near_dup_groups(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     A null or empty text has no shingle and is linked with nothing. Rows with a null ``doc_id`` take the
     group of their text, and are never its name unless no other row has that text (then null). Rows that
-    repeat a ``doc_id`` are told apart by their text. Other columns are ignored.
+    repeat a ``doc_id`` are one document; if their texts differ, near copies are sought for the set of the
+    smallest fingerprint, equal sets for all of them. Other columns are ignored.
     """
     rows = cut(signatures(docs))
     full = rows.where("n_shingles > 0 and doc_id is not null")
@@ -221,8 +278,9 @@ def near_dup_groups(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     reps = (
         full.select("mark_a", "mark_b", "doc_id", "bands")
         .join(nodes.withColumnRenamed("doc", "doc_id"), ["mark_a", "mark_b", "doc_id"])
-        .dropDuplicates(["mark_a", "mark_b"])
-        .select(F.col("doc_id").alias("doc"), "n", "bands")
+        .groupBy(F.col("doc_id").alias("doc"))
+        .agg(F.min(F.struct("mark_a", "mark_b", "n", "bands")).alias("row"))
+        .select("doc", "row.mark_a", "row.n", "row.bands")
     )
     groups = components(links(docs, reps, threshold), "a", "b")
     named = nodes.join(groups.toDF("doc", "root"), "doc", "left").select(

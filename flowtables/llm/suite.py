@@ -7,8 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.llm import decontaminate, line_dedup, mixing, near_dup
-from flowtables.sources.tables import table
+from flowtables.llm import (
+    decontaminate,
+    line_dedup,
+    mixing,
+    near_dup,
+    quality_rules,
+    url_filter,
+)
+from flowtables.sources.tables import literal_table, table
 
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CORPUS_SQL: dict[str, str] = {}
@@ -156,3 +163,59 @@ def op10_line_dedup(spark, folder):
         F.length(kept).cast("bigint").alias("kept_chars"),
         F.md5(kept).alias("kept_md5"),
     )
+
+
+# The rules of the url query, (host, path, verdict).
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+@query(
+    "op9_url_filter",
+    """
+    WITH parts AS (
+      SELECT page_id,
+        CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+    split AS (
+      SELECT page_id,
+        coalesce(translate(regexp_extract(rest, '^[^/?#]*'),
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+      FROM parts),
+    rules(rule_host, rule_path, verdict) AS (VALUES ('org', '/', 'allow'),
+      ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'),
+      ('com', '/de/', 'block')),
+    fitting AS (
+      SELECT page_id, rule_host || rule_path AS rule, verdict FROM split JOIN rules
+        ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
+    best AS (
+      SELECT page_id, arg_max(struct_pack(rule, verdict), length(rule)) AS b FROM fitting GROUP BY page_id)
+    SELECT page_id, host, path, b.rule AS rule, coalesce(b.verdict, 'allow') AS verdict
+    FROM split LEFT JOIN best USING (page_id)
+    """,
+)
+def op9_url_filter(spark, folder):
+    rules = literal_table(spark, URL_RULES, "host string, path string, verdict string")
+    judged = url_filter.filter_urls(table(spark, folder, "pages"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query(
+    "op2_quality_rules",
+)
+def op2_quality_rules(spark, folder):
+    return quality_rules.judge(table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
