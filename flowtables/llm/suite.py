@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from flowtables.llm import (
     decontaminate,
+    language_id,
     line_dedup,
     mixing,
     near_dup,
+    quality_model,
     quality_rules,
     url_filter,
 )
@@ -219,3 +221,34 @@ def op2_quality_rules(spark, folder):
         "base_failed",
         "kept",
     )
+
+
+def remainder(k: int):
+    """crc32 of a document's id as text, modulo ``k``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % k
+
+
+@query("op1_language_id")
+def op1_language_id(spark, folder):
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "text", "lang", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out")
+    )
+    model = language_id.train(docs.where("not held_out"))
+    found = language_id.identify(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def labelled(spark, folder):
+    """Texts of labelled documents outside the held-out quarter."""
+    labels = table(spark, folder, "labels").where("quality is not null")
+    known = table(spark, folder, "documents").where(remainder(4) != 2)
+    return known.select("doc_id", "text").join(labels.select("doc_id", "quality"), "doc_id")
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark, folder):
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "text", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out")
+    )
+    scored = quality_model.classify(docs, quality_model.train(labelled(spark, folder)))
+    return scored.select("doc_id", "held_out", "score", "predicted")
