@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtables.llm.words import GAP, word_list
-from flowtables.operators.spread import small
 from flowtables.session import cut
 
 MIN_DOCS = 3
@@ -70,22 +69,20 @@ def dropped_lines(
         .where((F.col("n") >= min_docs) & (F.col("lo") < F.col("hi")))
     )
     lines = cut(lines.join(leaves.select("leaf"), "leaf", "left_semi"))
-    holders = lines.groupBy("leaf", "va", "vb", "doc").agg(
-        F.min("mark").alias("mark"), F.min("line_no").alias("line_no")
-    )
+    holders = lines.groupBy("leaf", "va", "vb", "doc").agg(F.min("mark").alias("mark"))
     variants = cut(
         holders.groupBy("leaf", "va", "vb").agg(
-            F.count(F.lit(1)).alias("docs"),
-            F.min("doc").alias("doc"),
+            F.count(F.lit(1)).alias("docs"), F.min("doc").alias("doc")
         )
     )
     mixed = variants.groupBy("leaf").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("leaf")
     # one line of each variant that has others in its leaf is read again for its tokens
-    wanted = cut(variants.join(mixed, "leaf").join(
-        lines.groupBy("leaf", "va", "vb", "doc").agg(F.min("mark").alias("mark")),
-        ["leaf", "va", "vb", "doc"],
-    ).select("doc", "mark", "va", "vb", "docs"))
-    holding = small(cut(wanted.select("doc", "mark").distinct()))
+    wanted = cut(
+        variants.join(mixed, "leaf")
+        .join(holders, ["leaf", "va", "vb", "doc"])
+        .select("doc", "mark", "va", "vb", "docs")
+    )
+    holding = wanted.select("doc", "mark").distinct().hint("merge")
     texts = docs.where("text is not null").select("doc_id", "text", *_row_key())
     reread = (
         _numbered_lines(texts.join(holding, ["doc", "mark"], "left_semi").select("doc_id", "text"))
@@ -155,7 +152,7 @@ def dedup_lines(docs: DataFrame, **limits: int) -> DataFrame:
     whole = F.split("text", "\n")
     left = F.filter(whole, lambda line, i: ~F.array_contains("_gone", i))
     return (
-        rows.join(small(cut(drops)), "_row", "left")
+        rows.join(drops.hint("merge"), "_row", "left")
         .withColumn(
             "kept_text",
             F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")),

@@ -12,11 +12,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtables.llm.words import blocks
+from flowtables.session import cut
+
+# Dictionaries (good, bad), average difference, slope and offset of the curve.
+Model = tuple[tuple[bytes, bytes], float, float, float]
 
 # Bytes compressed at once: short enough that the dictionary, not the text itself, explains it.
 CHUNK = 512
@@ -26,6 +30,8 @@ DICTIONARY = 1 << 16
 SAMPLE = 8192
 BINS = 2000
 POSITIVE = 0.7
+# Compressed bytes of average text added to every text, so that a short one stays near the average.
+SHRINK = 100
 
 
 def chunks(text: bytes, size: int = CHUNK) -> list[bytes]:
@@ -70,27 +76,33 @@ class Scorer:
             for d in (good, bad)
         ]
 
-    def __call__(self, text: str) -> float:
-        good = bad = 0
-        for part in chunks(text.encode("utf-8", "surrogatepass")):
-            good += len(self.packers[0].compress(part))
-            bad += len(self.packers[1].compress(part))
-        return (bad - good) / (bad + good)
+    def __call__(self, text: str) -> tuple[int, int]:
+        """Compressed bytes of a whole text under the good and the bad dictionary."""
+        parts = chunks(text.encode("utf-8", "surrogatepass")) if text else []
+        good, bad = (sum(len(p.compress(x)) for x in parts) for p in self.packers)
+        return good, bad
 
 
-def _differences(dictionaries: tuple[bytes, bytes]):
+def _sizes(dictionaries: tuple[bytes, bytes]):
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*dictionaries)
         for whole in batches:
             for batch in blocks(whole, "text"):
-                value = [scorer(t or "") for t in batch["text"].to_pylist()]
+                sizes = [scorer(t or "") for t in batch["text"].to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(value, pa.float64())], [*batch.schema.names, "_difference"]
+                    [*batch.columns, *(pa.array([s[k] for s in sizes], pa.int64()) for k in (0, 1))],
+                    [*batch.schema.names, "_good", "_bad"],
                 )
 
     return add
 
 
+def _difference(usual: float) -> Column:
+    """Relative difference of the compressed sizes, drawn to ``usual`` for short texts."""
+    apart, both = F.col("_bad") - F.col("_good"), F.col("_bad") + F.col("_good")
+    return (apart + F.lit(SHRINK * usual)) / (both + SHRINK)
+
+
 def _logistic(x: np.ndarray, good: np.ndarray, bad: np.ndarray, rounds: int = 60) -> tuple[float, float]:
     """Slope and offset of a logistic curve through weighted points, by damped Newton steps."""
     scale = x.std() or 1.0
@@ -106,8 +118,8 @@ def _logistic(x: np.ndarray, good: np.ndarray, bad: np.ndarray, rounds: int = 60
     return float(w[0] / scale), float(w[1])
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE) -> tuple[tuple[bytes, bytes], float, float]:
-    """Dictionaries and curve from rows with ``text`` and ``quality`` (0 or 1; others are left out).
+def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
+    """Dictionaries, average difference and curve from rows with ``text`` and ``quality`` (0 or 1; others are left out).
 
     Each dictionary is built from at most ``sample`` chunks of its label, those with the smallest hash of
     their bytes. The curve is fitted to all labelled rows, counted in ``BINS`` equal steps of the difference,
@@ -128,33 +140,40 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> tuple[tuple[bytes, bytes
         )
         found.append(_dictionary(chosen["chunk"].to_pylist()))
     dictionaries = (found[0], found[1])
+    sizes = cut(
+        rows.mapInArrow(
+            _sizes(dictionaries), "text string, quality int, _good bigint, _bad bigint"
+        ).drop("text")
+    )
+    usual = sizes.agg(F.sum(F.col("_bad") - F.col("_good")) / F.sum(F.col("_bad") + F.col("_good")))
+    usual = usual.first()[0] or 0.0
     bins = (
-        rows.mapInArrow(_differences(dictionaries), "text string, quality int, _difference double")
-        .groupBy(F.round(F.col("_difference") * BINS).cast("int").alias("bin"))
+        sizes.groupBy(F.round(_difference(usual) * BINS).cast("int").alias("bin"))
         .agg(F.sum("quality").alias("good"), F.count(F.lit(1)).alias("n"))
         .orderBy("bin")
         .toArrow()
     )
     if not bins.num_rows:
-        return dictionaries, 0.0, 0.0
+        return dictionaries, 0.0, 0.0, 0.0
     x, good = bins["bin"].to_numpy() / BINS, bins["good"].to_numpy()
-    return dictionaries, *_logistic(x, good, bins["n"].to_numpy() - good)
+    return dictionaries, usual, *_logistic(x, good, bins["n"].to_numpy() - good)
 
 
-def classify(docs: DataFrame, model: tuple[tuple[bytes, bytes], float, float]) -> DataFrame:
+def classify(docs: DataFrame, model: Model) -> DataFrame:
     """All rows and columns of ``docs`` with ``score`` (probability of label 1) and ``predicted``.
 
     ``predicted`` is 1 from a score of 0.7. Only the whole ``text`` is read; null counts as empty and an empty
-    text has no difference, so it gets the curve's value there. A model without labelled rows gives 0.5.
+    text gets the score of the average difference. A model without labelled rows gives 0.5.
     Columns named like an added one are replaced.
     """
-    dictionaries, slope, offset = model
-    rows = docs.drop("score", "predicted", "_difference")
-    schema = T.StructType([*rows.schema.fields, T.StructField("_difference", T.DoubleType())])
-    value = F.lit(slope) * F.col("_difference") + F.lit(offset)
+    dictionaries, usual, slope, offset = model
+    rows = docs.drop("score", "predicted", "_good", "_bad")
+    added = [T.StructField(name, T.LongType()) for name in ("_good", "_bad")]
+    schema = T.StructType([*rows.schema.fields, *added])
+    value = F.lit(slope) * _difference(usual) + F.lit(offset)
     return (
-        rows.mapInArrow(_differences(dictionaries), schema)
+        rows.mapInArrow(_sizes(dictionaries), schema)
         .withColumn("score", 1 / (1 + F.exp(-F.greatest(F.least(value, F.lit(30.0)), F.lit(-30.0)))))
         .withColumn("predicted", F.when(F.col("score") >= POSITIVE, 1).otherwise(0))
-        .drop("_difference")
+        .drop("_good", "_bad")
     )
