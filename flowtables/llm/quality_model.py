@@ -1,7 +1,7 @@
 """Quality classifier by compression with zstandard dictionaries (operator 3).
 
 Good and bad labelled texts give one dictionary each. A text is compressed in chunks with either; the
-difference of the sizes, relative to their sum, is negative where the good dictionary fits better. A
+difference of the sizes, per byte of text, is large where the good dictionary fits better. A
 logistic curve through the labelled texts turns that difference into a probability.
 """
 
@@ -30,8 +30,8 @@ DICTIONARY = 1 << 16
 SAMPLE = 8192
 BINS = 2000
 POSITIVE = 0.7
-# Compressed bytes of average text added to every text, so that a short one stays near the average.
-SHRINK = 100
+# Bytes of average text added to every text, so that a short one stays near the average.
+SHRINK = 150
 
 
 def chunks(text: bytes, size: int = CHUNK) -> list[bytes]:
@@ -97,10 +97,9 @@ def _sizes(dictionaries: tuple[bytes, bytes]):
     return add
 
 
-def _difference(usual: float) -> Column:
-    """Relative difference of the compressed sizes, drawn to ``usual`` for short texts."""
-    apart, both = F.col("_bad") - F.col("_good"), F.col("_bad") + F.col("_good")
-    return (apart + F.lit(SHRINK * usual)) / (both + SHRINK)
+def _difference(apart: Column, size: Column, usual: float) -> Column:
+    """Difference of the compressed sizes per byte of text, drawn to ``usual`` for short texts."""
+    return (apart + F.lit(SHRINK * usual)) / (size + SHRINK)
 
 
 def _logistic(x: np.ndarray, good: np.ndarray, bad: np.ndarray, rounds: int = 60) -> tuple[float, float]:
@@ -143,12 +142,11 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     sizes = cut(
         rows.mapInArrow(
             _sizes(dictionaries), "text string, quality int, _good bigint, _bad bigint"
-        ).drop("text")
+        ).select("quality", (F.col("_bad") - F.col("_good")).alias("_apart"), F.octet_length("text").alias("_bytes"))
     )
-    usual = sizes.agg(F.sum(F.col("_bad") - F.col("_good")) / F.sum(F.col("_bad") + F.col("_good")))
-    usual = usual.first()[0] or 0.0
+    usual = sizes.agg(F.sum("_apart") / F.sum("_bytes")).first()[0] or 0.0
     bins = (
-        sizes.groupBy(F.round(_difference(usual) * BINS).cast("int").alias("bin"))
+        sizes.groupBy(F.round(_difference(F.col("_apart"), F.col("_bytes"), usual) * BINS).cast("int").alias("bin"))
         .agg(F.sum("quality").alias("good"), F.count(F.lit(1)).alias("n"))
         .orderBy("bin")
         .toArrow()
@@ -170,7 +168,9 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
     rows = docs.drop("score", "predicted", "_good", "_bad")
     added = [T.StructField(name, T.LongType()) for name in ("_good", "_bad")]
     schema = T.StructType([*rows.schema.fields, *added])
-    value = F.lit(slope) * _difference(usual) + F.lit(offset)
+    size = F.octet_length(F.coalesce("text", F.lit("")))
+    apart = _difference(F.col("_bad") - F.col("_good"), size, usual)
+    value = F.lit(slope) * apart + F.lit(offset)
     return (
         rows.mapInArrow(_sizes(dictionaries), schema)
         .withColumn("score", 1 / (1 + F.exp(-F.greatest(F.least(value, F.lit(30.0)), F.lit(-30.0)))))
