@@ -11,6 +11,7 @@ from flowtables.llm import (
     chat_format,
     decontaminate,
     language_id,
+    license_scan,
     line_dedup,
     mixing,
     near_dup,
@@ -287,3 +288,49 @@ def op8_chat_format(spark, folder):
         "conv_id bigint, turn bigint, role string, text string",
     )
     return chat_format.digests(chat_format.format_conversations(turns.unionByName(planted)))
+
+
+def _license_sql() -> str:
+    values = ", ".join(
+        f"({i}, '{name}', '{pair}')"
+        for i, (name, text) in enumerate(license_scan.TEMPLATES)
+        for pair in license_scan.pairs(license_scan.plain_words(text))
+    )
+    return f"""
+    WITH templates(template, name, pair) AS (VALUES {values}),
+    template_sizes AS (SELECT template, name, count(*) AS b FROM templates GROUP BY ALL),
+    units AS (
+      SELECT doc_id, unnest(list_distinct(list_concat([text], string_split(text, chr(10)), string_split(
+        regexp_replace(text, '([.!?])[\\x20\\x09-\\x0D]+', '\\1' || chr(10), 'g'), chr(10))))) AS unit
+      FROM documents WHERE text IS NOT NULL),
+    words AS (
+      SELECT doc_id, unit, list_filter(regexp_split_to_array(lower(unit), '[^\\p{{L}}\\p{{N}}]+'),
+        lambda w: w <> '') AS w FROM units),
+    grams AS (
+      SELECT doc_id, unit, unnest(list_distinct(list_transform(
+        range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS pair FROM words),
+    unit_sizes AS (SELECT doc_id, unit, count(*) AS a FROM grams GROUP BY ALL),
+    shared AS (
+      SELECT doc_id, unit, template, count(*) AS n FROM grams JOIN templates USING (pair) GROUP BY ALL),
+    scored AS (
+      SELECT doc_id, name, max(2.0::DOUBLE * n / (a + b)) AS dice
+      FROM shared JOIN unit_sizes USING (doc_id, unit) JOIN template_sizes USING (template)
+      WHERE 100 * (2.0::DOUBLE * n / (a + b)) >= 80 GROUP BY ALL),
+    best AS (
+      SELECT doc_id, count(*) AS n_licenses, max(dice) AS dice,
+        first(name ORDER BY dice DESC, name) AS license FROM scored GROUP BY doc_id)
+    SELECT d.doc_id, license, dice, coalesce(n_licenses, 0) AS n_licenses
+    FROM documents d LEFT JOIN best USING (doc_id)
+    """
+
+
+@query("op7_license_scan", _license_sql())
+def op7_license_scan(spark, folder):
+    found = license_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    best = F.get("licenses", F.lit(0))
+    return found.select(
+        "doc_id",
+        best["name"].alias("license"),
+        best["dice"].alias("dice"),
+        F.size("licenses").cast("bigint").alias("n_licenses"),
+    )
