@@ -79,11 +79,12 @@ def mix_sources(
 
     Null text has size 0, a null source is a source of its own (last), a null ``doc_id`` has one key.
     Ties of keys are ordered by id and size, so reruns agree; equal rows may swap. Columns of ``docs`` with
-    the names of the added ones are replaced.
+    the names of the added ones are replaced, those of ``working`` dropped.
     """
-    added = ("size", "source_size", "target", "taken", "_key", "_range", "_place", "_carry")
+    added = ("size", "source_size", "target", "taken")
+    working = ("_key", "_range", "_place", "_carry", "_source", "_in_range")
     key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = docs.drop(*added).withColumns({"size": word_count(F.col("text")), "_key": key})
+    rows = docs.drop(*added, *working).withColumns({"size": word_count(F.col("text")), "_key": key})
     rows = rows.withColumn("_range", F.substring("_key", 1, 3))
     ranges = cut(rows.groupBy("source", "_range").agg(F.sum("size").alias("range_size")))
     sources = targets(
@@ -124,4 +125,4 @@ def mix_sources(
         "taken",
         F.col("size") * F.coalesce(epochs, F.lit(0))
         + F.greatest(F.lit(0), F.least(F.col("size"), left - start)),
-    ).drop("_key", "_range", "_place", "_carry", "_source", "_in_range")
+    ).drop(*working)

@@ -57,7 +57,7 @@ def _dictionary(sample: list[bytes]) -> bytes:
     """A trained dictionary, or the sample itself where it is too small to train on."""
     try:
         return zstandard.train_dictionary(DICTIONARY, sample, k=64, d=8).as_bytes()
-    except zstandard.ZstdError:
+    except (zstandard.ZstdError, ValueError):
         return b"".join(sample)[-DICTIONARY:]
 
 

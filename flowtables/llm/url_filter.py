@@ -127,7 +127,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, edges: DataFrame | None = No
     are judged alike. Columns of ``pages`` named like an added one are replaced.
     """
     url = F.col("url")
-    rows = pages.drop("host", "path", "rule", "verdict", "_node").withColumns(
+    rows = pages.drop("host", "path", "rule", "verdict", "_node", "_spread").withColumns(
         {"host": host_of(url), "path": path_of(url)}
     )
     found = cut((links(pages) if edges is None else edges).select("u", "v").distinct())

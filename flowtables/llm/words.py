@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,7 +60,7 @@ def byte_tables(fold: bool) -> tuple[np.ndarray, np.ndarray]:
 
 def blocks(batch: pa.RecordBatch, column: str, size: int = BLOCK) -> Iterator[pa.RecordBatch]:
     """Slices of whole rows with about ``size`` bytes of text; a longer text is a slice alone."""
-    lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
     ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < batch.num_rows:
@@ -71,7 +72,7 @@ def blocks(batch: pa.RecordBatch, column: str, size: int = BLOCK) -> Iterator[pa
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all rows and the offsets of the rows in them; null counts as empty."""
-    column = pa.compute.fill_null(column, "")
+    column = pc.fill_null(column, "")
     wide = pa.types.is_large_string(column.type)
     buffers, n = column.buffers(), len(column)
     if n == 0 or buffers[2] is None:
@@ -127,7 +128,7 @@ def hash_words(column: pa.Array, fold: bool = True) -> tuple[np.ndarray, np.ndar
         value = sums[end]
         value[1:] -= sums[begin[1:] - 1]
         if len(begin) and begin[0] > 0:
-            value[0] -= sums[begin[0] - 1]
+            value[:1] -= sums[begin[0] - 1]
         hashes.append(mix(value * unpower[begin] + (end - begin + 1).astype(np.uint64)))
         places.append(begin + start)
         start = stop
