@@ -16,7 +16,9 @@ def struct(**fields: T.DataType) -> T.StructType:
 
 # Rule documents -------------------------------------------------------------------------------
 
-RULE = struct(name=TEXT, conditions=TEXTS, actions=TEXT_MAP)
+# ``ord`` is written only where an element's place differs from its place in the list: on the
+# further pages of a template (see ``sources/exports.py``).
+RULE = struct(name=TEXT, conditions=TEXTS, actions=TEXT_MAP, ord=T.LongType())
 RULE_SET = struct(policy=TEXT, rules=T.ArrayType(RULE))
 
 RULE_XML = struct(
@@ -54,6 +56,7 @@ INPUT = T.StructType(
         T.StructField("to", TEXT),
         T.StructField("position", TEXTS),
         T.StructField("properties", CONNECTION_SETTINGS),
+        T.StructField("ord", T.LongType()),
     ]
 )
 
@@ -65,6 +68,7 @@ REMOTE_PORT = struct(
     batchCount=T.IntegerType(),
     batchSize=TEXT,
     batchDuration=TEXT,
+    ord=T.LongType(),
 )
 
 COMPONENT = struct(
@@ -80,9 +84,20 @@ COMPONENT = struct(
     inputs=T.ArrayType(INPUT),
     remotePorts=T.ArrayType(REMOTE_PORT),
     advanced=RULE_SET,
+    # number of the fragment, for parts of a component without its head
+    part=T.LongType(),
+    ord=T.LongType(),
 )
 
-CONTROLLER = struct(name=TEXT, type=TEXT, id=TEXT, comment=TEXT, properties=TEXT_MAP)
+CONTROLLER = struct(
+    name=TEXT,
+    type=TEXT,
+    id=TEXT,
+    comment=TEXT,
+    properties=TEXT_MAP,
+    part=T.LongType(),
+    ord=T.LongType(),
+)
 
 TEMPLATE = struct(
     name=TEXT,

@@ -11,7 +11,7 @@ from collections.abc import Iterator, Mapping
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +24,9 @@ from flowtables.functions.values import (
     reserved_kind,
 )
 from flowtables.operators.naming import nest
-from flowtables.operators.spread import HOT_ROWS, PAGE_ROWS, numbered
+from flowtables.operators.spread import HOT_ROWS, PAGE_ROWS, lookup, running
 from flowtables.schemas import COMPONENT, CONTROLLER, INPUT, REMOTE_PORT, TABLES, TEMPLATE
+from flowtables.session import cut
 
 # Document sections of a component and what the flat table calls them.
 SECTIONS = {"properties": "property", "styles": "style", "scheduling": "scheduling"}
@@ -95,12 +96,31 @@ def read_exports(spark: SparkSession, path: str) -> DataFrame:
     that cannot be parsed keeps its row with ``error``.
     """
     source = F.col("_metadata.file_path")
+
+    def name(pattern: str) -> Column:
+        # the path is encoded like a url, where a plus sign stands for itself
+        return F.url_decode(F.replace(F.regexp_extract(source, pattern, 1), F.lit("+"), F.lit("%2B")))
+
     files = (
         spark.read.option("pathGlobFilter", "*.yaml")
         .text(path, wholetext=True)
         .select(
-            F.regexp_extract(source, r"([^/]+)/[^/]+$", 1).alias("workspace"),
-            F.regexp_extract(source, r"([^/]+)$", 1).alias("file"),
+            name(r"([^/]+)/[^/]+$").alias("workspace"),
+            name(r"([^/]+)$").alias("file"),
+            F.col("value").alias("text"),
+        )
+    )
+    return read_exports_yaml(files)
+
+
+def read_written(spark: SparkSession, path: str) -> DataFrame:
+    """The same from a folder that :func:`write_exports` has written; ``file`` is template and page."""
+    files = (
+        spark.read.schema("value string, workspace string, template string, page bigint")
+        .text(path, wholetext=True)
+        .select(
+            "workspace",
+            F.concat("template", F.lit("."), F.col("page").cast("string"), F.lit(".yaml")).alias("file"),
             F.col("value").alias("text"),
         )
     )
@@ -130,10 +150,11 @@ def read_exports_json(documents: DataFrame, json_column: str = "json") -> DataFr
 def to_tables(documents: DataFrame) -> dict[str, DataFrame]:
     """Flat tables of the documents without an error.
 
-    Every table is its own pass over ``documents``; write or cache those first when more than one
-    is used. Fragments of one template (see :func:`to_documents`) simply add up.
+    The documents are parsed once and written to the shared folder; every table is a pass over that.
+    Fragments of one template (see :func:`to_documents`) add up: what continues a component is marked by
+    ``part``, and elements keep their numbers by ``ord``.
     """
-    docs = documents.where(F.col("error").isNull()).select(
+    docs = cut(documents).where(F.col("error").isNull()).select(
         "workspace", F.col("doc.name").alias("template"), "doc.*"
     )
     at = ["workspace", "template"]
@@ -141,10 +162,12 @@ def to_tables(documents: DataFrame) -> dict[str, DataFrame]:
     def each(column: str, name: str) -> DataFrame:
         return docs.select(*at, F.posexplode(computed(F.col(column))).alias("_ord", name))
 
-    ord_column = F.col("_ord").cast("bigint").alias("ord")
+    def place(element: str) -> Column:
+        return F.coalesce(F.col(element)["ord"].try_cast("bigint"), F.col("_ord").cast("bigint"))
+
     component, controller = each("components", "c"), each("controllers", "c")
     c = F.col("c")
-    # a fragment repeats the component it continues, marked by the absence of a type
+    ord_column = place("c").alias("ord")
     kind = F.coalesce(reserved_kind(c["type"]), F.lit("PROCESSOR"))
     position = parse_position(c["position"])
 
@@ -190,7 +213,7 @@ def to_tables(documents: DataFrame) -> dict[str, DataFrame]:
         .select(*at, "grp", F.explode("v1").alias("artifact", "v2"))
         .select(*at, "grp", "artifact", F.explode("v2").alias("version", "v3"))
         .select(*at, "grp", "artifact", "version", F.explode("v3").alias("name", "type")),
-        "controllers": controller.where(has_text(c["type"]) | has_text(c["name"])).select(
+        "controllers": controller.where(c["part"].isNull()).select(
             *at,
             c["id"].alias("id"),
             c["name"].alias("name"),
@@ -198,7 +221,7 @@ def to_tables(documents: DataFrame) -> dict[str, DataFrame]:
             c["comment"].alias("comment"),
             ord_column,
         ),
-        "components": component.where(has_text(c["type"]) | has_text(c["name"])).select(
+        "components": component.where(c["part"].isNull()).select(
             *at,
             c["id"].alias("id"),
             c["name"].alias("name"),
@@ -220,7 +243,7 @@ def to_tables(documents: DataFrame) -> dict[str, DataFrame]:
             F.coalesce(e["from"], F.array().cast("array<string>")).alias("relationships"),
             e["position"].alias("bends"),
             settings.alias("settings"),
-            ord_column,
+            place("e").alias("ord"),
         ),
         "remote_ports": port.select(
             *at,
@@ -232,12 +255,12 @@ def to_tables(documents: DataFrame) -> dict[str, DataFrame]:
             p["batchCount"].try_cast("int").alias("batch_count"),
             p["batchSize"].alias("batch_size"),
             p["batchDuration"].alias("batch_duration"),
-            ord_column,
+            place("p").alias("ord"),
         ),
         "rules": rule.select(
             *at,
             "owner_id",
-            (F.col("_ord") + 1).cast("bigint").alias("rule_no"),
+            (place("r") + 1).alias("rule_no"),
             r["name"].alias("rule_name"),
             "policy",
             F.coalesce(r["conditions"], F.array().cast("array<string>")).alias("conditions"),
@@ -271,10 +294,16 @@ def _packed(
     page_rows: int,
     hot_rows: int | None,
     sizes: DataFrame,
+    weight: Column | None = None,
 ) -> DataFrame:
-    """Parts numbered per key and packed into one ordered list per kind and page."""
-    placed = numbered(parts, key, order, "_rn", hot_rows, sizes).withColumn(
-        "page", F.floor((F.col("_rn") - 1) / page_rows).cast("bigint")
+    """Parts packed into one ordered list per kind and page.
+
+    A page ends with the part whose ``weight`` (default 1) fills it, so it holds at most ``page_rows`` and one
+    part more. With ``ord`` in the order, elements keep it where it is not their index in the list.
+    """
+    weight = F.lit(1).cast("bigint") if weight is None else weight
+    placed = running(parts, key, order, {"_rn": weight}, hot_rows, sizes).withColumn(
+        "page", F.floor((F.col("_rn") - weight) / page_rows).cast("bigint")
     )
 
     held = F.collect_list(F.struct("_rn", *kinds))
@@ -284,8 +313,14 @@ def _packed(
         held = F.array_sort(held, lambda a, b: F.when(a["_rn"] < b["_rn"], -1).otherwise(1))
 
     def of_kind(name: str) -> Column:
-        mine = F.filter("_parts", lambda part: part[name].isNotNull())
-        return F.transform(mine, lambda part: part[name])
+        mine = F.transform(
+            F.filter("_parts", lambda part: part[name].isNotNull()), lambda part: part[name]
+        )
+        if name in ("head", "controller", "entries"):
+            return mine
+        return F.transform(
+            mine, lambda e, i: e.withField("ord", F.when(e["ord"] != i, e["ord"]))
+        )
 
     return (
         placed.groupBy(*key, "page")
@@ -308,7 +343,9 @@ def to_documents(
     """Documents (workspace, template, page, json) with empties removed and map keys sorted.
 
     One per template. A template or component with more than ``page_rows`` parts goes on in further
-    fragments, each a document of the same form, so that no row grows without bound.
+    fragments, each a document of the same form, so that no row grows beyond twice ``page_rows`` parts.
+    What continues an element has its id and the fragment's number as ``part``, rules repeat their policy,
+    and elements whose place is not their index in the list have it as ``ord``.
     """
     at = ["workspace", "template"]
     owner = [*at, "owner_id"]
@@ -343,13 +380,22 @@ def to_documents(
             F.col("ord"),
         ),
     )
-    entry = item(
+    # whose properties these are: controllers share the table with components
+    services = tables["controllers"].select(*at, F.col("id").alias("_id")).distinct()
+    properties = lookup(
         tables["properties"],
+        services.withColumn("service", F.lit(True)),
+        [F.col(c) for c in (*at, "owner_id")],
+        [*at, "_id"],
+        ["service"],
+    )
+    entry = item(
+        properties,
         "owner_id",
         1,
         zero,
         F.concat_ws("\x1f", "section", "key"),
-        F.struct("section", "key", "value"),
+        F.struct("section", "key", "value", "service"),
     )
     edge = item(
         tables["edges"],
@@ -363,6 +409,7 @@ def to_documents(
             F.col("to_port").alias("to"),
             F.col("bends").alias("position"),
             F.col("settings").alias("properties"),
+            F.col("ord"),
         ).cast(INPUT),
     )
     port = item(
@@ -379,6 +426,7 @@ def to_documents(
             F.col("batch_count").alias("batchCount"),
             F.col("batch_size").alias("batchSize"),
             F.col("batch_duration").alias("batchDuration"),
+            F.col("ord"),
         ).cast(REMOTE_PORT),
     )
     rule = item(
@@ -392,6 +440,8 @@ def to_documents(
             "conditions",
             # entries until the end: a list of them has an order, a map has none
             F.array_sort(F.map_entries("actions")).alias("actions"),
+            (F.col("rule_no") - 1).cast("bigint").alias("ord"),
+            "policy",
         ),
     )
     controller = item(
@@ -415,18 +465,22 @@ def to_documents(
     packed = _packed(parts, list(kinds), owner, order, page_rows, hot_rows, parts)
     first = F.get("head", F.lit(0))
     service = F.get("controller", F.lit(0))
-    # only a controller's rows lack all component parts; its properties share its id
-    is_controller = F.max(F.size("controller")).over(Window.partitionBy(*owner)) > 0
+    is_controller = F.coalesce(
+        service.isNotNull() | F.get("entries", F.lit(0))["service"], F.lit(False)
+    )
     packed = packed.withColumn("_service", is_controller)
     place = F.coalesce(first["ord"], service["ord"], F.lit(2**62))
+    part = F.when(F.coalesce(first.isNull() & service.isNull(), F.lit(True)), F.col("_page"))
     rule_list = F.transform(
         F.col("rules"),
         lambda r: F.struct(
             r["name"].alias("name"),
             r["conditions"].alias("conditions"),
             F.map_from_entries(r["actions"]).alias("actions"),
+            r["ord"].alias("ord"),
         ),
     )
+    policy = F.coalesce(first["policy"], F.get("rules", F.lit(0))["policy"])
     component = F.struct(
         first["name"].alias("name"),
         first["type"].alias("type"),
@@ -438,9 +492,11 @@ def to_documents(
         F.col("inputs"),
         F.col("remotePorts"),
         F.when(
-            has_text(first["policy"]) | (F.size("rules") > 0),
-            F.struct(first["policy"].alias("policy"), rule_list.alias("rules")),
+            has_text(policy) | (F.size("rules") > 0),
+            F.struct(policy.alias("policy"), rule_list.alias("rules")),
         ).alias("advanced"),
+        part.alias("part"),
+        first["ord"].alias("ord"),
     ).cast(COMPONENT)
     controller_item = F.struct(
         service["name"].alias("name"),
@@ -448,17 +504,28 @@ def to_documents(
         F.col("owner_id").alias("id"),
         service["comment"].alias("comment"),
         _section_map(F.col("entries"), "property").alias("properties"),
+        part.alias("part"),
+        service["ord"].alias("ord"),
     ).cast(CONTROLLER)
     order = ["_service", "_place", "owner_id", "_page"]
     placed = packed.withColumn("_place", place).withColumnRenamed("page", "_page")
+    weight = reduce(lambda a, b: a + b, [F.size(k) for k in kinds]).cast("bigint")
     elements = placed.select(
         *at,
         *order,
+        weight.alias("_weight"),
         F.when(F.col("_service"), controller_item).alias("controllers"),
         F.when(~F.col("_service"), component).alias("components"),
     )
     lists = _packed(
-        elements, ["controllers", "components"], at, order, page_rows, hot_rows, parts
+        elements,
+        ["controllers", "components"],
+        at,
+        order,
+        page_rows,
+        hot_rows,
+        parts,
+        F.col("_weight"),
     )
     tree = nest(
         tables["dependencies"],
@@ -499,15 +566,16 @@ def to_yaml(documents: DataFrame) -> DataFrame:
 
 
 def write_exports(documents: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write documents under ``path/workspace=.../template=...``, one text file per document.
+    """Write documents as ``path/workspace=.../template=.../page=...``, one text file in each folder.
 
-    Fragments of one large template are spread by page rather than gathered in one task.
+    The folders name the document, as Spark's writers name files themselves; :func:`read_written` reads
+    them back. Fragments of one template are spread by page rather than gathered in one task.
     """
     column = "yaml" if "yaml" in documents.columns else "json"
     (
         documents.repartition("workspace", "template", "page")
-        .select("workspace", "template", column)
+        .select("workspace", "template", "page", column)
         .write.mode(mode)
-        .partitionBy("workspace", "template")
+        .partitionBy("workspace", "template", "page")
         .text(path, lineSep="\n")
     )
