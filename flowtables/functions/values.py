@@ -107,7 +107,7 @@ def endpoint_kind(
         F.when(upper.isin(*ports), upper)
         .when(upper == group, F.lit(port))
         .when(upper == remote_group, F.lit("REMOTE_" + port))
-        .when(kind.isin(*known), kind)
+        .when(upper.isin(*[k.upper() for k in known]), upper)
         .otherwise(F.lit(other))
     )
 
@@ -131,8 +131,8 @@ def edge_labels(selected: Column, source_name: Column, source_is_port: Column) -
 
 
 def format_number(column: Column) -> Column:
-    """Whole number as text, half rounded away from zero; never ``-0``."""
-    return F.round(column).cast("bigint").cast("string")
+    """Whole number as text, half rounded away from zero; never ``-0``. Null where none fits."""
+    return F.round(column).try_cast("bigint").cast("string")
 
 
 def format_position(x: Column, y: Column) -> Column:

@@ -54,20 +54,35 @@ def close_batches(
 def _in_turn(df, unit, order, size, count, limit):
     """Sorted rows of each unit read once; only the open batch is carried along."""
     prepared = df.withColumns({"_unit": _unit_text(unit), "batch": F.lit(0).cast("bigint")})
-    at = prepared.columns.index("batch")
+    at_column = prepared.columns.index("batch")
 
     def close(pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, number, rows, held = None, 0, 0, 0
         for piece in pieces:
-            numbers = []
-            for name, amount in zip(piece["_unit"].to_pylist(), piece[size].to_pylist()):
-                if name != current:
-                    current, number, rows, held = name, 0, 0, 0
-                numbers.append(number)
-                rows, held = rows + 1, held + amount
-                if (count and rows >= count) or (limit and held >= limit):
-                    number, rows, held = number + 1, 0, 0
-            yield piece.set_column(at, "batch", pa.array(numbers, pa.int64()))
+            units = piece["_unit"].to_pandas().to_numpy()
+            sizes = piece[size].to_numpy()
+            edges = np.flatnonzero(units[1:] != units[:-1]) + 1 if len(units) else []
+            numbers = np.empty(len(units), np.int64)
+            for begin, end in zip([0, *edges], [*edges, len(units)]):
+                if begin == end:
+                    continue
+                if units[begin] != current:
+                    current, number, rows, held = units[begin], 0, 0, 0
+                filled, at = np.concatenate([[0], np.cumsum(sizes[begin:end])]), 0
+                while at < end - begin:
+                    # the row that closes the open batch, of which some rows may be in earlier pieces
+                    stop = at + count - rows if count else len(filled)
+                    if limit:
+                        full = np.searchsorted(filled[at + 1 :], filled[at] + limit - held, "left")
+                        stop = min(stop, at + 1 + int(full))
+                    last = min(stop, end - begin)
+                    numbers[begin + at : begin + last] = number
+                    if stop <= end - begin:
+                        number, rows, held = number + 1, 0, 0
+                    else:
+                        rows, held = rows + last - at, held + int(filled[last] - filled[at])
+                    at = last
+            yield piece.set_column(at_column, "batch", pa.array(numbers))
 
     return (
         prepared.repartition(*unit)
@@ -116,8 +131,10 @@ def _in_blocks(df, order, size, count, limit, hot_rows, block_rows):
         following = _next_starts(sizes, count, limit)
         rows = min(len(sizes), block_rows)
         leave, batches = np.arange(rows + count), np.zeros(rows + count, dtype=np.int64)
-        for i in range(rows - 1, -1, -1):
-            leave[i], batches[i] = leave[following[i]], batches[following[i]] + 1
+        leave[:rows], batches[:rows] = following[:rows], 1
+        # every round doubles the batches jumped over
+        while (leave[:count] < rows).any():
+            batches, leave = batches + batches[leave], leave[leave]
         n = min(count, rows + count)
         return pa.table(
             {

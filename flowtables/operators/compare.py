@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtables.operators.spread import lookup
+from flowtables.session import cut
 
 
 def _side_by_side(
@@ -21,7 +22,12 @@ def _side_by_side(
     """
     tagged = None
     for name, df in snapshots.items():
-        part = df.select(*keys, F.struct(*columns).alias("_row"), F.lit(name).alias("_from"))
+        # a column that only another snapshot has is null here
+        kinds = {f.name: f.dataType for other in snapshots.values() for f in other.schema.fields}
+        row = [
+            (F.col(c) if c in df.columns else F.lit(None).cast(kinds[c])).alias(c) for c in columns
+        ]
+        part = df.select(*keys, F.struct(*row).alias("_row"), F.lit(name).alias("_from"))
         tagged = part if tagged is None else tagged.unionByName(part)
     aggregates = []
     for name in snapshots:
@@ -31,6 +37,11 @@ def _side_by_side(
     return tagged.groupBy(*keys).agg(*aggregates)
 
 
+def _all_columns(snapshots: Sequence[DataFrame], keys: Sequence[str]) -> list[str]:
+    """Columns of any snapshot, those of the first one first."""
+    return [c for c in dict.fromkeys(c for df in snapshots for c in df.columns) if c not in keys]
+
+
 def _names(columns: Sequence[str], test) -> Column:
     return F.array_compact(F.array(*[F.when(test(c), F.lit(c)) for c in columns]))
 
@@ -41,7 +52,7 @@ def diff_snapshots(before: DataFrame, after: DataFrame, keys: Sequence[str]) ->
     ``change`` is ``added``, ``removed``, ``changed``, or ``duplicate`` where a snapshot holds the
     key more than once; columns are compared null-safely.
     """
-    columns = [c for c in before.columns if c not in keys]
+    columns = _all_columns([before, after], keys)
     pairs = _side_by_side({"before": before, "after": after}, keys, columns)
     differs = lambda c: ~F.col(f"before.{c}").eqNullSafe(F.col(f"after.{c}"))
     change = (
@@ -74,7 +85,7 @@ def merge_snapshots(
     names the columns, which are null in the result); ``duplicate``. ``present`` tells whether the
     row is in the result; null if undecided.
     """
-    columns = [c for c in base.columns if c not in keys]
+    columns = _all_columns([base, ours, theirs], keys)
     rows = _side_by_side({"base": base, "ours": ours, "theirs": theirs}, keys, columns)
     b, o, t = F.col("base"), F.col("ours"), F.col("theirs")
     here = {n: F.col("_n_" + n) > 0 for n in ("base", "ours", "theirs")}
@@ -165,52 +176,57 @@ def structural_groups(signatures: DataFrame, member: str, at_least: int = 2) ->
 
 
 def component_shapes(
-    components: DataFrame, properties: DataFrame, edges: DataFrame, rounds: int = 2
+    components: DataFrame, properties: DataFrame, edges: DataFrame, scope: Sequence[str] = ()
 ) -> DataFrame:
-    """(id, shape) of components, independent of ids and order.
+    """(scope..., id, shape) of components, independent of ids and order.
 
     Starts from the kind and the property keys, then mixes in the shapes at the other ends of all
-    connections ``rounds`` times (colour refinement), so the wiring counts but names do not.
-    ``components``: id, kind. ``properties``: owner_id, key. ``edges``: source_id, dest_id,
-    relationships.
+    connections until no round tells more components apart (colour refinement), so the whole wiring
+    counts but names do not. Every round is written to the shared folder. A shape is two 64-bit hashes.
+    ``components``: scope..., id, kind. ``properties``: scope..., owner_id, key. ``edges``: scope..., source_id,
+    dest_id, relationships. Ids are unique within ``scope`` (workspace, template).
     """
-    keys = properties.groupBy(F.col("owner_id").alias("id")).agg(*_multiset(F.col("key")))
-    shapes = lookup(components, keys, [F.col("id")], ["id"], ["_h1", "_h2", "_n"]).select(
-        "id", F.xxhash64("kind", "_h1", "_h2", "_n").alias("shape")
+    scope = list(scope)
+    own = [*scope, "id"]
+    bag = ["_h1", "_h2", "_n"]
+
+    def mixed(*parts: str) -> list[Column]:
+        return [F.xxhash64(F.lit(seed), *parts, *bag).alias(name) for seed, name in (("1", "s1"), ("2", "s2"))]
+
+    keys = properties.groupBy(*scope, F.col("owner_id").alias("id")).agg(*_multiset(F.col("key")))
+    shapes = cut(
+        lookup(components, keys, [F.col(c) for c in own], own, bag).select(*own, *mixed("kind"))
     )
-    for _ in range(rounds):
-        ends = lookup(
-            lookup(
-                edges.select("source_id", "dest_id", F.sort_array("relationships").alias("_rels")),
-                shapes.withColumnRenamed("shape", "_source_shape"),
-                [F.col("source_id")],
-                ["id"],
-                ["_source_shape"],
-            ),
-            shapes.withColumnRenamed("shape", "_dest_shape"),
-            [F.col("dest_id")],
-            ["id"],
-            ["_dest_shape"],
-        )
+    wires = edges.select(*scope, "source_id", "dest_id", F.sort_array("relationships").alias("_rels"))
+    known = -1
+    while (found := shapes.select("s1", "s2").distinct().count()) > known:
+        known = found
+        ends = wires
+        for side in ("source", "dest"):
+            names = {"s1": f"_{side}1", "s2": f"_{side}2"}
+            at = [*[F.col(c) for c in scope], F.col(f"{side}_id")]
+            ends = lookup(ends, shapes.withColumnsRenamed(names), at, own, list(names.values()))
         seen = ends.select(
+            *scope,
             F.inline(
                 F.array(
                     F.struct(
                         F.col("dest_id").alias("id"),
-                        F.xxhash64(F.lit("in"), "_source_shape", "_rels").alias("_seen"),
+                        F.xxhash64(F.lit("in"), "_source1", "_source2", "_rels").alias("_seen"),
                     ),
                     F.struct(
                         F.col("source_id").alias("id"),
-                        F.xxhash64(F.lit("out"), "_dest_shape", "_rels").alias("_seen"),
+                        F.xxhash64(F.lit("out"), "_dest1", "_dest2", "_rels").alias("_seen"),
                     ),
                 )
-            )
+            ),
         )
-        around = seen.groupBy("id").agg(*_multiset(F.col("_seen")))
-        shapes = lookup(shapes, around, [F.col("id")], ["id"], ["_h1", "_h2", "_n"]).select(
-            "id", F.xxhash64("shape", "_h1", "_h2", "_n").alias("shape")
+        around = seen.groupBy(*own).agg(*_multiset(F.col("_seen")))
+        shapes = cut(
+            lookup(shapes, around, [F.col(c) for c in own], own, bag).select(*own, *mixed("s1", "s2"))
         )
-    return shapes
+    text = F.concat_ws("|", F.col("s1").cast("string"), F.col("s2").cast("string"))
+    return shapes.select(*own, text.alias("shape"))
 
 
 def structural_template(

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from flowtables.functions.values import stable_uuid
 from flowtables.operators.batches import close_batches
 from flowtables.operators.rules import condition_column
-from flowtables.operators.spread import HOT_ROWS, hot_keys, numbered, running, small
+from flowtables.operators.spread import HOT_ROWS, numbered, running
 
 # Routing --------------------------------------------------------------------------------------
 
@@ -102,29 +102,19 @@ def expire(df: DataFrame, ts: str, ttl_seconds: Column | float, as_of: Column) -
 # Balance --------------------------------------------------------------------------------------
 
 
-def balance(
-    df: DataFrame, n: int, attribute: str | None = None, hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
+def balance(df: DataFrame, n: int, attribute: str | None = None, parts: int = 1) -> DataFrame:
     """Spread rows over ``n`` partitions, those of one attribute value together.
 
-    A value with more than ``hot_rows`` rows is spread over as many parts as it needs, since one
-    partition could not hold it.
+    A value too large for one partition is spread over ``parts`` by a hash of the row; the column ``part``
+    then tells which of them a row is in, and rows of one value and part are together.
     """
     if attribute is None:
         return df.repartition(n)
-    hot = hot_keys(df, [attribute], hot_rows)
-    if hot is None:
+    if parts == 1:
         return df.repartition(n, attribute)
-    parts = hot.select(
-        F.col(attribute).alias("_hot"), F.ceil(F.col("_rows") / hot_rows).alias("_parts")
-    )
     flat = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return (
-        df.join(small(parts), F.col(attribute).eqNullSafe(F.col("_hot")), "left")
-        .withColumn("_part", F.pmod(F.xxhash64(*flat), F.coalesce("_parts", F.lit(1))))
-        .repartition(n, attribute, "_part")
-        .drop("_hot", "_parts", "_part")
-    )
+    part = F.pmod(F.xxhash64(*flat), F.lit(parts))
+    return df.withColumn("part", part).repartition(n, attribute, "part")
 
 
 # Batches --------------------------------------------------------------------------------------
@@ -144,6 +134,12 @@ def duration_bucket(df: DataFrame, ts: str, seconds: int) -> Column:
     return F.floor(epoch / F.lit(seconds)).cast("bigint")
 
 
+def _amount(column: str | Column) -> Column:
+    """Size of a row; null and negative sizes count as 0."""
+    size = F.col(column) if isinstance(column, str) else column
+    return F.greatest(F.coalesce(size.cast("bigint"), F.lit(0)), F.lit(0)).cast("bigint")
+
+
 def assign_batches(
     df: DataFrame,
     key: Sequence[str],
@@ -177,7 +173,7 @@ def assign_batches(
             .drop("_rn")
         )
     column, limit = size
-    amount = (F.col(column) if isinstance(column, str) else column).cast("bigint")
+    amount = _amount(column)
     return (
         running(df.withColumn("_bytes", amount), key, order, {"_sum": F.col("_bytes")}, hot_rows)
         .withColumn("batch", F.floor((F.col("_sum") - F.col("_bytes")) / limit).cast("bigint"))
@@ -201,11 +197,10 @@ def combined_batches(
     over the size alone is a batch of its own or ends the open one.
     """
     column, limit = size
-    amount = (F.col(column) if isinstance(column, str) else column).cast("bigint")
     prepared = df.withColumns(
         {
             "window": duration_bucket(df, *duration) if duration else F.lit(0).cast("bigint"),
-            "_bytes": F.greatest(F.coalesce(amount, F.lit(0)), F.lit(0)).cast("bigint"),
+            "_bytes": _amount(column),
         }
     )
     return close_batches(
@@ -270,6 +265,8 @@ def set_attributes(
         if isinstance(given, Column):
             return given
         if given == "${uuid}":
+            if not key:
+                raise ValueError("${uuid} needs the key that tells rows apart")
             return stable_uuid(*[F.col(k) for k in key])
         if given.startswith("${"):
             return condition_column(given)

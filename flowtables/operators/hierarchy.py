@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ def expand_hierarchy(
     roots: DataFrame,
     scope: Sequence[str] = (),
     nodes: DataFrame | None = None,
-    max_depth: int = 64,
+    max_depth: int | None = None,
 ) -> DataFrame:
     """Rows (scope..., id, parent_id, depth, path, ords, status) of every place in the tree.
 
@@ -29,7 +30,7 @@ def expand_hierarchy(
     every level, so sorting by it gives the depth-first order.
 
     ``status`` is ``ok``, ``cycle`` (the id is already on its own path), ``missing`` (not in
-    ``nodes``) or ``depth`` (below ``max_depth``); only ``ok`` places are expanded further, the
+    ``nodes``) or ``depth`` (below ``max_depth``, if one is given); only ``ok`` places are expanded further, the
     others are kept as a report. Each level is one join of the last level with ``refs``, written
     to the shared folder once and never collected; a level small enough is broadcast.
     """
@@ -52,7 +53,7 @@ def expand_hierarchy(
         )
     )
     levels = [level]
-    for depth in range(1, max_depth + 2):
+    for depth in count(1):
         open_places = level.where("status = 'ok'").select(
             *scope, F.col("id").alias("parent_id"), "path", "ords"
         )
@@ -62,7 +63,7 @@ def expand_hierarchy(
         if rows <= BROADCAST_PLACES:
             open_places = F.broadcast(open_places)
         status = F.when(F.array_contains("path", F.col("_child")), "cycle")
-        if depth > max_depth:
+        if max_depth is not None and depth > max_depth:
             status = status.otherwise("depth")
         else:
             status = status.otherwise("ok")

@@ -96,6 +96,19 @@ def unnest(
     return current.withColumnRenamed("_value", value)
 
 
+def flat_names(
+    df: DataFrame, scope: Sequence[str], tree: str, levels: Sequence[str], value: str
+) -> DataFrame:
+    """Names of the innermost level with their value: (scope..., name, ``value``, ``copies``).
+
+    A name found under several paths stands for the last of them in path order; ``copies`` is the number of
+    paths, so repeated names are those with more than one.
+    """
+    *outer, name = levels
+    rows = unnest(df, scope, tree, levels, value).withColumn("_path", F.struct(*outer))
+    return last_by(rows, [*scope, name], "_path", [value])
+
+
 def last_by(
     df: DataFrame, key: Sequence[str], ord_column: str, values: Sequence[str]
 ) -> DataFrame:

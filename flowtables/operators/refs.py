@@ -56,9 +56,16 @@ def _with_partners(components, edges, many, component_key, edge_key, nothing):
     return found.unionByName(alone)
 
 
-def latest_ids(id_map: DataFrame, old: str = "old_id", new: str = "new_id", ord_column: str = "ord"):
-    """Id map with one row per old id: the last one tracked wins."""
-    return last_by(id_map.where(F.col(old).isNotNull()), [old], ord_column, [new]).select(old, new)
+def latest_ids(
+    id_map: DataFrame,
+    old: str = "old_id",
+    new: str = "new_id",
+    ord_column: str = "ord",
+    scope: Sequence[str] = (),
+) -> DataFrame:
+    """Id map with one row per old id (of a ``scope``): the last one tracked wins."""
+    known = id_map.where(F.col(old).isNotNull())
+    return last_by(known, [*scope, old], ord_column, [new]).select(*scope, old, new)
 
 
 def remap_ids(
@@ -68,13 +75,16 @@ def remap_ids(
     old: str = "old_id",
     new: str = "new_id",
     missing: str = "keep",
+    scope: Sequence[str] = (),
 ) -> DataFrame:
     """Rewrite the id columns by the map; ids it does not hold stay, or become null.
 
-    ``id_map`` is unique by ``old`` (see :func:`latest_ids`).
+    ``id_map`` is unique by ``scope`` and ``old`` (see :func:`latest_ids`); ``scope`` columns (workspace, template)
+    are in both tables, since ids are unique only within them.
     """
+    within = [F.col(c) for c in scope]
     for column in columns:
-        df = lookup(df, id_map, [F.col(column)], [old], [new])
+        df = lookup(df, id_map, [*within, F.col(column)], [*scope, old], [new])
         value = F.coalesce(new, column) if missing == "keep" else F.col(new)
         df = df.withColumn(column, value).drop(new)
     return df
@@ -87,8 +97,9 @@ def remap_values(
     old: str = "old_id",
     new: str = "new_id",
     id_pattern: str | None = None,
+    scope: Sequence[str] = (),
 ) -> DataFrame:
-    """Rewrite values that are, as a whole, an old id.
+    """Rewrite values that are, as a whole, an old id (of the same ``scope``).
 
     Values that cannot be an id (null, empty, or not of ``id_pattern``) are kept out of the
     exchange on the value and spread evenly instead.
@@ -96,14 +107,11 @@ def remap_values(
     candidate = F.nullif(F.col(value), F.lit(""))
     if id_pattern:
         candidate = F.when(candidate.rlike(id_pattern), candidate)
-    joined = lookup(properties, id_map, [candidate], [old], [new])
+    within = [F.col(c) for c in scope]
+    joined = lookup(properties, id_map, [*within, candidate], [*scope, old], [new])
     return joined.withColumn(value, F.coalesce(new, value)).drop(new)
 
 
-class AmbiguousReference(ValueError):
-    """A name that should be unique stands for several objects."""
-
-
 def resolve_named(
     refs: DataFrame,
     objects: DataFrame,
@@ -114,8 +122,8 @@ def resolve_named(
 ) -> DataFrame:
     """Add ``resolved_id`` and ``matches`` for references by (group, name, type).
 
-    No object: null and 0. One: its id. Several: null with their number (``quarantine``), or an
-    error (``error``). Objects are merged per key before the join, so it cannot multiply rows.
+    No object: null and 0. One: its id. Several: null with their number (``quarantine``), or the
+    query that reads ``matches`` fails (``error``). Objects are merged per key before the join, so it cannot multiply rows.
     """
     distinct = objects.select(*object_key, id_column).distinct()
     counted = distinct.groupBy(*object_key).agg(
@@ -129,9 +137,9 @@ def resolve_named(
         }
     ).drop("_one", "_matches")
     if on_ambiguous == "error":
-        clash = out.where(F.col("matches") > 1).select(*ref_key, "matches").take(1)
-        if clash:
-            raise AmbiguousReference(str(clash[0].asDict()))
+        name = F.concat_ws(", ", *[F.col(c).cast("string") for c in ref_key])
+        clash = F.raise_error(F.concat(F.lit("ambiguous reference: "), name)).cast("bigint")
+        out = out.withColumn("matches", F.when(F.col("matches") > 1, clash).otherwise(F.col("matches")))
     return out
 
 
@@ -153,30 +161,68 @@ def build_edges(
     kind: str = "kind",
     relationships: str = "relationships",
     plain_source: Column | None = None,
+    scope: Sequence[str] = (),
+    ports: DataFrame | None = None,
+    source_port: str = "from_port",
+    dest_port: str = "to_port",
 ) -> DataFrame:
     """Inputs joined to both ends; ``valid`` is false where an end is unknown (quarantine).
 
     Adds ``source_kind``, ``dest_kind`` and keeps the relationships only if the source is neither
     a group nor a funnel (or ``plain_source``, a condition on ``_source_kind``, holds).
-    ``components`` is unique by ``key``.
+    ``components`` is unique by ``scope`` and ``key``; ends are sought in the same ``scope`` (workspace,
+    template), whose columns are in both tables.
+
+    With ``ports`` (``scope``, ``group_id``, ``name``, ``kind``, ``port_id``) an end at a group is the port inside
+    it that the input names (columns ``source_port`` and ``dest_port``): ``source_port_id``, ``dest_port_id`` and the
+    numbers of ports found, ``source_ports``, ``dest_ports`` (null for an end that is no group). An edge
+    whose port is missing or ambiguous is not ``valid``.
     """
-    ends = components.select(key, F.col(kind).alias("_kind"), F.lit(True).alias("_found"))
+    scope = list(scope)
+    within = [F.col(c) for c in scope]
+    ends = components.select(*scope, key, F.col(kind).alias("_kind"), F.lit(True).alias("_found"))
     rows = inputs
     for side in (source, dest):
         mark = "_source" if side == source else "_dest"
-        rows = lookup(rows, ends, [F.col(side)], [key], ["_kind", "_found"]).withColumnsRenamed(
-            {"_kind": mark + "_kind", "_found": mark + "_found"}
-        )
+        rows = lookup(rows, ends, [*within, F.col(side)], [*scope, key], ["_kind", "_found"])
+        rows = rows.withColumnsRenamed({"_kind": mark + "_kind", "_found": mark + "_found"})
     if plain_source is None:
         source_kind = F.col("_source_kind")
         funnel = F.coalesce(F.upper(source_kind) == "FUNNEL", F.lit(False))
         plain_source = ~is_group(source_kind) & ~funnel
+    found = F.col("_source_found").isNotNull() & F.col("_dest_found").isNotNull()
+    added: list[str] = []
+    for side, end, name in ((source, "source", source_port), (dest, "dest", dest_port)):
+        if ports is None:
+            break
+        grouped = is_group(F.col(f"_{end}_kind"))
+        wanted = endpoint_kind(F.col(f"_{end}_kind"), "source" if end == "source" else "destination")
+        rows = rows.withColumns(
+            {
+                "_group": F.when(grouped, F.col(side)),
+                "_name": F.when(grouped, F.col(name)),
+                "_port_kind": F.when(grouped, wanted),
+                "_grouped": grouped,
+            }
+        )
+        rows = resolve_named(
+            rows,
+            ports,
+            [*scope, "_group", "_name", "_port_kind"],
+            [*scope, "group_id", "name", "kind"],
+            "port_id",
+        ).withColumns(
+            {f"{end}_port_id": F.col("resolved_id"), f"{end}_ports": F.when(F.col("_grouped"), F.col("matches"))}
+        )
+        found = found & F.coalesce(F.col(f"{end}_ports") == 1, F.lit(True))
+        added += [f"{end}_port_id", f"{end}_ports"]
     return rows.select(
         *[c for c in inputs.columns if c != relationships],
         endpoint_kind(F.col("_source_kind"), "source").alias("source_kind"),
         endpoint_kind(F.col("_dest_kind"), "destination").alias("dest_kind"),
         F.when(plain_source, F.col(relationships)).alias(relationships),
-        (F.col("_source_found").isNotNull() & F.col("_dest_found").isNotNull()).alias("valid"),
+        *added,
+        found.alias("valid"),
     )
 
 
@@ -186,8 +232,9 @@ def dangling(
     source: str = "source_id",
     dest: str = "dest_id",
     key: str = "id",
+    scope: Sequence[str] = (),
 ) -> DataFrame:
-    """Edges with an unknown end, once per missing end: ``missing_side``, ``missing_id``.
+    """Edges with an end unknown in their ``scope``, once per missing end: ``missing_side``, ``missing_id``.
 
     One pass over the edges: each is exploded to its two ends before a single anti join.
     """
@@ -204,17 +251,22 @@ def dangling(
         F.col("_end.side").alias("missing_side"),
         F.col("_end.id").alias("missing_id"),
     )
-    known = components.select(F.col(key).alias("missing_id"), F.lit(True).alias("_known"))
+    ids = [*scope, "missing_id"]
+    known = components.select(*scope, F.col(key).alias("missing_id")).distinct()
+    known = known.withColumn("_known", F.lit(True))
     return (
-        lookup(ends, known.distinct(), [F.col("missing_id")], ["missing_id"], ["_known"])
+        lookup(ends, known, [F.col(c) for c in ids], ids, ["_known"])
         .where(F.col("_known").isNull())
         .drop("_known")
     )
 
 
-def used_relationships(edges: DataFrame, source: str, relationships: str) -> DataFrame:
-    """Distinct (source, relationship) pairs named by any edge."""
-    return edges.select(source, F.explode(relationships).alias("relationship")).distinct()
+def used_relationships(
+    edges: DataFrame, source: str | Sequence[str], relationships: str
+) -> DataFrame:
+    """Distinct (source..., relationship) pairs named by any edge."""
+    owner = [source] if isinstance(source, str) else list(source)
+    return edges.select(*owner, F.explode(relationships).alias("relationship")).distinct()
 
 
 def unused_relationships(

@@ -43,7 +43,12 @@ def parse_rules(df: DataFrame, xml_column: str) -> DataFrame:
     parsed = F.from_xml(
         F.when(has_text(F.col(xml_column)), F.col(xml_column)),
         RULE_XML.simpleString(),
-        {"columnNameOfCorruptRecord": "_corrupt_record", "mode": "PERMISSIVE"},
+        {
+            "columnNameOfCorruptRecord": "_corrupt_record",
+            "mode": "PERMISSIVE",
+            # spaces around a condition or a value belong to it
+            "ignoreSurroundingSpaces": "false",
+        },
     )
     none = F.array().cast("array<string>")
     no_actions = F.array().cast(RULE_XML["rules"].dataType.elementType["actions"].dataType)
@@ -199,14 +204,28 @@ def apply_rules(df: DataFrame, rules: Sequence[Mapping], policy: str = "USE_CLON
 
 
 def rule_conditions(flat: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Equality conditions of flattened rules as (key..., rule_no, attr, value)."""
+    """Conditions of flattened rules as (key..., rule_no, attr, value).
+
+    A condition of another form than equality has a null ``attr`` and its text as ``value``: it cannot be
+    decided here, nor can its rule (see :func:`undecided_rules`).
+    """
     pattern = equals_pattern()
     text = F.col("item_value")
-    return flat.where((F.col("kind") == "condition") & text.rlike(pattern)).select(
+    known = text.rlike(pattern)
+    return flat.where("kind = 'condition'").select(
         *key,
         "rule_no",
-        F.regexp_extract(text, pattern, 1).alias("attr"),
-        F.regexp_extract(text, pattern, 2).alias("value"),
+        F.when(known, F.regexp_extract(text, pattern, 1)).alias("attr"),
+        F.when(known, F.regexp_extract(text, pattern, 2)).otherwise(text).alias("value"),
+    )
+
+
+def undecided_rules(conditions: DataFrame, rule: Sequence[str]) -> DataFrame:
+    """Report of the rules :func:`match_rules` leaves out: (rule..., conditions that are no equality)."""
+    return (
+        conditions.where("attr is null")
+        .groupBy(*rule)
+        .agg(F.sort_array(F.collect_set("value")).alias("undecided"))
     )
 
 
@@ -216,23 +235,56 @@ def match_rules(
     row: Sequence[str],
     rule: Sequence[str],
     unique: bool = False,
+    rules: DataFrame | None = None,
 ) -> DataFrame:
     """(row..., rule...) pairs in which every condition of the rule holds.
 
-    ``attributes``: row..., attr, value. ``conditions``: rule..., attr, value. Relational division:
-    equi join, then all distinct conditions of the rule must have been met. Hits are merged per
-    (row, rule) before the exchange. With ``unique`` (a row has an attribute once) they are only
-    counted; otherwise the distinct conditions met are kept, no more than the rule has.
+    ``attributes``: row..., attr, value. ``conditions``: rule..., attr, value. ``rules``: all rules, of which
+    those without a condition hold for every row. A rule with a condition that is no equality (null ``attr``)
+    is left out, since it cannot be decided here.
+
+    Every rule is sought by the one of its conditions that the fewest rows meet, and only the rows found
+    that way are held against its other conditions. With ``unique`` a row has an attribute once, and equal
+    entries need not be merged.
     """
     row, rule = list(row), list(rule)
-    wanted = conditions.select(*rule, "attr", "value").distinct()
-    needed = wanted.groupBy(*rule).agg(F.count(F.lit(1)).alias("_needed"))
-    numbered = wanted.join(needed, rule)
-    hits = attributes.select(*row, "attr", "value").join(numbered, ["attr", "value"])
-    met = F.count(F.lit(1)) if unique else F.size(F.collect_set(F.struct("attr", "value")))
-    return (
-        hits.groupBy(*row, *rule, "_needed")
-        .agg(met.alias("_met"))
+    held = attributes.select(*row, "attr", "value")
+    if not unique:
+        held = held.distinct()
+    left_out = conditions.where("attr is null").select(*rule).distinct()
+    wanted = (
+        conditions.where("attr is not null")
+        .select(*rule, "attr", "value")
+        .distinct()
+        .join(left_out, rule, "left_anti")
+    )
+    pairs = wanted.select("attr", "value").distinct()
+    seen = (
+        held.join(pairs, ["attr", "value"], "left_semi")
+        .groupBy("attr", "value")
+        .agg(F.count(F.lit(1)).alias("_seen"))
+    )
+    leading = (
+        wanted.join(seen, ["attr", "value"], "left")
+        .groupBy(*rule)
+        .agg(
+            F.min(F.struct(F.coalesce("_seen", F.lit(0)).alias("_seen"), "attr", "value")).alias("_lead"),
+            F.count(F.lit(1)).alias("_needed"),
+        )
+        .select(*rule, "_needed", "_lead.attr", "_lead.value")
+    )
+    likely = held.join(leading, ["attr", "value"]).select(*row, *rule, "_needed")
+    rest = likely.where("_needed > 1").join(wanted, rule)
+    met = (
+        rest.join(held, [*row, "attr", "value"])
+        .groupBy(*row, *rule, "_needed")
+        .agg(F.count(F.lit(1)).alias("_met"))
         .where(F.col("_met") == F.col("_needed"))
-        .select(*row, *rule)
     )
+    out = likely.where("_needed = 1").select(*row, *rule).unionAll(met.select(*row, *rule))
+    if rules is None:
+        return out
+    free = rules.select(*rule).distinct().join(conditions.select(*rule).distinct(), rule, "left_anti")
+    always = free.agg(F.sort_array(F.collect_list(F.struct(*rule))).alias("all")).scalar()
+    every = attributes.select(*row).distinct().select(*row, F.explode(always).alias("_rule"))
+    return out.unionAll(every.select(*row, *[F.col("_rule")[c].alias(c) for c in rule]))

@@ -16,10 +16,10 @@ def struct(**fields: T.DataType) -> T.StructType:
 
 # Rule documents -------------------------------------------------------------------------------
 
+RULE = struct(name=TEXT, conditions=TEXTS, actions=TEXT_MAP)
 # ``ord`` is written only where an element's place differs from its place in the list: on the
 # further pages of a template (see ``sources/exports.py``).
-RULE = struct(name=TEXT, conditions=TEXTS, actions=TEXT_MAP, ord=T.LongType())
-RULE_SET = struct(policy=TEXT, rules=T.ArrayType(RULE))
+RULE_SET = struct(policy=TEXT, rules=T.ArrayType(T.StructType([*RULE.fields, T.StructField("ord", T.LongType())])))
 
 RULE_XML = struct(
     flowFilePolicy=TEXT,

@@ -299,7 +299,7 @@ def _packed(
     """Parts packed into one ordered list per kind and page.
 
     A page ends with the part whose ``weight`` (default 1) fills it, so it holds at most ``page_rows`` and one
-    part more. With ``ord`` in the order, elements keep it where it is not their index in the list.
+    part more. On further pages elements keep their ``ord`` where it is not their index in the list.
     """
     weight = F.lit(1).cast("bigint") if weight is None else weight
     placed = running(parts, key, order, {"_rn": weight}, hot_rows, sizes).withColumn(
@@ -319,7 +319,8 @@ def _packed(
         if name in ("head", "controller", "entries"):
             return mine
         return F.transform(
-            mine, lambda e, i: e.withField("ord", F.when(e["ord"] != i, e["ord"]))
+            mine,
+            lambda e, i: e.withField("ord", F.when((F.col("page") > 0) & (e["ord"] != i), e["ord"])),
         )
 
     return (
@@ -345,7 +346,7 @@ def to_documents(
     One per template. A template or component with more than ``page_rows`` parts goes on in further
     fragments, each a document of the same form, so that no row grows beyond twice ``page_rows`` parts.
     What continues an element has its id and the fragment's number as ``part``, rules repeat their policy,
-    and elements whose place is not their index in the list have it as ``ord``.
+    and elements of further fragments whose place is not their index in the list have it as ``ord``.
     """
     at = ["workspace", "template"]
     owner = [*at, "owner_id"]

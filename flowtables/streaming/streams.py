@@ -27,12 +27,12 @@ def event_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
 def expire_stream(stream: DataFrame, ts: str, ttl_seconds: float) -> DataFrame:
     """Rows not older than the time to live when they are processed; 0 means for ever.
 
-    The age is taken at the start of each micro batch.
+    The age is taken at the start of each micro batch; a row without a timestamp has none and stays.
     """
     if not ttl_seconds:
         return stream
     limit = F.current_timestamp() - F.make_dt_interval(secs=F.lit(float(ttl_seconds)))
-    return stream.where(F.col(ts).cast("timestamp") >= limit)
+    return stream.where(F.col(ts).isNull() | (F.col(ts).cast("timestamp") >= limit))
 
 
 def batch_totals(

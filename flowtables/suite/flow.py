@@ -152,13 +152,17 @@ def expire_by_setting(spark, folder):
 @query(
     "balance_by_attribute",
     """
-    SELECT user_id, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY user_id
+    SELECT user_id, count(*) AS n, round(sum(value), 2) AS total, CAST(1 AS BIGINT) AS partitions
+    FROM events GROUP BY user_id
     """,
 )
 def balance_by_attribute(spark, folder):
     balanced = flow.balance(events_of(spark, folder, "user_id", "value"), 8, "user_id")
-    return balanced.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")
+    placed = balanced.withColumn("place", F.spark_partition_id())
+    return placed.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(F.sum("value"), 2).alias("total"),
+        F.count_distinct("place").alias("partitions"),
     )
 
 

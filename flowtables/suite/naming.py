@@ -111,6 +111,18 @@ def nest_levels(spark, folder):
     )
 
 
+@query(
+    "flat_names",
+    f"""
+    SELECT r_name, segment, arg_max(customers, n_name) AS customers, count(*) AS copies
+    FROM ({TREE_ROWS}) GROUP BY r_name, segment
+    """,
+)
+def flat_names(spark, folder):
+    tree = market_tree(spark, folder)
+    return naming.flat_names(tree, ["r_name"], "tree", ["n_name", "segment"], "customers")
+
+
 @query("unnest_levels", TREE_ROWS)
 def unnest_levels(spark, folder):
     return naming.unnest(

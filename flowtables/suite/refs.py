@@ -122,42 +122,62 @@ def edge_label_lists(spark, folder):
     )
 
 
+# Two workspaces that hold the same ids, which stand for different things in each.
+WORKSPACES = (("a", 1000000), ("b", 2000000))
+
+
+def in_workspaces(df):
+    """Every row once in each workspace (``workspace``, ``shift``)."""
+    spaces = [F.struct(F.lit(w).alias("workspace"), F.lit(n).alias("shift")) for w, n in WORKSPACES]
+    return df.select(F.inline(F.array(*spaces)), *df.columns)
+
+
+SPACES = "(VALUES ('a', 1000000), ('b', 2000000)) AS w(workspace, shift)"
+
+
 @query(
     "remap_ids",
-    "SELECT o_orderkey, o_custkey + 1000000 AS o_custkey FROM orders",
+    f"""
+    SELECT workspace, o_orderkey, o_custkey + shift AS o_custkey FROM orders CROSS JOIN {SPACES}
+    """,
 )
 def remap_ids(spark, folder):
-    customers = table(spark, folder, "customer")
+    customers = in_workspaces(table(spark, folder, "customer").select("c_custkey"))
     tracked = customers.select(
+        "workspace",
         F.col("c_custkey").alias("old_id"),
         # every id is tracked twice; the later entry counts
         F.inline(
             F.array(
                 F.struct(F.lit(1).alias("ord"), F.lit(-1).cast("bigint").alias("new_id")),
-                F.struct(F.lit(2).alias("ord"), (F.col("c_custkey") + 1000000).alias("new_id")),
+                F.struct(F.lit(2).alias("ord"), (F.col("c_custkey") + F.col("shift")).alias("new_id")),
             )
         ),
     )
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    return refs.remap_ids(orders, refs.latest_ids(tracked), ["o_custkey"])
+    orders = in_workspaces(table(spark, folder, "orders").select("o_orderkey", "o_custkey"))
+    id_map = refs.latest_ids(tracked, scope=["workspace"])
+    return refs.remap_ids(orders.drop("shift"), id_map, ["o_custkey"], scope=["workspace"])
 
 
 @query(
     "remap_values",
-    """
-    SELECT o_orderkey, 'customer' AS key,
-           CASE WHEN c.c_custkey IS NOT NULL THEN 'new-' || CAST(o_custkey AS VARCHAR)
+    f"""
+    SELECT workspace, o_orderkey, 'customer' AS key,
+           CASE WHEN c.c_custkey IS NOT NULL THEN workspace || '-' || CAST(o_custkey AS VARCHAR)
                 ELSE CAST(o_custkey AS VARCHAR) END AS value
-    FROM orders LEFT JOIN customer c ON c.c_custkey = o_custkey AND c.c_acctbal > 0
-    UNION ALL SELECT o_orderkey, 'note', 'see ' || CAST(o_custkey AS VARCHAR) FROM orders
-    UNION ALL SELECT o_orderkey, 'status', nullif(o_orderstatus, 'P') FROM orders
+    FROM orders CROSS JOIN {SPACES} LEFT JOIN customer c
+      ON c.c_custkey = o_custkey AND (c.c_acctbal > 0) = (workspace = 'a')
+    UNION ALL SELECT workspace, o_orderkey, 'note', 'see ' || CAST(o_custkey AS VARCHAR)
+    FROM orders CROSS JOIN {SPACES}
+    UNION ALL SELECT workspace, o_orderkey, 'status', nullif(o_orderstatus, 'P')
+    FROM orders CROSS JOIN {SPACES}
     """,
 )
 def remap_values(spark, folder):
     customer = F.col("o_custkey").cast("string")
     properties = unpivot_text(
-        table(spark, folder, "orders"),
-        ["o_orderkey"],
+        in_workspaces(table(spark, folder, "orders")),
+        ["workspace", "o_orderkey"],
         {
             "customer": customer,
             "note": F.concat(F.lit("see "), customer),
@@ -166,11 +186,13 @@ def remap_values(spark, folder):
     )
     key = F.col("c_custkey").cast("string")
     id_map = (
-        table(spark, folder, "customer")
-        .where("c_acctbal > 0")
-        .select(key.alias("old_id"), F.concat(F.lit("new-"), key).alias("new_id"))
+        in_workspaces(table(spark, folder, "customer").select("c_custkey", "c_acctbal"))
+        .where((F.col("c_acctbal") > 0) == (F.col("workspace") == "a"))
+        .select(
+            "workspace", key.alias("old_id"), F.concat("workspace", F.lit("-"), key).alias("new_id")
+        )
     )
-    return refs.remap_values(properties, id_map, id_pattern="^[0-9]+$")
+    return refs.remap_values(properties, id_map, id_pattern="^[0-9]+$", scope=["workspace"])
 
 
 @query(
@@ -242,93 +264,155 @@ def endpoint_kinds(spark, folder):
 
 
 def flow_components(spark, folder):
-    """Orders and the larger parts as components; smaller parts are unknown ends."""
+    """Orders and parts as components of two workspaces with equal ids.
+
+    Workspace ``a`` lacks the smaller parts and ``b`` the larger ones; parts of size 20 are groups.
+    """
     orders = table(spark, folder, "orders").select(
         F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "FUNNEL")
+        F.when(F.col("o_orderpriority") == "1-URGENT", "funnel")
         .when(F.col("o_orderpriority") == "2-HIGH", "process_group")
         .otherwise(F.col("o_orderstatus"))
         .alias("kind"),
     )
     parts = (
-        table(spark, folder, "part")
-        .where("p_size > 10")
+        in_workspaces(table(spark, folder, "part").select("p_partkey", "p_size"))
+        .where((F.col("p_size") > 10) == (F.col("workspace") == "a"))
         .select(
+            "workspace",
             F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"),
-            F.lit("INPUT_PORT").alias("kind"),
+            F.when(F.col("p_size") == 20, "PROCESS_GROUP").otherwise("INPUT_PORT").alias("kind"),
         )
     )
-    return orders.unionByName(parts)
+    return in_workspaces(orders).drop("shift").unionByName(parts)
 
 
 def flow_edges(spark, folder):
-    return table(spark, folder, "lineitem").select(
+    lines = table(spark, folder, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
         F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("source_id"),
         F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dest_id"),
         F.array("l_returnflag", "l_linestatus").alias("relationships"),
+        F.col("l_linestatus").alias("from_port"),
+        F.col("l_returnflag").alias("to_port"),
     )
+    return in_workspaces(lines).drop("shift")
+
+
+def group_ports(spark, folder):
+    """Ports inside the groups: an output port ``O`` in orders, input ports ``N`` and (twice) ``R`` in parts."""
+    orders = (
+        in_workspaces(table(spark, folder, "orders").where("o_orderpriority = '2-HIGH'"))
+        .select(
+            "workspace",
+            F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("group_id"),
+            F.lit("O").alias("name"),
+            F.lit("OUTPUT_PORT").alias("kind"),
+            F.concat("workspace", F.lit("-out-"), F.col("o_orderkey").cast("string")).alias("port_id"),
+        )
+    )
+    key = F.col("p_partkey").cast("string")
+    inputs = [
+        F.struct(F.lit(n).alias("name"), F.concat("workspace", F.lit(f"-{k}-"), key).alias("port_id"))
+        for n, k in (("N", "n"), ("R", "r1"), ("R", "r2"))
+    ]
+    parts = (
+        in_workspaces(table(spark, folder, "part").where("p_size = 20"))
+        .select("workspace", F.concat(F.lit("p"), key).alias("group_id"), F.inline(F.array(*inputs)))
+        .withColumn("kind", F.lit("INPUT_PORT"))
+    )
+    return orders.unionByName(parts)
 
 
 @query(
     "build_edges",
-    """
-    SELECT l_orderkey, l_linenumber, l_partkey,
+    f"""
+    WITH ends AS (
+        SELECT workspace, l_orderkey, l_linenumber, l_partkey, l_returnflag, l_linestatus,
+               o_orderpriority, p_partkey, coalesce(p_size = 20, false) AS grouped
+        FROM lineitem CROSS JOIN {SPACES} JOIN orders ON o_orderkey = l_orderkey
+        LEFT JOIN part ON p_partkey = l_partkey AND (p_size > 10) = (workspace = 'a')
+    ), ports AS (
+        SELECT *, CASE WHEN o_orderpriority = '2-HIGH'
+                       THEN CAST(l_linestatus = 'O' AS BIGINT) END AS source_ports,
+               CASE WHEN grouped THEN CAST(CASE l_returnflag WHEN 'N' THEN 1 WHEN 'R' THEN 2 ELSE 0 END
+                    AS BIGINT) END AS dest_ports
+        FROM ends
+    )
+    SELECT workspace, l_orderkey, l_linenumber, l_partkey,
            'o' || CAST(l_orderkey AS VARCHAR) AS source_id,
            'p' || CAST(l_partkey AS VARCHAR) AS dest_id,
+           l_linestatus AS from_port, l_returnflag AS to_port,
            CASE o_orderpriority WHEN '1-URGENT' THEN 'FUNNEL' WHEN '2-HIGH' THEN 'OUTPUT_PORT'
                 ELSE 'PROCESSOR' END AS source_kind,
            CASE WHEN p_partkey IS NOT NULL THEN 'INPUT_PORT' ELSE 'PROCESSOR' END AS dest_kind,
            CASE WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH')
                 THEN l_returnflag || ',' || l_linestatus END AS relationships,
-           p_partkey IS NOT NULL AS valid
-    FROM lineitem JOIN orders ON o_orderkey = l_orderkey
-    LEFT JOIN part ON p_partkey = l_partkey AND p_size > 10
+           CASE WHEN source_ports = 1 THEN workspace || '-out-' || CAST(l_orderkey AS VARCHAR) END
+               AS source_port_id, source_ports,
+           CASE WHEN dest_ports = 1 THEN workspace || '-n-' || CAST(l_partkey AS VARCHAR) END
+               AS dest_port_id, dest_ports,
+           p_partkey IS NOT NULL AND coalesce(source_ports, 1) = 1 AND coalesce(dest_ports, 1) = 1
+               AS valid
+    FROM ports
     """,
 )
 def build_edges(spark, folder):
-    built = refs.build_edges(flow_edges(spark, folder), flow_components(spark, folder))
+    built = refs.build_edges(
+        flow_edges(spark, folder),
+        flow_components(spark, folder),
+        scope=["workspace"],
+        ports=group_ports(spark, folder),
+    )
     return built.withColumn("relationships", F.array_join("relationships", ","))
 
 
 @query(
     "dangling_edges",
-    """
-    SELECT l_orderkey, l_linenumber, l_partkey, 'destination' AS missing_side,
+    f"""
+    SELECT workspace, l_orderkey, l_linenumber, l_partkey, 'destination' AS missing_side,
            'p' || CAST(l_partkey AS VARCHAR) AS missing_id
-    FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)
+    FROM lineitem CROSS JOIN {SPACES}
+    WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE (p_size > 10) = (workspace = 'a'))
     """,
 )
 def dangling_edges(spark, folder):
-    return refs.dangling(flow_edges(spark, folder), flow_components(spark, folder)).select(
-        "l_orderkey", "l_linenumber", "l_partkey", "missing_side", "missing_id"
+    lost = refs.dangling(
+        flow_edges(spark, folder), flow_components(spark, folder), scope=["workspace"]
+    )
+    return lost.select(
+        "workspace", "l_orderkey", "l_linenumber", "l_partkey", "missing_side", "missing_id"
     )
 
 
 UNUSED = """
     SELECT u.user_id, r.relationship
     FROM (SELECT DISTINCT user_id FROM events) u
-    CROSS JOIN (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view')) AS r(relationship)
+    CROSS JOIN (
+        SELECT t || '-' || CAST(h AS VARCHAR) AS relationship
+        FROM (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view')) AS k(t), range(24) AS h(h)
+    ) AS r
     WHERE NOT EXISTS (
-        SELECT 1 FROM events e WHERE e.user_id = u.user_id AND e.event_type = r.relationship
-        AND e.ts < TIMESTAMP '2024-01-04 00:00:00')
+        SELECT 1 FROM events e WHERE e.user_id = u.user_id
+        AND e.event_type || '-' || CAST(hour(e.ts) AS VARCHAR) = r.relationship)
 """
 
 
 def unused(spark, folder):
+    """Relationships are event types by hour of the day; all events use one."""
     events = table(spark, folder, "events")
-    declared = (
-        events.select("user_id")
-        .distinct()
-        .select("user_id", F.explode(F.array(*[F.lit(t) for t in EVENT_TYPES])).alias("relationship"))
-    )
-    seen = events.where("ts < TIMESTAMP_NTZ '2024-01-04 00:00:00'").select(
-        "user_id", F.array("event_type").alias("relationships")
+    declared = F.array(*[F.lit(f"{t}-{hour}") for t in EVENT_TYPES for hour in range(24)])
+    users = events.select("user_id").distinct()
+    used = F.concat("event_type", F.lit("-"), F.hour("ts").cast("string"))
+    return refs.unused_relationships(
+        users.select("user_id", F.explode(declared).alias("relationship")),
+        refs.used_relationships(
+            events.select("user_id", F.array(used).alias("relationships")), "user_id", "relationships"
+        ),
+        ["user_id"],
     )
-    used = refs.used_relationships(seen, "user_id", "relationships")
-    return refs.unused_relationships(declared, used, ["user_id"])
 
 
 @query("unused_relationships", UNUSED)

@@ -162,6 +162,7 @@ def apply_rules_merge(spark, folder):
     WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
     UNION ALL SELECT o_orderkey, 'open' FROM orders WHERE o_orderstatus = 'O'
     UNION ALL SELECT o_orderkey, 'high' FROM orders WHERE o_orderpriority = '2-HIGH'
+    UNION ALL SELECT o_orderkey, 'free' FROM orders
     """,
 )
 def match_rules_table(spark, folder):
@@ -180,7 +181,12 @@ def match_rules_table(spark, folder):
             ("high", "priority", "2-HIGH"),
             ("never", "status", "F"),
             ("never", "status", "O"),
+            # one condition of another form: the rule cannot be decided
+            ("mixed", "status", "F"),
+            ("mixed", None, "${price:gt(5)}"),
         ],
         "rule string, attr string, value string",
     )
-    return rules.match_rules(attributes, conditions, ["o_orderkey"], ["rule"], unique=True)
+    names = [(name,) for name in ("late", "open", "high", "never", "mixed", "free")]
+    known = literal_table(spark, names, "rule string")
+    return rules.match_rules(attributes, conditions, ["o_orderkey"], ["rule"], True, known)

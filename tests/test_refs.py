@@ -42,8 +42,8 @@ def test_resolve(spark):
         ("g", "in"): ("1", 1), ("g", "twice"): (None, 2), ("g", "same"): ("4", 1),
         ("g", "none"): (None, 0), (None, "in"): (None, 0),
     }
-    with pytest.raises(refs.AmbiguousReference):
-        refs.resolve_named(asked, objects, key, key, on_ambiguous="error")
+    with pytest.raises(Exception, match="ambiguous reference"):
+        refs.resolve_named(asked, objects, key, key, on_ambiguous="error").collect()
     single = asked.where("name <> 'twice'")
     assert refs.resolve_named(single, objects, key, key, on_ambiguous="error").count() == 4
 
