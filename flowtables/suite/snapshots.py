@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowtables.operators import compare
+from flowtables.operators.spread import numbered
 from flowtables.schemas import TABLES, empty_table
+from flowtables.session import scratch_path
 from flowtables.sources import exports
 from flowtables.sources.tables import table
 from flowtables.suite.registry import query
@@ -272,3 +274,72 @@ def order_tables(spark, folder):
 )
 def render_documents(spark, folder):
     return exports.to_documents(order_tables(spark, folder))
+
+
+@query(
+    "export_roundtrip",
+    """
+    WITH o AS (
+        SELECT o_custkey, o_orderkey, o_orderstatus,
+               row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rule_no FROM orders)
+    SELECT c_mktsegment AS template, 'c' || CAST(c_custkey AS VARCHAR) AS id,
+           ord,
+           'USE_CLONE' AS policy, rule_no, CAST(o_orderkey AS VARCHAR) AS rule_name,
+           '${status:equals("' || o_orderstatus || '")}' AS condition
+    FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS ord
+          FROM customer)
+    LEFT JOIN o ON o_custkey = c_custkey
+    """,
+)
+def export_roundtrip(spark, folder):
+    """Customers as components, their orders as rules: written as YAML in several pages, read again."""
+    at = ["workspace", "template"]
+    blank = {name: empty_table(spark, kind) for name, kind in TABLES.items()}
+    own_id = F.concat(F.lit("c"), F.col("c_custkey").cast("string"))
+    customers = numbered(
+        table(spark, folder, "customer").select("c_custkey", "c_mktsegment"),
+        ["c_mktsegment"],
+        ["c_custkey"],
+        "_rn",
+    )
+    components = customers.select(
+        F.lit("my flow").alias("workspace"),
+        F.col("c_mktsegment").alias("template"),
+        own_id.alias("id"),
+        own_id.alias("name"),
+        F.lit("Customer").alias("type"),
+        F.lit("PROCESSOR").alias("kind"),
+        F.lit("USE_CLONE").alias("policy"),
+        (F.col("_rn") - 1).alias("ord"),
+    )
+    orders = numbered(
+        table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"),
+        ["o_custkey"],
+        ["o_orderkey"],
+        "rule_no",
+    )
+    places = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
+    rules = orders.join(places, orders.o_custkey == places.c_custkey).select(
+        F.lit("my flow").alias("workspace"),
+        F.col("c_mktsegment").alias("template"),
+        own_id.alias("owner_id"),
+        "rule_no",
+        F.col("o_orderkey").cast("string").alias("rule_name"),
+        F.lit("USE_CLONE").alias("policy"),
+        F.array(F.concat(F.lit('${status:equals("'), "o_orderstatus", F.lit('")}'))).alias("conditions"),
+    )
+    tables = {
+        **blank,
+        "templates": components.select(*at).distinct(),
+        "components": blank["components"].unionByName(components, allowMissingColumns=True),
+        "rules": blank["rules"].unionByName(rules, allowMissingColumns=True),
+    }
+    path = scratch_path(spark, "exports")
+    exports.write_exports(exports.to_yaml(exports.to_documents(tables, page_rows=500)), path)
+    again = exports.to_tables(exports.read_written(spark, path))
+    read = again["rules"].select(
+        *at, F.col("owner_id").alias("id"), "rule_no", "rule_name", F.col("conditions")[0].alias("condition")
+    )
+    return again["components"].join(read, [*at, "id"], "left").select(
+        "template", "id", "ord", "policy", "rule_no", "rule_name", "condition"
+    )

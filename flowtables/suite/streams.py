@@ -48,6 +48,47 @@ def stream_route(spark, folder):
     return finished(spark, flow.route(events, "event_type", edges))
 
 
+@query("stream_funnel", SQL["funnel_union"])
+def stream_funnel(spark, folder):
+    events = event_stream(spark, folder)
+    clicks = events.where("event_type = 'click'").select("event_id", "value")
+    errors = events.where("event_type = 'error'").select("event_id", "value", "props")
+    again = event_stream(spark, folder).where("event_type = 'click'").select("event_id", "value")
+    joined = flow.funnel({"clicks": clicks, "errors": errors, "again": again}, tag="input")
+    return finished(spark, joined)
+
+
+@query("stream_expire", SQL["expire_rows"])
+def stream_expire(spark, folder):
+    as_of = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
+    events = event_stream(spark, folder).select("event_id", "event_type", "ts")
+    return finished(spark, flow.expire(events, "ts", 10 * 86400, as_of)).drop("ts")
+
+
+@query(
+    "stream_prioritized",
+    """
+    SELECT user_id, event_id, place FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS place
+        FROM events)
+    WHERE place <= 3
+    """,
+)
+def stream_prioritized(spark, folder):
+    events = event_stream(spark, folder).select("user_id", "event_id", "value")
+    path = scratch_path(spark, "ranked")
+    order = [F.col("value").desc(), "event_id"]
+    # what is there now is one micro batch, so its first rows are those of the table
+    writer = streams.prioritized_sink(
+        events, ["user_id"], order, 3, lambda batch, number: batch.write.parquet(f"{path}/{number}")
+    )
+    writer.option("checkpointLocation", scratch_path(spark, "progress")).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    ranked = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    return ranked.select("user_id", "event_id", "place")
+
+
 @query("stream_rules", SQL["apply_rules_clone"])
 def stream_rules(spark, folder):
     events = event_stream(spark, folder).select("event_id", "user_id", "event_type", "value")
