@@ -35,11 +35,14 @@ def expand_hierarchy(
     to the shared folder once and never collected; a level small enough is broadcast.
     """
     scope = list(scope)
-    links = refs.select(
-        *scope,
-        F.col("parent_id"),
-        F.col("id").alias("_child"),
-        F.col("ord").cast("bigint").alias("_ord"),
+    # written once: every level reads them again
+    links = cut(
+        refs.where("parent_id is not null").select(
+            *scope,
+            F.col("parent_id"),
+            F.col("id").alias("_child"),
+            F.col("ord").cast("bigint").alias("_ord"),
+        )
     )
     level = cut(
         roots.select(

@@ -1,7 +1,7 @@
 """All settings of a flow at once: each section with the comparison it needs, and back again.
 
-Settings are rows (owner_id, section, key, value); sections are ``property``, ``scheduling``,
-``style``, ``remote`` and ``edge``.
+Settings are rows (owner..., section, key, value); sections are ``property``, ``scheduling``,
+``style``, ``remote``, ``remote_port`` and ``edge``.
 """
 
 from __future__ import annotations
@@ -11,11 +11,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.functions.values import has_text
-from flowtables.operators.sparse import sparse_diff
+from flowtables.functions.values import format_number, has_text
+from flowtables.operators.sparse import literal_default, sparse_diff
 from flowtables.schemas import (
     CONNECTION_DEFAULTS,
     REMOTE_DEFAULTS,
+    REMOTE_PORT_DEFAULTS,
     SCHEDULING_DEFAULTS,
     STYLE_DEFAULTS,
 )
@@ -24,66 +25,84 @@ SECTION_DEFAULTS: dict[str, Mapping[str, Sequence[str]]] = {
     "scheduling": SCHEDULING_DEFAULTS,
     "style": STYLE_DEFAULTS,
     "remote": REMOTE_DEFAULTS,
+    "remote_port": REMOTE_PORT_DEFAULTS,
     "edge": CONNECTION_DEFAULTS,
 }
 
 
 def sparse_settings(
-    settings: DataFrame, owners: DataFrame, descriptors: DataFrame | None = None
+    settings: DataFrame,
+    owners: DataFrame,
+    descriptors: DataFrame | None = None,
+    owner: Sequence[str] = ("owner_id",),
 ) -> DataFrame:
-    """Settings worth storing: (owner_id, section, key, value, cleared).
+    """Settings worth storing: (owner..., section, key, value, cleared).
 
-    ``owners``: owner_id, type, kind. ``descriptors``: type, key, defaults of the processor and
-    controller properties; a type nobody described keeps nothing of this section.
+    ``owners``: owner..., type, kind. ``descriptors``: type, key, defaults of the processor and
+    controller properties; a type nobody described keeps nothing of this section. ``owner`` may hold
+    the workspace and template beside the id, which is unique only within them.
 
-    Properties follow their descriptors; scheduling and edge settings are kept when present and not
-    at a default; styles when not at a default, whatever their key; of a remote group the settings
+    Properties follow their descriptors; scheduling, edge and remote port settings are kept when present
+    and not at a default; styles when not at a default, whatever their key; of a remote group the settings
     with a default are kept when they differ from it, null included. Settings without a default
-    are kept when they have text.
+    are kept when they have text, but not those of scheduling.
+
+    All that depends on a row alone is decided in one pass; only remote groups and properties, of
+    which absent settings count as well, are joined.
     """
+    owner, value = list(owner), F.col("value")
 
     def section(name: str) -> DataFrame:
-        return settings.where(F.col("section") == name).select("owner_id", "key", "value")
-
-    def free(name: str) -> DataFrame:
-        """Settings of a section for which there is no default."""
-        known = F.col("key").isin(*SECTION_DEFAULTS[name])
-        return (
-            section(name)
-            .where(~known & has_text(F.col("value")))
-            .withColumn("cleared", F.lit(False))
-        )
+        return settings.where(F.col("section") == name).select(*owner, "key", "value")
+
+    kept = F.lit(False)
+    for name, defaults in SECTION_DEFAULTS.items():
+        known, at_default = F.col("key").isin(*defaults), F.lit(False)
+        for key, allowed in defaults.items():
+            at_default = F.when(F.col("key") == key, literal_default(value, allowed)).otherwise(
+                at_default
+            )
+        present = known & value.isNotNull() & ~at_default
+        rule = {
+            "scheduling": present,
+            "style": ~known | ~at_default,
+            # those with a default are joined to the groups below
+            "remote": ~known & has_text(value),
+        }.get(name, F.when(known, present).otherwise(has_text(value)))
+        kept = F.when(F.col("section") == name, rule).otherwise(kept)
+    narrow = settings.where(kept).select(
+        *owner, "section", "key", "value", value.isNull().alias("cleared")
+    )
 
-    remote_groups = owners.where(F.upper("kind") == "REMOTE_PROCESS_GROUP").select("owner_id")
-    parts = {
-        "scheduling": [sparse_diff(section("scheduling"), SCHEDULING_DEFAULTS, nulls="skip")],
-        "style": [sparse_diff(section("style"), STYLE_DEFAULTS, driver="values")],
-        "remote": [
-            sparse_diff(section("remote"), REMOTE_DEFAULTS, owners=remote_groups, nulls="emit"),
-            free("remote"),
-        ],
-        "edge": [
-            sparse_diff(section("edge"), CONNECTION_DEFAULTS, nulls="skip"),
-            free("edge"),
-        ],
+    remote_groups = owners.where(F.upper("kind") == "REMOTE_PROCESS_GROUP").select(*owner)
+    joined = {
+        "remote": sparse_diff(
+            section("remote"), REMOTE_DEFAULTS, owner, owners=remote_groups, nulls="emit"
+        )
     }
     if descriptors is not None:
-        parts["property"] = [
-            sparse_diff(
-                section("property"),
-                descriptors,
-                owners=owners.select("owner_id", "type"),
-                type_columns=["type"],
-            )
+        joined["property"] = sparse_diff(
+            section("property"),
+            descriptors,
+            owner,
+            owners=owners.select(*owner, "type"),
+            type_columns=["type"],
+        )
+    for name, frame in joined.items():
+        narrow = narrow.unionByName(frame.withColumn("section", F.lit(name)))
+    return narrow
+
+
+def label_sizes(labels: DataFrame, owner: Sequence[str], width: str, height: str) -> DataFrame:
+    """Width and height of labels as style settings (owner..., section, key, value) in whole numbers."""
+    sizes = F.array(
+        *[
+            F.struct(F.lit(key).alias("key"), format_number(F.col(column)).alias("value"))
+            for key, column in (("width", width), ("height", height))
         ]
-    out = None
-    for name, frames in parts.items():
-        for frame in frames:
-            tagged = frame.select(
-                "owner_id", F.lit(name).alias("section"), "key", "value", "cleared"
-            )
-            out = tagged if out is None else out.unionByName(tagged)
-    return out
+    )
+    rows = labels.select(*owner, F.lit("style").alias("section"), F.inline(sizes))
+    return rows.where("value is not null")
 
 
 def full_settings(sparse: DataFrame, owners: DataFrame, section: str) -> DataFrame:

@@ -41,7 +41,7 @@ def _stored_default() -> Column:
     )
 
 
-def _literal_default(value: Column, allowed: Sequence[str | None]) -> Column:
+def literal_default(value: Column, allowed: Sequence[str | None]) -> Column:
     """Whether ``value`` is one of the literal defaults; no default at all means null."""
     texts = [d for d in allowed if d is not None]
     null_default = F.lit(not texts or len(texts) < len(allowed))
@@ -105,7 +105,7 @@ def sparse_diff(
     if literal:
         at_default, known = F.lit(False), F.lit(False)
         for key, allowed in described.items():
-            at_default = F.when(F.col("key") == key, _literal_default(value, allowed)).otherwise(
+            at_default = F.when(F.col("key") == key, literal_default(value, allowed)).otherwise(
                 at_default
             )
         known = F.col("key").isin(*described)
@@ -136,7 +136,7 @@ def wide_diff(
     cells = []
     for key, allowed in defaults.items():
         value = columns[key].cast("string") if key in columns else F.lit(None).cast("string")
-        changed = _is_changed(value, _literal_default(value, allowed), nulls)
+        changed = _is_changed(value, literal_default(value, allowed), nulls)
         cells.append(
             F.struct(F.lit(key).alias("key"), value.alias("value"), changed.alias("_changed"))
         )

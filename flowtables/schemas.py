@@ -200,6 +200,8 @@ SCHEDULING_DEFAULTS = {
 
 STYLE_DEFAULTS = {"font-size": ["12px"], "background-color": ["#fff7d7"]}
 
+REMOTE_PORT_DEFAULTS = {"maxConcurrentTasks": ["1"], "useCompression": ["false"]}
+
 REMOTE_DEFAULTS = {"protocol": ["RAW"], "timeout": ["30 sec"], "yieldDuration": ["10 sec"]}
 
 CONNECTION_DEFAULTS = {

@@ -91,3 +91,25 @@ def test_signature_counts_repeats(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "x"), ("c", "x"), ("c", "x")], "m string, s string")
     got = {r["m"]: r["signature"] for r in compare.structural_signatures(df, ["m"], ["s"]).collect()}
     assert got["a"] == got["c"] != got["b"]
+
+
+def test_columns_of_either_snapshot_count(spark):
+    before = spark.createDataFrame([(1, "a")], "id int, x string")
+    after = spark.createDataFrame([(1, "a", 5)], "id int, x string, y int")
+    changes = compare.diff_snapshots(before, after, ["id"]).collect()
+    assert [(r["change"], r["changed_columns"]) for r in changes] == [("changed", ["y"])]
+    merged = compare.merge_snapshots(before, before, after, ["id"]).first()
+    assert (merged["status"], merged["y"]) == ("theirs", 5)
+
+
+def test_structure_is_told_apart_at_any_distance(spark):
+    rows, wires = [], []
+    for flow_name, last in (("m", "B"), ("n", "C")):
+        rows += [(flow_name, str(i), "A") for i in range(9)] + [(flow_name, "9", last)]
+        wires += [(flow_name, str(i), str(i + 1), ["ok"]) for i in range(9)]
+    components = spark.createDataFrame(rows, "flow string, id string, kind string")
+    edges = spark.createDataFrame(wires, "flow string, source_id string, dest_id string, relationships array<string>")
+    nothing = spark.createDataFrame([], "flow string, owner_id string, key string")
+    shapes = compare.component_shapes(components, nothing, edges, ["flow"]).collect()
+    by_place = {(r["flow"], r["id"]): r["shape"] for r in shapes}
+    assert len(by_place) == 20 and by_place["m", "0"] != by_place["n", "0"]

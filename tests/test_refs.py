@@ -132,3 +132,38 @@ def test_teardown_order(spark):
     df = spark.createDataFrame([("w", *r) for r in rows], "w string, id string, kind string, group_ords array<bigint>, ord bigint")
     plan = [r["id"] for r in teardown_plan(df, ["w"]).orderBy("position").collect()]
     assert plan == ["c1", "p1", "f", "gc", "gp", "ggp", "gg", "gs", "g", "g2", "i", "o", "l", "r", "s"]
+
+
+def test_ids_count_within_their_workspace(spark):
+    components = spark.createDataFrame(
+        [("w1", "1", "PROCESSOR"), ("w1", "2", "Funnel"), ("w2", "1", "process_group")],
+        "w string, id string, kind string",
+    )
+    edges = spark.createDataFrame(
+        [("w1", "1", "2", ["ok"], None, None), ("w2", "1", "2", ["ok"], "out", None)],
+        "w string, source_id string, dest_id string, relationships array<string>, from_port string, to_port string",
+    )
+    built = refs.build_edges(edges, components, scope=["w"]).collect()
+    assert len(built) == 2
+    assert {(r["w"], r["source_kind"], r["dest_kind"], r["valid"]) for r in built} == {
+        ("w1", "PROCESSOR", "FUNNEL", True), ("w2", "OUTPUT_PORT", "PROCESSOR", False),
+    }
+    lost = refs.dangling(edges, components, scope=["w"]).collect()
+    assert [(r["w"], r["missing_side"], r["missing_id"]) for r in lost] == [("w2", "destination", "2")]
+    ports = spark.createDataFrame(
+        [("w2", "1", "out", "OUTPUT_PORT", "p"), ("w1", "1", "out", "OUTPUT_PORT", "q"), ("w2", "1", "out", "INPUT_PORT", "r")],
+        "w string, group_id string, name string, kind string, port_id string",
+    )
+    ends = {r["w"]: r for r in refs.build_edges(edges, components, scope=["w"], ports=ports).collect()}
+    assert (ends["w2"]["source_port_id"], ends["w2"]["source_ports"], ends["w2"]["dest_ports"]) == ("p", 1, None)
+    assert (ends["w1"]["source_port_id"], ends["w1"]["source_ports"], ends["w1"]["valid"]) == (None, None, True)
+    id_map = spark.createDataFrame([("w1", "1", "a"), ("w2", "1", "b")], "w string, old_id string, new_id string")
+    moved = refs.remap_ids(edges, id_map, ["source_id"], scope=["w"]).collect()
+    assert {(r["w"], r["source_id"]) for r in moved} == {("w1", "a"), ("w2", "b")}
+
+
+def test_deep_trees_are_expanded_to_the_end(spark):
+    links = spark.createDataFrame([("w", str(i), str(i + 1), 0) for i in range(70)], LINKS)
+    roots = spark.createDataFrame([("w", "0")], "w string, id string")
+    places = expand_hierarchy(links, roots, ["w"]).collect()
+    assert len(places) == 71 and {r["status"] for r in places} == {"ok"}

@@ -149,3 +149,36 @@ def test_attributes(spark):
     assert [r["b"] for r in got] == [True, False]
     assert got[0]["u"] != got[1]["u"] and len(got[0]["u"]) == 36
     assert {r["t"] for r in got} == {"text"}
+
+
+def test_undecided_and_free_rules(spark):
+    conditions = spark.createDataFrame(
+        [("mixed", "a", "1"), ("mixed", None, "b > 5"), ("plain", "a", "1")], "rule string, attr string, value string"
+    )
+    rows = spark.createDataFrame([("x", "a", "1"), ("x", "b", "0"), ("y", "a", "2")], "doc string, attr string, value string")
+    known = spark.createDataFrame([("mixed",), ("plain",), ("free",)], "rule string")
+    got = rules.match_rules(rows, conditions, ["doc"], ["rule"], rules=known).collect()
+    assert sorted(map(tuple, got)) == [("x", "free"), ("x", "plain"), ("y", "free")]
+    report = rules.undecided_rules(conditions, ["rule"]).collect()
+    assert [(r["rule"], r["undecided"]) for r in report] == [("mixed", ["b > 5"])]
+
+
+def test_spaces_of_values_are_kept(spark):
+    xml = (
+        "<criteria><flowFilePolicy>USE_CLONE</flowFilePolicy><rules><name>r</name>"
+        "<conditions><expression> a = 1 </expression></conditions>"
+        "<actions><attribute>x</attribute><value> padded </value></actions></rules></criteria>"
+    )
+    row = rules.parse_rules(spark.createDataFrame([(xml,)], "xml string"), "xml").first()
+    assert row["rules"][0]["conditions"] == [" a = 1 "] and row["rules"][0]["actions"] == {"x": " padded "}
+
+
+def test_attributes_need_a_key_for_ids(spark):
+    with pytest.raises(ValueError):
+        flow.set_attributes(spark.range(2), {"id2": "${uuid}"})
+
+
+def test_null_sizes_have_a_batch(spark):
+    df = spark.createDataFrame([("k", 1, 5), ("k", 2, None), ("k", 3, 9)], "k string, t int, size int")
+    got = flow.assign_batches(df, ["k"], ["t"], size=("size", 10)).orderBy("t").collect()
+    assert [r["batch"] for r in got] == [0, 0, 0]

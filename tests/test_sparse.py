@@ -148,8 +148,8 @@ def test_kinds(spark):
         V.is_port(F.col("t")).alias("p"),
     ).collect()
     assert [r["k"] for r in rows] == ["funnel", "label", "processor", "processor", "process_group"]
-    # only the exact spelling of a plain kind counts at an endpoint
-    assert [r["s"] for r in rows] == ["PROCESSOR", "PROCESSOR", "PROCESSOR", "PROCESSOR", "OUTPUT_PORT"]
+    # kinds count in any spelling, at an endpoint as elsewhere
+    assert [r["s"] for r in rows] == ["FUNNEL", "PROCESSOR", "PROCESSOR", "PROCESSOR", "OUTPUT_PORT"]
     assert rows[4]["d"] == "INPUT_PORT"
     assert [r["g"] for r in rows] == [False, False, False, False, True]
 
@@ -160,3 +160,22 @@ def test_extent_without_positions(spark):
     )
     got = {r["g"]: (r["max_x"], r["max_y"]) for r in sparse.extent(df, ["g"], "x", "y").collect()}
     assert got == {"a": (495.0, 499.0), "b": (None, None)}
+
+
+def test_numbers_that_do_not_fit_and_label_sizes(spark):
+    from flowtables.functions.values import format_position
+    from flowtables.operators.settings import label_sizes, sparse_settings
+
+    df = spark.createDataFrame([(1, 1e20, float("nan")), (2, 1.5, -0.2)], "owner_id int, x double, y double")
+    texts = [r[0] for r in df.orderBy("owner_id").select(format_position(F.col("x"), F.col("y"))).collect()]
+    assert texts == [None, "2,0"]
+    sizes = label_sizes(df, ["owner_id"], "x", "y")
+    assert sorted((r["owner_id"], r["key"], r["value"]) for r in sizes.collect()) == [(2, "height", "0"), (2, "width", "2")]
+    ports = spark.createDataFrame(
+        [("w1", 1, "remote_port", "maxConcurrentTasks", "1"), ("w2", 1, "remote_port", "maxConcurrentTasks", "3"),
+         ("w2", 1, "remote_port", "useCompression", None), ("w2", 1, "remote_port", "batchCount", "7")],
+        "w string, owner_id int, section string, key string, value string",
+    )
+    owners = spark.createDataFrame([], "w string, owner_id int, type string, kind string")
+    kept = sparse_settings(ports, owners, owner=["w", "owner_id"]).collect()
+    assert sorted((r["w"], r["key"], r["value"]) for r in kept) == [("w2", "batchCount", "7"), ("w2", "maxConcurrentTasks", "3")]
