@@ -64,12 +64,14 @@ def dropped_lines(
         .select("doc", "mark", "line_no", path, *_identity(F.col("tokens")))
     )
     # a template of min_docs documents lies in a leaf of at least as many lines and two documents
-    leaves = (
+    # (written, so that a hot leaf's lines can be split in the join)
+    leaves = cut(
         lines.groupBy("leaf")
         .agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("lo"), F.max("doc").alias("hi"))
         .where((F.col("n") >= min_docs) & (F.col("lo") < F.col("hi")))
+        .select("leaf")
     )
-    lines = cut(lines.join(leaves.select("leaf"), "leaf", "left_semi"))
+    lines = cut(lines.join(leaves, "leaf", "left_semi"))
     holders = lines.groupBy("leaf", "va", "vb", "doc").agg(F.min("mark").alias("mark"))
     variants = cut(
         holders.groupBy("leaf", "va", "vb").agg(
@@ -120,7 +122,7 @@ def dropped_lines(
         F.coalesce("ta", "va").alias("ta"),
         F.coalesce("tb", "vb").alias("tb"),
     )
-    recurring = (
+    recurring = cut(
         lines.select("ta", "tb", "doc")
         .distinct()
         .groupBy("ta", "tb")

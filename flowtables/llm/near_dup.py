@@ -26,8 +26,8 @@ from flowtables.session import cut
 BANDS, ROWS = 32, 8
 SIZE = BANDS * ROWS
 THRESHOLD = 85
-# Bytes of shingle sets in one block of a bucket.
-BLOCK_BYTES = 256 << 10
+# About as many bytes of shingle sets, and sets, are in one block of a bucket.
+BLOCK_BYTES, BLOCK_SETS = 256 << 10, 512
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -231,7 +231,9 @@ def links(docs: DataFrame, reps: DataFrame, threshold: int = THRESHOLD) -> DataF
         .agg(
             F.min("root").alias("lo"),
             F.max("root").alias("hi"),
-            F.ceil(8 * F.sum("n") / BLOCK_BYTES).alias("parts"),
+            F.ceil(
+                F.greatest(8 * F.sum("n") / BLOCK_BYTES, F.count(F.lit(1)) / BLOCK_SETS)
+            ).alias("parts"),
         )
         .where("lo < hi")
         .select("key", "parts")
