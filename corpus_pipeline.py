@@ -21,9 +21,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Without labels every document has the score 0.5 and would go, so then all stay.
     """
-    labels = table(spark, sf_dir, "labels").where("quality is not null")
-    labelled = docs.select("doc_id", "text").join(labels.select("doc_id", "quality"), "doc_id")
-    model = quality_model.train(labelled)
+    model = quality_model.train(docs, table(spark, sf_dir, "labels"))
     if not model[0][0]:
         return docs
     return quality_model.classify(docs, model).where("predicted = 1").select(*docs.columns)

@@ -28,6 +28,8 @@ LEVEL = 3
 DICTIONARY = 1 << 16
 # Most chunks of either label that a dictionary is built from (4 MB of text each).
 SAMPLE = 8192
+# Most documents of either label whose chunks are considered.
+SAMPLE_DOCS = 2000
 BINS = 2000
 POSITIVE = 0.7
 # Bytes of average text added to every text, so that a short one stays near the average.
@@ -43,14 +45,8 @@ def chunks(text: bytes, size: int = CHUNK) -> list[bytes]:
 def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in blocks(whole, "text"):
-            labels, parts = [], []
-            for text, label in zip(batch["text"].to_pylist(), batch["quality"].to_pylist()):
-                found = chunks(text.encode())
-                parts += found
-                labels += [label] * len(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(labels, pa.int32()), pa.array(parts, pa.binary())], ["quality", "chunk"]
-            )
+            parts = [part for text in batch["text"].to_pylist() for part in chunks(text.encode())]
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], ["chunk"])
 
 
 def _dictionary(sample: list[bytes]) -> bytes:
@@ -117,21 +113,34 @@ def _logistic(x: np.ndarray, good: np.ndarray, bad: np.ndarray, rounds: int = 60
     return float(w[0] / scale), float(w[1])
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """Dictionaries, average difference and curve from rows with ``text`` and ``quality`` (0 or 1; others are left out).
+def train(
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_docs: int = SAMPLE_DOCS
+) -> Model:
+    """Dictionaries, average difference and curve from ``docs`` (``doc_id``, ``text``) and ``labels`` (``doc_id``,
+    ``quality`` 0 or 1; other labels are left out, equal ones count once).
 
-    Each dictionary is built from at most ``sample`` chunks of its label, those with the smallest hash of
-    their bytes. The curve is fitted to all labelled rows, counted in ``BINS`` equal steps of the difference,
-    so the driver receives a bounded number of chunks and bins.
+    Each dictionary is built from ``sample`` chunks at most, those with the smallest hash, of ``sample_docs``
+    documents of its label at most, those with the smallest hash of their id. The curve is fitted to all
+    labelled documents, counted in equal steps of the difference (``BINS`` for a difference of 1), so the
+    driver receives a bounded number of chunks and bins. No text is shuffled: ids of the sample are few
+    enough to be sent to the texts, and compressed sizes meet their labels without the text.
     """
-    rows = labelled.where("text is not null and quality in (0, 1)").select(
-        "text", F.col("quality").cast("int").alias("quality")
+    known = (
+        labels.where("doc_id is not null and quality in (0, 1)")
+        .select("doc_id", F.col("quality").cast("int").alias("quality"))
+        .distinct()
     )
-    parts = rows.mapInArrow(_chunk_rows, "quality int, chunk binary").where("length(chunk) > 0")
     found = []
     for label in (1, 0):
+        ids = known.where(F.col("quality") == label).select("doc_id")
+        few = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
         chosen = (
-            parts.where(F.col("quality") == label)
+            docs.where("text is not null")
+            .select("doc_id", "text")
+            .join(F.broadcast(few), "doc_id")
+            .select("text")
+            .mapInArrow(_chunk_rows, "chunk binary")
+            .where("length(chunk) > 0")
             .select("chunk", F.xxhash64("chunk").alias("h"))
             .orderBy("h", "chunk")
             .limit(sample)
@@ -139,14 +148,18 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
         )
         found.append(_dictionary(chosen["chunk"].to_pylist()))
     dictionaries = (found[0], found[1])
-    sizes = cut(
-        rows.mapInArrow(
-            _sizes(dictionaries), "text string, quality int, _good bigint, _bad bigint"
-        ).select("quality", (F.col("_bad") - F.col("_good")).alias("_apart"), F.octet_length("text").alias("_bytes"))
+    sizes = (
+        docs.where("text is not null")
+        .select("doc_id", "text")
+        .mapInArrow(_sizes(dictionaries), "doc_id bigint, text string, _good bigint, _bad bigint")
+        .select("doc_id", (F.col("_bad") - F.col("_good")).alias("_apart"), F.octet_length("text").alias("_bytes"))
     )
-    usual = sizes.agg(F.sum("_apart") / F.sum("_bytes")).first()[0] or 0.0
+    sizes = cut(sizes.join(known, "doc_id").drop("doc_id"))
+    usual = sizes.agg(F.sum("_apart") / F.nullif(F.sum("_bytes"), F.lit(0))).first()[0] or 0.0
     bins = (
-        sizes.groupBy(F.round(_difference(F.col("_apart"), F.col("_bytes"), usual) * BINS).cast("int").alias("bin"))
+        sizes.groupBy(
+            F.round(_difference(F.col("_apart"), F.col("_bytes"), usual) * BINS).cast("int").alias("bin")
+        )
         .agg(F.sum("quality").alias("good"), F.count(F.lit(1)).alias("n"))
         .orderBy("bin")
         .toArrow()

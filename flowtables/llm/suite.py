@@ -240,19 +240,13 @@ def op1_language_id(spark, folder):
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
-def labelled(spark, folder):
-    """Texts of labelled documents outside the held-out quarter."""
-    labels = table(spark, folder, "labels").where("quality is not null")
-    known = table(spark, folder, "documents").where(remainder(4) != 2)
-    return known.select("doc_id", "text").join(labels.select("doc_id", "quality"), "doc_id")
-
-
 @query("op3_quality_classifier")
 def op3_quality_classifier(spark, folder):
     docs = table(spark, folder, "documents").select(
         "doc_id", "text", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out")
     )
-    scored = quality_model.classify(docs, quality_model.train(labelled(spark, folder)))
+    labels = table(spark, folder, "labels").where(remainder(4) != 2)
+    scored = quality_model.classify(docs, quality_model.train(docs.where("not held_out"), labels))
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 

@@ -160,14 +160,18 @@ def test_quality_rules_of_odd_texts(spark):
 def test_quality_model_of_odd_texts(spark):
     good = [(prose(i, 60), 1) for i in range(30)]
     bad = [(prose(i, 60).upper().replace(" ", "!! "), 0) for i in range(30)]
-    train = spark.createDataFrame([*good, *bad, (None, 1), ("x", None), ("", 0)], "text string, quality int")
-    model = quality_model.train(train)
+    known = [*good, *bad, (None, 1), ("x", None), ("", 0)]
+    train = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(known)], "doc_id bigint, text string")
+    labels = spark.createDataFrame(
+        [(i, q) for i, (_, q) in enumerate(known)] + [(None, 1), (10**6, 0), (0, 1)], "doc_id bigint, quality int"
+    )
+    model = quality_model.train(train, labels)
     texts = [*ODD, prose(77, 60), prose(78, 60).upper().replace(" ", "!! ")]
     docs = frame(spark, texts)
     got = each_row_once(quality_model.classify(docs, model), len(texts))
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got.values())
     assert got[0].score == got[1].score and got[len(ODD)].score > 0.5 > got[len(ODD) + 1].score
-    empty = quality_model.train(train.limit(0))
+    empty = quality_model.train(train, labels.limit(0))
     assert {r.score for r in quality_model.classify(docs, empty).collect()} == {0.5}
     assert quality_model.classify(docs.limit(0), model).count() == 0
     assert b"".join(quality_model.chunks(b"x" * 1500)) == b"x" * 1500
