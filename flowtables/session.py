@@ -29,6 +29,13 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+def split_skew(spark: SparkSession) -> None:
+    """Turn on what splits hot keys in lookup joins, for a session not made by :func:`configure`."""
+    for key in ("skewJoin.enabled", "forceOptimizeSkewedJoin"):
+        if spark.conf.get(f"spark.sql.adaptive.{key}", "false") != "true":
+            spark.conf.set(f"spark.sql.adaptive.{key}", "true")
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """Folder for checkpoints: the cluster's ``spark.checkpoint.dir``.
 
