@@ -22,7 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.llm.words import blocks, hash_words, keys, mix, shingle_sets, shingles
+from flowtables.llm.words import (
+    blocks,
+    hash_words,
+    keys,
+    mix,
+    shingle_sets,
+    shingles,
+    small_batches,
+)
 from flowtables.session import cut
 
 HASHES = 128
@@ -146,7 +154,7 @@ def contaminations(
     equal benchmark rows count once. Other columns are ignored. The table of documents is read once
     for every block of items; nothing is shuffled.
     """
-    spark, out = docs.sparkSession, None
+    spark, out = small_batches(docs).sparkSession, None
     schema = "doc_id bigint, item_id bigint, shared bigint, item_shingles bigint, containment double"
     for items in item_blocks(benchmark, held):
         shared_items = spark.sparkContext.broadcast(vars(items))
@@ -179,7 +187,7 @@ def drop_contaminated(
 ) -> DataFrame:
     """Rows of ``docs`` (all columns) whose text contains no test item; row by row, without a join."""
     for items in item_blocks(benchmark, held):
-        shared_items = docs.sparkSession.sparkContext.broadcast(vars(items))
+        shared_items = small_batches(docs).sparkSession.sparkContext.broadcast(vars(items))
 
         def clean(batches, shared_items=shared_items):
             held_items = Items.restored(shared_items.value)

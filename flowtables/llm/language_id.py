@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtables.llm.words import blocks, segment_sum
+from flowtables.llm.words import blocks, segment_sum, small_batches
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
@@ -80,7 +80,8 @@ def train(docs: DataFrame, smoothing: float = 0.5) -> tuple[list[str], np.ndarra
     language and bucket, whatever the corpus.
     """
     counted = (
-        docs.where("text is not null and lang is not null")
+        small_batches(docs)
+        .where("text is not null and lang is not null")
         .select(F.col("lang").cast("string").alias("lang"), "text")
         .mapInArrow(_gram_counts, "lang string, bucket bigint, n bigint")
         .groupBy("lang", "bucket")
@@ -135,7 +136,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
                     [*batch.schema.names, "lang_pred", "score"],
                 )
 
-    rows = docs.drop("lang_pred", "score")
+    rows = small_batches(docs).drop("lang_pred", "score")
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     schema = T.StructType([*rows.schema.fields, *added])
     return rows.mapInArrow(score, schema)

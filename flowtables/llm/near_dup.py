@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtables.llm.components import components
-from flowtables.llm.words import blocks, keys, mix, segment_sum, shingle_sets
+from flowtables.llm.words import blocks, keys, mix, segment_sum, shingle_sets, small_batches
 from flowtables.session import cut
 
 BANDS, ROWS = 32, 8
@@ -123,7 +123,7 @@ def _confirmed(threshold: int):
 
 def signatures(docs: DataFrame) -> DataFrame:
     """Set size, fingerprint of the set and band keys per row."""
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(
+    return small_batches(docs).select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(
         _signatures,
         "doc_id bigint, n_shingles bigint, mark_a bigint, mark_b bigint, bands array<bigint>",
     )

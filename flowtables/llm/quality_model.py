@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtables.llm.words import blocks
+from flowtables.llm.words import blocks, small_batches
 from flowtables.session import cut
 
 # Dictionaries (good, bad), average difference, slope and offset of the curve.
@@ -149,7 +149,8 @@ def train(
         found.append(_dictionary(chosen["chunk"].to_pylist()))
     dictionaries = (found[0], found[1])
     sizes = (
-        docs.where("text is not null")
+        small_batches(docs)
+        .where("text is not null")
         .select("doc_id", "text")
         .mapInArrow(_sizes(dictionaries), "doc_id bigint, text string, _good bigint, _bad bigint")
         .select("doc_id", (F.col("_bad") - F.col("_good")).alias("_apart"), F.octet_length("text").alias("_bytes"))
@@ -178,7 +179,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
     Columns named like an added one are replaced.
     """
     dictionaries, usual, slope, offset = model
-    rows = docs.drop("score", "predicted", "_good", "_bad")
+    rows = small_batches(docs).drop("score", "predicted", "_good", "_bad")
     added = [T.StructField(name, T.LongType()) for name in ("_good", "_bad")]
     schema = T.StructType([*rows.schema.fields, *added])
     size = F.octet_length(F.coalesce("text", F.lit("")))

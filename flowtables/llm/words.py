@@ -12,17 +12,27 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 # Bytes of text hashed at once, and bytes of text put into one block of rows.
 PIECE = 1 << 19
-BLOCK = 4 << 20
+BLOCK = 2 << 20
+# Rows sent to Python at once: a few MB of usual texts, where Spark's own 10,000 would be tens of them.
+BATCH_ROWS = 512
 WIDTH = 5
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on sends at most ``BATCH_ROWS`` rows to Python at once."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def word_list(text: Column) -> Column:
     """Words of a text in order; no words for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")
