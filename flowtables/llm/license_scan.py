@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowtables.llm.license_texts import LONG_TEMPLATES
+
 THRESHOLD = 80
 # Most characters of all templates together; they travel inside the expressions.
 MOST_CHARS = 1 << 20
@@ -107,86 +109,140 @@ def normalised(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def bigrams(text: Column) -> Column:
-    """Distinct word bigrams."""
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out one time."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def bigrams(words: Column) -> Column:
+    """Word bigrams in order, repeated ones too."""
+    return F.transform(
+        F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
+        lambda w, i: F.concat_ws(" ", F.get(words, i), w),
+    )
+
+
+def best_window(said: Column, hits: Column, template: Column) -> Column:
+    """Best Dice coefficient of a template and any run of the bigrams ``said``, at most ``reach`` long.
+
+    ``hits`` are the places of the template's bigrams in order. The best run begins and ends at one, and at
+    least ``need`` of them lie in it, so all other starts are passed over. ``prev`` is a bigram's last place
+    before within reach: a run counts each bigram once.
+    """
+    reach, need, size = template["reach"], template["need"], template["size"]
+    starts = F.filter(hits, lambda at, i: F.coalesce(F.get(hits, i + need - 1) < at + reach, F.lit(False)))
+
+    def prev(pair: Column, at: Column) -> Column:
+        before = F.reverse(F.slice(said, F.greatest(at - reach, F.lit(0)) + 1, F.least(at, reach)))
+        back = F.array_position(before, pair)
+        return F.when(back > 0, at - back).otherwise(F.lit(-1)).cast("int")
 
-    def made(words: Column) -> Column:
-        return F.array_distinct(
-            F.transform(
-                F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-                lambda w, i: F.concat_ws(" ", F.get(words, i), w),
+    def window(marks: Column, start: Column) -> Column:
+        def grown(run: Column, mark: Column) -> Column:
+            new = mark["prev"] < start
+            own = run["own"] + F.when(new, 1).otherwise(0)
+            shared = run["shared"] + F.when(new & mark["hit"], 1).otherwise(0)
+            return F.struct(
+                own.alias("own"),
+                shared.alias("shared"),
+                F.greatest(run["dice"], 2.0 * shared / (own + size)).alias("dice"),
             )
-        )
 
-    return F.element_at(F.transform(F.array(normalised(text)), made), 1)
+        empty = F.struct(F.lit(0).alias("own"), F.lit(0).alias("shared"), F.lit(0.0).alias("dice"))
+        return F.aggregate(
+            F.slice(marks, start + 1 - F.get(starts, F.lit(0)), reach), empty, grown, lambda r: r["dice"]
+        )
 
+    def best(first: Column) -> Column:
+        # marks of the places from the first start to the end of the last start's run
+        part = F.slice(said, first + 1, F.element_at(starts, -1) - first + reach)
+        marks = F.transform(
+            part,
+            lambda pair, i: F.struct(
+                prev(pair, first + i).alias("prev"),
+                F.array_contains(template["pairs"], pair).alias("hit"),
+            ),
+        )
+        return once(
+            marks,
+            lambda m: F.aggregate(
+                starts,
+                F.lit(0.0),
+                lambda top, at: F.when(top >= 1.0, top).otherwise(F.greatest(top, window(m, at))),
+            ),
+        )
 
-def units(text: Column) -> Column:
-    """What is held against a template: the whole text, its lines and its sentences."""
-    sentences = F.regexp_replace(text, r"([.!?])[\x20\x09-\x0D]+", "$1\n")
-    return F.array_distinct(
-        F.concat(F.array(text), F.split(text, "\n"), F.split(sentences, "\n"))
-    )
+    return F.when(F.size(starts) > 0, best(F.get(starts, F.lit(0)))).otherwise(F.lit(0.0))
 
 
 def scan(
     docs: DataFrame,
-    templates: Sequence[tuple[str, str]] = TEMPLATES,
+    templates: Sequence[tuple[str, str]] = (*TEMPLATES, *LONG_TEMPLATES),
     threshold: int = THRESHOLD,
 ) -> DataFrame:
     """All rows and columns of ``docs`` with ``licenses``: (dice, name) of each licence found, best first.
 
-    The whole text, each line and each sentence is reduced to its distinct word bigrams and held against
-    the templates whose size allows a Dice coefficient of ``threshold`` percent: with b bigrams those of
-    b * t / (2 - t) to b * (2 - t) / t. Units without any word that such a text must have (``anchors``) are
-    passed over, which changes no result. Of several templates or units of a licence the best counts; equal
-    licences are in order of name. Row by row, without a shuffle; the templates are at most ``MOST_CHARS``
-    characters together.
+    A template is held against every window of the text's words, line feeds and punctuation ignored, that
+    is at most (2 - t) / t times as long, by the Dice coefficient of their distinct word bigrams; at least
+    t * b / (2 - t) of its b bigrams must be shared to reach ``threshold`` percent. Texts without any word
+    that such a window must have (``anchors``) and templates without enough shared bigrams in the whole
+    text are passed over, which changes no result. Of several templates or windows of a licence the best
+    counts; equal licences are in order of name. Row by row, without a shuffle; the templates are at most
+    ``MOST_CHARS`` characters together.
 
     Null and empty texts have no licence (an empty list). Columns named ``licenses`` are replaced.
     """
-    prepared = [(name, pairs(plain_words(text))) for name, text in templates]
-    prepared = [(name, found) for name, found in prepared if found]
+    prepared = [(name, plain_words(text)) for name, text in templates]
+    prepared = [(name, len(words) - 1, pairs(words)) for name, words in prepared if len(words) > 1]
     rows = docs.drop("licenses")
     kind = "array<struct<dice:double,name:string>>"
     if not prepared:
         return rows.withColumn("licenses", F.array().cast(kind))
     if sum(len(text) for _, text in templates) > MOST_CHARS:
         raise ValueError(f"templates of more than {MOST_CHARS} characters")
-    needed = sorted({w for _, found in prepared for w in anchors(found, threshold)})
+    needed = sorted({w for _, _, found in prepared for w in anchors(found, threshold)})
     holds_anchor = f"(?<![a-z0-9])(?:{'|'.join(needed)})(?![a-z0-9])"
+
+    def listed(found: Sequence[str]) -> Column:
+        return F.split(F.lit("|".join(found)), "[|]")
+
     known = F.array(
         *[
             F.struct(
                 F.lit(name).alias("name"),
-                F.array(*map(F.lit, found)).alias("pairs"),
+                listed(found).alias("pairs"),
                 F.lit(len(found)).alias("size"),
+                F.lit(-(-len(found) * threshold // (200 - threshold))).alias("need"),
+                F.lit(max(length * (200 - threshold) // threshold, 1)).alias("reach"),
             )
-            for name, found in prepared
+            for name, length, found in prepared
         ]
     )
+    every = listed(sorted({pair for _, _, found in prepared for pair in found}))
 
-    def against(unit: Column) -> Column:
-        size = F.size(unit)
-        fitting = F.filter(
-            known,
-            lambda t: (size * (200 - threshold) >= t["size"] * threshold)
-            & (size * threshold <= t["size"] * (200 - threshold)),
+    def scored(said: Column, mine: Column) -> Column:
+        fitting = F.filter(known, lambda t: F.size(F.array_intersect(mine, t["pairs"])) >= t["need"])
+        places = F.filter(
+            F.transform(said, lambda p, i: F.struct(i.alias("at"), p.alias("pair"))),
+            lambda s: F.array_contains(mine, s["pair"]),
         )
-        scored = F.transform(
+
+        def against(spots: Column, t: Column) -> Column:
+            hits = F.transform(
+                F.filter(spots, lambda s: F.array_contains(t["pairs"], s["pair"])), lambda s: s["at"]
+            )
+            dice = once(hits, lambda h: best_window(said, h, t))
+            return F.struct(dice.alias("dice"), t["name"].alias("name"))
+
+        return once(
             fitting,
-            lambda t: F.struct(
-                (2.0 * F.size(F.array_intersect(unit, t["pairs"])) / (size + t["size"])).alias("dice"),
-                t["name"].alias("name"),
-            ),
+            lambda fit: F.when(
+                F.size(fit) > 0, once(places, lambda spots: F.transform(fit, lambda t: against(spots, t)))
+            ).otherwise(F.array().cast(kind)),
         )
-        return F.filter(scored, lambda s: 100 * s["dice"] >= threshold)
 
-    text = F.col("text")
-    likely = F.filter(units(text), lambda u: F.lower(u).rlike(holds_anchor))
-    found = F.flatten(F.transform(F.transform(likely, bigrams), against))
-    best = F.array_sort(
-        F.transform(
+    def licences(found: Column) -> Column:
+        best = F.transform(
             F.array_distinct(F.transform(found, lambda s: s["name"])),
             lambda n: F.struct(
                 F.array_max(
@@ -194,11 +250,25 @@ def scan(
                 ).alias("dice"),
                 n.alias("name"),
             ),
+        )
+        return F.array_sort(
+            best,
+            lambda a, b: F.when(a["dice"] > b["dice"], -1)
+            .when(a["dice"] < b["dice"], 1)
+            .when(a["name"] < b["name"], -1)
+            .otherwise(1),
+        )
+
+    text = F.col("text")
+    best = once(
+        once(
+            normalised(text),
+            lambda words: once(
+                bigrams(words),
+                lambda said: once(F.array_intersect(said, every), lambda mine: scored(said, mine)),
+            ),
         ),
-        lambda a, b: F.when(a["dice"] > b["dice"], -1)
-        .when(a["dice"] < b["dice"], 1)
-        .when(a["name"] < b["name"], -1)
-        .otherwise(1),
+        lambda found: licences(F.filter(found, lambda s: 100 * s["dice"] >= threshold)),
     )
     return rows.withColumn(
         "licenses",

@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import random
+import textwrap
 
 import numpy as np
 import pyarrow as pa
@@ -250,6 +251,59 @@ def test_licences_in_odd_texts(spark):
     assert license_scan.scan(frame(spark, texts), []).where("size(licenses) > 0").count() == 0
 
 
+def best_dice(text, template, threshold=80):
+    """Best Dice coefficient over all windows of at most (2 - t) / t times the template's length."""
+    words, want = license_scan.plain_words(text), license_scan.plain_words(template)
+    said, held = list(zip(words, words[1:])), set(zip(want, want[1:]))
+    reach, best = max((len(want) - 1) * (200 - threshold) // threshold, 1), 0.0
+    for i in range(len(said)):
+        seen = set()
+        for pair in said[i : i + reach]:
+            seen.add(pair)
+            best = max(best, 2.0 * len(seen & held) / (len(seen) + len(held)))
+    return best
+
+
+def wrapped(text, mark="", width=60):
+    return "\n".join(mark + x for x in textwrap.wrap(text, width))
+
+
+def test_wrapped_licences_in_long_documents(spark):
+    long = {}
+    for name, text in license_scan.LONG_TEMPLATES:
+        long.setdefault(name, text)
+    short = [t for n, t in license_scan.TEMPLATES if n == "apache-2.0"][1]
+    notices = [
+        ("mit", wrapped(long["mit"])),
+        ("apache-2.0", wrapped(short, "// ")),
+        ("bsd", wrapped(long["bsd"], " * ").replace("COPYRIGHT HOLDERS", "REGENTS")),
+        ("gpl-3.0", wrapped([t for n, t in license_scan.LONG_TEMPLATES if n == "gpl-3.0"][1], "# ")),
+        ("gpl-2.0", wrapped([t for n, t in license_scan.LONG_TEMPLATES if n == "gpl-2.0"][1])),
+        ("mit", f"{prose(5, 30)} released under\nthe MIT license {prose(6, 30)}"),
+    ]
+    texts = [f"{prose(i, 1500)}\n\n{t}\n\n{prose(100 + i, 1500)}" for i, (_, t) in enumerate(notices)]
+    texts += [f"{prose(1)} permission is granted to nobody, the software license says {prose(2)}"]
+    got = each_row_once(license_scan.scan(frame(spark, texts)), len(texts))
+    assert [got[i].licenses[0].name for i in range(len(notices))] == [n for n, _ in notices]
+    assert got[len(notices)].licenses == []
+
+
+def test_windows_by_brute_force(spark):
+    pick = random.Random(3)
+    templates = [("x", "red blue red green and gold of red blue mist"), ("y", "gold of mist green tin"), ("z", "tin red")]
+    words = "red blue green and gold of mist tin".split()
+    texts = ["\n".join(pick.choice(words) for _ in range(pick.randint(1, 60))) for _ in range(60)]
+    for i in range(60):
+        run = templates[i % 2][1].split()
+        run.insert(pick.randint(0, len(run)), pick.choice(words))
+        texts.append(f"{texts[i]} {' '.join(run)} {texts[59 - i]}")
+    got = each_row_once(license_scan.scan(frame(spark, texts), templates), len(texts))
+    for i, text in enumerate(texts):
+        dice = {n: best_dice(text, t) for n, t in templates}
+        wanted = sorted(((-d, n) for n, d in dice.items() if 100 * d >= 80))
+        assert [(-x.dice, x.name) for x in got[i].licenses] == wanted
+
+
 def test_anchors_are_needed():
     pick = random.Random(5)
     for _, text in license_scan.TEMPLATES:
