@@ -19,6 +19,10 @@ MIN_DOCS = 3
 MIN_TOKENS = 5
 DEPTH = 3
 CONSTANT = 50
+# Most variable fields, as a percentage of the positions behind the path, of a line that keeps fewer than
+# SURE of those positions.
+VARIABLE = 25
+SURE = 20
 FIELD = "<*>"
 LAST = (1 << 63) - 1
 
@@ -49,6 +53,13 @@ def _identity(tokens: Column) -> tuple[Column, Column]:
     return F.xxhash64(F.concat_ws(" ", tokens)).alias("va"), F.xxhash64(tokens).alias("vb")
 
 
+def _alike(behind: Column, variable: Column, constant: int) -> Column:
+    """Whether lines of a template are alike in what their path does not fix."""
+    kept = behind - variable
+    few = 100 * variable <= VARIABLE * behind
+    return (100 * kept >= constant * behind) & (few | (kept >= SURE))
+
+
 def dropped_lines(
     docs: DataFrame,
     min_docs: int = MIN_DOCS,
@@ -111,6 +122,7 @@ def dropped_lines(
             F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("parts"),
         )
         .where(100 * F.col("fixed") >= constant * F.col("n"))
+        .where(_alike(F.col("n") - depth, F.col("n") - F.col("fixed"), constant))
         .select("va", "vb", F.transform("parts", lambda p: p["token"]).alias("template"))
     )
     ta, tb = _identity(F.col("template"))
@@ -139,7 +151,9 @@ def dedup_lines(docs: DataFrame, **limits: int) -> DataFrame:
     Lines are what a split at line feeds gives. A line of at least ``min_tokens`` tokens is dropped if its
     template is found in ``min_docs`` documents or more and its own document is not the one of the smallest
     id among them. A leaf's position keeps tokens whose lines stand in ``min_docs`` documents; if fewer
-    than ``constant`` percent of a line's positions keep theirs, the line stands for itself.
+    than ``constant`` percent of a line's positions keep theirs, the line stands for itself. So it does if that
+    holds for the positions behind its path, which are not equal by the leaf alone, or if more than
+    ``VARIABLE`` percent of these vary and fewer than ``SURE`` are kept. Digits are fields from the start.
 
     Null text has no lines and stays null. Rows that repeat a ``doc_id`` count as one document, rows without
     one as one that comes last. Columns named like an added one are replaced; others may have any name.

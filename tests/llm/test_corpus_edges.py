@@ -412,6 +412,31 @@ def test_lines_of_odd_texts(spark):
     assert line_dedup.dedup_lines(twice.unionAll(twice)).where("n_dropped > 0").count() == 10
 
 
+def test_lines_that_share_leading_words_stay(spark):
+    ends = ["are for", "of rest", "ing ere", "oues aha", "the enre"]
+    six = ["very old dogs", "new red cars", "some good wine", "many tall trees", "few small boats"]
+    shared = ["the dog", "the cat", "the sea", "the sun", "the end"]
+    logs = "job number {} of queue {} ended with state {} after {} seconds"
+    texts = [
+        "\n".join(
+            [
+                f"was erlytion that {ends[i]}",
+                f"here we have {six[i]}",
+                f"once upon a {shared[i]}",
+                logs.format(i, "main", 3 * i, 7 * i),
+                f"please note that the office of {'abcde'[i]}x is closed on all public holidays",
+                prose(i),
+            ]
+        )
+        for i in range(5)
+    ]
+    got = each_row_once(line_dedup.dedup_lines(frame(spark, texts)), len(texts))
+    assert got[0].kept_text == texts[0]
+    for i in range(1, 5):
+        lines = texts[i].split("\n")
+        assert got[i].kept_text == "\n".join(lines[:3] + lines[5:])
+
+
 def test_pipeline_of_odd_tables(spark, tmp_path):
     for name, df in (
         ("labels", spark.createDataFrame([], "doc_id bigint, quality int, toxic int")),
