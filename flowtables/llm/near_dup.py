@@ -5,9 +5,10 @@ that starts with r, and a coordinate keeps its smallest value; in rounds SIZE to
 shingles go to coordinate r - SIZE, so every coordinate is filled at the latest then. A text leaves
 the rounds as soon as its sketch is full: a long text after one or two rounds.
 
-Eight coordinates make a band; texts that agree in one of 32 bands are candidates. A pair at the
-threshold 0.85 is missed with probability (1 - 0.85**8)**32 = 4e-5, and every candidate is confirmed
-on the full sets.
+Up to eight coordinates make a band; texts that agree in one band are candidates. The rows of a band follow
+from the threshold (``banding``): at 0.85 there are 32 bands of 8 and a pair at the threshold is missed with
+probability (1 - 0.85**8)**32 = 4e-5, at 0.80 there are 42 of 6 and (1 - 0.8**6)**42 = 3e-6. Every
+candidate is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -25,12 +26,24 @@ from flowtables.session import cut
 
 BANDS, ROWS = 32, 8
 SIZE = BANDS * ROWS
+# Most pairs at the threshold that the bands may miss.
+MISSED = 5e-5
 THRESHOLD = 85
 # About as many bytes of shingle sets, and sets, are in one block of a bucket.
 BLOCK_BYTES, BLOCK_SETS = 256 << 10, 512
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+def banding(threshold: int) -> tuple[int, int]:
+    """(bands, rows): the most rows, ``ROWS`` at most, with which the bands of a sketch miss a pair at the
+    threshold with a probability of ``MISSED`` or less; one row if none do."""
+    alike = threshold / 100
+    for rows in range(ROWS, 1, -1):
+        if (1 - alike**rows) ** (SIZE // rows) <= MISSED:
+            return SIZE // rows, rows
+    return SIZE, 1
+
+
 def sketches(values: np.ndarray, counts: np.ndarray, size: int = SIZE) -> np.ndarray:
     """Fast similarity sketches of the sets of a block; rows without values stay ``EMPTY``."""
     cells = np.full((len(counts), size), EMPTY)
@@ -63,24 +76,27 @@ def band_keys(cells: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return mix(parts.sum(axis=2, dtype=np.uint64) ^ keys(bands, 37)).view(np.int64)
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in blocks(whole, "text"):
-            values, sizes = shingle_sets(batch.column("text"))
-            bands = band_keys(sketches(values, sizes))
-            marks = [segment_sum(mix(values ^ k), sizes).view(np.int64) for k in keys(2, 41)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(sizes),
-                    pa.array(marks[0], mask=sizes == 0),
-                    pa.array(marks[1], mask=sizes == 0),
-                    pa.FixedSizeListArray.from_arrays(pa.array(bands.ravel()), BANDS).cast(
-                        pa.list_(pa.int64())
-                    ),
-                ],
-                ["doc_id", "n_shingles", "mark_a", "mark_b", "bands"],
-            )
+def _signatures(bands: int, rows: int):
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in blocks(whole, "text"):
+                values, sizes = shingle_sets(batch.column("text"))
+                found = band_keys(sketches(values, sizes)[:, : bands * rows], bands)
+                marks = [segment_sum(mix(values ^ k), sizes).view(np.int64) for k in keys(2, 41)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id"),
+                        pa.array(sizes),
+                        pa.array(marks[0], mask=sizes == 0),
+                        pa.array(marks[1], mask=sizes == 0),
+                        pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), bands).cast(
+                            pa.list_(pa.int64())
+                        ),
+                    ],
+                    ["doc_id", "n_shingles", "mark_a", "mark_b", "bands"],
+                )
+
+    return signed
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,10 +137,10 @@ def _confirmed(threshold: int):
     return check
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Set size, fingerprint of the set and band keys per row."""
     return small_batches(docs).select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(
-        _signatures,
+        _signatures(*banding(threshold)),
         "doc_id bigint, n_shingles bigint, mark_a bigint, mark_b bigint, bands array<bigint>",
     )
 
@@ -269,7 +285,7 @@ def near_dup_groups(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     repeat a ``doc_id`` are one document; if their texts differ, near copies are sought for the set of the
     smallest fingerprint, equal sets for all of them. Other columns are ignored.
     """
-    rows = cut(signatures(docs))
+    rows = cut(signatures(docs, threshold))
     full = rows.where("n_shingles > 0 and doc_id is not null")
     # one node for each set: named by the smallest document that has it
     nodes = cut(

@@ -238,6 +238,16 @@ def test_contamination_of_odd_texts(spark):
     assert decontaminate.contaminations(docs.limit(0), bench).count() == 0
 
 
+def test_near_pairs_at_the_pipelines_threshold(spark):
+    n, texts = 3000, []
+    for i in range(n):
+        words = [f"w{i}x{k}" for k in range(49)]  # 40 of 50 shingles are shared
+        texts += [" ".join(words), " ".join([*words[:44], *(f"v{i}x{k}" for k in range(5))])]
+    got = near_dup.near_dup_groups(frame(spark, texts, extra=False), corpus_pipeline.NEAR_PERCENT)
+    assert got.where("kept").count() == n
+    assert near_dup.banding(85) == (32, 8) and near_dup.banding(80) == (42, 6)
+
+
 def test_licences_in_odd_texts(spark):
     mit = "Released under the MIT License."
     texts = [*ODD, mit, f"{prose(1)}\n{mit}\n{prose(2)}", f"{prose(3)}. {mit} {prose(4)}", "mit licens",
