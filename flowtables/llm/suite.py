@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from flowtables.llm import (
     chat_format,
+    conversation_trie,
     decontaminate,
+    exact_dedup,
     language_id,
     license_scan,
     line_dedup,
@@ -17,6 +19,7 @@ from flowtables.llm import (
     near_dup,
     quality_model,
     quality_rules,
+    spelling,
     url_filter,
 )
 from flowtables.sources.tables import literal_table, table
@@ -328,3 +331,91 @@ def op7_license_scan(spark, folder):
         best["dice"].alias("dice"),
         F.size("licenses").cast("bigint").alias("n_licenses"),
     )
+
+
+@query(
+    "op11_exact_dedup",
+    """
+    WITH texts AS (
+      SELECT doc_id, sha256(translate(
+        coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+      FROM documents),
+    groups AS (
+      SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY ALL)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
+    FROM texts JOIN groups USING (text_sha256)
+    """,
+)
+def op11_exact_dedup(spark, folder):
+    return exact_dedup.exact_groups(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+# crc32 of a text of ASCII or Latin letters, whose bytes are given as a list.
+_CRC32 = """
+    crc_table AS (
+      SELECT list(list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+      FROM range(256) AS r(i))"""
+
+
+def _crc32_sql(codes: str) -> str:
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}),
+      lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295)"""
+
+
+@query("op12_spelling_forms")
+def op12_spelling_forms(spark, folder):
+    return spelling.spelling_forms(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query(
+    "op13_conversation_trie",
+    f"""
+    WITH RECURSIVE {_CRC32},
+    own AS (
+      SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+      FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS (
+      SELECT c, c - c % 100 AS b, {_crc32_sql(
+        "list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))"
+      )} % 6 AS h
+      FROM (SELECT DISTINCT c FROM own), crc_table),
+    turns AS (
+      SELECT v.c, i, role, text FROM convs v JOIN own o ON o.c = v.b WHERE i <= h
+      UNION ALL SELECT v.c, i + 1000000, role, text FROM convs v JOIN own o USING (c) WHERE i > h),
+    marked AS (
+      SELECT c, row_number() OVER w AS d, length(text) AS chars,
+        sha256(CAST(length(role) AS VARCHAR) || ':' || role || text) AS mark
+      FROM turns WINDOW w AS (PARTITION BY c ORDER BY i)),
+    paths AS (
+      SELECT c, d, chars, sha256(string_agg(mark, '') OVER (
+        PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING)) AS node,
+        count(*) OVER (PARTITION BY c) AS m FROM marked),
+    placed AS (
+      SELECT c, d, chars, node, m, coalesce(lag(node) OVER (PARTITION BY c ORDER BY d), '') AS above
+      FROM paths
+      UNION ALL SELECT c, 0, 0, '', coalesce(m, 0), NULL
+      FROM convs LEFT JOIN (SELECT c, max(m) AS m FROM paths GROUP BY c) USING (c)),
+    nodes AS (
+      SELECT node, any_value(above) AS above, d, min(c) AS conv_id, count(*) AS n_convs,
+        any_value(chars) AS chars,
+        sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (m = d), '')) AS ends
+      FROM placed GROUP BY node, d),
+    children AS (SELECT above AS node, count(*) AS k FROM nodes WHERE d > 0 GROUP BY above),
+    below AS (
+      SELECT node AS top, node FROM nodes
+      UNION ALL SELECT b.top, n.node FROM below b JOIN nodes n ON n.above = b.node),
+    sums AS (
+      SELECT top AS node, count(*) FILTER (k IS NULL) AS n_leaves,
+        CAST(sum((n_convs - 1) * chars) AS BIGINT) AS saved_tokens
+      FROM below JOIN nodes USING (node) LEFT JOIN children USING (node) GROUP BY top)
+    SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+      coalesce(k, 0) AS n_children, n_leaves, saved_tokens, n.ends AS ends_sha256
+    FROM nodes n JOIN sums USING (node) LEFT JOIN children USING (node)
+      LEFT JOIN nodes p ON p.node = n.above
+    """,
+)
+def op13_conversation_trie(spark, folder):
+    turns = conversation_trie.original_turns(table(spark, folder, "conversations"))
+    return conversation_trie.prefix_trie(*conversation_trie.with_shared_heads(turns))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Bytes of text hashed at once, and bytes of text put into one block of rows.
 PIECE = 1 << 19
 BLOCK = 2 << 20
@@ -42,6 +43,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def lower_ascii(text: Column) -> Column:
+    """``text`` with A-Z in lower case and all other characters as they are."""
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit mixing (SplitMix64 finaliser)."""
     x = x ^ (x >> np.uint64(30))

@@ -1,5 +1,8 @@
 """Plain Python versions of operators, for small tables."""
 
+import hashlib
+import re
+import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 from math import log2, sqrt
@@ -49,8 +52,6 @@ def contaminated(texts, items, percent=80):
 
 def recurring_lines(texts, min_docs=3, min_tokens=5, depth=3):
     """(document, line number) of the lines that the template tree drops."""
-    import re
-
     leaves, placed = defaultdict(lambda: defaultdict(set)), []
     for doc, text in texts.items():
         for number, line in enumerate((text or "").split("\n")):
@@ -148,3 +149,89 @@ def quality_rules(docs):
             )
         )
     return [o[0] for o in out]
+
+
+def exact_groups(docs):
+    """(keep_id, group size, digest) by row, for rows (doc_id, text)."""
+    norm = [re.sub("[A-Z]", lambda m: m[0].lower(), t or "") for _, t in docs]
+    groups = defaultdict(list)
+    for (i, _), t in zip(docs, norm):
+        groups[t].append(i)
+    return [
+        (max((i for i in groups[t] if i is not None), default=None), len(groups[t]),
+         hashlib.sha256(t.encode()).hexdigest())
+        for t in norm
+    ]
+
+
+def spelling_forms(docs, min_chars=7, min_count=2, times=10):
+    """word -> (form, root, n, n_near, form_n), holding all words of similar length together."""
+    count = Counter()
+    for i, text in docs:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            count[run] += 1
+    count = {w: n for w, n in count.items() if len(w) >= min_chars and n >= min_count}
+
+    def close(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        a, b = sorted((a, b), key=len)
+        return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    near = defaultdict(set)
+    for a, b in combinations(count, 2):
+        if abs(len(a) - len(b)) < 2 and close(a, b):
+            near[a].add(b)
+            near[b].add(a)
+    form = {}
+    for w in count:
+        best = min(near[w], key=lambda v: (-count[v], v), default=None)
+        form[w] = best if best and count[best] >= times * count[w] else None
+    out = {}
+    for w in count:
+        root = w
+        while form[root]:
+            root = form[root]
+        out[w] = (form[w], root, count[w], len(near[w]), count[form[w]] if form[w] else None)
+    return out
+
+
+def shared_heads(turns):
+    """conversation -> turns (role, text) with lent heads, for rows (conv_id, turn, role, text)."""
+    own = defaultdict(list)
+    for c, turn, role, text in turns:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(v)] for c, v in own.items()}
+    h = {c: zlib.crc32(str(c).encode()) % 6 for c in own}
+    return {c: own.get(c - c % 100, [])[: h[c]] + v[h[c] :] for c, v in own.items()}
+
+
+def prefix_trie(convs):
+    """Rows of the trie of {conversation: turns}."""
+    members = defaultdict(list)
+    for c in sorted(convs):
+        for d in range(len(convs[c]) + 1):
+            members[tuple(convs[c][:d])].append(c)
+    children = defaultdict(set)
+    for node in members:
+        if node:
+            children[node[:-1]].add(node)
+    leaves, saved = Counter(), Counter()
+    for node in sorted(members, key=len, reverse=True):
+        leaves[node] += not children[node]
+        if node:
+            saved[node] += (len(members[node]) - 1) * len(node[-1][1])
+            leaves[node[:-1]] += leaves[node]
+            saved[node[:-1]] += saved[node]
+    return {
+        (m[0], len(node)): (
+            members[node[:-1]][0] if node else None, len(m), len(children[node]), leaves[node], saved[node],
+            hashlib.sha256(",".join(str(c) for c in m if len(convs[c]) == len(node)).encode()).hexdigest(),
+        )
+        for node, m in members.items()
+    }
