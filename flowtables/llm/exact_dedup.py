@@ -176,7 +176,8 @@ def exact_groups(
     texts = chains(docs, keys, max(capacity, ceil(rows / max_buckets)), hashed)
     if texts.groupBy("key", "digest").count().where("count > 1").take(1):
         raise RuntimeError("two texts of one key have the same SHA-256")
-    groups = texts.join(named.select("key", "digest", "keep_row"), ["key", "digest"])
+    # written, so that the rows of a hot group can be split in the join below
+    groups = stored(texts.join(named.select("key", "digest", "keep_row"), ["key", "digest"]), "groups")
     added = {"keep_id", "group_size", "kept", "text_sha256", "text"}
     return listed.join(groups, ["key", "digest"], "left").select(
         *[F.col(f"doc.`{c}`") for c in docs.columns if c not in added],
