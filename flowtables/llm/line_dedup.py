@@ -3,7 +3,11 @@
 A line's path in the tree is its number of tokens and its leading tokens, with runs of digits as
 ``<*>``. Within a leaf a position keeps a token that enough documents have there and becomes ``<*>``
 otherwise, so lines that differ in variable fields share a template. Templates found in enough
-documents are dropped everywhere but in the document of the smallest id.
+documents are dropped everywhere but in the document of the smallest id; long lines are dropped from two
+documents on, if they are the same but for digits.
+
+Every text is turned into numbers and hashes of its lines in one pass. Tokens are read again, as hashes, from
+one line of each variant whose leaf holds others.
 """
 
 from __future__ import annotations
@@ -12,13 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtables.llm.words import GAP, word_list
-from flowtables.operators.spread import small
-from flowtables.session import cut
+from flowtables.session import split_skew, stored
 
 MIN_DOCS = 3
 MIN_TOKENS = 5
 DEPTH = 3
 CONSTANT = 50
+# Tokens of a line that is dropped from two documents on.
+LONG_TOKENS = 50
 # Most variable fields, as a percentage of the positions behind the path, of a line that keeps fewer than
 # SURE of those positions.
 VARIABLE = 25
@@ -27,122 +32,154 @@ FIELD = "<*>"
 LAST = (1 << 63) - 1
 
 
-def masked_tokens(line: Column) -> Column:
-    return word_list(F.regexp_replace(line, "[0-9]+", FIELD))
+def _alike(behind: Column, variable: Column, constant: int) -> Column:
+    """Whether lines of a template are alike in what their path does not fix."""
+    kept = behind - variable
+    few = 100 * variable <= VARIABLE * behind
+    return (100 * kept >= constant * behind) & (few | (kept >= SURE))
 
 
-def _numbered_lines(docs: DataFrame) -> DataFrame:
-    """(doc, mark, line_no, tokens) of all lines; ``doc`` and ``mark`` tell rows of different text apart."""
-    return (
-        docs.where("text is not null")
-        .select(*_row_key(), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .withColumn("tokens", masked_tokens(F.col("line")))
-        .drop("line")
-    )
+def _masked_lines(text: Column) -> Column:
+    return F.split(F.regexp_replace(text, "[0-9]+", FIELD), "\n")
 
 
 def _row_key() -> list[Column]:
+    """Document and mark of its text; rows without an id are one document that comes last."""
     return [
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"),
         F.xxhash64("text").alias("mark"),
     ]
 
 
-def _identity(tokens: Column) -> tuple[Column, Column]:
-    """Two 64-bit hashes of a token list."""
-    return F.xxhash64(F.concat_ws(" ", tokens)).alias("va"), F.xxhash64(tokens).alias("vb")
+def _lines(docs: DataFrame, min_tokens: int, depth: int) -> DataFrame:
+    """(doc, mark, line_no, size, leaf, va, vb, id): one row per line, known by hashes of its tokens."""
+    tokens = F.transform(_masked_lines(F.col("text")), word_list)
+    hashed = F.transform(
+        tokens,
+        lambda t, i: F.struct(
+            i.alias("line_no"),
+            F.size(t).alias("size"),
+            F.when(
+                F.size(t) >= min_tokens,
+                F.struct(
+                    F.xxhash64(F.size(t), F.slice(t, 1, depth)).alias("leaf"),
+                    F.xxhash64(t).alias("va"),
+                    F.xxhash64(F.lit(1), t).alias("vb"),
+                ),
+            ).alias("h"),
+        ),
+    )
+    whole = docs.where("text is not null").select(
+        *_row_key(), F.filter(hashed, lambda x: x["size"] >= min_tokens).alias("lines")
+    )
+    return stored(
+        whole.select("doc", "mark", F.inline("lines")).select(
+            "doc", "mark", "line_no", "size", "h.*", F.monotonically_increasing_id().alias("id")
+        ),
+        "lines",
+    )
 
 
-def _alike(behind: Column, variable: Column, constant: int) -> Column:
-    """Whether lines of a template are alike in what their path does not fix."""
-    kept = behind - variable
-    few = 100 * variable <= VARIABLE * behind
-    return (100 * kept >= constant * behind) & (few | (kept >= SURE))
+def _one_row_each(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """``docs``, once for each id and text if rows repeat both."""
+    first = lines.groupBy("doc", "mark").agg(F.min("line_no").alias("line_no"))
+    repeated = (
+        lines.join(first, ["doc", "mark", "line_no"], "left_semi")
+        .groupBy("doc", "mark")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .where("rows > 1")
+    )
+    return docs.dropDuplicates(["doc", "mark"]) if repeated.take(1) else docs
 
 
-def dropped_lines(
-    docs: DataFrame,
-    min_docs: int = MIN_DOCS,
-    min_tokens: int = MIN_TOKENS,
-    depth: int = DEPTH,
-    constant: int = CONSTANT,
+def _templates(
+    docs: DataFrame, lines: DataFrame, variants: DataFrame, min_docs: int, depth: int, constant: int
 ) -> DataFrame:
-    """(doc, mark, line_no) of the lines to drop. Hashes travel instead of text."""
-    path = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf")
-    lines = cut(
-        _numbered_lines(docs)
-        .where(F.size("tokens") >= min_tokens)
-        .select("doc", "mark", "line_no", path, *_identity(F.col("tokens")))
+    """(vid, leaf, template) of the variants whose leaf has enough in common with them."""
+    mixed = (
+        variants.groupBy("leaf")
+        .agg(F.count(F.lit(1)).alias("k"), F.sum("docs").alias("all_docs"))
+        .where((F.col("k") > 1) & (F.col("all_docs") >= min_docs))
     )
-    # a template of min_docs documents lies in a leaf of at least as many lines and two documents
-    # (written, so that a hot leaf's lines can be split in the join)
-    leaves = cut(
-        lines.groupBy("leaf")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-        .where((F.col("n") >= min_docs) & (F.col("lo") < F.col("hi")))
-        .select("leaf")
+    wanted = stored(
+        variants.join(mixed.select("leaf"), "leaf")
+        .groupBy("doc", "mark")
+        .agg(F.collect_list(F.struct("line_no", "vid", "docs", "leaf")).alias("wanted")),
+        "wanted",
     )
-    lines = cut(lines.join(leaves, "leaf", "left_semi"))
-    holders = lines.groupBy("leaf", "va", "vb", "doc").agg(F.min("mark").alias("mark"))
-    variants = cut(
-        holders.groupBy("leaf", "va", "vb").agg(
-            F.count(F.lit(1)).alias("docs"), F.min("doc").alias("doc")
+    texts = docs.where("text is not null").select(*_row_key(), "text")
+    rows = _one_row_each(texts, lines).join(wanted, ["doc", "mark"])
+
+    def marked(w: Column) -> Column:
+        tokens = word_list(F.get("lines", w["line_no"]))
+        return F.transform(
+            tokens,
+            lambda t, i: F.struct(
+                w["vid"].alias("vid"),
+                w["docs"].alias("docs"),
+                # place and token; the last bit tells a field
+                F.xxhash64(w["leaf"], i, t)
+                .bitwiseAND(F.lit(-2))
+                .bitwiseOR((t == FIELD).cast("bigint"))
+                .alias("h"),
+            ),
         )
-    )
-    mixed = variants.groupBy("leaf").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("leaf")
-    # one line of each variant that has others in its leaf is read again for its tokens
-    wanted = cut(
-        variants.join(mixed, "leaf")
-        .join(holders, ["leaf", "va", "vb", "doc"])
-        .select("doc", "mark", "va", "vb", "docs")
-    )
-    holding = small(cut(wanted.select("doc", "mark").distinct()))
-    texts = docs.where("text is not null").select("doc_id", "text", *_row_key())
-    reread = (
-        _numbered_lines(texts.join(holding, ["doc", "mark"], "left_semi").select("doc_id", "text"))
-        .where(F.size("tokens") >= min_tokens)
-        .select("doc", "mark", *_identity(F.col("tokens")), "tokens")
-        .dropDuplicates(["doc", "mark", "va", "vb"])
-    )
-    tokens = cut(reread.join(wanted, ["doc", "mark", "va", "vb"]).select("va", "vb", "docs", "tokens"))
-    named = tokens.withColumn("leaf", F.struct(F.size("tokens"), F.slice("tokens", 1, depth)))
-    placed = named.select("va", "vb", "docs", "leaf", F.posexplode("tokens").alias("pos", "token"))
+
+    split = rows.select("wanted", _masked_lines(F.col("text")).alias("lines"))
+    placed = stored(split.select(F.inline(F.flatten(F.transform("wanted", marked)))), "tokens")
     usual = (
-        placed.groupBy("leaf", "pos", "token")
-        .agg(F.sum("docs").alias("support"))
-        .where(F.col("support") >= min_docs)
+        placed.groupBy("h").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
     )
-    shape = (
-        placed.join(usual, ["leaf", "pos", "token"], "left")
-        .withColumn("token", F.when(F.col("support").isNull(), FIELD).otherwise(F.col("token")))
-        .groupBy("va", "vb", "leaf")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count("support").alias("fixed"),
-            F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("parts"),
-        )
-        .where(100 * F.col("fixed") >= constant * F.col("n"))
-        .where(_alike(F.col("n") - depth, F.col("n") - F.col("fixed"), constant))
-        .select("va", "vb", F.transform("parts", lambda p: p["token"]).alias("template"))
+    kept = placed.join(usual.select("h"), "h").groupBy("vid").agg(
+        F.count(F.lit(1)).alias("fixed"),
+        # fields are the same whether enough documents have them or not
+        F.bit_xor(F.when(F.col("h") % 2 == 0, F.col("h"))).alias("template"),
     )
-    ta, tb = _identity(F.col("template"))
-    shapes = cut(shape.select("va", "vb", ta.alias("ta"), tb.alias("tb")))
-    lines = lines.join(shapes, ["va", "vb"], "left").select(
-        "doc",
-        "mark",
-        "line_no",
-        F.coalesce("ta", "va").alias("ta"),
-        F.coalesce("tb", "vb").alias("tb"),
+    n, variable = F.col("size"), F.col("size") - F.col("fixed")
+    return (
+        variants.select("vid", "leaf", "size")
+        .join(kept, "vid")
+        .where(100 * F.col("fixed") >= constant * n)
+        .where(_alike(n - depth, variable, constant))
+        .select("vid", "leaf", F.coalesce("template", F.lit(0)).alias("template"))
     )
-    recurring = cut(
-        lines.select("ta", "tb", "doc")
-        .distinct()
-        .groupBy("ta", "tb")
-        .agg(F.count(F.lit(1)).alias("docs"), F.min("doc").alias("first"))
+
+
+def dropped_lines(
+    docs: DataFrame,
+    min_docs: int = MIN_DOCS,
+    min_tokens: int = MIN_TOKENS,
+    depth: int = DEPTH,
+    constant: int = CONSTANT,
+    long_tokens: int = LONG_TOKENS,
+) -> DataFrame:
+    """(doc, mark, line_no) of the lines to drop."""
+    lines = _lines(docs, min_tokens, depth)
+    variant = ["leaf", "va", "vb"]
+    variants = stored(
+        lines.groupBy(*variant, "size").agg(
+            F.countDistinct("doc").alias("docs"),
+            F.min("doc").alias("first"),
+            F.min("id").alias("vid"),
+            # one of its lines
+            *[F.min_by(c, "id").alias(c) for c in ("doc", "mark", "line_no")],
+        ),
+        "variants",
+    )
+    templates = stored(_templates(docs, lines, variants, min_docs, depth, constant), "templates")
+    named = variants.select(*variant, "vid").join(templates.drop("leaf"), "vid").drop("vid")
+    shared = (
+        lines.select(*variant, "doc")
+        .join(named, variant)
+        .groupBy("leaf", "template")
+        .agg(F.countDistinct("doc").alias("docs"), F.min("doc").alias("first"))
         .where(F.col("docs") >= min_docs)
-        .select("ta", "tb", "first")
     )
-    return lines.join(recurring, ["ta", "tb"]).where("doc <> first").select("doc", "mark", "line_no")
+    by_template = named.join(shared, ["leaf", "template"]).select(*variant, "first")
+    enough = (F.col("docs") >= min_docs) | ((F.col("docs") > 1) & (F.col("size") >= long_tokens))
+    by_variant = variants.where(enough).join(by_template, variant, "left_anti")
+    recurring = stored(by_template.unionByName(by_variant.select(*variant, "first")), "recurring")
+    return lines.join(recurring, variant).where("doc <> first").select("doc", "mark", "line_no")
 
 
 def dedup_lines(docs: DataFrame, **limits: int) -> DataFrame:
@@ -154,29 +191,32 @@ def dedup_lines(docs: DataFrame, **limits: int) -> DataFrame:
     than ``constant`` percent of a line's positions keep theirs, the line stands for itself. So it does if that
     holds for the positions behind its path, which are not equal by the leaf alone, or if more than
     ``VARIABLE`` percent of these vary and fewer than ``SURE`` are kept. Digits are fields from the start.
+    If its template is not found in enough documents, a line of ``long_tokens`` tokens or more is dropped from
+    two documents on that have it, again but for the document of the smallest id.
 
     Null text has no lines and stays null. Rows that repeat a ``doc_id`` count as one document, rows without
-    one as one that comes last. Columns named like an added one are replaced; others may have any name.
+    one as one that comes last. Columns of ``docs`` may have any name; those named like an added one are
+    replaced.
     """
+    split_skew(docs.sparkSession)
     drops = dropped_lines(docs, **limits).groupBy("doc", "mark").agg(
         F.collect_set("line_no").alias("gone")
     )
-    drops = drops.select(F.struct("doc", "mark").alias("_row"), F.col("gone").alias("_gone"))
-    doc, mark = _row_key()
-    rows = docs.drop("kept_text", "n_lines", "n_dropped", "_row", "_gone", "_lines").withColumn(
-        "_row", F.struct(doc, mark)
-    )
+    added = ("kept_text", "n_lines", "n_dropped")
+    rows = docs.select(F.struct("*").alias("row"), "text", *_row_key())
     whole = F.split("text", "\n")
-    left = F.filter(whole, lambda line, i: ~F.array_contains("_gone", i))
-    return (
-        rows.join(drops.hint("merge"), "_row", "left")
-        .withColumn(
-            "kept_text",
-            F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")),
-        )
-        .withColumn("n_lines", F.coalesce(F.size(whole), F.lit(0)).cast("bigint"))
-        .withColumn("n_dropped", F.coalesce(F.array_size("_gone"), F.lit(0)).cast("bigint"))
-        .drop("_row", "_gone")
+    places = F.sequence(F.lit(0), F.size(whole) - 1)
+    left = F.transform(F.array_except(places, "gone"), lambda i: F.get("whole", i))
+    joined = rows.join(drops.hint("merge"), ["doc", "mark"], "left").select(
+        "row", "text", "gone", whole.alias("whole")
+    )
+    return joined.select(
+        *[F.col(f"row.`{c}`") for c in docs.columns if c not in added],
+        F.when(F.col("gone").isNull(), F.col("text"))
+        .otherwise(F.array_join(left, "\n"))
+        .alias("kept_text"),
+        F.coalesce(F.size("whole"), F.lit(0)).cast("bigint").alias("n_lines"),
+        F.coalesce(F.array_size("gone"), F.lit(0)).cast("bigint").alias("n_dropped"),
     )
 
 

@@ -139,17 +139,26 @@ def op6_decontaminate(spark, folder):
       FROM (SELECT *, count(*) OVER (PARTITION BY leaf) AS k FROM variants) WHERE k > 1),
     marked AS (
       SELECT *, sum(docs) OVER (PARTITION BY leaf, pos, token) >= 3 AS usual FROM mixed),
+    counted AS (
+      SELECT variant, string_agg(CASE WHEN usual THEN token ELSE '<*>' END, ' ' ORDER BY pos) AS template,
+        count(*) AS n, count(*) FILTER (usual) AS fixed
+      FROM marked GROUP BY leaf, variant),
     shapes AS (
-      SELECT variant, string_agg(CASE WHEN usual THEN token ELSE '<*>' END, ' ' ORDER BY pos) AS template
-      FROM marked GROUP BY leaf, variant HAVING 100 * count(*) FILTER (usual) >= 50 * count(*)),
+      SELECT variant, template FROM counted
+      WHERE 100 * fixed >= 50 * n AND 100 * (fixed - 3) >= 50 * (n - 3)
+        AND (100 * (n - fixed) <= 25 * (n - 3) OR fixed - 3 >= 20)),
     placed AS (
-      SELECT doc_id, line_no, coalesce(template, variant) AS template
+      SELECT doc_id, line_no, variant, len(tokens) >= 50 AS long, coalesce(template, variant) AS template
       FROM used LEFT JOIN shapes USING (variant)),
     recurring AS (
       SELECT template, min(doc_id) AS first FROM placed GROUP BY template
       HAVING count(DISTINCT doc_id) >= 3),
+    twice AS (
+      SELECT variant, min(doc_id) AS variant_first FROM placed WHERE long GROUP BY variant
+      HAVING count(DISTINCT doc_id) >= 2),
     gone AS (
-      SELECT doc_id, line_no FROM placed JOIN recurring USING (template) WHERE doc_id <> first),
+      SELECT doc_id, line_no FROM placed LEFT JOIN recurring USING (template) LEFT JOIN twice USING (variant)
+      WHERE doc_id <> coalesce(first, variant_first)),
     merged AS (
       SELECT doc_id, count(*) AS n_lines, count(g.line_no) AS n_dropped,
         coalesce(string_agg(CASE WHEN g.line_no IS NULL THEN line END, chr(10) ORDER BY l.line_no), '')

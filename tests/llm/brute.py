@@ -68,18 +68,23 @@ def recurring_lines(texts, min_docs=3, min_tokens=5, depth=3):
                 for place in enumerate(tokens):
                     support[place] += len(docs)
             for tokens in variants:
-                fixed = [support[place] >= min_docs for place in enumerate(tokens)]
-                if 2 * sum(fixed) >= len(tokens):
+                n, fixed = len(tokens), [support[place] >= min_docs for place in enumerate(tokens)]
+                variable, behind = n - sum(fixed), n - depth
+                kept = behind - variable
+                if 2 * sum(fixed) >= n and 2 * kept >= behind and (4 * variable <= behind or kept >= 20):
                     shapes[tokens] = tuple(t if f else "<*>" for t, f in zip(tokens, fixed))
     holders = defaultdict(set)
     for doc, _, _, tokens in placed:
         holders[shapes.get(tokens, tokens)].add(doc)
-    return {
-        (doc, number)
-        for doc, number, _, tokens in placed
-        for owners in [holders[shapes.get(tokens, tokens)]]
-        if len(owners) >= min_docs and doc != min(owners)
-    }
+    out = set()
+    for doc, number, leaf, tokens in placed:
+        owners, same = holders[shapes.get(tokens, tokens)], leaves[leaf][tokens]
+        if len(owners) >= min_docs:
+            if doc != min(owners):
+                out.add((doc, number))
+        elif len(tokens) >= 50 and doc != min(same):
+            out.add((doc, number))
+    return out
 
 
 def _class_counts(text):
