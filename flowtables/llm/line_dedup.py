@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtables.llm.words import GAP, word_list
+from flowtables.operators.spread import small
 from flowtables.session import split_skew, stored
 
 MIN_DOCS = 3
@@ -29,6 +30,7 @@ LONG_TOKENS = 50
 VARIABLE = 25
 SURE = 20
 FIELD = "<*>"
+KEYS = 1_000_000
 LAST = (1 << 63) - 1
 
 
@@ -107,7 +109,10 @@ def _templates(
         .agg(F.collect_list(F.struct("line_no", "vid", "docs", "leaf")).alias("wanted")),
         "wanted",
     )
+    # keys of 16 bytes, broadcast up to KEYS of them: only texts with a wanted line are moved
+    keys = small(wanted.select("doc", "mark"), KEYS)
     texts = docs.where("text is not null").select(*_row_key(), "text")
+    texts = texts.join(keys, ["doc", "mark"], "left_semi")
     rows = _one_row_each(texts, lines).join(wanted, ["doc", "mark"])
 
     def marked(w: Column) -> Column:
@@ -203,7 +208,8 @@ def dedup_lines(docs: DataFrame, **limits: int) -> DataFrame:
         F.collect_set("line_no").alias("gone")
     )
     added = ("kept_text", "n_lines", "n_dropped")
-    rows = docs.select(F.struct("*").alias("row"), "text", *_row_key())
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*others).alias("row"), "text", *_row_key())
     whole = F.split("text", "\n")
     places = F.sequence(F.lit(0), F.size(whole) - 1)
     left = F.transform(F.array_except(places, "gone"), lambda i: F.get("whole", i))
@@ -211,7 +217,7 @@ def dedup_lines(docs: DataFrame, **limits: int) -> DataFrame:
         "row", "text", "gone", whole.alias("whole")
     )
     return joined.select(
-        *[F.col(f"row.`{c}`") for c in docs.columns if c not in added],
+        *[F.col("text" if c == "text" else f"row.`{c}`") for c in docs.columns if c not in added],
         F.when(F.col("gone").isNull(), F.col("text"))
         .otherwise(F.array_join(left, "\n"))
         .alias("kept_text"),
