@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.operators.spread import lookup
-from flowtables.session import cut
+from flowtables.operators.spread import BROADCAST_ROWS, lookup, numbered
+from flowtables.session import scratch_path, stored
 
 
 def _side_by_side(
@@ -175,58 +175,244 @@ def structural_groups(signatures: DataFrame, member: str, at_least: int = 2) ->
     )
 
 
+class _Colouring:
+    """Colours of components, kept as one table of changes by round in the shared folder.
+
+    Equal colours mean that no round has told components apart yet. A round only reads the surroundings of the
+    components whose class was split in the round before, and writes only those whose colour changes: what is not
+    touched in a split class, or else its largest part, keeps its colour.
+    """
+
+    def __init__(self, scope: Sequence[str], edges: DataFrame, start: DataFrame):
+        """``start``: scope..., id, c1, c2."""
+        self.spark, self.own = start.sparkSession, [*scope, "id"]
+        self.round, self.rows = 0, []
+        label = F.sort_array("relationships")
+        one, two = F.col("source_id"), F.col("dest_id")
+
+        def ends(at: Column, other: Column, way: str) -> DataFrame:
+            return edges.select(
+                *scope,
+                at.alias("id"),
+                other.alias("other"),
+                F.xxhash64(F.lit(way), label).alias("label"),
+            )
+
+        self.wires = stored(ends(two, one, "in").unionAll(ends(one, two, "out")), "wires")
+        self.path = scratch_path(self.spark, "colours")
+        self.sizes_path = scratch_path(self.spark, "classes")
+        self.kind = start.withColumn("round", F.lit(0)).schema
+        self._write(start)
+        sizes = start.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("size"))
+        sizes.withColumn("round", F.lit(0)).write.parquet(self.sizes_path)
+        self.sizes_kind = self.spark.read.parquet(self.sizes_path).schema
+
+    def _write(self, changes: DataFrame) -> DataFrame:
+        folder = f"{self.path}/{self.round}"
+        named = changes.select(*self.own, "c1", "c2").withColumn("round", F.lit(self.round))
+        named.write.parquet(folder)
+        written = self.spark.read.schema(self.kind).parquet(folder).drop("round")
+        self.rows.append(written.count())
+        return written
+
+    def history(self) -> DataFrame:
+        read = self.spark.read.schema(self.kind).option("recursiveFileLookup", "true")
+        return read.parquet(self.path)
+
+    def now(self) -> DataFrame:
+        """(scope..., id, c1, c2): the last colour of every component."""
+        return self.history().groupBy(*self.own).agg(*self._last())
+
+    @staticmethod
+    def _last() -> list[Column]:
+        return [F.max_by(c, "round").alias(c) for c in ("c1", "c2")]
+
+    def _sizes(self, classes: DataFrame) -> DataFrame:
+        known = self.spark.read.schema(self.sizes_kind).parquet(self.sizes_path)
+        return (
+            known.join(classes.select("c1", "c2"), ["c1", "c2"], "left_semi")
+            .groupBy("c1", "c2")
+            .agg(F.max_by("size", "round").alias("size"))
+        )
+
+    def split(self, told: DataFrame) -> DataFrame | None:
+        """Take new colours (own..., c1, c2, d1, d2) of whole parts of classes; the components that change.
+
+        A class all of whose components get one and the same new colour is not split and keeps its own.
+        """
+        self.round += 1
+        parts = stored(
+            told.groupBy("c1", "c2", "d1", "d2").agg(F.count(F.lit(1)).alias("n")), "parts"
+        )
+        # the largest part keeps the colour if no untouched component does
+        touched = parts.groupBy("c1", "c2").agg(
+            F.sum("n").alias("touched"),
+            F.count(F.lit(1)).alias("k"),
+            F.max_by(F.struct("d1", "d2", "n"), "n").alias("largest"),
+        )
+        rest = F.col("size") - F.col("touched")
+        keeper = F.when(rest == 0, F.col("largest"))
+        classes = stored(
+            touched.join(self._sizes(touched), ["c1", "c2"])
+            .where((F.col("k") > 1) | (rest > 0))
+            .select("c1", "c2", rest.alias("rest"), keeper.alias("keeper")),
+            "split",
+        )
+        if not classes.take(1):
+            return None
+        stays = F.col("keeper.d1").eqNullSafe(F.col("d1")) & F.col("keeper.d2").eqNullSafe(F.col("d2"))
+        made = [F.col("d1").alias("c1"), F.col("d2").alias("c2")]
+        changed = self._write(
+            told.join(classes, ["c1", "c2"]).where(~stays).select(*self.own, *made)
+        )
+        fresh = parts.join(classes, ["c1", "c2"]).where(~stays).select(*made, F.col("n").alias("size"))
+        left = classes.select(
+            "c1", "c2", F.when(F.col("rest") > 0, F.col("rest")).otherwise(F.col("keeper.n"))
+        )
+        fresh.unionAll(left).withColumn("round", F.lit(self.round)).write.mode("append").parquet(
+            self.sizes_path
+        )
+        return changed
+
+    def refine(self, frontier: DataFrame | None) -> None:
+        """Recolour what is around changed components until no class is split any more."""
+        scope = self.own[:-1]
+        while frontier is not None:
+            if self.rows[-1] <= BROADCAST_ROWS:
+                frontier = F.broadcast(frontier)
+            seen = self.wires.join(frontier.withColumnRenamed("id", "other"), [*scope, "other"])
+            around = seen.groupBy(*self.own).agg(
+                *_multiset(F.col("label"), F.col("c1"), F.col("c2"))
+            )
+            bag = ["_h1", "_h2", "_n"]
+            known = (
+                self.history()
+                .join(around, self.own)
+                .groupBy(*self.own, *bag)
+                .agg(*self._last())
+            )
+            step = F.lit(self.round + 1)
+            mixed = [
+                F.xxhash64(F.lit(seed), step, "c1", "c2", *bag).alias(name)
+                for seed, name in (("1", "d1"), ("2", "d2"))
+            ]
+            frontier = self.split(stored(known.select(*self.own, "c1", "c2", *mixed), "told"))
+
+
+def _coloured(
+    components: DataFrame, properties: DataFrame, edges: DataFrame, scope: Sequence[str]
+) -> _Colouring:
+    """Components coloured by kind and property keys, then refined."""
+    scope = list(scope)
+    own, bag = [*scope, "id"], ["_h1", "_h2", "_n"]
+    keys = properties.groupBy(*scope, F.col("owner_id").alias("id")).agg(*_multiset(F.col("key")))
+    first = [
+        F.xxhash64(F.lit(seed), "kind", *bag).alias(name) for seed, name in (("1", "c1"), ("2", "c2"))
+    ]
+    start = stored(
+        lookup(components, keys, [F.col(c) for c in own], own, bag).select(*own, *first), "start"
+    )
+    colouring = _Colouring(scope, edges, start)
+    colouring.refine(start)
+    return colouring
+
+
 def component_shapes(
     components: DataFrame, properties: DataFrame, edges: DataFrame, scope: Sequence[str] = ()
 ) -> DataFrame:
     """(scope..., id, shape) of components, independent of ids and order.
 
-    Starts from the kind and the property keys, then mixes in the shapes at the other ends of all
-    connections until no round tells more components apart (colour refinement), so the whole wiring
-    counts but names do not. Every round is written to the shared folder. A shape is two 64-bit hashes.
+    Starts from the kind and the property keys, then mixes in the shapes at the other ends of connections
+    until no round tells more components apart (colour refinement), so the whole wiring counts but names do
+    not. A round works on the neighbours of what the last round told apart, not on all components. A shape
+    is two 64-bit hashes, to be compared within one call.
     ``components``: scope..., id, kind. ``properties``: scope..., owner_id, key. ``edges``: scope..., source_id,
     dest_id, relationships. Ids are unique within ``scope`` (workspace, template).
     """
-    scope = list(scope)
-    own = [*scope, "id"]
-    bag = ["_h1", "_h2", "_n"]
+    text = F.concat_ws("|", F.col("c1").cast("string"), F.col("c2").cast("string"))
+    shapes = _coloured(components, properties, edges, scope).now()
+    return shapes.select(*scope, "id", text.alias("shape"))
 
-    def mixed(*parts: str) -> list[Column]:
-        return [F.xxhash64(F.lit(seed), *parts, *bag).alias(name) for seed, name in (("1", "s1"), ("2", "s2"))]
 
-    keys = properties.groupBy(*scope, F.col("owner_id").alias("id")).agg(*_multiset(F.col("key")))
-    shapes = cut(
-        lookup(components, keys, [F.col(c) for c in own], own, bag).select(*own, *mixed("kind"))
+def component_ordinals(
+    components: DataFrame,
+    properties: DataFrame,
+    edges: DataFrame,
+    member: str,
+    scope: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """Places of components that are the same in every member of one structure.
+
+    Returns (scope..., id, ``member``, ordinal), numbered from 1 in each member, and (``member``, signature).
+    ``components`` also has the column ``member``, to which a whole structure belongs; the other tables are as for
+    :func:`component_shapes`.
+
+    Components are numbered by shape. Of components of one member with one shape, those with the very same
+    connections are interchangeable; of others one is singled out at a time and the rest refined again. Two
+    members have one signature only if their numbering maps kinds, property keys and connections onto each
+    other, so look-alikes that refinement cannot tell apart are kept apart. Members that are the same
+    but have ambiguous places may get different signatures, never the other way round.
+    """
+    scope = list(scope)
+    own = [*scope, "id"]
+    mine = own if member in own else [*own, member]
+    taken = [c for c in (member, "ordinal") if c not in own]
+    colouring = _coloured(components, properties, edges, scope)
+    exact = colouring.wires.groupBy(*own).agg(
+        *[c.alias(n) for c, n in zip(_multiset(F.col("label"), F.col("other")), ("e1", "e2", "e3"))]
+    )
+    placed = stored(
+        lookup(components, exact, [F.col(c) for c in own], own, ["e1", "e2", "e3"]), "members"
     )
-    wires = edges.select(*scope, "source_id", "dest_id", F.sort_array("relationships").alias("_rels"))
-    known = -1
-    while (found := shapes.select("s1", "s2").distinct().count()) > known:
-        known = found
-        ends = wires
-        for side in ("source", "dest"):
-            names = {"s1": f"_{side}1", "s2": f"_{side}2"}
-            at = [*[F.col(c) for c in scope], F.col(f"{side}_id")]
-            ends = lookup(ends, shapes.withColumnsRenamed(names), at, own, list(names.values()))
-        seen = ends.select(
-            *scope,
-            F.inline(
-                F.array(
-                    F.struct(
-                        F.col("dest_id").alias("id"),
-                        F.xxhash64(F.lit("in"), "_source1", "_source2", "_rels").alias("_seen"),
-                    ),
-                    F.struct(
-                        F.col("source_id").alias("id"),
-                        F.xxhash64(F.lit("out"), "_dest1", "_dest2", "_rels").alias("_seen"),
-                    ),
-                )
-            ),
+    while True:
+        now = stored(placed.join(colouring.now(), own), "coloured")
+        alike = F.xxhash64("e1", "e2", "e3")
+        ties = (
+            now.groupBy(member, "c1", "c2")
+            .agg(F.count(F.lit(1)).alias("k"), F.min(alike).alias("a"), F.max(alike).alias("b"), F.min("id").alias("id"))
+            .where("k > 1 and a <> b")
         )
-        around = seen.groupBy(*own).agg(*_multiset(F.col("_seen")))
-        shapes = cut(
-            lookup(shapes, around, [F.col(c) for c in own], own, bag).select(*own, *mixed("s1", "s2"))
+        first = stored(
+            ties.groupBy(member).agg(F.min_by("id", F.struct("c1", "c2")).alias("id")), "picked"
         )
-    text = F.concat_ws("|", F.col("s1").cast("string"), F.col("s2").cast("string"))
-    return shapes.select(*own, text.alias("shape"))
+        if not first.take(1):
+            break
+        step = F.lit(colouring.round + 1)
+        picked = now.join(first, [member, "id"]).select(
+            *own,
+            "c1",
+            "c2",
+            *[F.xxhash64(F.lit(seed), step, "c1", "c2").alias(d) for seed, d in (("one", "d1"), ("two", "d2"))],
+        )
+        colouring.refine(colouring.split(stored(picked, "told")))
+    ordinals = stored(
+        numbered(now.select(*mine, "kind", "c1", "c2"), [member], ["c1", "c2", "id"], "ordinal"),
+        "ordinals",
+    )
+    places = ordinals.select(*own, "ordinal")
+    keys = lookup(
+        properties.select(*scope, "owner_id", "key"),
+        ordinals.select(*mine, "ordinal"),
+        [*[F.col(c) for c in scope], F.col("owner_id")],
+        own,
+        taken,
+    ).where(F.col("ordinal").isNotNull())
+    ends = edges.select(*scope, "source_id", "dest_id", F.sort_array("relationships").alias("rels"))
+    at = [F.col(c) for c in scope]
+    ends = lookup(
+        ends, ordinals.select(*mine, "ordinal"), [*at, F.col("source_id")], own, taken
+    ).withColumnRenamed("ordinal", "_from")
+    ends = lookup(ends, places, [*at, F.col("dest_id")], own, ["ordinal"])
+    parts = (
+        ordinals.select(member, F.xxhash64(F.lit("kind"), "ordinal", "kind").alias("part"))
+        .unionAll(keys.select(member, F.xxhash64(F.lit("key"), "ordinal", "key")))
+        .unionAll(
+            ends.where(F.col("_from").isNotNull()).select(
+                member, F.xxhash64(F.lit("edge"), "_from", "ordinal", "rels")
+            )
+        )
+    )
+    return ordinals.select(*mine, "ordinal"), structural_signatures(parts, [member], ["part"])
 
 
 def structural_template(

@@ -32,6 +32,11 @@ from flowtables.session import cut
 SECTIONS = {"properties": "property", "styles": "style", "scheduling": "scheduling"}
 
 
+# The line that starts a document in a file of many, up to its name as JSON.
+BEGIN = "--- # "
+HEADER = "workspace string, template string, page bigint"
+
+
 def as_text(kind: T.DataType) -> T.DataType:
     """The same shape with text leaves: documents are read as written and cast afterwards."""
     if isinstance(kind, T.StructType):
@@ -90,10 +95,11 @@ def _parsed(rows: DataFrame) -> DataFrame:
 
 
 def read_exports(spark: SparkSession, path: str) -> DataFrame:
-    """Documents (workspace, file, doc, error) of every ``*.yaml`` directly in the folder(s).
+    """Documents (workspace, file, doc, error) of every ``*.yaml`` directly in the folder(s), and of
+    the files :func:`write_exports` has put there.
 
-    ``path`` may be a glob over many workspace folders; the folder's name is the workspace. A file
-    that cannot be parsed keeps its row with ``error``.
+    ``path`` may be a glob over many workspace folders; the folder's name is the workspace of a plain file,
+    and written files name theirs. A document that cannot be parsed keeps its row with ``error``.
     """
     source = F.col("_metadata.file_path")
 
@@ -110,21 +116,26 @@ def read_exports(spark: SparkSession, path: str) -> DataFrame:
             F.col("value").alias("text"),
         )
     )
-    return read_exports_yaml(files)
+    return read_exports_yaml(files).unionByName(read_written(spark, path))
 
 
 def read_written(spark: SparkSession, path: str) -> DataFrame:
-    """The same from a folder that :func:`write_exports` has written; ``file`` is template and page."""
-    files = (
-        spark.read.schema("value string, workspace string, template string, page bigint")
-        .text(path, wholetext=True)
-        .select(
-            "workspace",
-            F.concat("template", F.lit("."), F.col("page").cast("string"), F.lit(".yaml")).alias("file"),
-            F.col("value").alias("text"),
-        )
+    """The same from the files that :func:`write_exports` has written; ``file`` is template and page.
+
+    Files are split at the line that begins a document, so a large one is read by several tasks.
+    """
+    records = (
+        spark.read.option("pathGlobFilter", "part-*").option("lineSep", "\n" + BEGIN).text(path)
+    )
+    whole = F.when(F.col("value").startswith(BEGIN), F.substr("value", F.lit(len(BEGIN) + 1)))
+    named = records.select(F.coalesce(whole, "value").alias("value")).select(
+        F.from_json(F.substring_index("value", "\n", 1), HEADER).alias("head"),
+        F.substr("value", F.locate("\n", F.col("value")) + 1).alias("text"),
+    )
+    pages = F.concat("head.template", F.lit("."), F.col("head.page").cast("string"), F.lit(".yaml"))
+    return read_exports_yaml(
+        named.select(F.col("head.workspace").alias("workspace"), pages.alias("file"), "text")
     )
-    return read_exports_yaml(files)
 
 
 def read_exports_yaml(documents: DataFrame) -> DataFrame:
@@ -567,16 +578,15 @@ def to_yaml(documents: DataFrame) -> DataFrame:
 
 
 def write_exports(documents: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write documents as ``path/workspace=.../template=.../page=...``, one text file in each folder.
+    """Write documents as YAML streams: many to a file, each behind a line that names it.
 
-    The folders name the document, as Spark's writers name files themselves; :func:`read_written` reads
-    them back. Fragments of one template are spread by page rather than gathered in one task.
+    That line starts a YAML document and has workspace, template and page in its comment, so any YAML reader
+    reads a file as a stream, and :func:`read_exports` and :func:`read_written` split it there. No document
+    holds such a line itself: it would end there. Files have about the size of Spark's advisory partition,
+    whatever the number of documents; pages of one template are spread over them.
     """
     column = "yaml" if "yaml" in documents.columns else "json"
-    (
-        documents.repartition("workspace", "template", "page")
-        .select("workspace", "template", "page", column)
-        .write.mode(mode)
-        .partitionBy("workspace", "template", "page")
-        .text(path, lineSep="\n")
-    )
+    head = F.to_json(F.struct("workspace", "template", F.col("page").cast("bigint").alias("page")))
+    record = F.concat(F.lit(BEGIN), head, F.lit("\n"), F.rtrim(F.col(column), F.lit("\n")))
+    named = documents.repartition("workspace", "template", "page").select(record.alias("value"))
+    named.write.mode(mode).text(path, lineSep="\n")

@@ -170,6 +170,121 @@ def structural_template(spark, folder):
     )
 
 
+def order_flows(spark, folder):
+    """Orders of two workspaces as flows: the order, then its lines one behind the other.
+
+    The second workspace has the finished orders again, under other ids and without their last line.
+    """
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    lines = numbered(
+        table(spark, folder, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity"
+        ),
+        ["l_orderkey"],
+        ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus"],
+        "place",
+    )
+    last = lines.groupBy("l_orderkey").agg(F.max("place").alias("last"))
+    finished = orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    cut_short = lines.join(finished, "l_orderkey", "left_semi").join(last, "l_orderkey")
+    cut_short = cut_short.where("place < last").drop("last")
+
+    def flow(name, heads, items):
+        key = F.concat(F.lit(name + "/"), F.col("o_orderkey").cast("string"))
+        own = F.concat(F.lit(name + "/"), F.col("l_orderkey").cast("string"))
+        number = F.col("place")
+
+        def line(n):
+            return F.when(n == 0, "order").otherwise(F.concat(F.lit("line"), n.cast("string")))
+
+        components = heads.select(
+            F.lit(name).alias("workspace"), key.alias("flow"),
+            F.lit("order").alias("id"), F.col("o_orderpriority").alias("kind"),
+        ).unionByName(
+            items.select(
+                F.lit(name).alias("workspace"), own.alias("flow"), line(number).alias("id"),
+                F.col("l_returnflag").alias("kind"),
+            )
+        )
+        edges = items.select(
+            F.lit(name).alias("workspace"), own.alias("flow"), line(number - 1).alias("source_id"),
+            line(number).alias("dest_id"), F.array("l_linestatus").alias("relationships"),
+        )
+        values = items.select(
+            F.lit(name).alias("workspace"), own.alias("flow"), line(number).alias("id"),
+            F.col("l_quantity").cast("bigint").cast("string").alias("value"),
+        )
+        return components, edges, values
+
+    one = flow("a", orders, lines)
+    two = flow("b", orders.where("o_orderstatus = 'F'"), cut_short)
+    return [x.unionByName(y) for x, y in zip(one, two)]
+
+
+ORDER_TEXTS = """
+    WITH placed AS (
+        SELECT l_orderkey, l_returnflag, l_linestatus, l_quantity,
+               row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+                                  l_quantity, l_returnflag, l_linestatus) AS place,
+               count(*) OVER (PARTITION BY l_orderkey) AS last FROM lineitem),
+    items AS (
+        SELECT 'a/' || CAST(l_orderkey AS VARCHAR) AS flow, * FROM placed
+        UNION ALL
+        SELECT 'b/' || CAST(l_orderkey AS VARCHAR), p.*
+        FROM placed p JOIN orders ON o_orderkey = l_orderkey
+        WHERE o_orderstatus = 'F' AND place < last),
+    heads AS (
+        SELECT 'a/' || CAST(o_orderkey AS VARCHAR) AS flow, o_orderpriority FROM orders
+        UNION ALL
+        SELECT 'b/' || CAST(o_orderkey AS VARCHAR), o_orderpriority FROM orders WHERE o_orderstatus = 'F'),
+    texts AS (
+        SELECT flow, o_orderpriority || coalesce(lines, '') AS body FROM heads LEFT JOIN (
+            SELECT flow, string_agg('>' || l_linestatus || l_returnflag, '' ORDER BY place) AS lines
+            FROM items GROUP BY flow) USING (flow)),
+    groups AS (
+        SELECT body, min(flow) AS first_member, count(*) AS members FROM texts GROUP BY body
+        HAVING count(*) >= 2)"""
+
+
+@query("structural_wiring", ORDER_TEXTS + " SELECT first_member, members FROM groups")
+def structural_wiring(spark, folder):
+    components, edges, _ = order_flows(spark, folder)
+    nothing = components.select("workspace", "flow", F.col("id").alias("owner_id"), F.lit("").alias("key"))
+    scope = ["workspace", "flow"]
+    shapes = compare.component_shapes(components, nothing.limit(0), edges, scope)
+    signatures = compare.structural_signatures(shapes, ["flow"], ["shape"])
+    return compare.structural_groups(signatures, "flow").drop("signature")
+
+
+@query(
+    "structural_variables",
+    ORDER_TEXTS
+    + """, slots AS (
+        SELECT first_member, members, place, count(DISTINCT l_quantity) AS k
+        FROM groups JOIN texts USING (body) JOIN items USING (flow) GROUP BY ALL)
+    SELECT first_member, members, count(*) AS slots,
+           CAST(count(*) FILTER (k > 1) AS BIGINT) AS varying FROM slots GROUP BY ALL
+    """,
+)
+def structural_variables(spark, folder):
+    """The variable table of same flows, by ordinals that the operator finds itself."""
+    components, edges, values = order_flows(spark, folder)
+    nothing = components.select("workspace", "flow", F.col("id").alias("owner_id"), F.lit("").alias("key"))
+    ordinals, signatures = compare.component_ordinals(
+        components, nothing.limit(0), edges, "flow", ["workspace", "flow"]
+    )
+    groups = compare.structural_groups(signatures, "flow")
+    placed = values.join(ordinals, ["workspace", "flow", "id"])
+    slots, _ = compare.structural_template(
+        placed.select("flow", F.col("ordinal").alias("slot"), "value"), signatures, groups, "flow"
+    )
+    return (
+        slots.join(groups, "signature")
+        .groupBy("first_member", "members")
+        .agg(F.count(F.lit(1)).alias("slots"), F.count_if("varies").alias("varying"))
+    )
+
+
 # Documents ------------------------------------------------------------------------------------
 
 

@@ -113,3 +113,54 @@ def test_structure_is_told_apart_at_any_distance(spark):
     shapes = compare.component_shapes(components, nothing, edges, ["flow"]).collect()
     by_place = {(r["flow"], r["id"]): r["shape"] for r in shapes}
     assert len(by_place) == 20 and by_place["m", "0"] != by_place["n", "0"]
+
+
+def ring(flow_name, *cycles):
+    """Directed cycles of components of one kind, all in one flow."""
+    rows, wires, n = [], [], 0
+    for size in cycles:
+        rows += [(flow_name, f"c{n + i}", "A") for i in range(size)]
+        wires += [(flow_name, f"c{n + i}", f"c{n + (i + 1) % size}", ["ok"]) for i in range(size)]
+        n += size
+    return rows, wires
+
+
+def frames(spark, *flows):
+    rows, wires = [sum((f[k] for f in flows), []) for k in (0, 1)]
+    components = spark.createDataFrame(rows, "flow string, id string, kind string")
+    edges = spark.createDataFrame(wires, "flow string, source_id string, dest_id string, relationships array<string>")
+    return components, spark.createDataFrame([], "flow string, owner_id string, key string"), edges
+
+
+def star(flow_name, leaves, names):
+    rows = [(flow_name, "hub", "H")] + [(flow_name, f"{names}{i}", "L") for i in range(leaves)]
+    return rows, [(flow_name, "hub", f"{names}{i}", ["ok"]) for i in range(leaves)]
+
+
+def test_ordinals_map_members_onto_each_other(spark):
+    parts = frames(
+        spark, ring("two", 3, 3), ring("six", 6), ring("again", 6), star("s1", 40, "x"), star("s2", 40, "a"),
+        star("s3", 39, "x"),
+    )
+    shapes = compare.component_shapes(*parts, ["flow"]).collect()
+    assert len({r["shape"] for r in shapes if r["flow"] in ("two", "six", "again")}) == 1
+    ordinals, signatures = compare.component_ordinals(*parts, "flow", ["flow"])
+    by_flow = {r["flow"]: r["signature"] for r in signatures.collect()}
+    assert by_flow["six"] == by_flow["again"] != by_flow["two"]
+    assert by_flow["s1"] == by_flow["s2"] != by_flow["s3"]
+    place = {(r["flow"], r["id"]): r["ordinal"] for r in ordinals.collect()}
+    assert sorted(v for (f, _), v in place.items() if f == "six") == [1, 2, 3, 4, 5, 6]
+    wires = {
+        f: {(place[f, s], place[f, d]) for g, s, d, _ in ring(f, 6)[1] if g == f} for f in ("six", "again")
+    }
+    assert wires["six"] == wires["again"] and place["s1", "hub"] == place["s2", "hub"]
+
+
+def test_a_round_writes_only_what_is_told_apart(spark):
+    n = 10
+    rows = [("m", f"c{i}", "A") for i in range(n)] + [("m", "end", "B")]
+    wires = [("m", f"c{i}", f"c{i + 1}" if i + 1 < n else "end", ["ok"]) for i in range(n)]
+    colouring = compare._coloured(*frames(spark, (rows, wires)), ["flow"])
+    # both ends work inwards, two components a round at most
+    assert max(colouring.rows[2:]) <= 2 and sum(colouring.rows) <= 3 * n + 2
+    assert colouring.now().select("c1", "c2").distinct().count() == n + 1

@@ -237,3 +237,41 @@ def test_document_text(spark, tables):
     assert list(fetch["advanced"]["rules"][0]["actions"]) == ["a", "z"]
     assert [c["id"] for c in doc["components"]] == ["p1", "f1", "g1", "r1"]
     assert "remotePorts" not in fetch and "inputs" not in fetch
+
+
+def test_many_documents_in_few_splittable_files(spark, tmp_path):
+    n = 100_000
+    documents = spark.range(n).select(
+        F.lit("w").alias("workspace"),
+        F.concat(F.lit("t"), F.col("id").cast("string")).alias("template"),
+        F.lit(0).cast("bigint").alias("page"),
+        F.format_string('{"name":"t%d","components":[{"name":"--- # x\\n--- # y","type":"T"}]}', "id").alias("json"),
+    )
+    path = f"{tmp_path}/many"
+    exports.write_exports(documents, path)
+    (tmp_path / "many" / "plain.yaml").write_text("name: plain\n")
+    files = [f for f in (tmp_path / "many").iterdir() if f.name.startswith("part-")]
+    assert 0 < len(files) <= 50
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        found = exports.read_exports(spark, path).cache()
+        assert found.rdd.getNumPartitions() > len(files)
+        assert found.where("error is null").count() == n + 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found.select("file").distinct().count() == n + 1
+    assert {r.workspace for r in found.select("workspace").distinct().collect()} == {"w", "many"}
+    names = found.where("file <> 'plain.yaml'").select(F.col("doc.components")[0]["name"].alias("n")).distinct()
+    assert [r.n for r in names.collect()] == ["--- # x\n--- # y"]
+
+
+def test_written_yaml_is_one_stream(spark, tmp_path):
+    import yaml
+
+    rows = [("w", "a", 0, 'name: a\nx: "--- # {}"\n'), ("w", "b", 1, "name: b\n\n")]
+    frame = spark.createDataFrame(rows, "workspace string, template string, page bigint, yaml string")
+    exports.write_exports(frame.coalesce(1), f"{tmp_path}/s")
+    texts = [f.read_text() for f in (tmp_path / "s").iterdir() if f.name.startswith("part-")]
+    assert sorted(d["name"] for t in texts for d in yaml.safe_load_all(t)) == ["a", "b"]
+    found = exports.read_written(spark, f"{tmp_path}/s").collect()
+    assert sorted((r.file, r.doc.name, r.error) for r in found) == [("a.0.yaml", "a", None), ("b.1.yaml", "b", None)]
