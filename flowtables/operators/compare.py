@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.operators.spread import BROADCAST_ROWS, lookup, numbered
+from flowtables.operators.spread import BROADCAST_ROWS, lookup, numbered, small
 from flowtables.session import scratch_path, stored
 
 
@@ -46,13 +47,48 @@ def _names(columns: Sequence[str], test) -> Column:
     return F.array_compact(F.array(*[F.when(test(c), F.lit(c)) for c in columns]))
 
 
-def diff_snapshots(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+def differing(before: DataFrame, after: DataFrame, within: Sequence[str]) -> DataFrame:
+    """Values of ``within`` whose rows are not the same bag in both snapshots.
+
+    Rows are folded to sums of two hashes before they travel, positive for one snapshot and negative for the
+    other, which cancel out where nothing has changed.
+    """
+    columns = _all_columns([before, after], within)
+    signed = None
+    for sign, df in ((1, before), (-1, after)):
+        # a null says as much as a column that the snapshot does not have
+        cells = [
+            F.when(F.col(c).isNotNull(), F.struct(F.lit(c), F.col(c))) for c in columns if c in df.columns
+        ]
+        hashes = [
+            (F.xxhash64(F.lit(seed), *cells).cast("decimal(20,0)") * sign).alias(name)
+            for seed, name in (("1", "_h1"), ("2", "_h2"))
+        ]
+        part = df.select(*within, *hashes, F.lit(sign).cast("bigint").alias("_n"))
+        signed = part if signed is None else signed.unionByName(part)
+    sums = signed.groupBy(*within).agg(*[F.sum(c).alias(c) for c in ("_h1", "_h2", "_n")])
+    return sums.where("_h1 <> 0 or _h2 <> 0 or _n <> 0").select(*within)
+
+
+def diff_snapshots(
+    before: DataFrame,
+    after: DataFrame,
+    keys: Sequence[str],
+    within: Sequence[str] | None = None,
+) -> DataFrame:
     """Changed keys: (keys..., change, changed_columns, before, after).
 
     ``change`` is ``added``, ``removed``, ``changed``, or ``duplicate`` where a snapshot holds the
     key more than once; columns are compared null-safely.
+
+    With ``within``, some of the keys (a template's, say), only the rows of those that :func:`differing` finds
+    are compared by key; rows of the others stay where they are. A key repeated alike in both snapshots is then
+    no change and is not reported.
     """
     columns = _all_columns([before, after], keys)
+    if within:
+        changed = small(stored(differing(before, after, within), "differing"))
+        before, after = (_inside(df, changed, within) for df in (before, after))
     pairs = _side_by_side({"before": before, "after": after}, keys, columns)
     differs = lambda c: ~F.col(f"before.{c}").eqNullSafe(F.col(f"after.{c}"))
     change = (
@@ -75,6 +111,12 @@ def diff_snapshots(before: DataFrame, after: DataFrame, keys: Sequence[str]) ->
     )
 
 
+def _inside(df: DataFrame, chosen: DataFrame, within: Sequence[str]) -> DataFrame:
+    names = {c: f"_of_{c}" for c in within}
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(F.col(n)) for c, n in names.items()])
+    return df.join(chosen.withColumnsRenamed(names), same, "left_semi")
+
+
 def merge_snapshots(
     base: DataFrame, ours: DataFrame, theirs: DataFrame, keys: Sequence[str]
 ) -> DataFrame:

@@ -17,6 +17,9 @@ from flowtables.operators.spread import HOT_ROWS, numbered, running
 
 # Routing --------------------------------------------------------------------------------------
 
+# Tasks in which a queue's first rows meet before its last one.
+SALTS = 16
+
 
 def route(
     df: DataFrame,
@@ -70,18 +73,19 @@ def prioritized(
 
     ``order`` is the chain of prioritisers and ends in a unique column. For a small ``k`` every task
     keeps its own first ``k`` before the exchange (window group limit, which Spark applies up to its
-    threshold); a larger ``k``, and the full order, split hot queues instead.
+    threshold), and these meet in ``SALTS`` tasks per queue first, so that a hot queue brings ``k`` rows for each
+    of those to its last task, however many tasks have read it. A larger ``k``, and the full order, split
+    hot queues instead.
     """
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if k is None or k > threshold:
         placed = numbered(df, queue, order, "place")
         return placed if k is None else placed.where(F.col("place") <= k)
-    window = Window.partitionBy(*queue).orderBy(*order)
-    return (
-        df.withColumn("place", F.row_number().over(window))
-        .where(F.col("place") <= k)
-        .withColumn("place", F.col("place").cast("bigint"))
-    )
+    salted = df.withColumn("_salt", F.spark_partition_id() % SALTS)
+    for key in ([*queue, "_salt"], queue):
+        window = Window.partitionBy(*key).orderBy(*order)
+        salted = salted.withColumn("place", F.row_number().over(window)).where(F.col("place") <= k)
+    return salted.withColumn("place", F.col("place").cast("bigint")).drop("_salt")
 
 
 def expire(df: DataFrame, ts: str, ttl_seconds: Column | float, as_of: Column) -> DataFrame:

@@ -5,12 +5,17 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtables.functions.values import bound, computed, equals_pattern, has_text, stable_uuid
 from flowtables.schemas import RULE, RULE_XML
 
+# Attribute under which decided conditions are entered, and conditions evaluated in one scan.
+HOLDS = "\x00holds"
+TEXTS = 200
+
 # Parsing and rendering ------------------------------------------------------------------------
 
 
@@ -143,11 +148,44 @@ def flatten_rules(df: DataFrame, key: Sequence[str], rules: str = "rules") -> Da
 # Applying -------------------------------------------------------------------------------------
 
 
+def _number(value: Column) -> Column:
+    return value.try_cast("double")
+
+
+# Tests of the form ``${attribute:test("value")}``.
+TESTS = {
+    "equals": lambda v, a: v == a,
+    "equalsIgnoreCase": lambda v, a: F.lower(v) == F.lower(a),
+    "startsWith": lambda v, a: v.startswith(a),
+    "endsWith": lambda v, a: v.endswith(a),
+    "contains": lambda v, a: v.contains(a),
+    "gt": lambda v, a: _number(v) > _number(a),
+    "ge": lambda v, a: _number(v) >= _number(a),
+    "lt": lambda v, a: _number(v) < _number(a),
+    "le": lambda v, a: _number(v) <= _number(a),
+    "isNull": lambda v, a: v.isNull(),
+    "notNull": lambda v, a: v.isNotNull(),
+    "isEmpty": lambda v, a: ~F.coalesce(has_text(v), F.lit(False)),
+}
+FORM = r'\s*\$\{\s*([^:${}\s]+)\s*:\s*(\w+)\(\s*(?:"([^"]*)"|([^")\s]*))\s*\)\s*\}\s*'
+
+
+def condition_test(text: str) -> Column:
+    """Boolean SQL text, or the form ``${attribute:test("value")}`` with one of ``TESTS``. Another text that
+    begins like that form is an error."""
+    form = re.fullmatch(FORM, text)
+    if form and form.group(2) in TESTS:
+        name, test, quoted, bare = form.groups()
+        value = F.lit(bare if quoted is None else quoted)
+        return TESTS[test](F.col(name).cast("string"), value)
+    if text.lstrip().startswith("${"):
+        raise ValueError(f"unknown condition {text!r}")
+    return F.expr(text)
+
+
 def condition_column(text: str) -> Column:
-    """Boolean SQL text, or the form ``${attribute:equals("value")}``; null counts as false."""
-    form = re.match(equals_pattern(), text)
-    test = F.col(form.group(1)).cast("string") == F.lit(form.group(2)) if form else F.expr(text)
-    return F.coalesce(test, F.lit(False))
+    """The same, with null counted as false."""
+    return F.coalesce(condition_test(text), F.lit(False))
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Mapping], policy: str = "USE_CLONE") -> DataFrame:
@@ -221,7 +259,10 @@ def rule_conditions(flat: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def undecided_rules(conditions: DataFrame, rule: Sequence[str]) -> DataFrame:
-    """Report of the rules :func:`match_rules` leaves out: (rule..., conditions that are no equality)."""
+    """Report of the rules :func:`match_rules` leaves out: (rule..., conditions that are no equality).
+
+    Give it what :func:`decide_conditions` returns to have only those that it cannot evaluate either.
+    """
     return (
         conditions.where("attr is null")
         .groupBy(*rule)
@@ -229,19 +270,59 @@ def undecided_rules(conditions: DataFrame, rule: Sequence[str]) -> DataFrame:
     )
 
 
+def free_rules(rules: DataFrame, conditions: DataFrame, rule: Sequence[str]) -> DataFrame:
+    """Rules (rule...) without any condition: they hold for every row, so no row is listed with them."""
+    return rules.select(*rule).distinct().join(conditions.select(*rule).distinct(), rule, "left_anti")
+
+
+def decide_conditions(
+    rows: DataFrame, conditions: DataFrame, row: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Conditions of any form, evaluated once per row and distinct text.
+
+    ``rows``: row... and the columns that conditions name. ``conditions``: rule..., attr, value, where a null
+    ``attr`` has the text as ``value``. Returns entries (row..., attr, value) of the texts that hold, and the
+    conditions with these texts as equalities on such entries. A text that is wrong, or names no column, stays
+    undecided. Texts are part of the plan, ``TEXTS`` to a scan of the rows; their number is that of
+    different conditions, not of rules.
+    """
+    texts = [r["value"] for r in conditions.where("attr is null").select("value").distinct().collect()]
+    tests = {}
+    for text in sorted(t for t in texts if t is not None):
+        try:
+            test = condition_test(text)
+            if rows.select(test.alias("test")).schema["test"].dataType.simpleString() == "boolean":
+                tests[text] = test
+        except (ValueError, AnalysisException):
+            continue
+    known, entries = sorted(tests), None
+    for at in range(0, len(known), TEXTS):
+        held = [F.when(tests[t], F.lit(t)) for t in known[at : at + TEXTS]]
+        part = rows.select(
+            *row, F.lit(HOLDS).alias("attr"), F.explode(F.array_compact(F.array(*held))).alias("value")
+        )
+        entries = part if entries is None else entries.unionAll(part)
+    if entries is None:
+        empty = F.lit(None).cast("string")
+        entries = rows.select(*row, empty.alias("attr"), empty.alias("value")).where("false")
+    decided = F.col("attr").isNull() & F.col("value").isin(known)
+    return entries, conditions.withColumn("attr", F.when(decided, HOLDS).otherwise(F.col("attr")))
+
+
 def match_rules(
     attributes: DataFrame,
     conditions: DataFrame,
     row: Sequence[str],
     rule: Sequence[str],
     unique: bool = False,
-    rules: DataFrame | None = None,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """(row..., rule...) pairs in which every condition of the rule holds.
 
-    ``attributes``: row..., attr, value. ``conditions``: rule..., attr, value. ``rules``: all rules, of which
-    those without a condition hold for every row. A rule with a condition that is no equality (null ``attr``)
-    is left out, since it cannot be decided here.
+    ``attributes``: row..., attr, value. ``conditions``: rule..., attr, value. With ``rows``, the same rows with a
+    column for each attribute, conditions of any form are decided (:func:`decide_conditions`); without, a rule
+    with a condition that is no equality (null ``attr``) is left out. Rules without conditions are
+    :func:`free_rules`.
 
     Every rule is sought by the one of its conditions that the fewest rows meet, and only the rows found
     that way are held against its other conditions. With ``unique`` a row has an attribute once, and equal
@@ -249,6 +330,9 @@ def match_rules(
     """
     row, rule = list(row), list(rule)
     held = attributes.select(*row, "attr", "value")
+    if rows is not None:
+        entries, conditions = decide_conditions(rows, conditions, row)
+        held = held.unionByName(entries)
     if not unique:
         held = held.distinct()
     left_out = conditions.where("attr is null").select(*rule).distinct()
@@ -281,10 +365,4 @@ def match_rules(
         .agg(F.count(F.lit(1)).alias("_met"))
         .where(F.col("_met") == F.col("_needed"))
     )
-    out = likely.where("_needed = 1").select(*row, *rule).unionAll(met.select(*row, *rule))
-    if rules is None:
-        return out
-    free = rules.select(*rule).distinct().join(conditions.select(*rule).distinct(), rule, "left_anti")
-    always = free.agg(F.sort_array(F.collect_list(F.struct(*rule))).alias("all")).scalar()
-    every = attributes.select(*row).distinct().select(*row, F.explode(always).alias("_rule"))
-    return out.unionAll(every.select(*row, *[F.col("_rule")[c].alias(c) for c in rule]))
+    return likely.where("_needed = 1").select(*row, *rule).unionAll(met.select(*row, *rule))

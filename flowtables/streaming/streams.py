@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
 from flowtables.operators.flow import prioritized
+from flowtables.operators.spread import HOT_ROWS, lookup, running
 
 
 def event_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -116,3 +117,94 @@ def prioritized_sink(
     return stream.writeStream.foreachBatch(
         lambda batch, number: write(prioritized(batch, queue, order, k), number)
     )
+
+
+def _before(batch: DataFrame, folder: str, number: int, schema: T.StructType) -> DataFrame | None:
+    """What was carried up to the micro batch before this one."""
+    if number == 0:
+        return None
+    return batch.sparkSession.read.schema(schema).parquet(f"{folder}/{number - 1}")
+
+
+def carried_prioritized_sink(
+    stream: DataFrame, queue: Sequence[str], order: Sequence[str | Column], k: int, folder: str
+) -> DataStreamWriter:
+    """Writer that keeps the first ``k`` rows of each queue over all micro batches.
+
+    After micro batch n, ``folder/n`` has them with their ``place``: the best of what is in ``folder/(n-1)`` and of
+    the batch. A batch that is run again writes the same again.
+    """
+    schema = T.StructType([*stream.schema.fields, T.StructField("place", T.LongType())])
+
+    def step(batch: DataFrame, number: int) -> None:
+        before = _before(batch, folder, number, schema)
+        rows = batch if before is None else before.drop("place").unionByName(batch)
+        prioritized(rows, queue, order, k).write.mode("overwrite").parquet(f"{folder}/{number}")
+
+    return stream.writeStream.foreachBatch(step)
+
+
+def carried_running_sink(
+    stream: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    folder: str,
+    initial: float = 0.0,
+    hot_rows: int | None = HOT_ROWS,
+) -> DataStreamWriter:
+    """Writer of running states over micro batches in which a hot key is split.
+
+    ``folder/rows/n`` has the rows of micro batch n with ``seen`` and ``state``, ``folder/states/n`` every
+    key's (seen, state) after it. A batch takes the running sums of its own rows, split over tasks for keys above
+    ``hot_rows``, and adds what is carried by one join; rows of later batches come later in ``order``. A
+    batch that is run again writes the same again. Null values count as 0.
+    """
+    key = list(key)
+    kinds = {f.name: f for f in stream.schema.fields}
+    schema = T.StructType(
+        [
+            *[kinds[c] for c in key],
+            T.StructField("seen", T.LongType()),
+            T.StructField("state", T.DoubleType()),
+        ]
+    )
+
+    def step(batch: DataFrame, number: int) -> None:
+        before = _before(batch, f"{folder}/states", number, schema)
+        amount = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
+        batch = batch.persist()
+        rows = running(
+            batch, key, order, {"seen": F.lit(1).cast("bigint"), "state": amount}, hot_rows, batch.select(*key)
+        )
+        sums = batch.groupBy(*key).agg(
+            F.count(F.lit(1)).alias("seen"), F.sum(amount).alias("state")
+        )
+        if before is None:
+            rows, sums = (df.withColumn("state", F.col("state") + initial) for df in (rows, sums))
+        else:
+            had = before.withColumnsRenamed({"seen": "_seen", "state": "_state"})
+            rows = lookup(rows, had, [F.col(c) for c in key], key, ["_seen", "_state"]).withColumns(
+                {
+                    "seen": F.col("seen") + F.coalesce("_seen", F.lit(0)),
+                    "state": F.col("state") + F.coalesce("_state", F.lit(initial)),
+                }
+            )
+            # a key seen for the first time begins with the initial state
+            new = F.max(F.col("_old").cast("int")) == 0
+            sums = (
+                sums.withColumn("_old", F.lit(False))
+                .unionByName(before.withColumn("_old", F.lit(True)))
+                .groupBy(*key)
+                .agg(
+                    F.sum("seen").alias("seen"),
+                    (F.sum("state") + F.when(new, F.lit(initial)).otherwise(0.0)).alias("state"),
+                )
+            )
+        rows.select(*batch.columns, "seen", "state").write.mode("overwrite").parquet(
+            f"{folder}/rows/{number}"
+        )
+        sums.select(*key, "seen", "state").write.mode("overwrite").parquet(f"{folder}/states/{number}")
+        batch.unpersist()
+
+    return stream.writeStream.foreachBatch(step)

@@ -162,12 +162,16 @@ def apply_rules_merge(spark, folder):
     WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
     UNION ALL SELECT o_orderkey, 'open' FROM orders WHERE o_orderstatus = 'O'
     UNION ALL SELECT o_orderkey, 'high' FROM orders WHERE o_orderpriority = '2-HIGH'
-    UNION ALL SELECT o_orderkey, 'free' FROM orders
+    UNION ALL SELECT o_orderkey, 'mixed' FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 200000
+    UNION ALL SELECT o_orderkey, 'text' FROM orders
+    WHERE o_orderkey % 7 = 0 AND (o_orderpriority LIKE '4%' OR o_totalprice < 1000)
+    UNION ALL SELECT NULL, 'free'
     """,
 )
 def match_rules_table(spark, folder):
+    orders = table(spark, folder, "orders")
     attributes = unpivot_text(
-        table(spark, folder, "orders"),
+        orders,
         ["o_orderkey"],
         {"status": F.col("o_orderstatus"), "priority": F.col("o_orderpriority")},
     ).withColumnRenamed("key", "attr")
@@ -181,12 +185,26 @@ def match_rules_table(spark, folder):
             ("high", "priority", "2-HIGH"),
             ("never", "status", "F"),
             ("never", "status", "O"),
-            # one condition of another form: the rule cannot be decided
+            # conditions of other forms, one that fails and one that cannot be decided
             ("mixed", "status", "F"),
-            ("mixed", None, "${price:gt(5)}"),
+            ("mixed", None, "${price:gt(200000)}"),
+            ("text", None, "o_orderkey % 7 = 0"),
+            ("text", None, "priority LIKE '4%' OR price < 1000"),
+            ("unmet", "status", "F"),
+            ("unmet", None, "${priority:isEmpty()}"),
+            ("wrong", None, "${price:unheard(5)}"),
         ],
         "rule string, attr string, value string",
     )
-    names = [(name,) for name in ("late", "open", "high", "never", "mixed", "free")]
-    known = literal_table(spark, names, "rule string")
-    return rules.match_rules(attributes, conditions, ["o_orderkey"], ["rule"], True, known)
+    wide = orders.select(
+        "o_orderkey",
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_orderpriority").alias("priority"),
+        F.col("o_totalprice").alias("price"),
+    )
+    named = conditions.select("rule").unionAll(literal_table(spark, [("free",)], "rule string"))
+    matched = rules.match_rules(attributes, conditions, ["o_orderkey"], ["rule"], True, wide)
+    # rules without conditions hold for every row: they are listed once, without one
+    free = rules.free_rules(named, conditions, ["rule"])
+    nobody = F.lit(None).cast(orders.schema["o_orderkey"].dataType).alias("o_orderkey")
+    return matched.unionByName(free.select(nobody, "rule"))

@@ -64,6 +64,25 @@ def diff_snapshots(spark, folder):
     )
 
 
+@query(
+    "diff_within_customers",
+    """
+    SELECT o_custkey, o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN 'removed' ELSE 'changed' END AS change
+    FROM orders WHERE o_custkey % 100 = 7 AND (o_orderpriority = '5-LOW' OR o_totalprice > 100000)
+    """,
+)
+def diff_within_customers(spark, folder):
+    """Orders of a few customers edited: the others are told apart by their sums only."""
+    before = table(spark, folder, "orders").select(
+        "o_custkey", "o_orderkey", "o_orderpriority", "o_totalprice"
+    )
+    edited, low = F.col("o_custkey") % 100 == 7, F.col("o_orderpriority") == "5-LOW"
+    price = F.when(edited & (F.col("o_totalprice") > 100000), None).otherwise(F.col("o_totalprice"))
+    after = before.where(~(edited & low)).withColumn("o_totalprice", price)
+    changes = compare.diff_snapshots(before, after, ["o_custkey", "o_orderkey"], ["o_custkey"])
+    return changes.select("o_custkey", "o_orderkey", "change")
+
+
 @query(
     "merge_snapshots",
     """

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowtables.operators import flow, rules
-from flowtables.session import SETTINGS, scratch_path
+from flowtables.session import SETTINGS, scratch_path, stored
 from flowtables.sources.tables import literal_table, table
 from flowtables.streaming import streams
 from flowtables.suite.registry import SQL, query
 from flowtables.suite.rules import EVENT_RULES
 
+# Micro batches of the queries over files in time order.
+BATCHES = 3
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -19,6 +21,30 @@ def event_stream(spark, folder):
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
 
 
+def timed_events(spark, folder):
+    """The events as a stream of files one after the other in time, one to a micro batch."""
+    path = scratch_path(spark, "events")
+    events = stored(
+        table(spark, folder, "events")
+        .repartitionByRange(BATCHES, "ts", "event_id")
+        .withColumn("_range", F.spark_partition_id()),
+        "ranges",
+    )
+    for number in range(BATCHES):
+        one = events.where(F.col("_range") == number).drop("_range")
+        one.coalesce(1).write.mode("append").parquet(path)
+    source = spark.readStream.schema(table(spark, folder, "events").schema)
+    return source.option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def run(spark, writer):
+    """Run a stream over what its source holds now; the number of its last micro batch."""
+    writer = writer.option("checkpointLocation", scratch_path(spark, "progress"))
+    running_query = writer.trigger(availableNow=True).start()
+    running_query.awaitTermination()
+    return running_query.lastProgress["batchId"]
+
+
 def finished(spark, stream):
     """Run a stream over what its source holds now; the result as a table."""
     path = scratch_path(spark, "stream")
@@ -75,18 +101,11 @@ def stream_expire(spark, folder):
     """,
 )
 def stream_prioritized(spark, folder):
-    events = event_stream(spark, folder).select("user_id", "event_id", "value")
+    events = timed_events(spark, folder).select("user_id", "event_id", "value")
     path = scratch_path(spark, "ranked")
     order = [F.col("value").desc(), "event_id"]
-    # what is there now is one micro batch, so its first rows are those of the table
-    writer = streams.prioritized_sink(
-        events, ["user_id"], order, 3, lambda batch, number: batch.write.parquet(f"{path}/{number}")
-    )
-    writer.option("checkpointLocation", scratch_path(spark, "progress")).trigger(
-        availableNow=True
-    ).start().awaitTermination()
-    ranked = spark.read.option("recursiveFileLookup", "true").parquet(path)
-    return ranked.select("user_id", "event_id", "place")
+    last = run(spark, streams.carried_prioritized_sink(events, ["user_id"], order, 3, path))
+    return spark.read.parquet(f"{path}/{last}").select("user_id", "event_id", "place")
 
 
 @query("stream_rules", SQL["apply_rules_clone"])
@@ -131,3 +150,18 @@ def stream_running_state(spark, folder):
         else:
             spark.conf.set(STATE_STORE, before)
     return states.select("event_id", "user_id", "seen", F.round("state", 2).alias("state"))
+
+
+@query("stream_running_batches", SQL["running_state"])
+def stream_running_batches(spark, folder):
+    """The same over several micro batches, with hot users split and states carried in a table."""
+    events = timed_events(spark, folder).select("event_id", "user_id", "ts", "value")
+    path = scratch_path(spark, "running")
+    run(
+        spark,
+        streams.carried_running_sink(
+            events, ["user_id"], ["ts", "event_id"], "value", path, 100.0, hot_rows=1000
+        ),
+    )
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{path}/rows")
+    return rows.select("event_id", "user_id", "seen", F.round("state", 2).alias("state"))

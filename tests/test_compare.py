@@ -164,3 +164,17 @@ def test_a_round_writes_only_what_is_told_apart(spark):
     # both ends work inwards, two components a round at most
     assert max(colouring.rows[2:]) <= 2 and sum(colouring.rows) <= 3 * n + 2
     assert colouring.now().select("c1", "c2").distinct().count() == n + 1
+
+
+def test_only_differing_groups_are_compared(spark):
+    schema = "t string, k int, x string, y int"
+    rows = [("a", 1, "p", 1), ("a", 2, None, 2), ("b", 1, "p", 1), (None, 1, "q", 1), (None, 2, "q", 1), ("c", 1, "p", 1)]
+    before = spark.createDataFrame(rows, schema)
+    after = spark.createDataFrame([("a", 1, "p", 1), ("a", 2, None, 2), ("b", 1, "p", 2), (None, 1, "r", 1), (None, 2, "q", 1), ("d", 1, "p", 1)], schema)
+    names = {r["t"] for r in compare.differing(before, after, ["t"]).collect()}
+    assert names == {"b", None, "c", "d"}
+    got = compare.diff_snapshots(before, after, ["t", "k"], ["t"])
+    plain = compare.diff_snapshots(before, after, ["t", "k"])
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect())) and got.count() == 4
+    wider = after.withColumn("z", F.lit(None).cast("int"))
+    assert {r["t"] for r in compare.differing(before, wider, ["t"]).collect()} == names

@@ -153,14 +153,27 @@ def test_attributes(spark):
 
 def test_undecided_and_free_rules(spark):
     conditions = spark.createDataFrame(
-        [("mixed", "a", "1"), ("mixed", None, "b > 5"), ("plain", "a", "1")], "rule string, attr string, value string"
-    )
-    rows = spark.createDataFrame([("x", "a", "1"), ("x", "b", "0"), ("y", "a", "2")], "doc string, attr string, value string")
-    known = spark.createDataFrame([("mixed",), ("plain",), ("free",)], "rule string")
-    got = rules.match_rules(rows, conditions, ["doc"], ["rule"], rules=known).collect()
-    assert sorted(map(tuple, got)) == [("x", "free"), ("x", "plain"), ("y", "free")]
+        [("mixed", "a", "1"), ("mixed", None, "b > 5"), ("plain", "a", "1"), ("form", None, "${b:le(5)}"),
+         ("wrong", None, "b >"), ("nowhere", None, "c = 1"), ("odd", None, "${b:odd()}"), ("text", None, "a"),
+         ("both", None, "b > 5"), ("both", None, "${a:startsWith(\"1\")}"), ("gone", None, None)],
+        "rule string, attr string, value string",
+    )
+    entries = [("x", "a", "1"), ("x", "b", "0"), ("y", "a", "2"), ("z", "a", "1"), ("z", "b", "7")]
+    rows = spark.createDataFrame(entries, "doc string, attr string, value string")
+    known = conditions.select("rule").unionAll(spark.createDataFrame([("free",)], "rule string"))
+    got = rules.match_rules(rows, conditions, ["doc"], ["rule"]).collect()
+    assert sorted(map(tuple, got)) == [("x", "plain"), ("z", "plain")]
+    assert [tuple(r) for r in rules.free_rules(known, conditions, ["rule"]).collect()] == [("free",)]
     report = rules.undecided_rules(conditions, ["rule"]).collect()
-    assert [(r["rule"], r["undecided"]) for r in report] == [("mixed", ["b > 5"])]
+    assert {r["rule"]: r["undecided"] for r in report}["mixed"] == ["b > 5"]
+    wide = spark.createDataFrame([("x", "1", 0), ("y", "2", None), ("z", "1", 7)], "doc string, a string, b int")
+    got = rules.match_rules(rows, conditions, ["doc"], ["rule"], rows=wide).collect()
+    assert sorted(map(tuple, got)) == [
+        ("x", "form"), ("x", "plain"), ("z", "both"), ("z", "mixed"), ("z", "plain"),
+    ]
+    _, decided = rules.decide_conditions(wide, conditions, ["doc"])
+    left = {r["rule"] for r in rules.undecided_rules(decided, ["rule"]).collect()}
+    assert left == {"wrong", "nowhere", "odd", "text", "gone"}
 
 
 def test_spaces_of_values_are_kept(spark):

@@ -123,3 +123,35 @@ def test_prioritized_sink(spark, events, source):
     assert sizes.where("m > 2 OR n > 2").count() == 0
     best = events.agg(F.max("value")).first()[0]
     assert top.agg(F.max("value")).first()[0] == best
+
+
+def test_carried_sinks_over_micro_batches(spark, tmp_path):
+    rows = [(u, i, float((i * 7) % 11) if i % 5 else None) for i in range(90) for u in ("hot", f"u{i % 4}")]
+    table = spark.createDataFrame(rows, "u string, i int, v double")
+    for part in range(3):
+        table.where(f"i >= {part * 30} and i < {part * 30 + 30}").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def source():
+        return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+
+    def run(writer, name):
+        query = writer.option("checkpointLocation", f"{tmp_path}/{name}-progress").trigger(availableNow=True).start()
+        query.awaitTermination()
+        return query.lastProgress["batchId"]
+
+    last = run(streams.carried_running_sink(source(), ["u"], ["i"], "v", f"{tmp_path}/run", 5.0, hot_rows=10), "run")
+    assert last == 2
+    got = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/run/rows").collect()
+    state, wanted = {}, set()
+    for u, i, v in sorted(rows, key=lambda r: r[1]):
+        seen, held = state.get(u, (0, 5.0))
+        state[u] = (seen + 1, held + (v or 0.0))
+        wanted.add((u, i, *state[u]))
+    assert {(r.u, r.i, r.seen, r.state) for r in got} == wanted and len(got) == len(rows)
+    ends = spark.read.parquet(f"{tmp_path}/run/states/{last}").collect()
+    assert {r.u: (r.seen, r.state) for r in ends} == state
+    order = [F.col("v").desc_nulls_last(), "i"]
+    last = run(streams.carried_prioritized_sink(source(), ["u"], order, 4, f"{tmp_path}/top"), "top")
+    assert bag(spark.read.parquet(f"{tmp_path}/top/{last}").select("u", "i", "v", "place")) == bag(
+        flow.prioritized(table, ["u"], order, 4).select("u", "i", "v", "place")
+    )
