@@ -6,16 +6,38 @@ as the next one's ``docs``. All but the last return the columns of ``documents``
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowtables.llm import decontaminate, line_dedup, mixing, near_dup, quality_model
-from flowtables.session import scratch_path
+from flowtables.session import scratch_path, split_skew
 from flowtables.sources.tables import table
 
 NEAR_PERCENT = 80
+# Columns of documents that stages work with; all others are only carried along.
+OWN = ("doc_id", "text", "n_chars")
+
+
+def carrying(stage: Callable) -> Callable:
+    """A stage that returns the columns it is given, whatever their names.
+
+    Columns that stages do not work with go through it under numbers, so that none is taken for one of the
+    stage's own; a column with a name that only differs by case from another stays apart as well.
+    """
+
+    @wraps(stage)
+    def apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = [c if c in OWN else f"column {i}" for i, c in enumerate(docs.columns)]
+        kept = stage(spark, docs.toDF(*names), sf_dir)
+        return kept.select(*names).toDF(*docs.columns)
+
+    return apart
 
 
+@carrying
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier accepts; it learns from those of them with a label.
 
@@ -27,6 +49,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality_model.classify(docs, model).where("predicted = 1").select(*docs.columns)
 
 
+@carrying
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without recurring lines; one that had words and has none left goes, as a copy.
 
@@ -41,6 +64,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return lines.where(left).withColumns(changed).select(*docs.columns)
 
 
+@carrying
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each near-duplicate group, once; texts without words and
     documents without an id stay as they are."""
@@ -56,6 +80,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return named.unionByName(docs.where("doc_id is null"))
 
 
+@carrying
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -79,6 +104,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the last stage over the whole table ``documents``."""
+    split_skew(spark)
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
