@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from flowtables.llm import (
     spelling,
     url_filter,
 )
+from flowtables.session import split_skew
 from flowtables.sources.tables import literal_table, table
 
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,8 +31,15 @@ CORPUS_SQL: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
+    """Register a query, which makes sure that its session splits skewed joins, and its SQL."""
+
     def register(function):
-        CORPUS_QUERIES[name] = function
+        @wraps(function)
+        def prepared(spark: SparkSession, folder: str) -> DataFrame:
+            split_skew(spark)
+            return function(spark, folder)
+
+        CORPUS_QUERIES[name] = prepared
         if sql is not None:
             CORPUS_SQL[name] = sql
         return function

@@ -416,12 +416,29 @@ def test_lines_of_odd_texts(spark):
         )
         assert got[i].kept_text == kept
         assert got[i].n_lines == (0 if text is None else text.count("\n") + 1)
-    assert {i for i, _ in dropped} == {*range(10, 15), *range(16, 21), *range(22, 25)}
+    # the last text is a long line of two documents
+    assert {i for i, _ in dropped} == {*range(10, 15), *range(16, 21), *range(22, 25), 26}
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
     twice = docs.where("doc_id between 9 and 14")
     assert line_dedup.dedup_lines(twice.unionAll(twice)).where("n_dropped > 0").count() == 10
 
 
+def test_long_lines_of_two_documents_and_very_many_lines(spark):
+    passage, almost = prose(70, 60), prose(71, 49)
+    many = "\n".join(f"{prose(i, 6)} end" for i in range(3000))
+    texts = [f"{prose(1)}\n{passage}\n{almost}", f"{almost}\n{passage}\n{prose(2)}", many, f"{many}\n{prose(3)}"]
+    docs = frame(spark, texts)
+    got = each_row_once(line_dedup.dedup_lines(docs), len(texts))
+    dropped = brute.recurring_lines(dict(enumerate(texts)))
+    for i, text in enumerate(texts):
+        assert got[i].kept_text == "\n".join(x for k, x in enumerate(text.split("\n")) if (i, k) not in dropped)
+    assert dropped == {(1, 1)} and got[1].kept_text == f"{almost}\n{prose(2)}"
+    huge = "\n".join(f"{i % 977} some words of a line {'x' * (i % 5)}" for i in range(100_000))
+    big = frame(spark, [huge, huge + "\nlast", huge])
+    counts = {r.doc_id: (r.n_lines, r.n_dropped) for r in line_dedup.dedup_lines(big).collect()}
+    assert counts == {0: (100_000, 0), 1: (100_001, 100_000), 2: (100_000, 100_000)}
+
+
 def test_lines_that_share_leading_words_stay(spark):
     ends = ["are for", "of rest", "ing ere", "oues aha", "the enre"]
     six = ["very old dogs", "new red cars", "some good wine", "many tall trees", "few small boats"]
@@ -455,10 +472,19 @@ def test_pipeline_of_odd_tables(spark, tmp_path):
         df.write.parquet(f"{tmp_path}/{name}.parquet")
     texts = [*ODD, prose(50, 40), prose(1), prose(1)]
     docs = frame(spark, texts, extra=False)
-    for table in (docs, docs.limit(0), docs.withColumn("extra", F.lit("x"))):
+    clashing = docs.withColumns(
+        {
+            c: F.lit("x")
+            for c in ("extra", "score", "predicted", "_good", "_bad", "_row", "_gone", "_lines", "row", "gone",
+                      "whole", "kept_text", "n_lines", "mark", "doc", "wanted", "leaf", "a b")
+        }
+    )
+    for table in (docs, docs.limit(0), clashing):
         now = table
         for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
             now = stage(spark, now, str(tmp_path))
             assert number == 4 or now.columns == table.columns
+        if "score" in table.columns:
+            assert {tuple(r) for r in now.select("score", "predicted", "_row", "kept_text", "a b").collect()} == {("x",) * 5}
         left = {r.doc_id for r in now.collect()}
         assert left <= set(range(len(texts))) - {len(texts) - 3, len(texts) - 1, 0, 1, 2}
