@@ -17,11 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowtables.llm.components import components
-from flowtables.llm.words import blocks, keys, mix, segment_sum, shingle_sets, small_batches
+from flowtables.llm.words import blocks, keys, mix, segment_sum, shingle_sets, small_batches, word_count
 from flowtables.session import cut
 
 BANDS, ROWS = 32, 8
@@ -32,6 +32,7 @@ THRESHOLD = 85
 # About as many bytes of shingle sets, and sets, are in one block of a bucket.
 BLOCK_BYTES, BLOCK_SETS = 256 << 10, 512
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+ROW, MARKS = ("row_a", "row_b"), ("mark_a", "mark_b")
 
 
 def banding(threshold: int) -> tuple[int, int]:
@@ -85,7 +86,7 @@ def _signatures(bands: int, rows: int):
                 marks = [segment_sum(mix(values ^ k), sizes).view(np.int64) for k in keys(2, 41)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id"),
+                        *(batch.column(c) for c in ("doc_id", *ROW)),
                         pa.array(sizes),
                         pa.array(marks[0], mask=sizes == 0),
                         pa.array(marks[1], mask=sizes == 0),
@@ -93,7 +94,7 @@ def _signatures(bands: int, rows: int):
                             pa.list_(pa.int64())
                         ),
                     ],
-                    ["doc_id", "n_shingles", "mark_a", "mark_b", "bands"],
+                    ["doc_id", *ROW, "n_shingles", "mark_a", "mark_b", "bands"],
                 )
 
     return signed
@@ -108,13 +109,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             packed = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(values)]
             )
+            marks = [segment_sum(mix(values ^ k), sizes).view(np.int64) for k in keys(2, 41)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(segment_sum(mix(values ^ keys(2, 41)[0]), sizes).view(np.int64)),
-                    packed.cast(pa.binary()),
-                ],
-                ["doc_id", "mark_a", "items"],
+                [*map(pa.array, marks), packed.cast(pa.binary())], ["mark_a", "mark_b", "items"]
             )
 
 
@@ -137,11 +134,18 @@ def _confirmed(threshold: int):
     return check
 
 
+def row_keys() -> list[Column]:
+    """128 bits that stand for ``doc_id`` and whole text of a row, never null."""
+    return [F.xxhash64(F.lit(c), F.col("doc_id").cast("bigint"), "text").alias(c) for c in ROW]
+
+
 def signatures(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Set size, fingerprint of the set and band keys per row."""
-    return small_batches(docs).select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(
+    """Key of the row, set size, fingerprint of the set and band keys per row."""
+    rows = small_batches(docs).select(F.col("doc_id").cast("bigint"), *row_keys(), F.col("text"))
+    return rows.mapInArrow(
         _signatures(*banding(threshold)),
-        "doc_id bigint, n_shingles bigint, mark_a bigint, mark_b bigint, bands array<bigint>",
+        "doc_id bigint, row_a bigint, row_b bigint, n_shingles bigint, mark_a bigint, mark_b bigint, "
+        "bands array<bigint>",
     )
 
 
@@ -151,10 +155,10 @@ def _fits(n: Column, other: Column, threshold: int) -> Column:
 
 
 def _merging(threshold: int):
-    """For a group of rows (doc, root, side, items): links that join different roots, as a forest."""
+    """For a group of rows (node, root, side, items): links that join different roots, as a forest."""
 
     def check(table: pa.Table) -> pa.Table:
-        docs, roots = table["doc"].to_numpy(), table["root"].to_numpy()
+        nodes, roots = table["node"].to_numpy(), table["root"].to_numpy()
         side, heads = table["side"].to_numpy(), table["heads"][0].as_py()
         sets = [np.frombuffer(x, np.uint64) for x in table["items"].to_pylist()]
         sizes = np.fromiter((len(x) for x in sets), np.int64, len(sets))
@@ -185,7 +189,7 @@ def _merging(threshold: int):
             a, b = top(int(roots[x])), top(int(roots[y]))
             if a != b:
                 parent[max(a, b)] = min(a, b)
-                forest.append((docs[x], docs[y]))
+                forest.append((nodes[x], nodes[y]))
         return pa.table(
             {
                 "a": pa.array([f[0] for f in forest], pa.int64()),
@@ -197,38 +201,40 @@ def _merging(threshold: int):
 
 
 def links(docs: DataFrame, reps: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Confirmed pairs between representatives (``doc``, ``mark_a``, ``n``, ``bands``): enough for components.
+    """Confirmed pairs between nodes (``node``, key of a row with the set, marks, ``n``, ``bands``): enough
+    for components.
 
-    Every member of a bucket is first held against its smallest document. Buckets whose members then
+    Every member of a bucket is first held against its smallest node. Buckets whose members then
     are in one group need no more. The others are cut into blocks of bounded size, and every pair of
     blocks of a bucket is one group of rows in which all pairs of different groups are counted at once;
     it returns the links that join groups. No candidate is left out and no list of pairs is made.
     """
-    spread = reps.select("doc", "n", F.explode("bands").alias("key"))
+    spread = reps.select("node", "n", F.explode("bands").alias("key"))
     heads = (
         spread.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("members"), F.min("doc").alias("head"))
+        .agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("head"))
         .where("members > 1")
         .select("key", "head")
     )
     buckets = cut(spread.join(heads, "key"))
-    used = buckets.select(F.col("doc").alias("doc_id")).distinct()
+    used = reps.join(buckets.select("node").distinct(), "node", "left_semi")
     sets = cut(
-        docs.select(F.col("doc_id").cast("bigint"), "text")
-        .join(used, "doc_id", "left_semi")
-        .mapInArrow(_sets, "doc_id bigint, mark_a bigint, items binary")
-        .join(reps.select(F.col("doc").alias("doc_id"), "mark_a"), ["doc_id", "mark_a"], "left_semi")
-        .dropDuplicates(["doc_id"])
-        .drop("mark_a")
+        docs.select(*row_keys(), "text")
+        .join(used.select(*ROW), [*ROW], "left_semi")
+        .select("text")
+        .mapInArrow(_sets, "mark_a bigint, mark_b bigint, items binary")
+        .join(used.select(*MARKS, "node"), [*MARKS])
+        .dropDuplicates(["node"])
+        .select("node", "items")
     )
-    sizes = buckets.select(F.col("doc").alias("head"), F.col("n").alias("head_n")).distinct()
+    sizes = buckets.select(F.col("node").alias("head"), F.col("n").alias("head_n")).distinct()
     pairs = (
-        buckets.where("doc > head")
-        .select("head", "doc", "n")
+        buckets.where("node > head")
+        .select("head", "node", "n")
         .distinct()
         .join(sizes, "head")
         .where(_fits(F.col("n"), F.col("head_n"), threshold))
-        .select(F.col("head").alias("a"), F.col("doc").alias("b"))
+        .select(F.col("head").alias("a"), F.col("node").alias("b"))
     )
     held = pairs.join(sets.toDF("a", "items_a"), "a").join(sets.toDF("b", "items_b"), "b")
     near = cut(
@@ -239,8 +245,8 @@ def links(docs: DataFrame, reps: DataFrame, threshold: int = THRESHOLD) -> DataF
     groups = components(near, "a", "b")
     rooted = (
         buckets.drop("head")
-        .join(groups.toDF("doc", "root"), "doc", "left")
-        .withColumn("root", F.coalesce("root", "doc"))
+        .join(groups.toDF("node", "root"), "node", "left")
+        .withColumn("root", F.coalesce("root", "node"))
     )
     mixed = (
         rooted.groupBy("key")
@@ -256,62 +262,122 @@ def links(docs: DataFrame, reps: DataFrame, threshold: int = THRESHOLD) -> DataF
     )
     placed = (
         rooted.join(mixed, "key")
-        .withColumn("side", F.pmod(F.xxhash64("doc", F.lit("side")), F.col("parts")))
-        .join(sets.toDF("doc", "items"), "doc")
+        .withColumn("side", F.pmod(F.xxhash64("node", F.lit("side")), F.col("parts")))
+        .join(sets.toDF("node", "items"), "node")
     )
     pair = F.transform(
         F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1),
         lambda j: F.array(F.least(F.col("side"), j), F.greatest(F.col("side"), j)),
     )
     more = (
-        placed.select("key", "doc", "root", "side", "items", F.explode(pair).alias("heads"))
+        placed.select("key", "node", "root", "side", "items", F.explode(pair).alias("heads"))
         .groupBy("key", "heads")
         .applyInArrow(_merging(threshold), "a bigint, b bigint")
     )
     return near.unionAll(cut(more))
 
 
-def near_dup_groups(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Size of the shingle set and near-duplicate group of every row: ``doc_id``, ``n_shingles``,
-    ``component_id``, ``kept``.
+def _numbered(nodes: DataFrame) -> DataFrame | None:
+    """``nodes`` with a number of their own as ``node``, if ``doc`` is missing or repeated among them."""
+    unclear = nodes.groupBy("doc").count().where("count > 1 or doc is null")
+    if unclear.isEmpty():
+        return None
+    return cut(nodes.withColumn("node", F.monotonically_increasing_id()))
 
-    A set holds the distinct runs of five lower-cased words (fewer words: the whole sequence). Rows
-    are linked when 100 * intersection >= ``threshold`` * union; groups are the components of the links and
-    named by their smallest ``doc_id``. Rows with equal sets are one node, so a group of copies costs
-    one row each and no pairs.
 
-    A null or empty text has no shingle and is linked with nothing. Rows with a null ``doc_id`` take the
-    group of their text, and are never its name unless no other row has that text (then null). Rows that
-    repeat a ``doc_id`` are one document; if their texts differ, near copies are sought for the set of the
-    smallest fingerprint, equal sets for all of them. Other columns are ignored.
-    """
+def grouped(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of :func:`near_dup_groups` with ``row_a`` and ``row_b`` (:func:`row_keys`) and the
+    fingerprint of the set (``mark_a``, ``mark_b``; null without words)."""
     rows = cut(signatures(docs, threshold))
-    full = rows.where("n_shingles > 0 and doc_id is not null")
+    full = rows.where("n_shingles > 0")
     # one node for each set: named by the smallest document that has it
     nodes = cut(
-        full.groupBy("mark_a", "mark_b").agg(
-            F.min("doc_id").alias("doc"), F.max("n_shingles").alias("n")
-        )
+        full.groupBy(*MARKS).agg(F.min("doc_id").alias("doc"), F.max("n_shingles").alias("n"))
     )
+    numbered = _numbered(nodes)
+    nodes = nodes.withColumn("node", F.col("doc")) if numbered is None else numbered
+    # a row of that document, whose text is read again for the set
+    named = nodes.toDF(*["node_" + c for c in nodes.columns])
+    same = [full[c] == named["node_" + c] for c in MARKS]
+    held = full.join(named, [*same, full["doc_id"].eqNullSafe(named["node_doc"])])
     reps = (
-        full.select("mark_a", "mark_b", "doc_id", "bands")
-        .join(nodes.withColumnRenamed("doc", "doc_id"), ["mark_a", "mark_b", "doc_id"])
-        .groupBy(F.col("doc_id").alias("doc"))
-        .agg(F.min(F.struct("mark_a", "mark_b", "n", "bands")).alias("row"))
-        .select("doc", "row.mark_a", "row.n", "row.bands")
+        held.groupBy(F.col("node_node").alias("node"))
+        .agg(F.min(F.struct(*ROW, *MARKS, F.col("node_n").alias("n"), "bands")).alias("row"))
+        .select("node", "row.*")
     )
     groups = components(links(docs, reps, threshold), "a", "b")
-    named = nodes.join(groups.toDF("doc", "root"), "doc", "left").select(
-        "mark_a", "mark_b", F.coalesce("root", "doc").alias("component_id")
+    rooted = nodes.join(groups.toDF("node", "root"), "node", "left").withColumn(
+        "root", F.coalesce("root", "node")
     )
+    if numbered is None:
+        found = rooted.select(*MARKS, F.col("root").alias("component_id"), F.lit(True).alias("first"))
+    else:
+        best = rooted.groupBy(F.col("root").alias("best_root")).agg(
+            F.min(F.struct(F.col("doc").isNull(), "doc", *MARKS)).alias("best")
+        )
+        found = rooted.join(best, F.col("root") == F.col("best_root")).select(
+            *MARKS,
+            F.col("best.doc").alias("component_id"),
+            ((F.col("mark_a") == F.col("best.mark_a")) & (F.col("mark_b") == F.col("best.mark_b"))).alias(
+                "first"
+            ),
+        )
     return (
         rows.drop("bands")
-        .join(named, ["mark_a", "mark_b"], "left")
-        .withColumn("component_id", F.coalesce("component_id", "doc_id"))
+        .join(found, [*MARKS], "left")
+        .withColumn("component_id", F.coalesce("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id"))))
         .select(
             "doc_id",
             "n_shingles",
             "component_id",
-            F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
+            (F.coalesce("first", F.lit(True)) & F.col("doc_id").eqNullSafe(F.col("component_id"))).alias(
+                "kept"
+            ),
+            *ROW,
+            *MARKS,
         )
     )
+
+
+def near_dup_groups(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Size of the shingle set and near-duplicate group of every row: ``doc_id``, ``n_shingles``,
+    ``component_id``, ``kept``.
+
+    A set holds the distinct runs of five lower-cased words (fewer words: the whole sequence). Rows
+    are linked when 100 * intersection >= ``threshold`` * union; groups are the components of the links and
+    named by their smallest ``doc_id``. Rows with equal sets are one node, so a group of copies costs
+    one row each and no pairs.
+
+    A null or empty text has no shingle and is linked with nothing. Nodes are sets, not ids: rows that repeat
+    a ``doc_id`` with different texts, and rows with a null one, are linked by their texts like all others. A
+    group without any ``doc_id`` has a null name. ``kept`` rows have the name of their group as ``doc_id``; if that
+    document has several texts in the group, only the text of the smallest fingerprint is kept. Rows that
+    repeat id and text are kept together (:func:`drop_near_dups` leaves one). Other columns are ignored.
+    """
+    return grouped(docs, threshold).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def drop_near_dups(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """One row of each near-duplicate group, of the smallest ``doc_id``; columns as in ``docs``, none of
+    which may be called ``row_a`` or ``row_b``.
+
+    Texts without words are no copies of each other: of those a ``doc_id`` has one row, and rows
+    without an id all stay.
+    """
+    kept = (
+        grouped(docs, threshold)
+        .where("kept and (n_shingles > 0 or doc_id is not null)")
+        .groupBy("doc_id", *MARKS)
+        .agg(F.min(F.struct(*ROW)).alias("row"))
+        .select("row.*")
+        .hint("merge")
+    )
+    once = Window.partitionBy(*ROW).orderBy(F.lit(0))
+    rows = docs.select("*", *row_keys())
+    named = (
+        rows.join(kept, [*ROW], "left_semi")
+        .withColumn("row_b", F.row_number().over(once))
+        .where("row_b = 1")
+        .select(*docs.columns)
+    )
+    return named.unionByName(docs.where(F.col("doc_id").isNull() & (word_count(F.col("text")) == 0)))

@@ -112,6 +112,38 @@ def test_near_groups_without_ids_and_of_repeated_rows(spark):
     assert near_dup.near_dup_groups(got.limit(0).withColumn("text", F.lit("t"))).count() == 0
 
 
+def test_near_groups_of_sets_whose_ids_repeat_or_are_missing(spark):
+    def near(seed, change):
+        words = prose(seed, 100).split()
+        words[50] = change
+        return " ".join(words)
+
+    rows = [
+        (5, near(20, "a")), (1, near(20, "b")),  # one text of 5 is near 1, the other near 2
+        (5, near(21, "a")), (2, near(21, "b")), (2, near(21, "b")),
+        (7, near(22, "a")), (7, near(22, "b")),  # two near texts of one id
+        (None, near(23, "a")), (None, near(23, "b")), (None, near(23, "b")),
+        (None, near(20, "c")), (8, near(24, "a")), (None, None), (None, ""), (9, ""), (9, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    # the plain version has a number of its own for every row
+    plain = brute.near_groups(dict(enumerate(t for _, t in rows)), 85)
+    names = {}
+    for i, (_, root, _) in plain.items():
+        names.setdefault(root, []).append(rows[i][0])
+    names = {r: min((d for d in ds if d is not None), default=None) for r, ds in names.items()}
+    got = near_dup.near_dup_groups(docs).collect()
+    assert sorted(map(str, [(r.doc_id, r.n_shingles, r.component_id) for r in got])) == sorted(
+        str((rows[i][0], n, names[root])) for i, (n, root, _) in plain.items()
+    )
+    kept = sorted(r.doc_id for r in got if r.kept and r.n_shingles and r.doc_id is not None)
+    assert kept == [1, 2, 2, 7, 8]
+    left = near_dup.drop_near_dups(docs.withColumn("node", F.lit("x"))).collect()
+    assert sorted(str(r.doc_id) for r in left) == ["1", "2", "7", "8", "9", "None", "None", "None"]
+    assert {r.text for r in left} <= {t for _, t in rows}
+    assert sum(r.text in (near(23, "a"), near(23, "b")) for r in left) == 1
+
+
 def test_components_of_chains_and_loops(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(50, 50), (60, 61), (61, 60), (None, 3), (70, None)]
     found = components(spark.createDataFrame(pairs, "a int, b int"), "a", "b").collect()
