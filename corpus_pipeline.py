@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowtables.llm import decontaminate, line_dedup, mixing, near_dup, quality_model
@@ -66,18 +66,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @carrying
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each near-duplicate group, once; texts without words and
-    documents without an id stay as they are."""
-    groups = near_dup.near_dup_groups(docs, NEAR_PERCENT)
-    kept = groups.where("kept and doc_id is not null").select("doc_id").distinct().hint("merge")
-    once = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    named = (
-        docs.join(kept, "doc_id", "left_semi")
-        .withColumn("_row", F.row_number().over(once))
-        .where("_row = 1")
-        .select(*docs.columns)
-    )
-    return named.unionByName(docs.where("doc_id is null"))
+    """The document of the smallest id of each near-duplicate group, once; texts without words stay."""
+    return near_dup.drop_near_dups(docs, NEAR_PERCENT)
 
 
 @carrying
