@@ -21,37 +21,51 @@ CHARS = 1 << 20
 LETTER = r"\p{L}"
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the n-grams of all texts and their number per text.
+def plain(text: str) -> str:
+    """Letters in lower case, any other run of characters as one space, and a space at both ends, so
+    n-grams do not depend on digits, signs or line ends."""
+    return " " + regex.sub(r"\P{L}+", " ", text.lower()).strip() + " "
 
-    Letters are lower-cased, any other run of characters is one space, and a text has a space at both
-    ends, so n-grams do not depend on digits, signs or line ends.
-    """
-    plain = [" " + regex.sub(r"\P{L}+", " ", t.lower()).strip() + " " for t in texts]
-    codes = np.frombuffer("".join(plain).encode("utf-32-le", "surrogatepass"), np.uint32)
-    sizes = np.fromiter((len(p) for p in plain), np.int64, len(plain))
-    starts = np.cumsum(sizes) - sizes
+
+def pieces(text: str, size: int) -> Iterator[str]:
+    """Parts of a plain text that together have its n-grams: of each, those that begin within the first
+    ``size`` characters. The others only end the last of these; one part for texts of that size."""
+    for start in range(0, len(text), size):
+        yield text[start : start + size + max(ORDERS) - 1]
+
+
+def grams(parts: list[str], size: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the n-grams of plain texts, or parts of them (:func:`pieces`), and their number in each."""
+    codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = np.fromiter((len(p) for p in parts), np.int64, len(parts))
+    size = max(len(codes), 1) if size is None else size
+    begins = np.cumsum(sizes) - sizes
     out, counts = [], []
-    owner = np.repeat(np.arange(len(plain)), sizes)
+    owner = np.repeat(np.arange(len(parts)), sizes)
+    place = np.arange(len(codes)) - begins[owner]
     for n in ORDERS:
         m = max(len(codes) - n + 1, 0)
         h = np.full(m, np.uint32(n * 0x9E3779B1 & 0xFFFFFFFF))
         for k in range(n):
             h = (h ^ codes[k : m + k]) * np.uint32(0x85EBCA6B)
             h ^= h >> np.uint32(15)
-        inner = owner[:m] == owner[n - 1 :][:m]
+        inner = (owner[:m] == owner[n - 1 :][:m]) & (place[:m] < size)
         out.append((h & np.uint32(BUCKETS - 1)).astype(np.int64)[inner])
-        counts.append(np.maximum(sizes - n + 1, 0))
-    # grams of one text lie together: by text, then by order
-    where = np.concatenate([np.repeat(np.arange(len(plain)), c) for c in counts])
+        counts.append(np.clip(sizes - n + 1, 0, size))
+    # grams of one part lie together: by part, then by order
+    where = np.concatenate([np.repeat(np.arange(len(parts)), c) for c in counts])
     order = np.argsort(where, kind="stable")
     return np.concatenate(out)[order], np.sum(counts, axis=0)
 
 
-def pieces(text: str, size: int = CHARS) -> Iterator[str]:
-    """Parts of a very long text, which share no character; one part for others."""
-    for start in range(0, len(text), size):
-        yield text[start : start + size]
+def hashed(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(text each part is of, buckets, number of them in each part) for parts of bounded size together."""
+    parts = [list(pieces(plain(t), CHARS)) for t in texts]
+    flat = [p for ps in parts for p in ps]
+    owner = np.repeat(np.arange(len(texts)), [len(ps) for ps in parts])
+    step = max(1, len(flat)) if len(flat) == len(texts) else 1
+    for s in range(0, len(flat), step):
+        yield owner[s : s + step], *grams(flat[s : s + step], CHARS)
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,10 +75,10 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(whole, "text", CHARS):
             parts: dict[str, list[str]] = {}
             for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist()):
-                parts.setdefault(lang, []).extend(pieces(text))
+                parts.setdefault(lang, []).append(text)
             for lang, texts in parts.items():
-                found = np.bincount(grams(texts)[0], minlength=BUCKETS)
-                totals[lang] = totals.get(lang, 0) + found
+                for _, found, _ in hashed(texts):
+                    totals[lang] = totals.get(lang, 0) + np.bincount(found, minlength=BUCKETS)
     for lang, found in totals.items():
         used = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays(
@@ -116,16 +130,11 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
                 pred, value = [UNKNOWN] * len(texts), np.zeros(len(texts))
                 rows = [i for i, known in enumerate(letters) if known and langs]
                 if rows:
-                    parts = [list(pieces(texts[i])) for i in rows]
                     sums = np.zeros((len(rows), len(langs)))
-                    flat = [p for ps in parts for p in ps]
-                    owner = np.repeat(np.arange(len(rows)), [len(ps) for ps in parts])
-                    step = max(1, len(flat) if len(flat) == len(rows) else 1)
-                    for s in range(0, len(flat), step):
-                        hashed, counts = grams(flat[s : s + step])
+                    for owner, found, counts in hashed([texts[i] for i in rows]):
                         for k in range(len(langs)):
-                            part = segment_sum(logs[hashed, k].astype(np.float64), counts)
-                            np.add.at(sums[:, k], owner[s : s + step], part)
+                            part = segment_sum(logs[found, k].astype(np.float64), counts)
+                            np.add.at(sums[:, k], owner, part)
                     best = sums.argmax(axis=1)
                     odds = np.exp(sums - sums.max(axis=1, keepdims=True))
                     for j, i in enumerate(rows):
