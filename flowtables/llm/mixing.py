@@ -12,6 +12,9 @@ from flowtables.session import cut
 
 WEIGHTS = (1, 2, 3)
 MOST_EPOCHS = 3
+# Words of a source in one range (some 12 MB of text), and the hex digits that may name ranges.
+RANGE_WORDS = 2_000_000
+DIGITS = (3, 4, 5)
 
 
 def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
@@ -63,6 +66,12 @@ def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MO
     )
 
 
+def _digits(largest: int | None) -> int:
+    """Hex digits of the keys that make a range, for a largest source of so many words."""
+    fit = (d for d in DIGITS if (largest or 0) <= RANGE_WORDS * 16**d)
+    return next(fit, max(DIGITS))
+
+
 def mix_sources(
     docs: DataFrame,
     weights: Sequence[int] = WEIGHTS,
@@ -73,20 +82,28 @@ def mix_sources(
 
     Every document gets a key from a hash of ``seed`` and its ``doc_id``; a source's documents in key order
     are taken until its budget, the whole part of its target, is used up to the word, over and over if
-    the target is above the source's size. The keys are uniform, so their first three hex digits cut
-    every source into 4,096 ranges of like size: ranges are summed, the sums before each range are
-    carried into it, and a range is sorted by itself. A source that holds most rows is 4,096 groups.
+    the target is above the source's size. The keys are uniform, so their first hex digits cut every
+    source into ranges of like size: ranges are summed, the sums before each range are carried into it, and
+    a range is sorted by itself. There are 4,096 ranges, and 16 times as many whenever the largest source
+    has more than ``RANGE_WORDS`` words for each; ranges never change the result.
 
-    Null text has size 0, a null source is a source of its own (last), a null ``doc_id`` has one key.
+    Null text has size 0, a null source is a source of its own (last). A null ``doc_id`` has the key of its
+    text; rows that repeat a ``doc_id``, or a text without one, are one key and stay in one range.
     Ties of keys are ordered by id and size, so reruns agree; equal rows may swap. Columns of ``docs`` with
     the names of the added ones are replaced, those of ``working`` dropped.
     """
     added = ("size", "source_size", "target", "taken")
     working = ("_key", "_range", "_place", "_carry", "_source", "_in_range")
-    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    text = F.concat(F.lit("text:"), F.md5(F.coalesce("text", F.lit(""))))
+    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), text)))
     rows = docs.drop(*added, *working).withColumns({"size": word_count(F.col("text")), "_key": key})
-    rows = rows.withColumn("_range", F.substring("_key", 1, 3))
-    ranges = cut(rows.groupBy("source", "_range").agg(F.sum("size").alias("range_size")))
+    fine = rows.groupBy("source", F.substring("_key", 1, max(DIGITS)).alias("_range"))
+    fine = cut(fine.agg(F.sum("size").alias("range_size")))
+    digits = _digits(fine.groupBy("source").agg(F.sum("range_size").alias("n")).agg(F.max("n")).first()[0])
+    rows = rows.withColumn("_range", F.substring("_key", 1, digits))
+    ranges = fine.groupBy("source", F.substring("_range", 1, digits).alias("_range")).agg(
+        F.sum("range_size").alias("range_size")
+    )
     sources = targets(
         ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")), weights, most
     )

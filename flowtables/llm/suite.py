@@ -56,7 +56,7 @@ def op4_near_dedup(spark, folder):
     "op5_source_mix",
     """
     WITH sized AS (
-      SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
+      SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(coalesce(text, '')))) AS key,
         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
       FROM documents),
     sources AS (
