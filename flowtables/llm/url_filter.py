@@ -10,6 +10,12 @@ from flowtables.session import cut
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALLOW, BLOCK = "allow", "block"
+# Character references and the sign each stands for; that of the ampersand is read last.
+REFERENCES = (
+    ("quot|#34|#x22", '"'), ("apos|#39|#x27", "'"), ("lt|#60|#x3c", "<"), ("gt|#62|#x3e", ">"),
+    ("sol|#47|#x2f", "/"), ("colon|#58|#x3a", ":"), ("equals|#61|#x3d", "="), ("quest|#63|#x3f", "?"),
+    ("period|#46|#x2e", "."), ("num|#35|#x23", "#"), ("amp|#38|#x26", "&"),
+)
 ATTRIBUTE = r"""\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -29,22 +35,37 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(_after_scheme(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def unescaped(value: Column) -> Column:
+    """An attribute with the character references that addresses have in them read."""
+    for codes, sign in REFERENCES:
+        value = F.regexp_replace(value, f"(?i)&(?:{codes});", sign)
+    return value
+
+
+def _tag(html: Column, name: str, needed: str) -> Column:
+    return F.regexp_extract(html, rf"(?i)(<{name}\b[^>]*{needed}[^>]*>)", 1)
+
+
+def _href(tag: Column) -> Column:
+    found = F.regexp_extract(tag, rf"(?i)\bhref{ATTRIBUTE}", 1)
+    return F.when(found != "", unescaped(found))
+
+
 def canonical(html: Column) -> Column:
     """Target of the page's canonical link, or null."""
-    tag = F.regexp_extract(
-        html, r"(?i)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)", 1
-    )
-    found = F.regexp_extract(tag, rf"(?i)\bhref{ATTRIBUTE}", 1)
-    return F.when(found != "", found)
+    return _href(_tag(html, "link", r"\brel\s*=\s*[\"']?canonical\b"))
+
+
+def base(html: Column) -> Column:
+    """What the page names as the base of its links, or null."""
+    return _href(_tag(html, "base", r"\bhref\b"))
 
 
 def redirect(html: Column) -> Column:
     """Target of the page's refresh redirect, or null."""
-    tag = F.regexp_extract(
-        html, r"(?i)(<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>)", 1
-    )
+    tag = _tag(html, "meta", r"\bhttp-equiv\s*=\s*[\"']?refresh\b")
     found = F.regexp_extract(tag, r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1)
-    return F.when(found != "", found)
+    return F.when(found != "", unescaped(found))
 
 
 def resolved(url: Column, target: Column) -> Column:
@@ -61,13 +82,33 @@ def resolved(url: Column, target: Column) -> Column:
     )
 
 
+def without_dots(path: Column) -> Column:
+    """A path without the segments ``.`` and ``..``, which go with the one before them."""
+    parts = F.split(F.substr(path, F.lit(2)), "/")
+    inside = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda kept, part: F.when(part == ".", kept)
+        .when(part == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0))))
+        .otherwise(F.array_append(kept, part)),
+    )
+    whole = F.concat(F.lit("/"), F.array_join(inside, "/"))
+    folder = path.rlike(r"/\.\.?$") & (F.size(inside) > 0)
+    return F.when(path.contains("/."), F.concat(whole, F.when(folder, "/").otherwise(""))).otherwise(path)
+
+
 def address(url: Column) -> Column:
-    """The node of a url: host in lower case, path and query; scheme and fragment do not count."""
+    """The node of a url: host in lower case without the port its scheme has anyway, path without dot
+    segments, and query; scheme and fragment do not count."""
     query = F.regexp_extract(url, r"^[^?#]*(\?[^#]*)?", 1)
     path = path_of(url)
+    usual = url.rlike(r"^(?i)(http://[^/?#]*:80|https://[^/?#]*:443|https?://[^/?#]*:)([/?#]|$)")
+    host = F.when(usual, F.regexp_replace(host_of(url), ":[0-9]*$", "")).otherwise(host_of(url))
     return F.when(
-        host_of(url) != "",
-        F.concat(host_of(url), F.when(path == "", "/").otherwise(path), F.coalesce(query, F.lit(""))),
+        host != "",
+        F.concat(
+            host, F.when(path == "", "/").otherwise(without_dots(path)), F.coalesce(query, F.lit(""))
+        ),
     )
 
 
@@ -103,14 +144,15 @@ def ruled(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 def links(pages: DataFrame) -> DataFrame:
     """Edges (``u``, ``v``) between the addresses of pages and their redirect and canonical targets."""
+    html = F.col("html")
+    named = base(html)
     ends = pages.where("url is not null and html is not null").select(
         "url",
-        F.explode(F.array_compact(F.array(canonical(F.col("html")), redirect(F.col("html"))))).alias(
-            "target"
-        ),
+        F.when(named.isNull(), F.col("url")).otherwise(resolved(F.col("url"), named)).alias("base"),
+        F.explode(F.array_compact(F.array(canonical(html), redirect(html)))).alias("target"),
     )
     return ends.select(
-        address(F.col("url")).alias("u"), address(resolved(F.col("url"), F.col("target"))).alias("v")
+        address(F.col("url")).alias("u"), address(resolved(F.col("base"), F.col("target"))).alias("v")
     ).where("u is not null and v is not null and u <> v")
 
 

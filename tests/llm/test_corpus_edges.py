@@ -169,6 +169,17 @@ def test_language_of_odd_texts(spark):
     assert language_id.identify(docs.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 50, 10**6])
+def test_pieces_have_the_ngrams_of_the_whole(size):
+    for text in ["Ab", "a1b é", "", "q" * 51, "Ünder the  bridge, 12 times. " * 5]:
+        whole = language_id.plain(text)
+        parts = list(language_id.pieces(whole, size))
+        found, counts = language_id.grams(parts, size)
+        wanted, n = language_id.grams([whole])
+        assert sorted(found) == sorted(wanted) and counts.sum() == n.sum() == len(wanted)
+        assert len(wanted) == sum(max(len(whole) - k + 1, 0) for k in language_id.ORDERS)
+
+
 def test_language_of_a_text_in_pieces(spark, monkeypatch):
     model = (["a", "b"], np.log(np.random.default_rng(1).random((language_id.BUCKETS, 2))).astype("f4"))
     docs = frame(spark, ["short one", prose(3, 3000), "the end", prose(4, 10)])
@@ -434,6 +445,47 @@ def test_urls_and_equivalence(spark):
     assert url_filter.filter_urls(pages, rules.limit(0)).where("verdict = 'block'").count() == 0
 
 
+def test_addresses_of_one_page_are_one_node(spark):
+    same = [
+        ("http://a.net/x/y", "../z?b=1&amp;c=2", "a.net/z?b=1&c=2"),
+        ("http://a.net/x/y", "./z", "a.net/x/z"), ("http://a.net/x/y", "../../../z/.", "a.net/z/"),
+        ("http://a.net/x/", "..", "a.net/"), ("http://a.net", ".hidden/..a", "a.net/.hidden/..a"),
+        ("http://A.net:80/x", "https:&#x2F;&sol;B.net:443", "b.net/"), ("https://a.net/x", "//b.net:80/y", "b.net:80/y"),
+        ("http://a.net/x", "&amp;#47;", "a.net/&"),
+    ]
+    df = spark.createDataFrame(same, "url string, target string, wanted string")
+    target = url_filter.unescaped(F.col("target"))
+    got = df.select("wanted", url_filter.address(url_filter.resolved(F.col("url"), target)).alias("got"))
+    assert [r.got for r in got.collect()] == [w for _, _, w in same]
+    assert df.select(url_filter.address(F.lit(None).cast("string"))).distinct().first()[0] is None
+    pages = spark.createDataFrame(
+        [
+            (1, "http://a.net/x/y", "<link rel='canonical' href='../z?b=1&amp;c=2'>"),
+            (2, "http://a.net:80/x/../z?b=1&c=2", ""),
+            (3, "http://c.net/p", "<base href='http://a.net/x/'><link rel=canonical href=y>"),
+            (4, "http://c.net/x/y", ""),
+        ],
+        "page_id bigint, url string, html string",
+    )
+    rules = spark.createDataFrame([("c.net", "/p", "block")], "host string, path string, verdict string")
+    got = {r.page_id: r.verdict for r in url_filter.filter_urls(pages, rules).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow"}
+
+
+def test_mix_with_more_ranges_and_without_ids(spark, monkeypatch):
+    texts = [" ".join(["w"] * (i % 9)) + f" t{i}" for i in range(300)]
+    docs = spark.createDataFrame(
+        [(i if i % 2 else None, t, "hot" if i % 3 else None) for i, t in enumerate(texts)],
+        "doc_id bigint, text string, source string",
+    )
+    assert [mixing._digits(n) for n in (None, 0, 2 * 10**6 * 4096, 2 * 10**6 * 4096 + 1, 10**15)] == [3, 3, 3, 4, 5]
+    few = sorted(map(str, mixing.mix_sources(docs).collect()))
+    monkeypatch.setattr(mixing, "RANGE_WORDS", 0)
+    assert sorted(map(str, mixing.mix_sources(docs).collect())) == few
+    for r in mixing.mix_sources(docs).groupBy("source").agg(F.sum("taken").alias("n"), F.max("target").alias("t")).collect():
+        assert abs(r.n - r.t) < 1
+
+
 def test_lines_of_odd_texts(spark):
     row = "user {} logged in from {} today"
     texts = [*ODD, *[row.format(f"u{i}", i) + f"\n{prose(i)}" for i in range(6)],
