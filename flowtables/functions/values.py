@@ -127,6 +127,15 @@ def edge_labels(selected: Column, source_name: Column, source_is_port: Column) -
     )
 
 
+def edge_target(
+    dest_name: Column,
+    dest_kind: Column,
+    ports: Sequence[str] = ("INPUT_PORT", "REMOTE_INPUT_PORT"),
+) -> Column:
+    """Name of the port a connection ends at inside a group, null unless it ends at an input port."""
+    return F.when(F.upper(dest_kind).isin(*ports), dest_name)
+
+
 # Positions ------------------------------------------------------------------------------------
 
 

@@ -36,6 +36,43 @@ def expire_stream(stream: DataFrame, ts: str, ttl_seconds: float) -> DataFrame:
     return stream.where(F.col(ts).isNull() | (F.col(ts).cast("timestamp") >= limit))
 
 
+def expired_waiting(
+    stream: DataFrame, key: Sequence[str], ts: str, ttl_seconds: Column, left: Column, delay: str
+) -> DataFrame:
+    """Rows that waited in a queue beyond their time to live: ``key``..., ``arrived``, ``expired``.
+
+    The stream holds arrivals and, where ``left`` is true, departures of rows named by ``key`` (edge and row id:
+    state is one session per waiting row, so no edge is hot). A session is open from an arrival for its own
+    time to live, of microseconds; a departure inside it, its end included, takes the row out. Sessions close by
+    event time: the row comes out once the watermark, ``delay`` behind the newest row, is past the end.
+
+    A row that arrives again waits anew from then on. A time to live of 0 or null is for ever and keeps no state; rows
+    without a timestamp have no age. Departures of rows that do not wait change nothing.
+    """
+    gone = F.coalesce(left, F.lit(False))
+    micros = F.round(F.coalesce(ttl_seconds.cast("double"), F.lit(0.0)) * 1000000).cast("bigint")
+    at = F.col("_at")
+    timed = stream.select(
+        *key,
+        F.col(ts).cast("timestamp").alias("_at"),
+        gone.alias("_gone"),
+        # one microsecond for a departure, and one more than the time to live to include its end
+        F.when(gone, 0).otherwise(micros).alias("_micros"),
+    ).where("_at is not null and (_gone or _micros > 0)")
+    gap = F.concat((F.col("_micros") + 1).cast("string"), F.lit(" microseconds"))
+    ended = (
+        timed.withWatermark("_at", delay)
+        .groupBy(*key, F.session_window("_at", gap).alias("_wait"))
+        .agg(
+            F.max(F.when(~F.col("_gone"), at)).alias("arrived"),
+            F.max(F.when(F.col("_gone"), at)).alias("_left"),
+        )
+    )
+    return ended.where(
+        "arrived is not null and (_left is null or _left < arrived)"
+    ).select(*key, "arrived", (F.col("_wait.end") - F.expr("interval 1 microsecond")).alias("expired"))
+
+
 def batch_totals(
     stream: DataFrame,
     key: Sequence[str],

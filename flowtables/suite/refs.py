@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowtables.functions.values import edge_labels, effective_id, endpoint_kind
+from flowtables.functions.values import edge_labels, edge_target, effective_id, endpoint_kind
 from flowtables.operators import refs
 from flowtables.operators.sparse import unpivot_text
 from flowtables.sources.tables import table
@@ -122,6 +122,29 @@ def edge_label_lists(spark, folder):
     )
 
 
+@query(
+    "edge_targets",
+    """
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+           CASE WHEN l_returnflag IN ('R', 'A') THEN s_name END AS target
+    FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
+    """,
+)
+def edge_targets(spark, folder):
+    """Returned and accepted lines end at ports of a group, which the connection then names."""
+    flag = F.col("l_returnflag")
+    kind = F.when(flag == "R", "input_port").when(flag == "A", "REMOTE_INPUT_PORT").otherwise("PROCESSOR")
+    suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_name")
+    lines = table(spark, folder, "lineitem")
+    return lines.join(suppliers, lines["l_suppkey"] == suppliers["s_suppkey"], "left").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        edge_target(F.col("s_name"), kind).alias("target"),
+    )
+
+
 # Two workspaces that hold the same ids, which stand for different things in each.
 WORKSPACES = (("a", 1000000), ("b", 2000000))
 

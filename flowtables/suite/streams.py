@@ -21,20 +21,22 @@ def event_stream(spark, folder):
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
 
 
-def timed_events(spark, folder):
-    """The events as a stream of files one after the other in time, one to a micro batch."""
-    path = scratch_path(spark, "events")
-    events = stored(
-        table(spark, folder, "events")
-        .repartitionByRange(BATCHES, "ts", "event_id")
-        .withColumn("_range", F.spark_partition_id()),
+def timed_files(spark, rows, *order):
+    """A table as a stream of files one after the other in its order, one to a micro batch."""
+    path = scratch_path(spark, "timed")
+    ranges = stored(
+        rows.repartitionByRange(BATCHES, *order).withColumn("_range", F.spark_partition_id()),
         "ranges",
     )
     for number in range(BATCHES):
-        one = events.where(F.col("_range") == number).drop("_range")
+        one = ranges.where(F.col("_range") == number).drop("_range")
         one.coalesce(1).write.mode("append").parquet(path)
-    source = spark.readStream.schema(table(spark, folder, "events").schema)
-    return source.option("maxFilesPerTrigger", 1).parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def timed_events(spark, folder):
+    """The events as a stream of files in time order."""
+    return timed_files(spark, table(spark, folder, "events"), "ts", "event_id")
 
 
 def run(spark, writer):
@@ -91,6 +93,44 @@ def stream_expire(spark, folder):
     return finished(spark, flow.expire(events, "ts", 10 * 86400, as_of)).drop("ts")
 
 
+# Hours a row may wait on the edge of its event type; signups wait for ever.
+WAIT_HOURS = {"click": 6, "error": 12, "purchase": 48, "signup": 0, "view": 24}
+WAITS = ", ".join(f"('{kind}', {hours})" for kind, hours in WAIT_HOURS.items())
+
+
+@query(
+    "stream_waiting",
+    f"""
+    -- every event waits on the edge of its type and is taken as many half hours later as its id says
+    WITH waits AS (
+      SELECT event_id, event_type, ts, ts + to_seconds(event_id % 61 * 1800) AS taken,
+        to_hours(w.hours) AS ttl, w.hours
+      FROM events JOIN (VALUES {WAITS}) AS w(kind, hours) ON event_type = kind),
+    mark AS (SELECT max(greatest(ts, taken)) - INTERVAL 1 HOUR AS past FROM waits)
+    SELECT event_type, event_id, epoch_us(ts) AS arrived, epoch_us(ts + ttl) AS expired
+    FROM waits, mark
+    WHERE hours > 0 AND taken > ts + ttl AND ts + ttl + INTERVAL 1 MICROSECOND <= past
+    """,
+)
+def stream_waiting(spark, folder):
+    events = table(spark, folder, "events").select("event_id", "event_type", "ts")
+    half_hours = F.make_dt_interval(mins=(F.col("event_id") % 61 * 30).cast("int"))
+    taken = events.withColumn("ts", F.col("ts") + half_hours)
+    moves = events.withColumn("gone", F.lit(False)).unionByName(taken.withColumn("gone", F.lit(True)))
+    pairs = [F.lit(v) for kind, hours in WAIT_HOURS.items() for v in (kind, hours * 3600)]
+    ttl = F.create_map(*pairs)[F.col("event_type")]
+    stream = timed_files(spark, moves, "ts", "event_id", "gone")
+    waited = streams.expired_waiting(
+        stream, ["event_type", "event_id"], "ts", ttl, F.col("gone"), "1 hour"
+    )
+    return finished(spark, waited).select(
+        "event_type",
+        "event_id",
+        F.unix_micros("arrived").alias("arrived"),
+        F.unix_micros("expired").alias("expired"),
+    )
+
+
 @query(
     "stream_prioritized",
     """

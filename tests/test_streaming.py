@@ -78,6 +78,32 @@ def test_expire(spark, events, source):
     assert finish(spark, streams.expire_stream(source(), "ts", 60.0)).count() == 0
 
 
+def test_waiting_rows_expire_by_event_time(spark, tmp_path):
+    # one row per second and micro batch: (edge, id, second, gone, ttl)
+    batches = [
+        [("a", 1, 0, False, 10.0), ("a", 2, 0, False, 10.0), ("b", 1, 0, False, 30.0), ("a", 3, 0, False, 0.0),
+         ("a", 4, 0, False, None), ("a", 5, None, False, 1.0), ("a", 6, 0, True, 10.0), ("a", 8, 0, False, 10.0)],
+        [("a", 2, 10, True, None), ("a", 1, 11, True, 10.0), ("a", 7, 12, False, 0.5), ("a", 8, 8, False, 10.0)],
+        [("b", 1, 29, None, 30.0), ("a", 7, 40, False, 100.0), ("b", 9, 100, True, None)],
+    ]
+    schema = "edge string, id int, second int, gone boolean, ttl double"
+    for number, rows in enumerate(batches):
+        one = spark.createDataFrame(rows, schema).coalesce(1)
+        one.write.mode("append").parquet(f"{tmp_path}/in")
+    source = (
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        .withColumn("ts", F.timestamp_seconds("second"))
+    )
+    stream = streams.expired_waiting(source, ["edge", "id"], "ts", F.col("ttl"), F.col("gone"), "5 seconds")
+    got = finish(spark, stream).select(
+        "edge", "id", F.unix_millis("arrived").alias("arrived"), F.unix_millis("expired").alias("expired")
+    )
+    # 2 left at its end, 8 and b1 arrived again, the second wait of 7 is still open
+    assert sorted(map(tuple, got.collect())) == [
+        ("a", 1, 0, 10000), ("a", 7, 12000, 12500), ("a", 8, 8000, 18000), ("b", 1, 29000, 59000),
+    ]
+
+
 def test_batch_totals(spark, events, source):
     totals = {"n": F.count(F.lit(1)), "total": F.round(F.sum("value"), 2)}
     stream = streams.batch_totals(source(), ["user_id"], "ts", "1 day", "1 hour", totals)
