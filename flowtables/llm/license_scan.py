@@ -13,6 +13,8 @@ from flowtables.llm.license_texts import LONG_TEMPLATES
 THRESHOLD = 80
 # Most characters of all templates together; they travel inside the expressions.
 MOST_CHARS = 1 << 20
+# A place behind every text.
+NEVER = (1 << 31) - 1
 # Public licence notices, (name, text).
 TEMPLATES = [
     ("all-rights-reserved", "All rights reserved"),
@@ -122,57 +124,97 @@ def bigrams(words: Column) -> Column:
     )
 
 
+def linked(part: Column, template: Column) -> Column:
+    """Bigrams in order as (at, prev, next, hit): the places of the same bigram before and behind, if any.
+
+    One sort brings equal bigrams together, another one puts them back in order.
+    """
+    by_pair = F.sort_array(F.transform(part, lambda p, i: F.struct(p.alias("pair"), i.alias("at"))))
+
+    def neighbours(found: Column) -> Column:
+        def place(mark: Column, i: Column, step: int, without: int) -> Column:
+            other = F.get(found, i + step)
+            return F.when(other["pair"] == mark["pair"], other["at"]).otherwise(F.lit(without))
+
+        return F.transform(
+            found,
+            lambda m, i: F.struct(
+                m["at"].alias("at"),
+                place(m, i, -1, -1).alias("prev"),
+                place(m, i, 1, NEVER).alias("next"),
+                F.array_contains(template["pairs"], m["pair"]).alias("hit"),
+            ),
+        )
+
+    return F.sort_array(once(by_pair, neighbours))
+
+
 def best_window(said: Column, hits: Column, template: Column) -> Column:
     """Best Dice coefficient of a template and any run of the bigrams ``said``, at most ``reach`` long.
 
-    ``hits`` are the places of the template's bigrams in order. The best run begins and ends at one, and at
-    least ``need`` of them lie in it, so all other starts are passed over. ``prev`` is a bigram's last place
-    before within reach: a run counts each bigram once.
+    ``hits`` are the places of the template's bigrams in order; a run that counts holds at least ``need`` of
+    them. A bigram of the template at either side of a run never makes it worse, so a best run is as long as
+    it may be, or begins behind a place that is no hit. Runs of full length come from one slide over the
+    places, the others from these few beginnings, unless the hits from there on cannot beat the best so far.
     """
     reach, need, size = template["reach"], template["need"], template["size"]
-    starts = F.filter(hits, lambda at, i: F.coalesce(F.get(hits, i + need - 1) < at + reach, F.lit(False)))
 
-    def prev(pair: Column, at: Column) -> Column:
-        before = F.reverse(F.slice(said, F.greatest(at - reach, F.lit(0)) + 1, F.least(at, reach)))
-        back = F.array_position(before, pair)
-        return F.when(back > 0, at - back).otherwise(F.lit(-1)).cast("int")
+    def enough(i: Column, at: Column, wanted: Column) -> Column:
+        return F.coalesce(F.get(hits, i + wanted - 1) < at + reach, F.lit(False))
 
-    def window(marks: Column, start: Column) -> Column:
+    starts = F.filter(hits, lambda at, i: enough(i, at, need))
+    heads = F.filter(
+        F.transform(hits, lambda at, i: F.struct(at.alias("at"), i.alias("i"))),
+        lambda h: enough(h["i"], h["at"], need)
+        & F.coalesce(F.get(hits, h["i"] - 1) < h["at"] - 1, F.lit(True)),
+    )
+    empty = F.struct(F.lit(0).alias("own"), F.lit(0).alias("shared"), F.lit(0.0).alias("dice"))
+
+    def counted(run: Column, own: Column, shared: Column) -> Column:
+        dice = F.greatest(run["dice"], 2.0 * shared / (own + size))
+        return F.struct(own.alias("own"), shared.alias("shared"), dice.alias("dice"))
+
+    def slide(marks: Column) -> Column:
+        def moved(run: Column, mark: Column) -> Column:
+            gone = F.get(marks, mark["at"] - reach)
+            left = F.coalesce(gone["next"] >= mark["at"], F.lit(False))
+            new = (mark["prev"] < 0) | (mark["prev"] <= mark["at"] - reach)
+            return counted(
+                run,
+                run["own"] + new.cast("int") - left.cast("int"),
+                run["shared"] + (new & mark["hit"]).cast("int") - (left & gone["hit"]).cast("int"),
+            )
+
+        return F.aggregate(marks, empty, moved, lambda r: r["dice"])
+
+    def run_from(marks: Column, start: Column) -> Column:
         def grown(run: Column, mark: Column) -> Column:
             new = mark["prev"] < start
-            own = run["own"] + F.when(new, 1).otherwise(0)
-            shared = run["shared"] + F.when(new & mark["hit"], 1).otherwise(0)
-            return F.struct(
-                own.alias("own"),
-                shared.alias("shared"),
-                F.greatest(run["dice"], 2.0 * shared / (own + size)).alias("dice"),
+            return counted(
+                run, run["own"] + new.cast("int"), run["shared"] + (new & mark["hit"]).cast("int")
             )
 
-        empty = F.struct(F.lit(0).alias("own"), F.lit(0).alias("shared"), F.lit(0.0).alias("dice"))
-        return F.aggregate(
-            F.slice(marks, start + 1 - F.get(starts, F.lit(0)), reach), empty, grown, lambda r: r["dice"]
-        )
+        return F.aggregate(F.slice(marks, start + 1, reach), empty, grown, lambda r: r["dice"])
+
+    def best(first: Column, last: Column) -> Column:
+        def better(marks: Column, top: Column, head: Column) -> Column:
+            beat = F.floor(top * size / (2.0 - top)).cast("int") + 1
+            return F.when(
+                (top < 1.0) & enough(head["i"], head["at"], beat),
+                F.greatest(top, run_from(marks, head["at"] - first)),
+            ).otherwise(top)
 
-    def best(first: Column) -> Column:
-        # marks of the places from the first start to the end of the last start's run
-        part = F.slice(said, first + 1, F.element_at(starts, -1) - first + reach)
-        marks = F.transform(
-            part,
-            lambda pair, i: F.struct(
-                prev(pair, first + i).alias("prev"),
-                F.array_contains(template["pairs"], pair).alias("hit"),
-            ),
-        )
         return once(
-            marks,
-            lambda m: F.aggregate(
-                starts,
-                F.lit(0.0),
-                lambda top, at: F.when(top >= 1.0, top).otherwise(F.greatest(top, window(m, at))),
-            ),
+            linked(F.slice(said, first + 1, last - first + reach), template),
+            lambda marks: F.aggregate(heads, slide(marks), lambda top, head: better(marks, top, head)),
         )
 
-    return F.when(F.size(starts) > 0, best(F.get(starts, F.lit(0)))).otherwise(F.lit(0.0))
+    return once(
+        starts,
+        lambda found: F.when(
+            F.size(found) > 0, best(F.get(found, F.lit(0)), F.element_at(found, -1))
+        ).otherwise(F.lit(0.0)),
+    )
 
 
 def scan(
@@ -218,13 +260,14 @@ def scan(
             for name, length, found in prepared
         ]
     )
-    every = listed(sorted({pair for _, _, found in prepared for pair in found}))
+    every_pair = sorted({pair for _, _, found in prepared for pair in found})
+    every = listed(every_pair)
 
     def scored(said: Column, mine: Column) -> Column:
         fitting = F.filter(known, lambda t: F.size(F.array_intersect(mine, t["pairs"])) >= t["need"])
         places = F.filter(
             F.transform(said, lambda p, i: F.struct(i.alias("at"), p.alias("pair"))),
-            lambda s: F.array_contains(mine, s["pair"]),
+            lambda s: s["pair"].isin(every_pair),
         )
 
         def against(spots: Column, t: Column) -> Column:

@@ -306,31 +306,46 @@ def op8_chat_format(spark, folder):
 
 
 def _license_sql() -> str:
+    """Every run of a text's bigrams that begins with one of the template, by definition."""
+    templates = enumerate((*license_scan.TEMPLATES, *license_scan.LONG_TEMPLATES))
+    words = [(i, name, license_scan.plain_words(text)) for i, (name, text) in templates]
     values = ", ".join(
-        f"({i}, '{name}', '{pair}')"
-        for i, (name, text) in enumerate(license_scan.TEMPLATES)
-        for pair in license_scan.pairs(license_scan.plain_words(text))
+        f"({i}, '{name}', {len(said) - 1}, '{pair}')"
+        for i, name, said in words
+        for pair in license_scan.pairs(said)
     )
     return f"""
-    WITH templates(template, name, pair) AS (VALUES {values}),
-    template_sizes AS (SELECT template, name, count(*) AS b FROM templates GROUP BY ALL),
-    units AS (
-      SELECT doc_id, unnest(list_distinct(list_concat([text], string_split(text, chr(10)), string_split(
-        regexp_replace(text, '([.!?])[\\x20\\x09-\\x0D]+', '\\1' || chr(10), 'g'), chr(10))))) AS unit
-      FROM documents WHERE text IS NOT NULL),
+    WITH templates(template, name, length, pair) AS (VALUES {values}),
+    sizes AS (
+      SELECT template, name, count(*) AS b, (count(*) * 80 + 119) // 120 AS need,
+        greatest(length * 120 // 80, 1) AS reach FROM templates GROUP BY template, name, length),
     words AS (
-      SELECT doc_id, unit, list_filter(regexp_split_to_array(lower(unit), '[^\\p{{L}}\\p{{N}}]+'),
-        lambda w: w <> '') AS w FROM units),
+      SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'),
+        lambda w: w <> '') AS w FROM documents WHERE text IS NOT NULL),
     grams AS (
-      SELECT doc_id, unit, unnest(list_distinct(list_transform(
-        range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS pair FROM words),
-    unit_sizes AS (SELECT doc_id, unit, count(*) AS a FROM grams GROUP BY ALL),
-    shared AS (
-      SELECT doc_id, unit, template, count(*) AS n FROM grams JOIN templates USING (pair) GROUP BY ALL),
+      SELECT doc_id, unnest(range(1, len(w))) AS place,
+        unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pair FROM words),
+    said AS (
+      SELECT *, coalesce(lag(place) OVER (PARTITION BY doc_id, pair ORDER BY place), 0) AS prev FROM grams),
+    hits AS (
+      SELECT doc_id, template, place, row_number() OVER (PARTITION BY doc_id, template ORDER BY place) AS i
+      FROM said JOIN templates USING (pair)),
+    starts AS (
+      SELECT h.doc_id, h.template, h.place AS start, reach FROM hits h JOIN sizes USING (template)
+      JOIN hits k ON k.doc_id = h.doc_id AND k.template = h.template
+        AND k.i = h.i + need - 1 AND k.place < h.place + reach),
+    runs AS (
+      SELECT s.doc_id, s.template, start, g.place, CAST(prev < start AS INT) AS new,
+        CAST(prev < start AND t.pair IS NOT NULL AS INT) AS hit
+      FROM starts s JOIN said g ON g.doc_id = s.doc_id AND g.place >= start AND g.place < start + reach
+      LEFT JOIN templates t ON t.template = s.template AND t.pair = g.pair),
+    counted AS (
+      SELECT doc_id, template, sum(new) OVER w AS own, sum(hit) OVER w AS shared FROM runs
+      WINDOW w AS (PARTITION BY doc_id, template, start ORDER BY place)),
     scored AS (
-      SELECT doc_id, name, max(2.0::DOUBLE * n / (a + b)) AS dice
-      FROM shared JOIN unit_sizes USING (doc_id, unit) JOIN template_sizes USING (template)
-      WHERE 100 * (2.0::DOUBLE * n / (a + b)) >= 80 GROUP BY ALL),
+      SELECT doc_id, name, max(2.0::DOUBLE * shared / (own + b)) AS dice
+      FROM counted JOIN sizes USING (template)
+      WHERE 100 * (2.0::DOUBLE * shared / (own + b)) >= 80 GROUP BY ALL),
     best AS (
       SELECT doc_id, count(*) AS n_licenses, max(dice) AS dice,
         first(name ORDER BY dice DESC, name) AS license FROM scored GROUP BY doc_id)

@@ -2,6 +2,7 @@
 
 import random
 import textwrap
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -357,6 +358,21 @@ def test_windows_by_brute_force(spark):
         assert [(-x.dice, x.name) for x in got[i].licenses] == wanted
 
 
+def test_a_text_full_of_licences(spark):
+    """20,000 words of worn licence texts take no longer than a scan of so many words; a minute is ample."""
+    pick = random.Random(9)
+    texts = [t for _, t in (*license_scan.TEMPLATES, *license_scan.LONG_TEMPLATES)]
+    said = []
+    while len(said) < 20_000:
+        run = pick.choice(texts).split()
+        run[pick.randrange(len(run))] = "zebra"
+        said += run
+    began = time.monotonic()
+    got = each_row_once(license_scan.scan(frame(spark, [" ".join(said)])), 1)
+    assert time.monotonic() - began < 60
+    assert {x.name for x in got[0].licenses} >= {"mit", "apache-2.0", "gpl-3.0", "bsd", "mpl-2.0"}
+
+
 def test_anchors_are_needed():
     pick = random.Random(5)
     for _, text in license_scan.TEMPLATES:
