@@ -1,5 +1,6 @@
 """Rule documents and rules applied to rows."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,7 +122,10 @@ def test_combined_batches_match_a_loop(spark):
     assert got.columns == ["k", "t", "id", "size", "ts", "window", "batch"]
 
 
-@pytest.mark.parametrize("count,limit,block", [(5, 100, 23), (3, 10_000, 12), (7, 3, 40), (4, 60, 1000)])
+@pytest.mark.parametrize(
+    "count,limit,block",
+    [(5, 100, 23), (3, 10_000, 12), (7, 3, 40), (4, 60, 1000), (None, 100, 23), (None, 700, 3), (None, 10**6, 40)],
+)
 def test_blocks_of_a_large_unit_match_reading_in_turn(spark, count, limit, block):
     import random
 
@@ -135,6 +139,28 @@ def test_blocks_of_a_large_unit_match_reading_in_turn(spark, count, limit, block
     assert two.columns == one.columns
 
 
+def test_step_functions_of_blocks():
+    """Joined over blocks of any length they say what reading row by row from any beginning says."""
+    pick = np.random.default_rng(7)
+    for _ in range(200):
+        limit, block = int(pick.integers(1, 60)), int(pick.integers(1, 20))
+        sizes = pick.integers(0, int(pick.choice([1, 4, 90])), int(pick.integers(1, 100)))
+        parts = [batches._steps_by_bytes(sizes[i : i + block], limit) for i in range(0, len(sizes), block)]
+        steps = parts[0]
+        for behind in parts[1:]:
+            steps = batches._composed(steps, behind)
+        lo, hi, slope, out, closed = steps
+        assert lo[0] == 0 and hi[-1] == limit and (lo[1:] == hi[:-1]).all()
+        for begin in range(limit):
+            held, number = begin, 0
+            for size in sizes.tolist():
+                held += size
+                if held >= limit:
+                    held, number = 0, number + 1
+            at = np.searchsorted(lo, begin, "right") - 1
+            assert (out[at] + slope[at] * begin, closed[at]) == (held, number)
+
+
 def test_group_ports(spark):
     group = flow.FlowGroup(["in"], ["out"], lambda f: {"out": f["in"]})
     with pytest.raises(ValueError):
