@@ -35,15 +35,41 @@ from flowtables.session import cut
 
 HASHES = 128
 THRESHOLD = 80
-# Shingles of the test items held by a task at once (32 MB); more items take more passes.
+# Numbers about the test items held by a task at once (32 MB): shingles, minima, their owners and places.
+# More items take more passes.
 HELD = 4_000_000
+# Shingles of a window or item hashed at once (8 MB at 128 hashes).
+SLICE = 8192
 BITS = 22
 
 
+def least(values: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """Smallest hash of the shingles under each seed, in constant memory."""
+    parts = [mix(values[i : i + SLICE, None] ^ seeds).min(axis=0) for i in range(0, len(values), SLICE)]
+    return np.minimum.reduce(parts)
+
+
+def sketch(values: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Minima of an item's shingles, and the shingles at which they are reached."""
+    low, where = None, None
+    for i in range(0, len(values), SLICE):
+        part = values[i : i + SLICE]
+        hashed = mix(part[:, None] ^ seeds)
+        at = hashed.argmin(axis=0)
+        found = hashed[at, np.arange(len(seeds))]
+        less = np.ones(len(seeds), bool) if low is None else found < low
+        low = found if low is None else np.where(less, found, low)
+        where = part[at] if where is None else np.where(less, part[at], where)
+    return low, where
+
+
 class Items:
-    """Test items prepared for search: their sets, and the minima of each size class."""
+    """Test items prepared for search: their sets, and the minima of each size class.
 
-    def __init__(self, ids: list, sets: list[np.ndarray], hashes: int = HASHES):
+    ``sketches`` holds what :func:`sketch` finds for each set.
+    """
+
+    def __init__(self, ids: list, sets: list[np.ndarray], sketches: list[tuple], hashes: int = HASHES):
         self.ids, self.sets = ids, sets
         self.seeds = keys(hashes, 53)
         # class u -> (minima, items in the same order, shingles at which minima are reached)
@@ -52,13 +78,8 @@ class Items:
         for i, s in enumerate(sets):
             by_class.setdefault(1 << (len(s) - 1).bit_length(), []).append(i)
         for u, members in by_class.items():
-            minima = np.empty((len(members), hashes), np.uint64)
-            where = np.empty((len(members), hashes), np.uint64)
-            for row, i in enumerate(members):
-                for k in range(hashes):
-                    h = mix(sets[i] ^ self.seeds[k])
-                    at = int(h.argmin())
-                    minima[row, k], where[row, k] = h[at], sets[i][at]
+            minima = np.array([sketches[i][0] for i in members])
+            where = np.concatenate([sketches[i][1] for i in members])
             order = minima.argsort(axis=0, kind="stable")
             values = [minima[order[:, k], k] for k in range(hashes)]
             owners = [np.array(members)[order[:, k]] for k in range(hashes)]
@@ -81,7 +102,7 @@ class Items:
             near = hits[(at < len(where)) & (where[np.minimum(at, len(where) - 1)] == run[hits])]
             windows = np.unique(np.concatenate([near // u, near // u - 1]))
             for w in windows[windows >= 0] * u:
-                low = mix(run[w : w + 2 * u, None] ^ self.seeds).min(axis=0)
+                low = least(run[w : w + 2 * u], self.seeds)
                 for k, value in enumerate(low):
                     left = np.searchsorted(values[k], value)
                     right = np.searchsorted(values[k], value, "right")
@@ -109,34 +130,51 @@ class Items:
                         yield int(row), item, shared
 
 
-def _item_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in blocks(whole, "text"):
-            values, sizes = shingle_sets(batch.column("text"))
-            parts = np.split(values, np.cumsum(sizes)[:-1]) if len(sizes) else []
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id"), pa.array(sizes), pa.array([p.tobytes() for p in parts])],
-                ["item_id", "n", "items"],
-            )
+def _item_sets(hashes: int):
+    """Shingle set and sketch of each item, made by the tasks that read the items."""
+
+    def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seeds = keys(hashes, 53)
+        for whole in batches:
+            for batch in blocks(whole, "text"):
+                values, sizes = shingle_sets(batch.column("text"))
+                parts = np.split(values, np.cumsum(sizes)[:-1]) if len(sizes) else []
+                found = [sketch(p, seeds) if len(p) else (seeds[:0], seeds[:0]) for p in parts]
+                columns = [[p.tobytes() for p in parts], *[[f[j].tobytes() for f in found] for j in (0, 1)]]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("item_id"),
+                        pa.array(sizes),
+                        *[pa.array(c, pa.binary()) for c in columns],
+                    ],
+                    ["item_id", "n", "items", "minima", "places"],
+                )
+
+    return prepare
 
 
 def item_blocks(benchmark: DataFrame, held: int = HELD, hashes: int = HASHES) -> Iterator[Items]:
-    """Prepared blocks of the benchmark of about ``held`` shingles, whatever its size."""
+    """Prepared blocks of the benchmark of about ``held`` numbers, whatever its size."""
     sets = cut(
         benchmark.select("item_id", "text")
         .where("text is not null")
         .distinct()
-        .mapInArrow(_item_sets, "item_id bigint, n bigint, items binary")
+        .mapInArrow(
+            _item_sets(hashes), "item_id bigint, n bigint, items binary, minima binary, places binary"
+        )
         .where("n > 0")
     )
-    total = sets.agg(F.sum("n")).first()[0] or 0
+    total = sets.agg(F.sum(F.col("n") + 3 * hashes)).first()[0] or 0
     parts = max(1, ceil(total / held))
     part = F.pmod(F.xxhash64("items"), F.lit(parts))
     for p in range(parts):
         block = sets.where(part == p).toArrow()
         if block.num_rows:
-            shingle_rows = [np.frombuffer(b, np.uint64) for b in block["items"].to_pylist()]
-            yield Items(block["item_id"].to_pylist(), shingle_rows, hashes)
+            numbers = [
+                [np.frombuffer(b, np.uint64) for b in block[c].to_pylist()]
+                for c in ("items", "minima", "places")
+            ]
+            yield Items(block["item_id"].to_pylist(), numbers[0], list(zip(*numbers[1:])), hashes)
 
 
 def contaminations(

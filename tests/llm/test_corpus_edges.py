@@ -282,6 +282,25 @@ def test_contamination_of_odd_texts(spark):
     assert decontaminate.contaminations(docs.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 63, 64, 65, 1000])
+def test_sketches_of_long_items_in_slices(monkeypatch, n):
+    values = np.unique(np.random.default_rng(n).integers(0, 1 << 63, n).astype(np.uint64))
+    seeds = words_module.keys(decontaminate.HASHES, 53)
+    whole = words_module.mix(values[:, None] ^ seeds)
+    monkeypatch.setattr(decontaminate, "SLICE", 64)
+    low, where = decontaminate.sketch(values, seeds)
+    assert (low == whole.min(axis=0)).all() and (where == values[whole.argmin(axis=0)]).all()
+    assert (decontaminate.least(values, seeds) == low).all()
+
+
+def test_a_very_long_test_item(spark):
+    item, other = prose(70, 30_000), prose(71, 30_000)
+    bench = spark.createDataFrame([(0, item)], "item_id bigint, text string")
+    texts = [f"{prose(1, 300)} {item} {prose(2, 300)}", f"{prose(3)} {' '.join(item.split()[:27_000])}", other]
+    got = decontaminate.contaminations(frame(spark, texts), bench).collect()
+    assert {r.doc_id for r in got} == {0, 1}
+
+
 def test_near_pairs_at_the_pipelines_threshold(spark):
     n, texts = 3000, []
     for i in range(n):
