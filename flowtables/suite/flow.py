@@ -240,6 +240,35 @@ def batch_combined(spark, folder):
     ).drop("ts", "props")
 
 
+@query(
+    "batch_window_bytes",
+    """
+    WITH RECURSIVE e AS (
+        SELECT user_id, event_id, length(props) AS bytes,
+               CAST(floor(epoch_us(ts) / 1296000000000) AS BIGINT) AS win,
+               row_number() OVER (PARTITION BY user_id, floor(epoch_us(ts) / 1296000000000)
+                                  ORDER BY ts, event_id) AS rn
+        FROM events
+    ), b AS (
+        SELECT user_id, event_id, win, rn, CAST(0 AS BIGINT) AS batch, bytes AS filled
+        FROM e WHERE rn = 1
+        UNION ALL
+        SELECT e.user_id, e.event_id, e.win, e.rn,
+               CASE WHEN b.filled >= 80 THEN b.batch + 1 ELSE b.batch END,
+               CASE WHEN b.filled >= 80 THEN e.bytes ELSE b.filled + e.bytes END
+        FROM b JOIN e ON e.user_id = b.user_id AND e.win = b.win AND e.rn = b.rn + 1
+    )
+    SELECT user_id, event_id, win AS "window", batch FROM b
+    """,
+)
+def batch_window_bytes(spark, folder):
+    """Bytes and time without a row limit."""
+    events = events_of(spark, folder, "user_id", "event_id", "ts", "props")
+    size = (F.length("props"), 80)
+    batches = flow.assign_batches(events, ["user_id"], IN_ORDER, size=size, duration=("ts", 15 * 86400))
+    return batches.drop("ts", "props")
+
+
 @query(
     "queue_pressure",
     """

@@ -94,6 +94,13 @@ ORDER_KINDS = {
 }
 
 
+def order_kind():
+    kind = F.lit(None).cast("string")
+    for priority, name in ORDER_KINDS.items():
+        kind = F.when(F.col("o_orderpriority") == priority, name).otherwise(kind)
+    return kind
+
+
 @query(
     "state_plan",
     """
@@ -119,13 +126,10 @@ ORDER_KINDS = {
 )
 def state_steps(spark, folder):
     orders, customers = table(spark, folder, "orders"), table(spark, folder, "customer")
-    kind = F.lit(None).cast("string")
-    for priority, name in ORDER_KINDS.items():
-        kind = F.when(F.col("o_orderpriority") == priority, name).otherwise(kind)
     components = orders.join(customers, orders.o_custkey == customers.c_custkey).select(
         "c_nationkey",
         F.col("o_orderkey").alias("id"),
-        kind.alias("kind"),
+        order_kind().alias("kind"),
         F.when(F.col("o_orderstatus") == "F", "DISABLED").alias("status"),
         F.array("c_custkey").alias("group_ords"),
         F.col("o_orderkey").alias("ord"),
@@ -164,3 +168,81 @@ def teardown(spark, folder):
         F.element_at("ords", -1).alias("ord"),
     )
     return teardown_plan(components, ["region"])
+
+
+@query(
+    "teardown_all_kinds",
+    """
+    WITH c AS (
+        SELECT n_regionkey AS region, n_nationkey AS n, c_custkey AS c
+        FROM customer JOIN nation ON n_nationkey = c_nationkey
+    ), o AS (
+        SELECT region, n, c, o_orderkey AS id, o_orderpriority AS p FROM orders JOIN c ON c = o_custkey
+    ), p AS (
+        SELECT n_regionkey AS region, n_nationkey AS n, NULL AS r1, NULL AS o1, NULL AS r2, NULL AS o2,
+               'N' || CAST(n_nationkey AS VARCHAR) AS id, 'PROCESS_GROUP' AS kind FROM nation
+        UNION ALL
+        SELECT n_regionkey, n_nationkey, CASE s_suppkey % 2 WHEN 0 THEN 3 ELSE 7 END, s_suppkey, NULL, NULL,
+               'S' || CAST(s_suppkey AS VARCHAR), CASE s_suppkey % 2 WHEN 0 THEN 'FUNNEL' ELSE 'LABEL' END
+        FROM supplier JOIN nation ON n_nationkey = s_nationkey
+        UNION ALL
+        SELECT region, n, 4, c, NULL, NULL, 'C' || CAST(c AS VARCHAR), 'PROCESS_GROUP' FROM c
+        UNION ALL
+        SELECT region, n, 4, c,
+               CASE p WHEN '1-URGENT' THEN 2 WHEN '2-HIGH' THEN 5 WHEN '3-MEDIUM' THEN 6
+                    WHEN '4-NOT SPECIFIED' THEN 9 ELSE 8 END, id, 'O' || CAST(id AS VARCHAR),
+               CASE p WHEN '1-URGENT' THEN 'PROCESSOR' WHEN '2-HIGH' THEN 'INPUT_PORT'
+                    WHEN '3-MEDIUM' THEN 'OUTPUT_PORT' WHEN '4-NOT SPECIFIED' THEN 'CONTROLLER'
+                    ELSE 'REMOTE_PROCESS_GROUP' END
+        FROM o
+        UNION ALL
+        SELECT region, n, 4, c, 1, l_orderkey * 10 + l_linenumber,
+               'L' || CAST(l_orderkey * 10 + l_linenumber AS VARCHAR), 'CONNECTION'
+        FROM lineitem JOIN o ON o.id = l_orderkey
+    )
+    SELECT region, id, kind, row_number() OVER (
+        PARTITION BY region ORDER BY n, r1 NULLS LAST, o1 NULLS LAST, r2 NULLS LAST, o2 NULLS LAST, id
+    ) AS position FROM p
+    """,
+)
+def teardown_all_kinds(spark, folder):
+    """Nations and customers as groups, suppliers, orders and their lines as what is in them."""
+    nations = table(spark, folder, "nation").select(
+        F.col("n_regionkey").alias("region"), F.col("n_nationkey").cast("bigint").alias("n")
+    )
+
+    def inside(rows, nation, *columns):
+        return rows.join(nations, F.col(nation) == F.col("n")).select("region", "n", *columns)
+
+    def component(rows, letter, ord_column, kind, *groups):
+        ords = F.array(*groups) if groups else F.array().cast("array<bigint>")
+        return rows.select(
+            "region",
+            F.concat(F.lit(letter), ord_column.cast("string")).alias("id"),
+            kind.alias("kind"),
+            ords.alias("group_ords"),
+            ord_column.cast("bigint").alias("ord"),
+        )
+
+    suppliers = inside(table(spark, folder, "supplier"), "s_nationkey", "s_suppkey")
+    customers = inside(table(spark, folder, "customer"), "c_nationkey", F.col("c_custkey").cast("bigint").alias("c"))
+    orders = (
+        table(spark, folder, "orders")
+        .select("o_orderkey", "o_custkey", order_kind().alias("kind"))
+        .join(customers, F.col("o_custkey") == F.col("c"))
+    )
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
+    wired = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    group, line = F.lit("PROCESS_GROUP"), F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    supplied = F.when(F.col("s_suppkey") % 2 == 0, "FUNNEL").otherwise("LABEL")
+    parts = [
+        component(nations, "N", F.col("n"), group),
+        component(suppliers, "S", F.col("s_suppkey"), supplied, "n"),
+        component(customers, "C", F.col("c"), group, "n"),
+        component(orders, "O", F.col("o_orderkey"), F.col("kind"), "n", "c"),
+        component(wired, "L", line, F.lit("CONNECTION"), "n", "c"),
+    ]
+    together = parts[0]
+    for part in parts[1:]:
+        together = together.unionByName(part)
+    return teardown_plan(together, ["region"])
