@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtables.llm.components import components
+from flowtables.llm.license_scan import once
 from flowtables.session import cut
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -100,16 +101,17 @@ def without_dots(path: Column) -> Column:
 def address(url: Column) -> Column:
     """The node of a url: host in lower case without the port its scheme has anyway, path without dot
     segments, and query; scheme and fragment do not count."""
-    query = F.regexp_extract(url, r"^[^?#]*(\?[^#]*)?", 1)
-    path = path_of(url)
-    usual = url.rlike(r"^(?i)(http://[^/?#]*:80|https://[^/?#]*:443|https?://[^/?#]*:)([/?#]|$)")
-    host = F.when(usual, F.regexp_replace(host_of(url), ":[0-9]*$", "")).otherwise(host_of(url))
-    return F.when(
-        host != "",
-        F.concat(
-            host, F.when(path == "", "/").otherwise(without_dots(path)), F.coalesce(query, F.lit(""))
-        ),
-    )
+
+    def joined(said: Column) -> Column:
+        url, host, path = said["url"], said["host"], said["path"]
+        query = F.regexp_extract(url, r"^[^?#]*(\?[^#]*)?", 1)
+        usual = url.rlike(r"^(?i)(http://[^/?#]*:80|https://[^/?#]*:443|https?://[^/?#]*:)([/?#]|$)")
+        plain = F.when(usual, F.regexp_replace(host, ":[0-9]*$", "")).otherwise(host)
+        folder = F.when(path == "", "/").otherwise(without_dots(path))
+        return F.when(plain != "", F.concat(plain, folder, F.coalesce(query, F.lit(""))))
+
+    parts = F.struct(url.alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
+    return once(parts, joined)
 
 
 def ruled(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -144,16 +146,20 @@ def ruled(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 def links(pages: DataFrame) -> DataFrame:
     """Edges (``u``, ``v``) between the addresses of pages and their redirect and canonical targets."""
-    html = F.col("html")
-    named = base(html)
+    html, named = F.col("html"), F.col("named")
+    # step by step, so that each part is worked out once and the plan stays small
     ends = pages.where("url is not null and html is not null").select(
+        "url", base(html).alias("named"), F.array(canonical(html), redirect(html)).alias("targets")
+    )
+    ends = ends.select(
         "url",
         F.when(named.isNull(), F.col("url")).otherwise(resolved(F.col("url"), named)).alias("base"),
-        F.explode(F.array_compact(F.array(canonical(html), redirect(html)))).alias("target"),
+        F.explode(F.array_compact("targets")).alias("target"),
+    )
+    ends = ends.select("url", resolved(F.col("base"), F.col("target")).alias("target"))
+    return ends.select(address(F.col("url")).alias("u"), address(F.col("target")).alias("v")).where(
+        "u is not null and v is not null and u <> v"
     )
-    return ends.select(
-        address(F.col("url")).alias("u"), address(resolved(F.col("base"), F.col("target"))).alias("v")
-    ).where("u is not null and v is not null and u <> v")
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame, edges: DataFrame | None = None) -> DataFrame:
