@@ -178,3 +178,64 @@ def test_only_differing_groups_are_compared(spark):
     assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect())) and got.count() == 4
     wider = after.withColumn("z", F.lit(None).cast("int"))
     assert {r["t"] for r in compare.differing(before, wider, ["t"]).collect()} == names
+
+
+def _copied_flows(spark, copies):
+    """Flows of three contents, each ``copies`` times, and one of the same wiring under other ids."""
+    components, edges = [], []
+    for n in range(3 * copies + 1):
+        ids = ["x", "y", "z"] if n == 3 * copies else ["p", "q", "r"]
+        kinds = ["A", "B", "A" if n % 3 else None]
+        components += [("w", f"f{n}", i, k) for i, k in zip(ids, kinds)]
+        edges += [("w", f"f{n}", ids[0], ids[1], ["s"]), ("w", f"f{n}", ids[1], ids[n % 3], ["s", "t"])]
+    at = "workspace string, flow string, "
+    return (
+        spark.createDataFrame(components, at + "id string, kind string"),
+        spark.createDataFrame([], at + "owner_id string, key string"),
+        spark.createDataFrame(edges, at + "source_id string, dest_id string, relationships array<string>"),
+    )
+
+
+def _classes(rows):
+    """Rows (name, value) as the set of names that share a value."""
+    found = {}
+    for name, value in rows:
+        found.setdefault(value, set()).add(name)
+    return {frozenset(names) for names in found.values()}
+
+
+def test_copies_of_a_flow_are_refined_once(spark, monkeypatch):
+    scope, tables = ["workspace", "flow"], _copied_flows(spark, 5)
+    seen, plain = [], compare._coloured
+
+    def counted(components, *others):
+        seen.append(components.count())
+        return plain(components, *others)
+
+    def results():
+        shapes = compare.component_shapes(*tables, scope)
+        places, signatures = compare.component_ordinals(*tables, "flow", scope)
+        return (
+            _classes(((r.workspace, r.flow, r.id), r.shape) for r in shapes.collect()),
+            _classes(((r.flow, r.id), r.ordinal) for r in places.collect()),
+            _classes((r.flow, r.signature) for r in signatures.collect()),
+        )
+
+    monkeypatch.setattr(compare, "_coloured", counted)
+    folded = results()
+    assert seen == [12, 12]  # three contents and the one under other ids, three components each
+    monkeypatch.setattr(compare._Folded, "of", classmethod(lambda cls, *a: None))
+    whole = results()
+    assert seen[2:] == [48, 48]
+    assert folded[0] == whole[0] and folded[2] == whole[2]
+    assert len(folded[0]) == 9 and sum(map(len, folded[1])) == 48
+
+
+def test_flows_in_two_workspaces_are_not_folded_by_member(spark):
+    components, properties, edges = _copied_flows(spark, 3)
+    twice = lambda df: df.unionAll(df.withColumn("workspace", F.lit("v")))
+    scope = ["workspace", "flow"]
+    tables = [twice(df) for df in (components, properties, edges)]
+    assert compare._Folded.of(*tables, scope, ["flow"]) is None
+    assert compare._Folded.of(*tables, scope, scope).firsts.count() == 4
+    assert compare.component_ordinals(*tables, "flow", scope)[0].count() == 60
