@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from flowtables.functions.values import edge_labels, edge_target, effective_id, endpoint_kind
 from flowtables.operators import refs
 from flowtables.operators.sparse import unpivot_text
+from flowtables.operators.spread import dealt
 from flowtables.sources.tables import table
 from flowtables.suite.registry import query
 
@@ -423,14 +424,19 @@ UNUSED = """
 """
 
 
+def declared_relationships(events):
+    """Every relationship of every user: 120 rows of each, so the users are dealt out first."""
+    declared = F.array(*[F.lit(f"{t}-{hour}") for t in EVENT_TYPES for hour in range(24)])
+    users = dealt(events.select("user_id").distinct())
+    return users.select("user_id", F.explode(declared).alias("relationship"))
+
+
 def unused(spark, folder):
     """Relationships are event types by hour of the day; all events use one."""
     events = table(spark, folder, "events")
-    declared = F.array(*[F.lit(f"{t}-{hour}") for t in EVENT_TYPES for hour in range(24)])
-    users = events.select("user_id").distinct()
     used = F.concat("event_type", F.lit("-"), F.hour("ts").cast("string"))
     return refs.unused_relationships(
-        users.select("user_id", F.explode(declared).alias("relationship")),
+        declared_relationships(events),
         refs.used_relationships(
             events.select("user_id", F.array(used).alias("relationships")), "user_id", "relationships"
         ),

@@ -167,3 +167,12 @@ def test_deep_trees_are_expanded_to_the_end(spark):
     roots = spark.createDataFrame([("w", "0")], "w string, id string")
     places = expand_hierarchy(links, roots, ["w"]).collect()
     assert len(places) == 71 and {r["status"] for r in places} == {"ok"}
+
+
+def test_declared_relationships_are_made_in_several_tasks(spark):
+    from flowtables.suite.refs import declared_relationships
+
+    events = spark.range(100).select((F.col("id") % 40).alias("user_id"))
+    made = declared_relationships(events)
+    tasks = made.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 40 * 120
