@@ -24,7 +24,7 @@ from flowtables.functions.values import (
     reserved_kind,
 )
 from flowtables.operators.naming import nest
-from flowtables.operators.spread import HOT_ROWS, PAGE_ROWS, lookup, running
+from flowtables.operators.spread import HOT_ROWS, PAGE_ROWS, dealt, lookup, running
 from flowtables.schemas import COMPONENT, CONTROLLER, INPUT, REMOTE_PORT, TABLES, TEMPLATE
 from flowtables.session import cut
 
@@ -572,7 +572,8 @@ def to_yaml(documents: DataFrame) -> DataFrame:
             ]
             yield frame.drop(columns="json")
 
-    return documents.select("workspace", "template", "page", "json").mapInPandas(
+    # writing YAML takes long for its bytes
+    return dealt(documents.select("workspace", "template", "page", "json")).mapInPandas(
         convert, "workspace string, template string, page long, yaml string"
     )
 

@@ -275,3 +275,13 @@ def test_written_yaml_is_one_stream(spark, tmp_path):
     assert sorted(d["name"] for t in texts for d in yaml.safe_load_all(t)) == ["a", "b"]
     found = exports.read_written(spark, f"{tmp_path}/s").collect()
     assert sorted((r.file, r.doc.name, r.error) for r in found) == [("a.0.yaml", "a", None), ("b.1.yaml", "b", None)]
+
+
+def test_yaml_is_written_in_several_tasks(spark):
+    small = spark.range(40).coalesce(1).selectExpr(
+        "'w' AS workspace", "string(id) AS template", "0L AS page", "'{\"name\":\"t\"}' AS json"
+    )
+    written = exports.to_yaml(small)
+    assert {r["yaml"] for r in written.collect()} == {"name: t\n"}
+    assert written.count() == 40
+    assert len(written.groupBy(F.spark_partition_id()).count().collect()) > 1
