@@ -135,3 +135,24 @@ def test_top_k_small_large_and_full(spark):
     limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     for k in (1, 30, limit + 1):
         assert bag(flow.prioritized(df, ["k"], order, k)) == bag(full.where(F.col("place") <= k))
+
+
+def test_lookup_spreads_rows_without_a_key(spark):
+    """Also against a side that is grouped by the key, where no skew join splits them."""
+    left = spark.range(4000).select("id", F.when(F.col("id") < 0, "x").alias("k"))
+    right = spark.range(100).groupBy(F.col("id").cast("string").alias("k2")).agg(F.count("id").alias("n"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        found = lookup(left, right, [F.col("k")], ["k2"], ["n"])
+        # the number found is read, or the join would be left out
+        sums = [F.count("id").alias("rows"), F.count("n").alias("found")]
+        parts = found.groupBy(F.spark_partition_id().alias("part")).agg(*sums).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(p["rows"] for p in parts) == 4000 and max(p["rows"] for p in parts) < 1000
+    assert not any(p["found"] for p in parts)
