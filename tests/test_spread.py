@@ -6,8 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowtables.operators import flow, naming, refs
-from flowtables.operators.spread import hot_keys, lookup, numbered, paged_lists, running
+from flowtables.operators.spread import dealt_if_many, hot_keys, lookup, numbered, paged_lists, running
 from flowtables.plans.lifecycle import state_plan
+from flowtables.suite.rules import part_criteria
 
 
 def skewed(spark, rows=3000, seed=1):
@@ -156,3 +157,15 @@ def test_lookup_spreads_rows_without_a_key(spark):
     assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert sum(p["rows"] for p in parts) == 4000 and max(p["rows"] for p in parts) < 1000
     assert not any(p["found"] for p in parts)
+
+
+def test_rows_of_one_row_group_are_dealt_if_many(spark):
+    tasks = lambda df: df.select(F.spark_partition_id()).distinct().count()
+    rows = spark.range(0, 500, 1, 1)
+    assert tasks(dealt_if_many(rows, 500)) == 1
+    assert tasks(dealt_if_many(rows, 499)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert bag(dealt_if_many(rows, 10)) == bag(rows)
+    # 20,000 parts in one row group: as many tasks make and read their XML as the session shuffles to
+    parts = part_criteria(spark, "/root/testdata/sf0.1")
+    assert tasks(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert parts.count() == 20000
