@@ -1,6 +1,7 @@
 """Streaming forms agree with the batch operators on the same rows."""
 
 import itertools
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,8 @@ from flowtables.operators import flow, rules
 from flowtables.session import scratch_path
 from flowtables.sources.tables import table
 from flowtables.streaming import streams
+from flowtables.suite import QUERIES
+from flowtables.suite import streams as queries
 from flowtables.suite.rules import EVENT_RULES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -181,3 +184,27 @@ def test_carried_sinks_over_micro_batches(spark, tmp_path):
     assert bag(spark.read.parquet(f"{tmp_path}/top/{last}").select("u", "i", "v", "place")) == bag(
         flow.prioritized(table, ["u"], order, 4).select("u", "i", "v", "place")
     )
+
+
+def test_state_stores_follow_the_rows(spark, monkeypatch):
+    """A stream of few rows keeps a store for each core, however many partitions the session shuffles to."""
+    paths = []
+
+    def noted(session, name):
+        paths.append((name, scratch_path(session, name)))
+        return paths[-1][1]
+
+    monkeypatch.setattr(queries, "scratch_path", noted)
+    partitions, cores = "spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism
+    before = spark.conf.get(partitions)
+    spark.conf.set(partitions, str(4 * cores))
+    try:
+        assert QUERIES["stream_waiting"](spark, FOLDER).count() > 0
+        assert spark.conf.get(partitions) == str(4 * cores)
+        assert queries.state_stores(spark, 10 * cores, state_rows=5) == 2 * cores
+        assert queries.state_stores(spark, 1000 * cores, state_rows=5) == 4 * cores
+    finally:
+        spark.conf.set(partitions, before)
+    (progress,) = [path for name, path in paths if name == "progress"]
+    stores = Path(progress.removeprefix("file:")) / "state" / "0"
+    assert len([store for store in stores.iterdir() if store.name.isdigit()]) == cores
