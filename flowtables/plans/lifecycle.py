@@ -93,7 +93,7 @@ def state_plan(
         .select(*scope, "id", "kind", "_order", F.posexplode(states).alias("step", "state"))
         .withColumn("step", (F.col("step") + 1).cast("bigint"))
     )
-    return numbered(steps, scope, ["_order", "id", "step"], "position", hot_rows).drop("_order")
+    return numbered(steps, scope, ["_order", "id", "step"], "position", hot_rows, once=True).drop("_order")
 
 
 def teardown_plan(
@@ -109,4 +109,4 @@ def teardown_plan(
     # "~" sorts after every segment, so a group follows what is inside it
     key = F.when(kind == "PROCESS_GROUP", F.concat(key, F.lit("/~"))).otherwise(key)
     placed = components.select(*scope, "id", "kind", key.alias("_order"))
-    return numbered(placed, scope, ["_order", "id"], "position", hot_rows).drop("_order")
+    return numbered(placed, scope, ["_order", "id"], "position", hot_rows, once=True).drop("_order")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flowtables.operators import flow, naming, refs
 from flowtables.operators.spread import dealt_if_many, hot_keys, lookup, numbered, paged_lists, running
-from flowtables.plans.lifecycle import state_plan
+from flowtables.plans.lifecycle import state_plan, teardown_plan
 from flowtables.suite.rules import part_criteria
 
 
@@ -169,3 +169,24 @@ def test_rows_of_one_row_group_are_dealt_if_many(spark):
     parts = part_criteria(spark, "/root/testdata/sf0.1")
     assert tasks(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert parts.count() == 20000
+
+
+def test_plans_work_rows_out_once_for_hot_scopes(spark):
+    worked = spark.sparkContext.accumulator(0)
+
+    def noted(i):
+        worked.add(1)
+        return i % 3
+
+    scope = F.udf(noted, "int").asNondeterministic()
+    components = spark.range(0, 900, 1, 4).select(
+        scope("id").alias("w"),
+        "id",
+        F.lit("PROCESSOR").alias("kind"),
+        F.array(F.lit(1).cast("bigint")).alias("group_ords"),
+        F.col("id").alias("ord"),
+    )
+    placed = teardown_plan(components, ["w"], hot_rows=100).collect()
+    # counted (twice, as a checkpoint is) and stored
+    assert worked.value <= 3 * 900
+    assert {(r["w"], r["id"], r["position"]) for r in placed} == {(i % 3, i, i // 3 + 1) for i in range(900)}
