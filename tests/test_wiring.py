@@ -117,3 +117,23 @@ def test_a_unit_is_made_of_whole_scopes(spark, tasks):
     empty = [df.where(F.lit(False)) for df in tables]
     tasks.setattr(wiring, "DEAL_ROWS", -1)
     assert wiring.Wiring.of(*empty, SCOPE, SCOPE).shapes().count() == 0
+
+
+def test_order_flows_number_the_lines_once(spark, tmp_path):
+    from flowtables.suite.snapshots import order_flows
+
+    orders = [(1, "F", "p"), (2, "O", "q"), (3, "F", None), (None, "F", "p")]
+    lines = [(1, 5, 1, n, "R", "O", 2.0) for n in (2, 1, 3)] + [(2, 5, 1, 1, "A", "F", 2.0), (None, 5, 1, 1, "N", "F", 1.0)]
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_linestatus string, l_quantity double"
+    spark.createDataFrame(orders, "o_orderkey long, o_orderstatus string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    components, edges, values = order_flows(spark, str(tmp_path))
+    assert sorted((r.flow or "", r.id) for r in components.collect()) == [
+        *[("", "line1"), ("", "order"), ("", "order")],
+        *[("a/1", "line1"), ("a/1", "line2"), ("a/1", "line3"), ("a/1", "order"), ("a/2", "line1"), ("a/2", "order"), ("a/3", "order")],
+        *[("b/1", "line1"), ("b/1", "line2"), ("b/1", "order"), ("b/3", "order")],
+    ]
+    assert sorted((r.source_id, r.dest_id) for r in edges.where("flow = 'b/1'").collect()) == [("line1", "line2"), ("order", "line1")]
+    assert values.count() == edges.count() == 7
+    for df in (components, edges, values):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
