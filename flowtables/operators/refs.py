@@ -9,7 +9,19 @@ from pyspark.sql import functions as F
 
 from flowtables.functions.values import endpoint_kind, is_group
 from flowtables.operators.naming import last_by
-from flowtables.operators.spread import HOT_ROWS, PAGE_ROWS, lookup, paged_lists
+from flowtables.operators.spread import (
+    HOT_ROWS,
+    PAGE_ROWS,
+    hot_keys,
+    lookup,
+    paged_lists,
+    same_keys,
+    small,
+)
+from flowtables.session import stored
+
+# Ports of a group that are kept as a list beside its component; more are sought in a table of their own.
+LISTED_PORTS = 64
 
 
 def attach_inputs(
@@ -125,10 +137,7 @@ def resolve_named(
     No object: null and 0. One: its id. Several: null with their number (``quarantine``), or the
     query that reads ``matches`` fails (``error``). Objects are merged per key before the join, so it cannot multiply rows.
     """
-    distinct = objects.select(*object_key, id_column).distinct()
-    counted = distinct.groupBy(*object_key).agg(
-        F.min(id_column).alias("_one"), F.count(F.lit(1)).alias("_matches")
-    )
+    counted = _counted(objects, object_key, id_column)
     joined = lookup(refs, counted, [F.col(c) for c in ref_key], object_key, ["_one", "_matches"])
     out = joined.withColumns(
         {
@@ -143,6 +152,34 @@ def resolve_named(
     return out
 
 
+def _counted(objects: DataFrame, key: Sequence[str], id_column: str) -> DataFrame:
+    """(key..., _one, _matches): an id of each key, and how many it has."""
+    distinct = objects.select(*key, id_column).distinct()
+    return distinct.groupBy(*key).agg(F.min(id_column).alias("_one"), F.count(F.lit(1)).alias("_matches"))
+
+
+def _listed_ports(
+    ports: DataFrame, scope: Sequence[str], listed: int = LISTED_PORTS
+) -> tuple[DataFrame, DataFrame | None]:
+    """Ports by group: (scope..., group_id, _ports), and those of groups with more than ``listed`` by themselves.
+
+    The second table, (scope..., group_id, name, kind, _one, _matches), is None if there is no such group.
+    """
+    group, key = [*scope, "group_id"], [*scope, "group_id", "name", "kind"]
+    counted = _counted(ports, key, "port_id").dropna(subset=key)
+    crowded, many = hot_keys(counted, group, listed), None
+    if crowded is not None:
+        theirs, match = same_keys(counted, small(crowded.drop("_rows")), group)
+        many = stored(counted.join(theirs, match, "left_semi"), "ports")
+        counted = counted.join(theirs, match, "left_anti")
+    port = F.struct("name", "kind", "_one", "_matches")
+    return counted.groupBy(*group).agg(F.collect_list(port).alias("_ports")), many
+
+
+def _listed_port(name: Column, kind: Column) -> Column:
+    return F.get(F.filter("_ports", lambda port: (port["name"] == name) & (port["kind"] == kind)), 0)
+
+
 def first_types(
     tracked: DataFrame, group: str, name: str, type_column: str, id_column: str, ord_column: str
 ) -> DataFrame:
@@ -179,43 +216,49 @@ def build_edges(
     whose port is missing or ambiguous is not ``valid``.
     """
     scope = list(scope)
-    within = [F.col(c) for c in scope]
     ends = components.select(*scope, key, F.col(kind).alias("_kind"), F.lit(True).alias("_found"))
+    many, take = None, ["_kind", "_found"]
+    if ports is not None:
+        # a component comes with its ports, so each end of an edge is sought once and rows travel once for it
+        lists, many = _listed_ports(ports, scope)
+        ends = lookup(ends, lists, [*scope, key], [*scope, "group_id"], ["_ports"])
+        take = [*take, "_ports"]
     rows = inputs
-    for side in (source, dest):
-        mark = "_source" if side == source else "_dest"
-        rows = lookup(rows, ends, [*within, F.col(side)], [*scope, key], ["_kind", "_found"])
-        rows = rows.withColumnsRenamed({"_kind": mark + "_kind", "_found": mark + "_found"})
-    if plain_source is None:
-        source_kind = F.col("_source_kind")
-        funnel = F.coalesce(F.upper(source_kind) == "FUNNEL", F.lit(False))
-        plain_source = ~is_group(source_kind) & ~funnel
-    found = F.col("_source_found").isNotNull() & F.col("_dest_found").isNotNull()
     added: list[str] = []
     for side, end, name in ((source, "source", source_port), (dest, "dest", dest_port)):
+        rows = lookup(rows, ends, [*scope, side], [*scope, key], take)
+        rows = rows.withColumnsRenamed({"_kind": f"_{end}_kind", "_found": f"_{end}_found"})
         if ports is None:
-            break
-        grouped = is_group(F.col(f"_{end}_kind"))
-        wanted = endpoint_kind(F.col(f"_{end}_kind"), "source" if end == "source" else "destination")
+            continue
+        end_kind = F.col(f"_{end}_kind")
+        grouped = is_group(end_kind)
+        wanted = endpoint_kind(end_kind, "source" if end == "source" else "destination")
+        port = _listed_port(F.col(name), wanted)
+        one, matches = port["_one"], port["_matches"]
+        if many is not None:
+            at = [F.when(grouped, c) for c in (F.col(side), F.col(name), wanted)]
+            rows = lookup(
+                rows,
+                small(many),
+                [*[F.col(c) for c in scope], *at],
+                [*scope, "group_id", "name", "kind"],
+                ["_one", "_matches"],
+            )
+            one, matches = F.coalesce(one, "_one"), F.coalesce(matches, "_matches")
         rows = rows.withColumns(
             {
-                "_group": F.when(grouped, F.col(side)),
-                "_name": F.when(grouped, F.col(name)),
-                "_port_kind": F.when(grouped, wanted),
-                "_grouped": grouped,
+                f"{end}_port_id": F.when(grouped & (matches == 1), one),
+                f"{end}_ports": F.when(grouped, F.coalesce(matches, F.lit(0).cast("bigint"))),
             }
-        )
-        rows = resolve_named(
-            rows,
-            ports,
-            [*scope, "_group", "_name", "_port_kind"],
-            [*scope, "group_id", "name", "kind"],
-            "port_id",
-        ).withColumns(
-            {f"{end}_port_id": F.col("resolved_id"), f"{end}_ports": F.when(F.col("_grouped"), F.col("matches"))}
-        )
-        found = found & F.coalesce(F.col(f"{end}_ports") == 1, F.lit(True))
+        ).drop("_ports", "_one", "_matches")
         added += [f"{end}_port_id", f"{end}_ports"]
+    if plain_source is None:
+        source_kind = F.col("_source_kind")
+        funnel = F.coalesce(F.upper(source_kind) == "FUNNEL", F.lit(False))
+        plain_source = ~is_group(source_kind) & ~funnel
+    found = F.col("_source_found").isNotNull() & F.col("_dest_found").isNotNull()
+    for count in added[1::2]:
+        found = found & F.coalesce(F.col(count) == 1, F.lit(True))
     return rows.select(
         *[c for c in inputs.columns if c != relationships],
         endpoint_kind(F.col("_source_kind"), "source").alias("source_kind"),

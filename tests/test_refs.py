@@ -176,3 +176,53 @@ def test_declared_relationships_are_made_in_several_tasks(spark):
     made = declared_relationships(events)
     tasks = made.groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 40 * 120
+
+
+def _joins(node, column):
+    """Joins of a plan into which a column comes from the left."""
+    children = [node.children().apply(i) for i in range(node.children().size())]
+    here = node.nodeName() == "Join" and column in children[0].output().mkString()
+    return here + sum(_joins(c, column) for c in children)
+
+
+def test_ports_are_found_beside_components_and_in_crowded_groups(spark):
+    components = spark.createDataFrame(
+        [("w", "big", "PROCESS_GROUP"), ("w", "few", "Process_Group"), ("w", "none", "PROCESS_GROUP"), ("w", "p", "X"),
+         ("w", "twice", "X"), ("w", "twice", "X"), ("v", "few", "PROCESS_GROUP"), ("w", None, "PROCESS_GROUP")],
+        "w string, id string, kind string",
+    )
+    crowd = [("w", "big", f"n{i}", "INPUT_PORT", f"b{i}") for i in range(refs.LISTED_PORTS + 6)]
+    ports = [
+        ("w", "big", "n7", "INPUT_PORT", "other"), ("w", "big", "n7", "INPUT_PORT", "b7"), ("w", "big", "n8", "OUTPUT_PORT", "o8"),
+        ("w", "few", "a", "INPUT_PORT", "fa"), ("w", "few", "a", "OUTPUT_PORT", "oa"), ("w", "few", "a", "INPUT_PORT", "fa"),
+        ("w", "few", None, "INPUT_PORT", "null"), ("w", "few", "d", "INPUT_PORT", "d1"), ("w", "few", "d", "INPUT_PORT", "d2"),
+        ("w", None, "a", "INPUT_PORT", "lost"), ("v", "few", "a", "INPUT_PORT", "va"), ("w", "p", "a", "INPUT_PORT", "pa"),
+    ]
+    ends = [
+        ("p", "big", None, "n3"), ("p", "big", None, "n7"), ("p", "big", None, "n8"), ("big", "few", "n8", "a"),
+        ("few", "few", "a", "d"), ("p", "few", None, None), ("p", "none", "a", "a"), ("p", "p", "a", "a"),
+        ("twice", "few", None, "a"), (None, "few", None, "a"), ("p", None, None, "a"),
+    ]
+    edges = spark.createDataFrame(
+        [("w", s, d, ["ok"], a, b, i) for i, (s, d, a, b) in enumerate(ends)],
+        "w string, source_id string, dest_id string, relationships array<string>, from_port string, to_port string, payload int",
+    )
+    expected = {
+        0: (None, None, "b3", 1, True), 1: (None, None, None, 2, False), 2: (None, None, "b8", 1, True),
+        3: ("o8", 1, "fa", 1, True), 4: ("oa", 1, None, 2, False), 5: (None, None, None, 0, False),
+        6: (None, None, None, 0, False), 7: (None, None, None, None, True), 8: (None, None, "fa", 1, True),
+        9: (None, None, "fa", 1, False), 10: (None, None, None, None, False),
+    }
+    at = "w string, group_id string, name string, kind string, port_id string"
+    for crowded in (True, False):
+        known = spark.createDataFrame(ports + (crowd if crowded else []), at)
+        built = refs.build_edges(edges, components, scope=["w"], ports=known)
+        rows = built.collect()
+        assert sorted(r.payload for r in rows) == sorted([*range(11), 8])
+        for r in rows:
+            if crowded or r.payload not in (0, 1, 2):
+                got = (r.source_port_id, r.source_ports, r.dest_port_id, r.dest_ports, r.valid)
+                assert got == expected[r.payload], r
+        # wide rows travel once for each end, and to the crowded groups only if there are some
+        joins = _joins(built._jdf.queryExecution().optimizedPlan(), "payload")
+        assert joins == (4 if crowded else 2)
